@@ -11,24 +11,65 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import quality, sql
+from cairn.llm import bpe_documents, packing, quality, sql, token_files, toxicity, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary of the tokenizer queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences",
+        F.size("offending").alias("n_offending"))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filters.filter_urls(_table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = token_files.write_token_files(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_files.digest(written.read())
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_documents.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op4_url_filters": op4_url_filters,
+        "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_token_files": op6_token_files,
         "op8_quality_rules": op8_quality_rules,
+        "op9_bpe": op9_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_url_filters": sql.URL_FILTERS,
         "op8_quality_rules": sql.QUALITY,
     }

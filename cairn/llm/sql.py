@@ -29,3 +29,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND NOT (word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
 FROM judged
 """
+
+#: The pages of the given tables hold no canonical link and no refresh, so the method adds no verdict to the rules'.
+URL_FILTERS = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+split AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+rules(action, rhost, rpath) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (
+  SELECT page_id, rhost || rpath AS rule, action,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC, action) AS k
+  FROM split JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT s.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM split s LEFT JOIN fits f ON f.page_id = s.page_id AND k = 1
+"""
