@@ -11,7 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe_documents, packing, quality, sql, token_files, toxicity, url_filters
+from cairn.llm import (
+    bpe_documents,
+    embedding_dedup,
+    packing,
+    quality,
+    sql,
+    token_files,
+    toxicity,
+    url_filters,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +45,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("offending").alias("n_offending"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    archive = warc.write_archive(pages)
+    return warc.look_up(archive, warc.plan_records(pages)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filters.filter_urls(_table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -49,6 +66,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(written.read())
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
@@ -60,9 +81,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op3_warc": op3_warc,
         "op4_url_filters": op4_url_filters,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_token_files": op6_token_files,
+        "op7_embedding_dedup": op7_embedding_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_bpe": op9_bpe,
     }
@@ -70,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_warc": sql.WARC,
         "op4_url_filters": sql.URL_FILTERS,
         "op8_quality_rules": sql.QUALITY,
     }

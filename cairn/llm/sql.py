@@ -49,3 +49,13 @@ fits AS (
 SELECT s.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM split s LEFT JOIN fits f ON f.page_id = s.page_id AND k = 1
 """
+
+WARC = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+first AS (SELECT digest, max(page_id) AS kept FROM p WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM p LEFT JOIN first ON first.digest = p.digest
+"""
