@@ -23,7 +23,7 @@ from cairn.llm import runtime, wordhash
 BUCKETS = 1 << 18
 #: Bound of the training sample: labelled documents, and words of them.
 TRAIN_DOCUMENTS = 8_000
-TRAIN_WORDS = 5_000_000
+TRAIN_WORDS = 4_000_000
 #: Letters (bytes) of a word's prefix that make a second and a third feature.
 PREFIXES = (4, 5)
 SENTENCE_ENDS = b".!?\n"
@@ -32,6 +32,7 @@ RATE = 0.4
 SPARSITY = 0.7
 LEAST_DOCUMENTS = 6
 LEAST_WEIGHT = 0.3
+_PART = 1 << 20
 #: A sentence with at least this probability is reported as offending.
 OFFENDING = 0.5
 #: Words after which a sentence without an end is cut.
@@ -160,9 +161,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     runtime.prepare(docs.sparkSession)
     sample = training_sample(docs, labels, id_col, text_col, label_col, max_documents).mapInArrow(
         _training_rows, "doc_id long, label int, features binary, first_word binary")
-    rows = sorted(sample.collect(), key=lambda r: r.doc_id)
+    rows = sorted(sample.collect(), key=lambda r: r.doc_id, reverse=True)
     features, firsts, documents, label, words = [], [], [], [], 0
-    for r in rows:
+    while rows:
+        r = rows.pop()
         f = np.frombuffer(r.features, np.int32).reshape(1 + len(PREFIXES), -1)
         if words + f.shape[1] > max_words or not f.shape[1]:
             continue
@@ -175,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if len(set(label)) < 2:
         return Model(np.zeros(BUCKETS), -12.0)
     none = np.zeros(0, dtype=np.int64)
-    s = Sentences(np.concatenate(features, axis=1).astype(np.int64), np.concatenate(firsts),
+    s = Sentences(np.concatenate(features, axis=1), np.concatenate(firsts),
                   np.concatenate(documents), none, none)
     return _fit(s, np.array(label, dtype=float), epochs)
 
@@ -190,9 +192,12 @@ def _fit(s: Sentences, y: np.ndarray, epochs: int = EPOCHS) -> Model:
     fits the selected features without a penalty.
     """
     n_words = s.features.shape[1]
-    sentence_of = np.repeat(np.arange(len(s.first_word)), np.diff(np.append(s.first_word, n_words)))
-    pairs = np.unique(s.features * np.int64(len(y)) + s.document[sentence_of])
-    known = np.flatnonzero(np.bincount(pairs // len(y), minlength=BUCKETS) >= LEAST_DOCUMENTS)
+    sentence_of = np.repeat(np.arange(len(s.first_word), dtype=np.int32), np.diff(np.append(s.first_word, n_words)))
+    documents = np.zeros(BUCKETS, dtype=np.int64)
+    for row in s.features:
+        pairs = np.unique(row.astype(np.int64) * len(y) + s.document[sentence_of])
+        documents += np.bincount(pairs // len(y), minlength=BUCKETS)
+    known = np.flatnonzero(documents >= LEAST_DOCUMENTS)
     bias = _base_bias(s, y)
     w, bias = _descend(s, y, known, sentence_of, bias, epochs, SPARSITY)
     chosen = np.abs(w) > LEAST_WEIGHT
@@ -215,22 +220,28 @@ def _base_bias(s: Sentences, y: np.ndarray) -> float:
 def _descend(s: Sentences, y: np.ndarray, known: np.ndarray, sentence_of: np.ndarray, bias: float,
              epochs: int, sparsity: float, w: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Adagrad over the whole sample on the features ``known``."""
-    column = np.full(BUCKETS, -1)
+    column = np.full(BUCKETS, -1, dtype=np.int32)
     column[known] = np.arange(len(known))
-    code = column[s.features].ravel()
-    owner = np.tile(sentence_of, len(s.features))[code >= 0]
-    code = code[code >= 0]
+    parts = []  # (feature, sentence) of limited length: temporaries stay small
+    for row in s.features:
+        for lo in range(0, len(row), _PART):
+            code = column[row[lo : lo + _PART]]
+            parts.append((code[code >= 0], sentence_of[lo : lo + _PART][code >= 0]))
     w = np.zeros(len(known)) if w is None else w.copy()
     total, bias_total = np.ones(len(known)), 1.0
     n = len(s.first_word)
     for _ in range(epochs):
-        z = np.bincount(owner, w[code], n) + bias
+        z = np.full(n, bias)
+        for code, owner in parts:
+            z += np.bincount(owner, w[code], n)
         p = np.minimum(_sigmoid(z), 1 - 1e-9)
         clean = np.bincount(s.document, np.log1p(-p), len(y))
         doc = np.clip(-np.expm1(clean), 1e-9, 1.0)
         # slope of -log likelihood at a sentence: p in a clean bag, -p(1-P)/P in an offending one
         g = p * np.where(y > 0, -np.exp(clean) / doc, 1.0)[s.document]
-        gw = np.bincount(code, g[owner], len(known))
+        gw = np.zeros(len(known))
+        for code, owner in parts:
+            gw += np.bincount(code, g[owner], len(known))
         total += gw * gw
         step = RATE / np.sqrt(total)
         w -= step * gw
