@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from cairn.llm import (
     bpe_documents,
     embedding_dedup,
+    ngram_join,
     packing,
     quality,
     sql,
+    suffix_dedup,
     token_files,
     toxicity,
     url_filters,
@@ -45,6 +47,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("offending").alias("n_offending"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     archive = warc.write_archive(pages)
@@ -78,9 +84,20 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_documents.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_warc": op3_warc,
         "op4_url_filters": op4_url_filters,
         "op5_best_fit_packing": op5_best_fit_packing,
@@ -88,6 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_embedding_dedup": op7_embedding_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_bpe": op9_bpe,
+        "op10_suffix_array_dedup": op10_suffix_array_dedup,
+        "pipeline": pipeline,
     }
 
 
