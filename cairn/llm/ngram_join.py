@@ -309,6 +309,22 @@ def _hub_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield runtime.batch(schema, x=np.ascontiguousarray(code[:, 0]), y=np.ascontiguousarray(code[:, 1]))
 
 
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches allow similarity: similar sets of sizes a and b differ in at most (a + b) / 9 shingles."""
+    for b in batches:
+        left, right = b.column("sketch").to_pylist(), b.column("other").to_pylist()
+        limit = b.column("size").to_numpy().astype(np.int64) + b.column("other_size").to_numpy()
+        widths = np.array([(len(a), len(c)) for a, c in zip(left, right)], dtype=np.int64).reshape(-1, 2)
+        keep = np.zeros(b.num_rows, dtype=bool)
+        for w in np.unique(widths, axis=0):
+            rows = np.flatnonzero((widths == w).all(axis=1))
+            least = int(w.min()) // 8
+            sides = [np.frombuffer(b"".join([side[i] for i in rows]), np.uint64).reshape(len(rows), -1) for side in (left, right)]
+            sides = [_folded(x, least) for x in sides]
+            keep[rows] = 9 * np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1).astype(np.int64) <= limit[rows]
+        yield b.select(["x", "y"]).filter(pa.array(keep))
+
+
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of members that no links have joined and whose sizes and sketches allow similarity."""
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
@@ -324,7 +340,7 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for bits in sorted({len(raw[k]) for k in order}):  # sketches of one width at a time
                 width = bits // 8
                 here = np.flatnonzero([len(raw[k]) in (bits, 2 * bits) for k in order])
-                words = np.stack([_folded(raw[k], width) for k in order[here]])
+                words = np.concatenate([_folded(np.frombuffer(raw[k], np.uint64)[None, :], width) for k in order[here]])
                 exact = np.array([len(raw[k]) == bits for k in order[here]])
                 for m in np.flatnonzero(exact):
                     near = (SIMILAR[1] * np.minimum(s[here], s[here[m]]) >= SIMILAR[0] * np.maximum(s[here], s[here[m]]))
@@ -342,10 +358,11 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield runtime.batch(schema, x=np.concatenate(xs), y=np.concatenate(ys))
 
 
-def _folded(raw: bytes, width: int) -> np.ndarray:
-    words = np.frombuffer(raw, np.uint64)
-    while len(words) > width:
-        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) brought to a smaller width, at which they are what a smaller set's would be."""
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
     return words
 
 
@@ -375,6 +392,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield runtime.batch(schema, src=src, dst=dst)
 
 
+def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts that pairs name."""
+    named = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
+    return texts.join(named, "doc_id", "left_semi")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (x, y) whose whole texts are similar, as (src, dst)."""
     n = runtime.partitions_for(pairs.sparkSession)
@@ -421,10 +444,13 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .mapInArrow(_lists, "list1 long, list2 long, ids array<long>, sizes array<int>")
         .dropDuplicates(["list1", "list2"]), "lists")
 
-    members = lists.select(F.explode("ids").alias("doc_id")).distinct()
-    candidates = scratch.cut(texts.join(members, "doc_id", "left_semi"), "candidates")
-    hubs = scratch.cut(lists.mapInArrow(_hub_pairs, "x long, y long").distinct(), "hubs")
-    links = scratch.cut(_verified(hubs, candidates), "links")
+    sketches = full.select("doc_id", "size", "sketch")
+    other = sketches.toDF("y", "other_size", "other")
+    hubs = scratch.cut(
+        lists.mapInArrow(_hub_pairs, "x long, y long").distinct()
+        .join(sketches.withColumnRenamed("doc_id", "x"), "x").join(other, "y")
+        .select("x", "y", "size", "other_size", "sketch", "other").mapInArrow(_plausible, "x long, y long"), "hubs")
+    links = scratch.cut(_verified(hubs, _texts_of(hubs, texts.hint("merge"))), "links")
     joined = connected_components(links, scratch)
 
     long_lists = lists.where(F.size("ids") > 2).select("list1", "list2", F.explode("ids").alias("doc_id"))
@@ -432,7 +458,6 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "list1", "list2", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     unsettled = described.groupBy("list1", "list2").agg(
         F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("list1", "list2")
-    sketches = full.select("doc_id", "size", "sketch")
     rest = (
         described.join(unsettled, ["list1", "list2"], "left_semi").join(sketches, "doc_id")
         .select("list1", "list2", "doc_id", "size", "component", "sketch")
@@ -442,9 +467,9 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     rest = scratch.cut(rest, "rest")
     if not rest.isEmpty():
-        more = scratch.cut(_verified(rest, candidates), "more")
+        more = scratch.cut(_verified(rest, _texts_of(rest, texts)), "more")
         joined = connected_components(links.unionByName(more), scratch)
-    scratch.drop(lists, candidates)
+    scratch.drop(lists)
 
     of_set = sets.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("component", "rep").alias("component"))
