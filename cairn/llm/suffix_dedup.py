@@ -12,6 +12,7 @@ extended left and right, word by word, as far as both texts agree.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -95,30 +96,50 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield runtime.batch(_MATCH_ARROW, head=[head], doc_id=[doc], pos=[pos], ref_doc=[doc], ref_pos=[pos], edge=[2])
 
 
-def matches(suffixes: DataFrame, scratch: Scratch, partitions: int) -> DataFrame:
-    """``doc_id, pos, ref_doc, ref_pos``: retained suffixes with the first one of equal head, where that is another."""
+def neighbours(suffixes: DataFrame, scratch: Scratch, partitions: int) -> tuple[DataFrame, Runs]:
+    """Suffixes with an equal head before them in sorted order, and the first suffixes of runs that cross partitions."""
     ordered = suffixes.repartitionByRange(partitions, "head", "doc_id", "pos").sortWithinPartitions("head", "doc_id", "pos")
     found = scratch.cut(ordered.mapInArrow(_neighbours, _MATCH), "neighbours")
-    # runs that touch a partition's end: two heads for each partition at most
-    ends = found.where("edge > 0").groupBy("head").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
-    settled = found.where("edge = 1").select("head", "doc_id", "pos").join(F.broadcast(ends), "head").select(
-        "doc_id", "pos", F.col("first.doc_id").alias("ref_doc"), F.col("first.pos").alias("ref_pos"))
-    inner = found.where("edge = 0").select("doc_id", "pos", "ref_doc", "ref_pos")
-    return inner.unionByName(settled).where("NOT (doc_id = ref_doc AND pos = ref_pos)")
+    # runs that touch a partition's end: two rows for each partition at most
+    ends = found.where("edge > 0").groupBy("head").agg(F.min(F.struct("doc_id", "pos")).alias("first")).collect()
+    ends.sort(key=lambda r: r.head)
+    return found.where("edge < 2"), Runs(*(np.array(c, dtype=np.int64) for c in (
+        [r.head for r in ends], [r.first.doc_id for r in ends], [r.first.pos for r in ends])))
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@dataclass
+class Runs:
+    """First suffixes (document and place) of runs, by sorted head."""
+
+    head: np.ndarray
+    doc: np.ndarray
+    pos: np.ndarray
+
+
+def _spans(runs: Runs):
     """Joins matches of one alignment that overlap or touch; rows sorted by document and place."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())])
-    for t, _ in runtime.sorted_runs(batches, ["doc_id"]):
-        d, p, rd, rp = (t.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "pos", "ref_doc", "ref_pos"))
-        new = np.ones(len(d), dtype=bool)
-        new[1:] = (d[1:] != d[:-1]) | (rd[1:] != rd[:-1]) | (p[1:] - rp[1:] != p[:-1] - rp[:-1]) | (
-            p[1:] > p[:-1] + HEAD_WORDS)
-        a = np.flatnonzero(new)
-        z = np.append(a[1:], len(d)) - 1
-        yield runtime.batch(schema, doc_id=d[a], start=p[a].astype(np.int32), end=(p[z] + HEAD_WORDS).astype(np.int32),
-                            ref_doc=rd[a], ref_start=rp[a].astype(np.int32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, _ in runtime.sorted_runs(batches, ["doc_id"]):
+            h, d, p, rd, rp, edge = (t.column(c).to_numpy().astype(np.int64) for c in ("head", "doc_id", "pos", "ref_doc", "ref_pos", "edge"))
+            crossing = np.flatnonzero(edge)
+            if len(crossing):
+                at = np.searchsorted(runs.head, h[crossing])
+                rd[crossing], rp[crossing] = runs.doc[at], runs.pos[at]
+            other = np.flatnonzero((d != rd) | (p != rp))
+            if not len(other):
+                continue
+            d, p, rd, rp = d[other], p[other], rd[other], rp[other]
+            new = np.ones(len(d), dtype=bool)
+            new[1:] = (d[1:] != d[:-1]) | (rd[1:] != rd[:-1]) | (p[1:] - rp[1:] != p[:-1] - rp[:-1]) | (
+                p[1:] > p[:-1] + HEAD_WORDS)
+            a = np.flatnonzero(new)
+            z = np.append(a[1:], len(d)) - 1
+            yield runtime.batch(schema, doc_id=d[a], start=p[a].astype(np.int32), end=(p[z] + HEAD_WORDS).astype(np.int32),
+                                ref_doc=rd[a], ref_start=rp[a].astype(np.int32))
+
+    return run
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,10 +186,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     n = runtime.partitions_for(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     suffixes = scratch.cut(sparse_suffixes(texts), "suffixes")
-    found = matches(suffixes, scratch, n)
+    found, runs = neighbours(suffixes, scratch, n)
     spans = scratch.cut(
         found.repartition(n, "doc_id").sortWithinPartitions("doc_id", "pos")
-        .mapInArrow(_spans, "doc_id long, start int, end int, ref_doc long, ref_start int").distinct(), "spans")
+        .mapInArrow(_spans(runs), "doc_id long, start int, end int, ref_doc long, ref_start int").distinct(), "spans")
     scratch.drop(suffixes)
     ref_end = (F.col("ref_start") + F.col("end") - F.col("start")).alias("ref_end")
     asked = spans.select("doc_id", "start", "end").unionByName(
