@@ -90,9 +90,9 @@ class Order:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Locally frequent shingles (kind 0), and numbers of sets by size (kind 1, sizes up to 2 * MOST_SMALL)."""
+    """Locally frequent shingles (kind 0), sets by size (kind 1, sizes up to 2 * MOST_SMALL), and all shingles (kind 2)."""
     schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
-    sizes = np.zeros(2 * MOST_SMALL + 1, dtype=np.int64)
+    sizes, total = np.zeros(2 * MOST_SMALL + 1, dtype=np.int64), 0
     held: list[np.ndarray] = []
 
     def frequent() -> Iterator[pa.RecordBatch]:
@@ -106,31 +106,30 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in wordhash.blocks(b.column("text")):
             h, at = wordhash.ngram_sets(block, SHINGLE_WORDS)
             held.append(h)
+            total += len(h)
             sizes += np.bincount(np.minimum(np.diff(at), len(sizes) - 1), minlength=len(sizes))
             if sum(map(len, held)) >= BLOCK_SHINGLES:
                 yield from frequent()
     yield from frequent()
     seen = np.flatnonzero(sizes)
     yield runtime.batch(schema, kind=np.ones(len(seen), np.int32), key=seen, n=sizes[seen])
+    yield runtime.batch(schema, kind=[2], key=[0], n=[total])
 
 
-def boundary(sets_by_size: dict[int, int], list_length: float) -> int:
+def boundary(sets_by_size: dict[int, int], met_by_one: float, met_by_two: float) -> int:
     """The largest size that is small, of least cost.
 
-    Cost counts key rows, and for inverted lists also the other members that
-    scanning meets (``list_length`` on average); sets of 4/5 of the boundary
-    or more post to lists as well.  Subsets of two shingles meet others as
-    rarely as both shingles do together.
+    A key costs its row and the other sets that scanning its list meets:
+    ``met_by_one`` on average for a shingle, ``met_by_two`` for a subset of two.
+    Small sets of more than 4/5 of the boundary post to inverted lists as well.
     """
-    together = min(1.0, list_length) * list_length
-
     def cost(small: int) -> float:
         total = 0.0
         for size, n in sets_by_size.items():
             if 0 < size <= small:
-                total += n * float(subset_count(size)) * (1 + together)
+                total += n * float(subset_count(size)) * (1 + met_by_two)
             if size > 0 and SIMILAR[1] * size > SIMILAR[0] * small:
-                total += n * float(prefix_length(size)) * (1 + list_length)
+                total += n * float(prefix_length(size)) * (1 + met_by_one)
         return total
 
     return min(range(MOST_SMALL + 1), key=lambda s: (cost(s), s))
@@ -154,12 +153,15 @@ def survey(docs: DataFrame, scratch: Scratch) -> Order:
     top = frequent.where(F.col("n") >= least).collect()  # at most ORDERED_SHINGLES rows
     top.sort(key=lambda r: (r.n, r.key))
     sizes = {r.key: r.n for r in found.where("kind = 1").collect()}
+    shingles = found.where("kind = 2").agg(F.sum("n")).first()[0] or 0
     scratch.drop(found)
     key = wordhash.as_hash(np.array([r.key for r in top], dtype=np.int64))
     rank = np.arange(1, len(top) + 1)  # the most frequent last
     order = np.argsort(key)
-    others = sum(r.n - 1 for r in top) / sum(r.n for r in top) if top else 0.0
-    return Order(key[order], rank[order], boundary(sizes, 2 * others))
+    # a shingle meets the others of its count; a subset of two only where its second shingle is repeated as well
+    met = sum(r.n * (r.n - 1) for r in top) / max(1, shingles)
+    repeated = sum(r.n for r in top) / max(1, shingles)
+    return Order(key[order], rank[order], boundary(sizes, met, met * repeated))
 
 
 # --- signatures ------------------------------------------------------------

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from cairn.llm import bpe
+from cairn.llm import bpe, token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -24,7 +24,7 @@ CASES = [
     "", " ", "  ", "a", " a", "a ", "aaa aaaa aaaaa", "don't we'll I'd 's", "x  y", "x\ny", "x \n y", "x\n\n y ",
     "tab\there", "über straße ñandú", "日本語 テキスト", "😀 😃😄", "a b  c", "1234567890 12a34",
     "<|endoftext|>", "a<|endoftext|>b <|endoftext|> c", "nul\0byte \0", "!!! ... ,,, ###$$$", "word." * 300,
-    "é combining", "\u001c x\u001d y", "end\n",
+    "é combining", "\u001c x\u001d y", "end\n", "line\u2028sep x", "\u2028 a", "b \u2028",
 ]
 
 
@@ -52,11 +52,19 @@ def test_random_texts(library, encoder):
 
 def test_forgetting(library):
     small = bpe.Encoder(PATH)
-    small.memo.limit = 3
+    small.texts.limit = 3
     check(library, small, CASES)
     check(library, small, CASES[::-1])
 
 
+def test_library_behind_memory(library):
+    encoder = token_files._library_encoder(PATH)
+    for texts in (CASES, CASES[::-1]):
+        ids, at = encoder.encode(texts)
+        for i, e in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+            assert ids[at[i] : at[i + 1]].tolist() == e.ids, texts[i]
+
+
 def test_overlapping_pairs():
     chosen = np.array([1, 1, 1, 0, 1, 0, 1, 1], dtype=bool)
     assert bpe._without_overlap(chosen).tolist() == [True, False, True, False, True, False, True, False]
