@@ -202,7 +202,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
         classes.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "same", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component"))
-    return all_rows.select("vec_id", F.sha2("vector", 256).alias("same")).join(of_rep, "same", "left").select(
+    same = F.when(F.col("vec_id").isNotNull(), F.sha2("vector", 256)).alias("same")
+    return all_rows.select("vec_id", same).join(of_rep, "same", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
         (F.coalesce("component", "vec_id") == F.col("vec_id")).alias("kept"))
