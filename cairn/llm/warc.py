@@ -201,18 +201,24 @@ class Archive:
     shards: list[tuple[str, str, str, str]]
 
 
-def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+def page_key(page_id: Column, url: Column) -> Column:
+    """The capture key of a page: its URL's key and its id, so that keys are unique."""
+    return F.concat_ws("!", capture_key(url), F.coalesce(page_id.cast("string"), F.lit("none")))
+
+
+def plan_records(pages: DataFrame, scratch: Scratch, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                  min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """``key, page_id, url, html, payload_bytes, sha1, refers_to`` of each page; refers_to is set for revisits."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.col(html_col).alias("html"), F.octet_length(payload).cast("long").alias("payload_bytes"),
                         F.sha1(payload).alias("sha1"))
-    stored = rows.where(F.col("payload_bytes") >= min_bytes).groupBy("sha1").agg(
-        F.max("page_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("sha1", "_first")
+    # a row for each payload that occurs again, written so that Spark knows its size: payloads move for the join only if it is large
+    stored = scratch.cut(rows.where(F.col("payload_bytes") >= min_bytes).groupBy("sha1").agg(
+        F.max("page_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("sha1", "_first"), "stored")
     refers = F.when((F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first"))
     return rows.join(stored, "sha1", "left").select(
-        F.concat_ws("!", capture_key(F.col("url")), F.coalesce(F.col("page_id").cast("string"), F.lit("none"))).alias("key"),
+        page_key(F.col("page_id"), F.col("url")).alias("key"),
         "page_id", "url", F.when(refers.isNull(), F.coalesce("html", F.lit(""))).alias("html"),
         "payload_bytes", "sha1", refers.alias("refers_to"))
 
@@ -228,7 +234,8 @@ def write_archive(pages: DataFrame, folder: str | None = None, id_col: str = "pa
     """
     spark = pages.sparkSession
     runtime.prepare(spark)
-    folder = folder or Scratch(spark, "warc").path("archive")
+    scratch = Scratch(spark, "warc")
+    folder = folder or scratch.path("archive")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -252,7 +259,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, id_col: str = "pa
             yield pa.RecordBatch.from_pydict(
                 {"part": [part], "warc": [out.uri], "cdx": [index.out.uri], "first": [first], "last": [last]})
 
-    rows = plan_records(pages, id_col, url_col, html_col, min_bytes)
+    rows = plan_records(pages, scratch, id_col, url_col, html_col, min_bytes)
     manifest = (
         rows.repartitionByRange(shards or runtime.partitions_for(spark), "key").sortWithinPartitions("key")
         .mapInArrow(run, "part long, warc string, cdx string, first string, last string").collect()
