@@ -21,7 +21,7 @@ from cairn.llm import wordhash
 #: The pre-tokenizer of byte-level BPE (a fixed value of the public vocabulary's format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Chunks remembered by one worker before it starts anew.
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 600_000
 _NO_PAIR = np.iinfo(np.int64).max
 
 
@@ -36,6 +36,34 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+class PreTokenizer:
+    """Pre-tokens of a text in order; special tokens as their ids."""
+
+    def __init__(self, special: dict[str, int]):
+        self.special = special
+        self.find = regex.compile(PATTERN).findall
+        names = sorted(special, key=len, reverse=True)
+        self.names = names
+        self.find_special = regex.compile("|".join(map(regex.escape, names))).finditer if names else None
+
+    @classmethod
+    def load(cls, path: str) -> PreTokenizer:
+        with open(path, encoding="utf-8") as f:
+            return cls({t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])})
+
+    def has_special(self, text: str) -> bool:
+        return any(n in text for n in self.names)
+
+    def __call__(self, text: str) -> list[str | int]:
+        out: list[str | int] = []
+        at = 0
+        for m in self.find_special(text) if self.find_special else ():
+            out += self.find(text[at : m.start()])
+            out.append(self.special[m.group()])
+            at = m.end()
+        return out + self.find(text[at:]) if at else self.find(text)
+
+
 @dataclass
 class Vocabulary:
     """Tables of one byte-level BPE vocabulary."""
@@ -48,8 +76,7 @@ class Vocabulary:
     token_at: np.ndarray  # offsets into token_bytes
     special: dict[str, int]
     size: int
-    pattern: regex.Pattern = field(repr=False, default=None)
-    special_pattern: regex.Pattern | None = field(repr=False, default=None)
+    pretokens: PreTokenizer = field(repr=False)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -78,9 +105,7 @@ class Vocabulary:
         return cls(
             keys[order], np.arange(len(keys))[order], np.array(merged, dtype=np.int64)[order],
             np.array([vocab[c] for c in letters], dtype=np.int64),
-            np.frombuffer(b"".join(by_id), dtype=np.uint8), at, special, size, regex.compile(PATTERN),
-            regex.compile("|".join(f"({regex.escape(t)})" for t in sorted(special, key=len, reverse=True)))
-            if special else None)
+            np.frombuffer(b"".join(by_id), dtype=np.uint8), at, special, size, PreTokenizer(special))
 
     # --- merging -----------------------------------------------------------
 
@@ -125,18 +150,6 @@ class Vocabulary:
         np.cumsum(np.bincount(owner, minlength=len(words)), out=offsets[1:])
         return flat[order], offsets
 
-    def pretokens(self, text: str) -> list[str | int]:
-        """Pre-tokens of a text in order; special tokens as their ids."""
-        if self.special_pattern is None:
-            return self.pattern.findall(text)
-        out: list[str | int] = []
-        at = 0
-        for m in self.special_pattern.finditer(text):
-            out += self.pattern.findall(text, at, m.start()) if m.start() > at else []
-            out.append(self.special[m.group()])
-            at = m.end()
-        return out + (self.pattern.findall(text[at:]) if at else self.pattern.findall(text))
-
     # --- decoding ----------------------------------------------------------
 
     def decode_bytes(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,6 +166,15 @@ def _ranges(start: np.ndarray, length: np.ndarray, ends: np.ndarray) -> np.ndarr
     return np.arange(ends[-1]) + np.repeat(start - ends[:-1], length)
 
 
+def reordered(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists that lie in ``order`` (list numbers), put in number order; sizes are by number."""
+    at = np.zeros(len(sizes) + 1, dtype=np.int64)
+    np.cumsum(sizes, out=at[1:])
+    lies = np.zeros(len(sizes), dtype=np.int64)
+    lies[order] = np.cumsum(sizes[order]) - sizes[order]
+    return flat[_ranges(lies, sizes, at)], at
+
+
 def _without_overlap(chosen: np.ndarray) -> np.ndarray:
     """Of pairs chosen in direct succession (as in ``aaa``) every second, from the left."""
     if not (chosen[1:] & chosen[:-1]).any():
@@ -166,78 +188,128 @@ def _without_overlap(chosen: np.ndarray) -> np.ndarray:
     return out
 
 
-class ChunkMemo:
-    """Encodes texts chunk by chunk and remembers chunks.
+#: White space that parts chunks searched together; it is a pre-token of its own before a chunk.
+_SEPARATOR = "\u2028"
+
+
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for, and lists the new ones."""
+
+    def __init__(self) -> None:
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
+class _Lists:
+    """Growing lists of ids by number, in one flat array."""
+
+    def __init__(self) -> None:
+        self.flat = np.zeros(1 << 16, dtype=np.int64)
+        self.at = np.zeros(1 << 12, dtype=np.int64)
+        self.n = 0
+
+    def add(self, flat: np.ndarray, offsets: np.ndarray) -> None:
+        used, more = self.at[self.n], len(offsets) - 1
+        self.flat = _room(self.flat, used, len(flat))
+        self.at = _room(self.at, self.n + 1, more)
+        self.flat[used : used + len(flat)] = flat
+        self.at[self.n + 1 : self.n + 1 + more] = used + offsets[1:]
+        self.n += more
+
+    def join(self, numbers: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Concatenated lists of the numbers, and the offsets of groups of them (groups are offsets into numbers)."""
+        start = self.at[numbers]
+        length = self.at[numbers + 1] - start
+        ends = np.zeros(len(numbers) + 1, dtype=np.int64)
+        np.cumsum(length, out=ends[1:])
+        return self.flat[_ranges(start, length, ends)], ends[groups]
+
+
+class TextEncoder:
+    """Encodes texts from remembered chunks, and chunks from remembered pre-tokens.
 
     A chunk is a single space (none at the text's start) and the characters up
     to the next space.  Where no chunk is empty and none begins or ends with
     white space, pre-tokens never cross chunks, so a text's ids are its chunks'
-    ids in order; other texts are encoded whole.
+    ids in order; other texts are split into pre-tokens whole.  Only distinct
+    pre-tokens reach ``encode_words``.
     """
 
-    def __init__(self, encode, limit: int = MEMO_CHUNKS):
-        self.encode = encode  # list of texts -> (flat ids, offsets)
+    def __init__(self, pretokens, encode_words, limit: int = MEMO_CHUNKS):
+        self.pretokens = pretokens  # text -> pre-tokens, special tokens as ids
+        self.encode_words = encode_words  # pre-tokens -> (flat ids, offsets)
         self.limit = limit
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {"": -1}
-        self.flat = np.zeros(1 << 16, dtype=np.int64)
-        self.at = np.zeros(1 << 14, dtype=np.int64)
-        self.n = self.used = 0
-
-    def _learn(self, chunks: list[str]) -> None:
-        flat, offsets = self.encode([c[1:] if c[0] == "\0" else " " + c for c in chunks])
-        self.flat = _room(self.flat, self.used, len(flat))
-        self.at = _room(self.at, self.n + 1, len(chunks) + 1)
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.at[self.n + 1 : self.n + 1 + len(chunks)] = self.used + offsets[1:]
-        self.number.update(zip(chunks, range(self.n, self.n + len(chunks))))
-        self.n += len(chunks)
-        self.used += len(flat)
-
-    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.chunks, self.words = _Numbers(), _Numbers()
+        self.chunk_ids, self.word_ids = _Lists(), _Lists()
+        self.open_ended = np.zeros(1 << 12, dtype=bool)
+
+    def _split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts by way of their pre-tokens."""
+        number, codes = self.words.__getitem__, []
+        groups = np.zeros(len(texts) + 1, dtype=np.int64)
+        for i, t in enumerate(texts):
+            codes += map(number, self.pretokens(t))
+            groups[i + 1] = len(codes)
+        return self._of_words(np.array(codes, dtype=np.int64), groups)
+
+    def _split_chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_split`` for texts that neither end with white space nor hold the separator, in one search."""
+        joined = _SEPARATOR.join(texts)
+        if joined.count(_SEPARATOR) != len(texts) - 1 or self.pretokens.has_special(joined) or not all(texts):
+            return self._split(texts)
+        found = self.pretokens.find(joined)
+        code = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
+        cuts = np.flatnonzero(code == self.words[_SEPARATOR])
+        groups = np.concatenate([[0], cuts - np.arange(len(cuts)), [len(code) - len(cuts)]])
+        return self._of_words(code[code != self.words[_SEPARATOR]], groups)
+
+    def _of_words(self, code: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.words.new:
+            plain = [w for w in self.words.new if isinstance(w, str)]
+            ids, at = self.encode_words(plain)
+            if len(plain) < len(self.words.new):
+                ids, at = _with_special(self.words.new, ids, at)
+            self.word_ids.add(ids, at)
+            self.words.new.clear()
+        return self.word_ids.join(code, groups)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one flat array, and the offsets of each text."""
-        if self.n > self.limit:
+        if len(self.chunks) > self.limit or len(self.words) > self.limit:
             self._clear()
-        split = [[] if not t else (t[1:] if t[0] == " " else "\0" + t).split(" ") for t in texts]
-        number = self.number
-        new: dict[str, None] = {}
-        for chunks in split:
-            for c in chunks:
-                if c not in number and c not in new:
-                    new[c] = None
-        odd = [c for c in new if _open_ended(c)]
-        for c in odd:
-            number[c] = -1
-            del new[c]
-        if new:
-            self._learn(list(new))
-        whole: list[int] = []
-        codes: list[np.ndarray] = []
-        for i, chunks in enumerate(split):
-            code = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
-            if len(code) and code.min() < 0:
-                whole.append(i)
-                code = code[:0]
-            codes.append(code)
-        code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        start = self.at[code]
-        length = self.at[code + 1] - start
-        ends = np.zeros(len(code) + 1, dtype=np.int64)
-        np.cumsum(length, out=ends[1:])
-        flat = self.flat[_ranges(start, length, ends)]
-        counts = np.array([len(c) for c in codes], dtype=np.int64)
-        per_text = np.zeros(len(texts) + 1, dtype=np.int64)
-        np.cumsum(counts, out=per_text[1:])
-        offsets = ends[per_text]
-        if not whole:
+        if not texts:
+            return np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        chunks = ("\0" + " \0".join(texts)).split(" ")
+        code = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
+        groups = np.zeros(len(texts) + 1, dtype=np.int64)
+        np.cumsum([t.count(" ") + 1 for t in texts], out=groups[1:])
+        if new := self.chunks.new:
+            odd = np.array([c.strip() != c or not c or "\0" in c and _open_ended(c) for c in new])
+            self.open_ended = _room(self.open_ended, self.chunk_ids.n, len(new))
+            self.open_ended[self.chunk_ids.n : self.chunk_ids.n + len(new)] = odd
+            good = np.flatnonzero(~odd)
+            flat, at = self._split_chunks([c[1:] if c[0] == "\0" else " " + c for c, o in zip(new, odd) if not o])
+            sizes = np.zeros(len(new), dtype=np.int64)
+            sizes[good] = np.diff(at)
+            self.chunk_ids.add(*reordered(flat, sizes, good))
+            new.clear()
+        flat, offsets = self.chunk_ids.join(code, groups)
+        open_chunks = self.open_ended[code]
+        if not open_chunks.any():
             return flat, offsets
-        extra, extra_at = self.encode([texts[i] for i in whole])
+        whole = np.flatnonzero(np.add.reduceat(open_chunks, groups[:-1]))
+        extra, extra_at = self._split([texts[i] for i in whole])
         parts, at, sizes = [], 0, np.diff(offsets)
         for k, i in enumerate(whole):
             parts += [flat[at : offsets[i]], extra[extra_at[k] : extra_at[k + 1]]]
-            at = offsets[i]
+            at = offsets[i + 1]
             sizes[i] = extra_at[k + 1] - extra_at[k]
         parts.append(flat[at:])
         out = np.zeros(len(texts) + 1, dtype=np.int64)
@@ -246,7 +318,9 @@ class ChunkMemo:
 
 
 def _open_ended(chunk: str) -> bool:
-    """Whether a chunk may share a white-space run with its neighbour."""
+    """Whether a chunk may share a white-space run with its neighbour (``\0`` marks a text's first chunk)."""
+    if chunk == "\0":
+        return False
     body = chunk[1:] if chunk[:1] == "\0" else chunk
     return not body or body[0].isspace() or body[-1].isspace() or "\0" in body
 
@@ -264,33 +338,13 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary.load(path)
-        self.memo = ChunkMemo(self._encode_directly)
-
-    def _encode_directly(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Pre-tokenize, merge the distinct pre-tokens in one batch, and assemble."""
-        v = self.vocabulary
-        number: dict[str | int, int] = {}
-        codes, counts = [], []
-        for t in texts:
-            parts = v.pretokens(t)
-            counts.append(len(parts))
-            codes += [number.setdefault(p, len(number)) for p in parts]
-        keys = list(number)
-        plain = [k for k in keys if isinstance(k, str)]
-        ids, at = v.merge_words([k.encode("utf-8", "surrogatepass") for k in plain])
-        if len(plain) < len(keys):
-            ids, at = _with_special(keys, ids, at)
-        code = np.array(codes, dtype=np.int64)
-        start = at[code]
-        length = at[code + 1] - start
-        ends = np.zeros(len(code) + 1, dtype=np.int64)
-        np.cumsum(length, out=ends[1:])
-        per_text = np.zeros(len(texts) + 1, dtype=np.int64)
-        np.cumsum(counts, out=per_text[1:])
-        return ids[_ranges(start, length, ends)], ends[per_text]
+        self.texts = TextEncoder(self.vocabulary.pretokens, self._merge)
+
+    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.vocabulary.merge_words([w.encode("utf-8") for w in words])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.memo.texts(texts)
+        return self.texts.encode(texts)
 
 
 def _with_special(keys: list, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -54,7 +54,8 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     archive = warc.write_archive(pages)
-    return warc.look_up(archive, warc.plan_records(pages)).select(
+    keys = pages.select(warc.page_key(F.col("page_id"), F.col("url")).alias("key"))
+    return warc.look_up(archive, keys).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -68,8 +69,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    written = token_files.write_token_files(_table(spark, sf_dir, "documents"), tokenizer_path())
-    return token_files.digest(written.read())
+    return token_files.write_token_files(_table(spark, sf_dir, "documents"), tokenizer_path()).digest()
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

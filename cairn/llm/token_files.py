@@ -86,49 +86,81 @@ def read_blocks(reader: files.Reader) -> Iterator[tuple[list[int | None], np.nda
         at += _HEADER.size + len(body)
 
 
+def id_type(tokenizer_path: str) -> str:
+    """The narrowest unsigned integer that holds every id of a vocabulary."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
              end_id: int = END_ID) -> DataFrame:
-    """``doc_id, ids``: the tokenizers library's ids (uint32, little-endian) of whole texts, with the end id.
+    """``doc_id, ids, counts``: the tokenizers library's ids (``id_type``) of whole texts, with the end id.
 
-    The library encodes the distinct chunks of the texts; see ``bpe.ChunkMemo``.
+    The library encodes the distinct pre-tokens of the texts; see
+    ``bpe.TextEncoder``.  The last row of each partition has no ids but
+    ``counts``: how often each id occurs in the partition.
     """
     runtime.prepare(docs.sparkSession)
-    end = np.array([end_id], dtype="<u4")
+    kind = id_type(tokenizer_path)
+    end = np.array([end_id], dtype=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _library_memo(tokenizer_path)
+        encoder, total = _library_encoder(tokenizer_path), np.zeros(1, dtype=np.int64)
         for b in batches:
             for first, texts in bpe.text_groups(b.column("text")):
-                flat, at = memo.texts(texts)
-                flat = flat.astype("<u4")
+                flat, at = encoder.encode(texts)
+                counts = np.bincount(flat, minlength=max(end_id + 1, len(total)))
+                counts[end_id] += len(texts)
+                counts[: len(total)] += total
+                total, flat = counts, flat.astype(kind)
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id").cast(pa.int64()).slice(first, len(texts)),
                     pa.array([np.concatenate([flat[a:e], end]).tobytes() for a, e in zip(at[:-1], at[1:])], pa.binary()),
-                ], names=["doc_id", "ids"])
+                    pa.nulls(len(texts), pa.binary())], names=["doc_id", "ids", "counts"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()])],
+            names=["doc_id", "ids", "counts"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, ids binary")
+        run, "doc_id long, ids binary, counts binary")
 
 
-_memos: dict[str, bpe.ChunkMemo] = {}
+_library_encoders: dict[str, bpe.TextEncoder] = {}
 
 
-def _library_memo(path: str) -> bpe.ChunkMemo:
-    if path not in _memos:
+def _library_encoder(path: str) -> bpe.TextEncoder:
+    """The library behind a memory of chunks and pre-tokens, kept in the Python worker from task to task."""
+    if path not in _library_encoders:
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
         library.no_padding()
         library.no_truncation()
-
-        def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-            at = np.zeros(len(ids) + 1, dtype=np.int64)
-            np.cumsum([len(i) for i in ids], out=at[1:])
-            return np.fromiter((t for i in ids for t in i), np.int64, int(at[-1])), at
-
-        _memos[path] = bpe.ChunkMemo(encode)
-    return _memos[path]
+        (newline,) = library.encode("\n", add_special_tokens=False).ids
+
+        def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            # words without white space inside are joined by line ends, which are tokens of their own before a word
+            plain = np.array([w[:1] != "\n" and w.isprintable() and not w[1:].isspace() and w != " " for w in words], dtype=bool)
+            joined, alone = np.flatnonzero(plain), np.flatnonzero(~plain)
+            parts = [joined[lo : lo + 2048] for lo in range(0, len(joined), 2048)]
+            texts = ["\n".join([words[i] for i in part]) for part in parts] + [words[i] for i in alone]
+            got = [np.array(e.ids, dtype=np.int64) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+            flat = np.concatenate(got) if got else np.zeros(0, dtype=np.int64)
+            ends = np.cumsum([len(x) for x in got[len(parts) :]])
+            cuts = [np.flatnonzero(x == newline) for x in got[: len(parts)]]
+            if any(len(c) != len(part) - 1 for c, part in zip(cuts, parts)):
+                raise ValueError("the vocabulary merges line ends with words")
+            sizes = np.zeros(len(words), dtype=np.int64)
+            for c, x, part in zip(cuts, got, parts):
+                sizes[part] = np.diff(np.concatenate([[-1], c, [len(x)]])) - 1
+            sizes[alone] = np.diff(np.concatenate([[0], ends])) if len(alone) else 0
+            head = flat[: len(flat) - (int(ends[-1]) if len(alone) else 0)]
+            flat = np.concatenate([head[head != newline], flat[len(head) :]])
+            return bpe.reordered(flat, sizes, np.concatenate([joined, alone]))
+
+        _library_encoders[path] = bpe.TextEncoder(bpe.PreTokenizer.load(path), encode)
+    return _library_encoders[path]
 
 
 @dataclass
@@ -141,25 +173,39 @@ class TokenFiles:
 
     def read(self) -> DataFrame:
         """``doc_id, start, ids``: all documents with the number of ids before each."""
-        rows = self.spark.createDataFrame(
+        def rows(doc_ids: list, starts: np.ndarray, ids: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array([x.tobytes() for x in ids], pa.binary())],
+                names=["doc_id", "start", "ids"])
+
+        return self._scan(rows, "doc_id long, start long, ids binary")
+
+    def digest(self) -> DataFrame:
+        """``doc_id, start, n_tokens, ids_crc32`` (unsigned, of ids as little-endian 32-bit integers)."""
+        def rows(doc_ids: list, starts: np.ndarray, ids: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array([zlib.crc32(x) for x in ids], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+        return self._scan(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+    def _scan(self, rows, schema: str) -> DataFrame:
+        """Decode every block of every shard on the executors."""
+        shards = self.spark.createDataFrame(
             [(u, s) for u, s, _, _ in self.shards] or [("", -1)], "uri string, start long").where("start >= 0")
-        table = self.spark.sparkContext.broadcast(self.id_of_rank.astype(np.uint32))
+        table = self.spark.sparkContext.broadcast(self.id_of_rank.astype("<u4"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for uri, start in zip(b.column("uri").to_pylist(), b.column("start").to_pylist()):
                     reader = files.Reader(uri)
                     for doc_ids, counts, ranks in read_blocks(reader):
-                        ids = table.value[ranks].astype("<u4")
-                        ends = np.cumsum(counts)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(doc_ids, pa.int64()), pa.array(start + ends - counts),
-                            pa.array([ids[e - c : e].tobytes() for c, e in zip(counts, ends)], pa.binary()),
-                        ], names=["doc_id", "start", "ids"])
+                        ids, ends = table.value[ranks], np.cumsum(counts)
+                        yield rows(doc_ids, start + ends - counts, [ids[e - c : e] for c, e in zip(counts, ends)])
                         start += int(ends[-1])
                     reader.close()
 
-        return rows.repartition(max(1, len(self.shards))).mapInArrow(run, "doc_id long, start long, ids binary")
+        return shards.repartition(max(1, len(self.shards))).mapInArrow(run, schema)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None = None, id_col: str = "doc_id",
@@ -173,34 +219,35 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
     folder = folder or scratch.path("files")
-    ids = scratch.cut(tokenize(docs, tokenizer_path, id_col, text_col, end_id), "ids")
+    kind = id_type(tokenizer_path)
+    written = scratch.cut(tokenize(docs, tokenizer_path, id_col, text_col, end_id), "ids")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for raw in b.column("ids"):
-                c = np.bincount(np.frombuffer(raw.as_buffer(), "<u4"))
-                if len(c) > len(total):
-                    c, total = total, c
-                total[: len(c)] += c
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
-
-    found = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+            for raw in b.column("counts").to_pylist():
+                n = np.frombuffer(raw, "<i8")
+                seen = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], names=["id", "n"])
+
+    # a row for each id of the vocabulary at most
+    found = written.where("counts IS NOT NULL").select("counts").mapInArrow(unpack, "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n")).collect()
+    ids = written.where("counts IS NULL").select("doc_id", "ids")
     id_of_rank = np.array([r.id for r in sorted(found, key=lambda r: (-r.n, r.id))], dtype=np.int64)
     rank_of = np.zeros(int(id_of_rank.max(initial=0)) + 1, dtype=np.uint32)
     rank_of[id_of_rank] = np.arange(len(id_of_rank))
-    shared = spark.sparkContext.broadcast(rank_of)
+    shared, width = spark.sparkContext.broadcast(rank_of), np.dtype(kind).itemsize
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _library_encoders.clear()  # the worker's memory is needed here
         part = TaskContext.get().partitionId()
         out, n_docs, n_tokens = None, 0, 0
         doc_ids, raws, held = [], [], 0
 
         def flush() -> None:
             nonlocal n_docs, n_tokens, held
-            flat = np.frombuffer(b"".join(raws), "<u4")
-            counts = np.array([len(r) // 4 for r in raws], dtype=np.int64)
+            flat = np.frombuffer(b"".join(raws), kind)
+            counts = np.array([len(r) // flat.itemsize for r in raws], dtype=np.int64)
             out.write(encode_block(doc_ids, counts, shared.value[flat]))
             n_docs, n_tokens, held = n_docs + len(doc_ids), n_tokens + len(flat), 0
             doc_ids.clear()
@@ -211,7 +258,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
                 out = out or files.Writer(files.fresh_name(folder, "shard", part, ".ctk"))
                 doc_ids.append(i)
                 raws.append(raw)
-                held += len(raw) // 4
+                held += len(raw) // width
                 if held >= BLOCK_TOKENS:
                     flush()
         if out:
@@ -226,22 +273,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         .sortWithinPartitions("doc_id", "ids")
         .mapInArrow(write, "part long, uri string, docs long, tokens long").collect()
     )
-    scratch.drop(ids)
+    scratch.drop(written)
     done, start = [], 0
     for r in sorted(manifest, key=lambda r: r.part):
         done.append((r.uri, start, r.docs, r.tokens))
         start += r.tokens
     return TokenFiles(spark, done, id_of_rank)
-
-
-def digest(read: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of the rows of ``TokenFiles.read``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raws = b.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), b.column("start"), pa.array([len(r) // 4 for r in raws], pa.int64()),
-                pa.array([zlib.crc32(r) for r in raws], pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
