@@ -123,10 +123,11 @@ def name_tokens(text: Column) -> Column:
 
 
 def names_compatible(a: Column, b: Column, overlap: float = 0.5) -> Column:
-    """Token sets equal, contained, or sharing at least ``overlap`` of the smaller; empty sets never."""
+    """Token texts equal or contained, or at least ``overlap`` of the smaller set shared; empty ones never."""
     x, y = name_tokens(a), name_tokens(b)
     least = F.least(F.size(x), F.size(y))
-    return (least > 0) & (F.size(F.array_intersect(x, y)) >= overlap * least)
+    s, t = F.array_join(x, " "), F.array_join(y, " ")
+    return (least > 0) & (s.contains(t) | t.contains(s) | (F.size(F.array_intersect(x, y)) >= overlap * least))
 
 
 def price_symbols(text: Column) -> Column:
