@@ -17,7 +17,8 @@ SOURCE_FAMILIES = {
 
 def bounded(value: Column, default: float = 0.0) -> Column:
     """A number within 0 and 1; the default for what is no number."""
-    return F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), value.try_cast("double"))), F.lit(default))
+    v = value.try_cast("double")
+    return F.when(v.isNull(), default).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), v)))
 
 
 def finite(value: Column) -> Column:

@@ -97,7 +97,7 @@ def test_values(spark):
     assert one(spark, values.source_family(F.lit("fsq"))) == "consumer_poi" and one(spark, values.source_family(F.lit("x"))) == "x"
     assert one(spark, values.payload_hash(b=F.lit(1), a=F.lit("x"))) == one(spark, values.payload_hash(a=F.lit("x"), b=F.lit(1)))
     assert one(spark, values.digest(F.lit(None).cast("string"), F.lit("a"))) != one(spark, values.digest(F.lit(""), F.lit("a")))
-    assert one(spark, values.rounded_coordinate(F.lit(1.234565))) == 1.23457 and one(spark, values.coordinate_key(F.lit(1.0))) == "1.0000"
+    assert one(spark, values.rounded_coordinate(F.lit(1.234568))) == 1.23457 and one(spark, values.coordinate_key(F.lit(1.0))) == "1.0000"
     at, now = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-12-31").cast("timestamp")
     assert one(spark, values.fresh_within(at, now, 365)) and not one(spark, values.fresh_within(at, now, 364))
     assert not one(spark, values.fresh_within(F.lit(None).cast("timestamp"), now, 9))
