@@ -20,8 +20,9 @@ from cairn.llm import wordhash
 
 #: The pre-tokenizer of byte-level BPE (a fixed value of the public vocabulary's format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Chunks remembered by one worker before it starts anew.
-MEMO_CHUNKS = 600_000
+#: Pre-tokens remembered by one worker before it starts anew, and chunks as a multiple of them (they take far fewer bytes).
+MEMO_CHUNKS = 500_000
+MEMO_BYTES_FACTOR = 5
 _NO_PAIR = np.iinfo(np.int64).max
 
 
@@ -208,7 +209,7 @@ class _Lists:
     """Growing lists of ids by number, in one flat array."""
 
     def __init__(self) -> None:
-        self.flat = np.zeros(1 << 16, dtype=np.int64)
+        self.flat = np.zeros(1 << 16, dtype=np.int32)
         self.at = np.zeros(1 << 12, dtype=np.int64)
         self.n = 0
 
@@ -229,25 +230,91 @@ class _Lists:
         return self.flat[_ranges(start, length, ends)], ends[groups]
 
 
+class _Table:
+    """Numbers of byte strings by two 64-bit keys: open addressing, all strings of a block at once."""
+
+    def __init__(self) -> None:
+        self.slots = np.full(1 << 16, -1, dtype=np.int32)
+        self.keys = np.zeros((1 << 12, 2), dtype=np.uint64)
+        self.n = 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each row of keys, -1 for unknown ones."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        left, mask = np.arange(len(keys)), np.uint64(len(self.slots) - 1)
+        slot = keys[:, 0] & mask
+        while len(left):
+            entry = self.slots[slot.astype(np.int64)]
+            there = entry >= 0
+            left, slot, entry = left[there], slot[there], entry[there]
+            hit = (self.keys[entry] == keys[left]).all(axis=1)
+            out[left[hit]] = entry[hit]
+            left, slot = left[~hit], (slot[~hit] + np.uint64(1)) & mask
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Number new distinct keys in their order."""
+        self.keys = _room(self.keys, self.n, len(keys))
+        self.keys[self.n : self.n + len(keys)] = keys
+        first, self.n = self.n, self.n + len(keys)
+        if 2 * self.n > len(self.slots):
+            self.slots = np.full(1 << int(4 * self.n - 1).bit_length(), -1, dtype=np.int32)
+            first = 0
+        number, mask = np.arange(first, self.n), np.uint64(len(self.slots) - 1)
+        slot = (self.keys[first : self.n, 0] & mask).astype(np.int64)
+        while len(number):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = number[free]  # of several for one slot the last stays
+            lost = self.slots[slot] != number
+            number, slot = number[lost], (slot[lost] + 1) & int(mask)
+
+
+_STARTS = np.zeros(256, dtype=bool)
+_STARTS[[0x20, 0x0A]] = True
+_HEADS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
+
+
+def _chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and two 64-bit keys of the chunks of a block, and the first chunk of each text.
+
+    The second key holds a chunk's length and first eight bytes, so chunks of up to eight bytes are told apart for certain.
+    """
+    mark = _STARTS[data]
+    mark[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(mark)
+    ends = np.append(starts[1:], len(data)) if len(starts) else starts
+    keys = np.empty((len(starts), 2), dtype=np.uint64)
+    keys[:, 0] = wordhash.Block(0, data, offsets, starts, ends, offsets).hashes(lower=False)
+    padded = np.append(data, np.zeros(8, dtype=np.uint8))
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    size = ends - starts
+    keys[:, 1] = (eight[starts] & _HEADS[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return starts, ends, keys, np.searchsorted(starts, offsets)
+
+
 class TextEncoder:
     """Encodes texts from remembered chunks, and chunks from remembered pre-tokens.
 
-    A chunk is a single space (none at the text's start) and the characters up
-    to the next space.  Where no chunk is empty and none begins or ends with
-    white space, pre-tokens never cross chunks, so a text's ids are its chunks'
-    ids in order; other texts are split into pre-tokens whole.  Only distinct
-    pre-tokens reach ``encode_words``.
+    A chunk is a space or line end (none at the text's start) and the
+    characters up to the next.  Where no chunk is empty and none begins or ends
+    with further white space, pre-tokens never cross chunks, so a text's ids are
+    its chunks' ids in order; other texts are split into pre-tokens whole.
+    Known chunks are looked up all at once as bytes; only distinct pre-tokens
+    reach ``encode_words``.
     """
 
     def __init__(self, pretokens, encode_words, limit: int = MEMO_CHUNKS):
         self.pretokens = pretokens  # text -> pre-tokens, special tokens as ids
         self.encode_words = encode_words  # pre-tokens -> (flat ids, offsets)
         self.limit = limit
-        self._clear()
+        self._forget_words()
+        self._forget_chunks()
+
+    def _forget_words(self) -> None:
+        self.words, self.word_ids = _Numbers(), _Lists()
 
-    def _clear(self) -> None:
-        self.chunks, self.words = _Numbers(), _Numbers()
-        self.chunk_ids, self.word_ids = _Lists(), _Lists()
+    def _forget_chunks(self) -> None:
+        self.table, self.chunk_ids = _Table(), _Lists()
         self.open_ended = np.zeros(1 << 12, dtype=bool)
 
     def _split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -262,7 +329,7 @@ class TextEncoder:
     def _split_chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As ``_split`` for texts that neither end with white space nor hold the separator, in one search."""
         joined = _SEPARATOR.join(texts)
-        if joined.count(_SEPARATOR) != len(texts) - 1 or self.pretokens.has_special(joined) or not all(texts):
+        if joined.count(_SEPARATOR) != len(texts) - 1 or self.pretokens.has_special(joined):
             return self._split(texts)
         found = self.pretokens.find(joined)
         code = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
@@ -280,55 +347,72 @@ class TextEncoder:
             self.words.new.clear()
         return self.word_ids.join(code, groups)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one flat array, and the offsets of each text."""
-        if len(self.chunks) > self.limit or len(self.words) > self.limit:
-            self._clear()
-        if not texts:
-            return np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
-        chunks = ("\0" + " \0".join(texts)).split(" ")
-        code = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
-        groups = np.zeros(len(texts) + 1, dtype=np.int64)
-        np.cumsum([t.count(" ") + 1 for t in texts], out=groups[1:])
-        if new := self.chunks.new:
-            odd = np.array([c.strip() != c or not c or "\0" in c and _open_ended(c) for c in new])
-            self.open_ended = _room(self.open_ended, self.chunk_ids.n, len(new))
-            self.open_ended[self.chunk_ids.n : self.chunk_ids.n + len(new)] = odd
-            good = np.flatnonzero(~odd)
-            flat, at = self._split_chunks([c[1:] if c[0] == "\0" else " " + c for c, o in zip(new, odd) if not o])
-            sizes = np.zeros(len(new), dtype=np.int64)
+    def _learn(self, chunks: list[str], keys: np.ndarray) -> None:
+        odd = np.array([_open_ended(c) for c in chunks], dtype=bool)
+        good = np.flatnonzero(~odd)
+        sizes = np.zeros(len(chunks), dtype=np.int64)
+        flat = np.zeros(0, dtype=np.int32)
+        if len(good):
+            flat, at = self._split_chunks([c for c, o in zip(chunks, odd) if not o])
             sizes[good] = np.diff(at)
-            self.chunk_ids.add(*reordered(flat, sizes, good))
-            new.clear()
-        flat, offsets = self.chunk_ids.join(code, groups)
+        self.open_ended = _room(self.open_ended, self.table.n, len(chunks))
+        self.open_ended[self.table.n : self.table.n + len(chunks)] = odd
+        self.table.add(keys)
+        self.chunk_ids.add(*reordered(flat, sizes, good))
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a block in one flat array, and the offsets of each text."""
+        if self.table.n > MEMO_BYTES_FACTOR * self.limit:
+            self._forget_chunks()
+        if len(self.words) > self.limit:
+            self._forget_words()
+        starts, ends, keys, groups = _chunks(data, offsets)
+        code = self.table.find(keys)
+        unknown = np.flatnonzero(code < 0)
+        if len(unknown):
+            _, first = np.unique(keys[unknown, 0], return_index=True)
+            chosen = unknown[np.sort(first)]
+            raw = data.tobytes()
+            self._learn([raw[a:e].decode() for a, e in zip(starts[chosen].tolist(), ends[chosen].tolist())], keys[chosen])
+            code[unknown] = self.table.find(keys[unknown])
+            if (code < 0).any():  # equal first keys of different chunks
+                return self._split([data[a:e].tobytes().decode() for a, e in zip(offsets[:-1], offsets[1:])])
+        flat, at = self.chunk_ids.join(code, groups)
         open_chunks = self.open_ended[code]
         if not open_chunks.any():
-            return flat, offsets
-        whole = np.flatnonzero(np.add.reduceat(open_chunks, groups[:-1]))
-        extra, extra_at = self._split([texts[i] for i in whole])
-        parts, at, sizes = [], 0, np.diff(offsets)
+            return flat, at
+        whole = np.unique(np.searchsorted(groups, np.flatnonzero(open_chunks), side="right") - 1)
+        extra, extra_at = self._split([data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in whole])
+        parts, begin, sizes = [], 0, np.diff(at)
         for k, i in enumerate(whole):
-            parts += [flat[at : offsets[i]], extra[extra_at[k] : extra_at[k + 1]]]
-            at = offsets[i + 1]
+            parts += [flat[begin : at[i]], extra[extra_at[k] : extra_at[k + 1]]]
+            begin = at[i + 1]
             sizes[i] = extra_at[k + 1] - extra_at[k]
-        parts.append(flat[at:])
-        out = np.zeros(len(texts) + 1, dtype=np.int64)
+        parts.append(flat[begin:])
+        out = np.zeros(len(sizes) + 1, dtype=np.int64)
         np.cumsum(sizes, out=out[1:])
         return np.concatenate(parts), out
 
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_bytes`` for a list of texts."""
+        return self.encode_bytes(*wordhash.text_bytes(pa.array(texts, pa.string())))
+
+    def encode_column(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each block of a text column (nulls are empty): its first row, flat ids and text offsets."""
+        for first, data, offsets in wordhash.byte_blocks(column):
+            yield first, *self.encode_bytes(data, offsets)
+
 
 def _open_ended(chunk: str) -> bool:
-    """Whether a chunk may share a white-space run with its neighbour (``\0`` marks a text's first chunk)."""
-    if chunk == "\0":
-        return False
-    body = chunk[1:] if chunk[:1] == "\0" else chunk
-    return not body or body[0].isspace() or body[-1].isspace() or "\0" in body
+    """Whether a chunk may share a white-space run with its neighbour."""
+    body = chunk[1:] if chunk[0] in " \n" else chunk
+    return not body or body[0].isspace() or body[-1].isspace()
 
 
 def _room(a: np.ndarray, used: int, more: int) -> np.ndarray:
     if used + more <= len(a):
         return a
-    grown = np.zeros(max(2 * len(a), used + more), dtype=a.dtype)
+    grown = np.zeros((max(2 * len(a), used + more), *a.shape[1:]), dtype=a.dtype)
     grown[:used] = a[:used]
     return grown
 
@@ -346,6 +430,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self.texts.encode(texts)
 
+    def encode_column(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        return self.texts.encode_column(column)
+
 
 def _with_special(keys: list, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     parts, sizes, j = [], [], 0
@@ -367,18 +454,3 @@ def worker_encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
-
-
-def text_groups(column: pa.Array, size: int = wordhash.BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """Texts of a column in groups of about ``size`` characters, with the first row of each."""
-    group: list[str] = []
-    first = held = 0
-    for i, t in enumerate(column.to_pylist()):
-        t = t or ""
-        group.append(t)
-        held += len(t)
-        if held >= size:
-            yield first, group
-            group, first, held = [], i + 1, 0
-    if group:
-        yield first, group

@@ -23,10 +23,9 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.worker_encoder(tokenizer_path)
         for b in batches:
-            for first, texts in bpe.text_groups(b.column("text")):
-                flat, at = encoder.encode(texts)
+            for first, flat, at in encoder.encode_column(b.column("text")):
                 yield pa.RecordBatch.from_arrays([
-                    b.column("doc_id").cast(pa.int64()).slice(first, len(texts)),
+                    b.column("doc_id").cast(pa.int64()).slice(first, len(at) - 1),
                     pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.astype(np.int32)))],
                     names=["doc_id", "ids"])
 
@@ -63,12 +62,11 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.worker_encoder(tokenizer_path)
         for b in batches:
-            for first, texts in bpe.text_groups(b.column("text")):
-                flat, at = encoder.encode(texts)
+            for first, flat, at in encoder.encode_column(b.column("text")):
                 raw, ends = encoder.vocabulary.decode_bytes(flat, at)
                 ids = flat.astype("<u4")
                 yield pa.RecordBatch.from_arrays([
-                    b.column("doc_id").cast(pa.int64()).slice(first, len(texts)),
+                    b.column("doc_id").cast(pa.int64()).slice(first, len(at) - 1),
                     pa.array(np.diff(at)),
                     pa.array([hashlib.sha256(ids[a:e]).hexdigest() for a, e in zip(at[:-1], at[1:])]),
                     pa.array([hashlib.sha256(_as_text(raw[a:e])).hexdigest() for a, e in zip(ends[:-1], ends[1:])])],

@@ -108,16 +108,16 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total = _library_encoder(tokenizer_path), np.zeros(1, dtype=np.int64)
         for b in batches:
-            for first, texts in bpe.text_groups(b.column("text")):
-                flat, at = encoder.encode(texts)
+            for first, flat, at in encoder.encode_column(b.column("text")):
+                n = len(at) - 1
                 counts = np.bincount(flat, minlength=max(end_id + 1, len(total)))
-                counts[end_id] += len(texts)
+                counts[end_id] += n
                 counts[: len(total)] += total
                 total, flat = counts, flat.astype(kind)
                 yield pa.RecordBatch.from_arrays([
-                    b.column("doc_id").cast(pa.int64()).slice(first, len(texts)),
+                    b.column("doc_id").cast(pa.int64()).slice(first, n),
                     pa.array([np.concatenate([flat[a:e], end]).tobytes() for a, e in zip(at[:-1], at[1:])], pa.binary()),
-                    pa.nulls(len(texts), pa.binary())], names=["doc_id", "ids", "counts"])
+                    pa.nulls(n, pa.binary())], names=["doc_id", "ids", "counts"])
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()])],
             names=["doc_id", "ids", "counts"])

@@ -89,17 +89,23 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def blocks(column: pa.Array, block_bytes: int | None = None) -> Iterator[Block]:
-    """Split a text column into blocks of whole documents."""
+def byte_blocks(column: pa.Array, block_bytes: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, bytes and offsets of blocks of whole documents."""
     data, offsets = text_bytes(column)
     n, i, size = len(offsets) - 1, 0, block_bytes or BLOCK_BYTES
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1
         j = min(max(j, i + 1), n)
-        yield _block(i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        yield i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
 
 
+def blocks(column: pa.Array, block_bytes: int | None = None) -> Iterator[Block]:
+    """Split a text column into blocks of whole documents."""
+    for first, data, offsets in byte_blocks(column, block_bytes):
+        yield _block(first, data, offsets)
+
+
 def _block(first: int, data: np.ndarray, offsets: np.ndarray) -> Block:
     inside = ~_SPACE[data]
     full = np.flatnonzero(offsets[1:] > offsets[:-1])
