@@ -23,7 +23,7 @@ from cairn.llm import runtime, wordhash
 BUCKETS = 1 << 18
 #: Bound of the training sample: labelled documents, and words of them.
 TRAIN_DOCUMENTS = 8_000
-TRAIN_WORDS = 4_000_000
+TRAIN_WORDS = 3_500_000
 #: Letters (bytes) of a word's prefix that make a second and a third feature.
 PREFIXES = (4, 5)
 SENTENCE_ENDS = b".!?\n"
@@ -128,7 +128,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """At most ``max_documents`` labelled texts that are not held out, in order of an id hash."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("label"))
-    known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
+    known = known.where(~held_out(F.col("doc_id")))
+    # a threshold first, so that no more than about the sample itself is gathered to find its end
+    share = min(1.0, (1.2 * max_documents + 100) / max(1, known.count()))
+    near = known.where(F.xxhash64("doc_id") <= int(min(2**63 - 1, -(2**63) + share * 2**64)))
+    known = near.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return texts.join(F.broadcast(known), "doc_id").where(F.col("text").isNotNull())
 
@@ -179,6 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     none = np.zeros(0, dtype=np.int64)
     s = Sentences(np.concatenate(features, axis=1), np.concatenate(firsts),
                   np.concatenate(documents), none, none)
+    del features, firsts, documents
     return _fit(s, np.array(label, dtype=float), epochs)
 
 
@@ -193,11 +198,7 @@ def _fit(s: Sentences, y: np.ndarray, epochs: int = EPOCHS) -> Model:
     """
     n_words = s.features.shape[1]
     sentence_of = np.repeat(np.arange(len(s.first_word), dtype=np.int32), np.diff(np.append(s.first_word, n_words)))
-    documents = np.zeros(BUCKETS, dtype=np.int64)
-    for row in s.features:
-        pairs = np.unique(row.astype(np.int64) * len(y) + s.document[sentence_of])
-        documents += np.bincount(pairs // len(y), minlength=BUCKETS)
-    known = np.flatnonzero(documents >= LEAST_DOCUMENTS)
+    known = np.flatnonzero(_document_counts(s, sentence_of, len(y)) >= LEAST_DOCUMENTS)
     bias = _base_bias(s, y)
     w, bias = _descend(s, y, known, sentence_of, bias, epochs, SPARSITY)
     chosen = np.abs(w) > LEAST_WEIGHT
@@ -208,6 +209,17 @@ def _fit(s: Sentences, y: np.ndarray, epochs: int = EPOCHS) -> Model:
     return Model(weights, float(bias))
 
 
+def _document_counts(s: Sentences, sentence_of: np.ndarray, n: int) -> np.ndarray:
+    """In how many documents each feature occurs, by groups of whole documents."""
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    at = np.searchsorted(s.document[sentence_of], np.arange(0, n + 500, 500))
+    for lo, hi in zip(at[:-1], at[1:]):
+        document = s.document[sentence_of[lo:hi]].astype(np.int64)
+        for row in s.features:
+            counts += np.bincount(np.unique(row[lo:hi] * np.int64(n) + document) // n, minlength=BUCKETS)
+    return counts
+
+
 def _base_bias(s: Sentences, y: np.ndarray) -> float:
     """The bias at which the mean document score is the mean label, without any feature."""
     bias = -6.0
