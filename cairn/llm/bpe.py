@@ -21,8 +21,10 @@ from cairn.llm import wordhash
 #: The pre-tokenizer of byte-level BPE (a fixed value of the public vocabulary's format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens remembered by one worker before it starts anew, and chunks as a multiple of them (they take far fewer bytes).
-MEMO_CHUNKS = 500_000
-MEMO_BYTES_FACTOR = 5
+MEMO_CHUNKS = 200_000
+MEMO_BYTES_FACTOR = 4
+#: Bytes of text handled at once.
+BLOCK_BYTES = 1 << 19
 _NO_PAIR = np.iinfo(np.int64).max
 
 
@@ -399,7 +401,7 @@ class TextEncoder:
 
     def encode_column(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each block of a text column (nulls are empty): its first row, flat ids and text offsets."""
-        for first, data, offsets in wordhash.byte_blocks(column):
+        for first, data, offsets in wordhash.byte_blocks(column, BLOCK_BYTES):
             yield first, *self.encode_bytes(data, offsets)
 
 

@@ -112,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_ngram_jaccard_join": sql.NGRAM_JOIN,
         "op3_warc": sql.WARC,
         "op4_url_filters": sql.URL_FILTERS,
         "op8_quality_rules": sql.QUALITY,

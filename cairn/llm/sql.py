@@ -59,3 +59,22 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
   CASE WHEN n >= 1000 AND page_id <> kept THEN kept END AS refers_to
 FROM p LEFT JOIN first ON first.digest = p.digest
 """
+
+NGRAM_JOIN = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+shingled AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingled a JOIN shingled b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(min(b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reached r ON r.a = d.doc_id GROUP BY d.doc_id
+"""

@@ -12,6 +12,7 @@ header, the document ids, their token counts, control bytes and data bytes.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -132,6 +133,7 @@ _library_encoders: dict[str, bpe.TextEncoder] = {}
 def _library_encoder(path: str) -> bpe.TextEncoder:
     """The library behind a memory of chunks and pre-tokens, kept in the Python worker from task to task."""
     if path not in _library_encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads; more would each hold memory
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
