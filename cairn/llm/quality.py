@@ -106,7 +106,7 @@ def production_rules() -> list[Rule]:
         Rule("few_words", lambda t: count_words(t) < MIN_WORDS, base=True),
         Rule("repeated_words", lambda t: 100 * count_repeat_words(t) > 50 * count_words(t), base=True),
         Rule("symbols", lambda t: 10 * count_symbols(t) > count_words(t)),
-        Rule("repeated_lines", lambda t: 10 * count_dup_lines(t) > 3 * count_lines(t)),
+        Rule("repeated_lines", lambda t: 2 * count_dup_lines(t) > count_lines(t)),
         Rule("word_length", lambda t: (count_word_chars(t) < 2 * count_words(t))
              | (count_word_chars(t) > 15 * count_words(t))),
     ]

@@ -25,7 +25,7 @@ base AS (
 judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (10 * n_symbols > n_words) AND NOT (10 * n_dup_lines > 3 * n_lines)
+  NOT base_failed AND NOT (10 * n_symbols > n_words) AND NOT (2 * n_dup_lines > n_lines)
     AND NOT (word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
 FROM judged
 """
