@@ -21,8 +21,8 @@ from cairn.llm import wordhash
 #: The pre-tokenizer of byte-level BPE (a fixed value of the public vocabulary's format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens remembered by one worker before it starts anew, and chunks as a multiple of them (they take far fewer bytes).
-MEMO_CHUNKS = 200_000
-MEMO_BYTES_FACTOR = 4
+MEMO_CHUNKS = 300_000
+MEMO_BYTES_FACTOR = 5
 #: Bytes of text handled at once.
 BLOCK_BYTES = 1 << 19
 _NO_PAIR = np.iinfo(np.int64).max
@@ -273,6 +273,8 @@ class _Table:
 
 _STARTS = np.zeros(256, dtype=bool)
 _STARTS[[0x20, 0x0A]] = True
+_VISIBLE = np.zeros(256, dtype=bool)
+_VISIBLE[0x21:0x7F] = True
 _HEADS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
 
 
@@ -349,8 +351,10 @@ class TextEncoder:
             self.words.new.clear()
         return self.word_ids.join(code, groups)
 
-    def _learn(self, chunks: list[str], keys: np.ndarray) -> None:
-        odd = np.array([_open_ended(c) for c in chunks], dtype=bool)
+    def _learn(self, chunks: list[str], keys: np.ndarray, plain: np.ndarray) -> None:
+        odd = np.zeros(len(chunks), dtype=bool)
+        for i in np.flatnonzero(~plain).tolist():
+            odd[i] = _open_ended(chunks[i])
         good = np.flatnonzero(~odd)
         sizes = np.zeros(len(chunks), dtype=np.int64)
         flat = np.zeros(0, dtype=np.int32)
@@ -374,8 +378,11 @@ class TextEncoder:
         if len(unknown):
             _, first = np.unique(keys[unknown, 0], return_index=True)
             chosen = unknown[np.sort(first)]
-            raw = data.tobytes()
-            self._learn([raw[a:e].decode() for a, e in zip(starts[chosen].tolist(), ends[chosen].tolist())], keys[chosen])
+            raw, a, e = data.tobytes(), starts[chosen], ends[chosen]
+            # chunks whose first and last characters are visible ASCII need no closer look
+            first = a + (_STARTS[data[a]] & (e - a > 1))
+            plain = _VISIBLE[data[first]] & _VISIBLE[data[e - 1]]
+            self._learn([raw[x:y].decode() for x, y in zip(a.tolist(), e.tolist())], keys[chosen], plain)
             code[unknown] = self.table.find(keys[unknown])
             if (code < 0).any():  # equal first keys of different chunks
                 return self._split([data[a:e].tobytes().decode() for a, e in zip(offsets[:-1], offsets[1:])])
