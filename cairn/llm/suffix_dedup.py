@@ -4,9 +4,12 @@ Of all suffixes (at word positions) only those at content-selected positions
 are retained: the smallest ``GRAM``-word hash of every ``WINDOW`` successive
 ones.  A passage that repeats selects the same positions wherever it stands, so
 a repeat of ``MIN_WORDS`` words holds a retained suffix within its first
-``WINDOW`` words, with ``HEAD_WORDS`` more words of the passage to come.  Sorted
-by these head words, repeats are neighbours.  Matches in line are joined and
-extended left and right, word by word, as far as both texts agree.
+``WINDOW`` words, with ``HEAD_WORDS`` more words of the passage to come.  A
+suffix's context is all words that passages of ``MIN_WORDS`` words around its
+head can hold.  Sorted by head and context, repeats are neighbours: a suffix
+whose context occurred before repeats as a whole; where a head has several
+contexts, the first suffix of each is looked up by every ``MIN_WORDS``-word
+window of its context.  Matches in line are joined.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm import runtime, wordhash
@@ -27,10 +30,13 @@ GRAM = 8
 WINDOW = 12
 HEAD_WORDS = MIN_WORDS - WINDOW + 1
 
-_SUFFIX = pa.schema([("head", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
-_MATCH = "head long, doc_id long, pos int, ref_doc long, ref_pos int, edge int"
-_MATCH_ARROW = pa.schema([("head", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()),
+_SUFFIX = pa.schema([("head", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("size", pa.int32())])
+_SUFFIX_DDL = "head long, key long, doc_id long, pos int, size int"
+_MATCH = "key long, doc_id long, pos int, size int, ref_doc long, ref_pos int, edge int"
+_MATCH_ARROW = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("size", pa.int32()),
                           ("ref_doc", pa.int64()), ("ref_pos", pa.int32()), ("edge", pa.int32())])
+_PASSAGE = "doc_id long, start int, end int, ref_doc long, ref_start int"
+_PASSAGE_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())])
 
 
 def retained_positions(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -48,125 +54,171 @@ def retained_positions(words: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def sparse_suffixes(docs: DataFrame) -> DataFrame:
-    """``head, doc_id, pos`` of the retained suffixes of all texts (columns doc_id, text)."""
+    """``head, key, doc_id, pos, size`` of the retained suffixes of all texts (columns doc_id, text).
+
+    ``pos`` and ``size`` are the place and the words of the suffix's context and
+    ``key`` its hash; texts of fewer than ``MIN_WORDS`` words have none.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             for block in wordhash.blocks(b.column("text")):
                 words = block.hashes()
                 at = retained_positions(words, block.words)
+                doc = np.searchsorted(block.words, at, side="right") - 1
+                long = block.words[doc + 1] - block.words[doc] >= MIN_WORDS
+                at, doc = at[long], doc[long]
                 if not len(at):
                     continue
-                heads = wordhash.ngram_hashes(words, HEAD_WORDS)[at]
-                doc = np.searchsorted(block.words, at, side="right") - 1
-                yield runtime.batch(_SUFFIX, head=wordhash.as_long(heads), doc_id=ids[block.first + doc],
-                                    pos=(at - block.words[doc]).astype(np.int32))
+                start = np.maximum(at - (WINDOW - 1), block.words[doc])
+                end = np.minimum(at + MIN_WORDS, block.words[doc + 1])
+                # two windows that cover the context, and where the head stands in it
+                key = wordhash.mix(wordhash.ngram_hashes_at(words, start, MIN_WORDS) + np.uint64(3) * wordhash.ngram_hashes_at(
+                    words, end - MIN_WORDS, MIN_WORDS) + (64 * (end - start) + at - start).astype(np.uint64))
+                yield runtime.batch(_SUFFIX, head=wordhash.as_long(wordhash.ngram_hashes_at(words, at, HEAD_WORDS)),
+                                    key=wordhash.as_long(key), doc_id=ids[block.first + doc],
+                                    pos=(start - block.words[doc]).astype(np.int32), size=(end - start).astype(np.int32))
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "head long, doc_id long, pos int")
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, _SUFFIX_DDL)
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All ``MIN_WORDS``-word windows of the asked contexts of each text, each once; their head is their key."""
+    for b in batches:
+        ids, asked = b.column("doc_id").to_pylist(), b.column("asked").to_pylist()
+        for block in wordhash.blocks(b.column("text")):
+            words = block.hashes()
+            starts, docs = [], []
+            for d in range(block.n_docs):
+                own = [np.arange(r["pos"], r["pos"] + r["size"] - MIN_WORDS + 1) for r in asked[block.first + d]]
+                own = np.unique(np.concatenate(own)) + block.words[d]
+                starts.append(own[own + MIN_WORDS <= block.words[d + 1]])
+                docs.append(np.full(len(starts[-1]), d))
+            at, doc = np.concatenate(starts), np.concatenate(docs)
+            key = wordhash.as_long(wordhash.ngram_hashes_at(words, at, MIN_WORDS))
+            yield runtime.batch(_SUFFIX, head=key, key=key, doc_id=np.array(ids, dtype=np.int64)[block.first + doc],
+                                pos=(at - block.words[doc]).astype(np.int32), size=np.full(len(at), MIN_WORDS, dtype=np.int32))
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes whose predecessor in sorted order has the same head, with the first of their run.
+    """Suffixes whose predecessor in sorted order has the same key, with the first of their run.
 
     The run at which a partition begins may have begun earlier: its rows (edge
     1) are settled once the first suffix of each last run (edge 2) is known.
+    The first suffix of each key is given as well (edge 3) where its head has
+    other keys, or may have them in another partition.
     """
-    opening, head, doc, pos = None, None, 0, 0  # the first run's head; the current run's head and first suffix
+    opening, key, doc, pos = None, None, 0, 0  # the first run's key; the current run's key and first suffix
     first_run = True
+    first_head, held = None, None  # the first run's head; the latest run's first row, and if its head had a key before
     for b in batches:
         if not b.num_rows:
             continue
-        h, d, p = (b.column(c).to_numpy() for c in ("head", "doc_id", "pos"))
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = h[1:] != h[:-1]
-        new[0] = head is None or h[0] != head
-        start = np.maximum.accumulate(np.where(new, np.arange(len(h)), -1))
+        h, x, d, p, size = (b.column(c).to_numpy() for c in ("head", "key", "doc_id", "pos", "size"))
+        new = np.ones(len(x), dtype=bool)
+        new[1:] = x[1:] != x[:-1]
+        new[0] = key is None or x[0] != key
+        start = np.maximum.accumulate(np.where(new, np.arange(len(x)), -1))
         first_d, first_p = np.where(start >= 0, d[start], doc), np.where(start >= 0, p[start], pos)
-        edge = np.zeros(len(h), dtype=np.int32)
+        edge = np.zeros(len(x), dtype=np.int32)
         if first_run:
-            opening = h[0] if opening is None else opening
-            other = np.flatnonzero(h != opening)
-            edge[: other[0] if len(other) else len(h)] = 1
+            opening = x[0] if opening is None else opening
+            other = np.flatnonzero(x != opening)
+            edge[: other[0] if len(other) else len(x)] = 1
             first_run = not len(other)
         k = np.flatnonzero(~new | (edge > 0))
-        yield runtime.batch(_MATCH_ARROW, head=h[k], doc_id=d[k], pos=p[k], ref_doc=first_d[k],
+        yield runtime.batch(_MATCH_ARROW, key=x[k], doc_id=d[k], pos=p[k], size=size[k], ref_doc=first_d[k],
                             ref_pos=first_p[k].astype(np.int32), edge=edge[k])
-        head, doc, pos = h[-1], first_d[-1], first_p[-1]
-    if not first_run:
-        yield runtime.batch(_MATCH_ARROW, head=[head], doc_id=[doc], pos=[pos], ref_doc=[doc], ref_pos=[pos], edge=[2])
+        first_head = h[0] if first_head is None else first_head
+        r = np.flatnonzero(new)
+        if len(r):
+            rows = np.stack([c[r].astype(np.int64) for c in (h, x, d, p, size)])
+            later = False
+            if held is not None:
+                rows, later = np.concatenate([held[0][:, None], rows], axis=1), held[1]
+            same = rows[0, 1:] == rows[0, :-1]
+            before = np.append(later, same)
+            yield _firsts(rows[:, :-1][:, same | before[:-1] | (rows[0, :-1] == first_head)])
+            held = rows[:, -1], before[-1]
+        key, doc, pos = x[-1], first_d[-1], first_p[-1]
+    if held is not None:
+        yield _firsts(held[0][:, None])
+    if key is not None and not first_run:
+        yield runtime.batch(_MATCH_ARROW, key=[key], doc_id=[doc], pos=[pos], size=[0], ref_doc=[doc], ref_pos=[pos], edge=[2])
+
+
+def _firsts(rows: np.ndarray) -> pa.RecordBatch:
+    _, x, d, p, size = rows
+    p = p.astype(np.int32)
+    return runtime.batch(_MATCH_ARROW, key=x, doc_id=d, pos=p, size=size.astype(np.int32), ref_doc=d, ref_pos=p,
+                         edge=np.full(len(x), 3, dtype=np.int32))
 
 
 def neighbours(suffixes: DataFrame, scratch: Scratch, partitions: int) -> tuple[DataFrame, Runs]:
-    """Suffixes with an equal head before them in sorted order, and the first suffixes of runs that cross partitions."""
-    ordered = suffixes.repartitionByRange(partitions, "head", "doc_id", "pos").sortWithinPartitions("head", "doc_id", "pos")
+    """Suffixes with an equal key before them in sorted order (edge 0 and 1), first suffixes of keys whose head
+    has others (edge 3), and the first suffixes of runs that cross partitions."""
+    order = ["head", "key", "doc_id", "pos"]
+    ordered = suffixes.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     found = scratch.cut(ordered.mapInArrow(_neighbours, _MATCH), "neighbours")
     # runs that touch a partition's end: two rows for each partition at most
-    ends = found.where("edge > 0").groupBy("head").agg(F.min(F.struct("doc_id", "pos")).alias("first")).collect()
-    ends.sort(key=lambda r: r.head)
-    return found.where("edge < 2"), Runs(*(np.array(c, dtype=np.int64) for c in (
-        [r.head for r in ends], [r.first.doc_id for r in ends], [r.first.pos for r in ends])))
+    ends = found.where("edge IN (1, 2)").groupBy("key").agg(F.min(F.struct("doc_id", "pos")).alias("first")).collect()
+    ends.sort(key=lambda r: r.key)
+    return found.where("edge <> 2"), Runs(*(np.array(c, dtype=np.int64) for c in (
+        [r.key for r in ends], [r.first.doc_id for r in ends], [r.first.pos for r in ends])))
 
 
 @dataclass
 class Runs:
-    """First suffixes (document and place) of runs, by sorted head."""
+    """First suffixes (document and place) of runs, by sorted key."""
 
-    head: np.ndarray
+    key: np.ndarray
     doc: np.ndarray
     pos: np.ndarray
 
+    def __add__(self, other: Runs) -> Runs:
+        key, doc, pos = (np.concatenate(c) for c in ((self.key, other.key), (self.doc, other.doc), (self.pos, other.pos)))
+        order = np.argsort(key, kind="stable")
+        return Runs(key[order], doc[order], pos[order])
 
-def _spans(runs: Runs):
-    """Joins matches of one alignment that overlap or touch; rows sorted by document and place."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())])
 
+def _passages(runs: Runs):
+    """Joins matches that overlap or touch: those of one alignment first, then all of a document; rows sorted by document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, _ in runtime.sorted_runs(batches, ["doc_id"]):
-            h, d, p, rd, rp, edge = (t.column(c).to_numpy().astype(np.int64) for c in ("head", "doc_id", "pos", "ref_doc", "ref_pos", "edge"))
+            x, d, p, size, rd, rp, edge = (
+                t.column(c).to_numpy().astype(np.int64) for c in ("key", "doc_id", "pos", "size", "ref_doc", "ref_pos", "edge"))
             crossing = np.flatnonzero(edge)
             if len(crossing):
-                at = np.searchsorted(runs.head, h[crossing])
+                at = np.searchsorted(runs.key, x[crossing])
                 rd[crossing], rp[crossing] = runs.doc[at], runs.pos[at]
             other = np.flatnonzero((d != rd) | (p != rp))
             if not len(other):
                 continue
-            d, p, rd, rp = d[other], p[other], rd[other], rp[other]
-            new = np.ones(len(d), dtype=bool)
-            new[1:] = (d[1:] != d[:-1]) | (rd[1:] != rd[:-1]) | (p[1:] - rp[1:] != p[:-1] - rp[:-1]) | (
-                p[1:] > p[:-1] + HEAD_WORDS)
-            a = np.flatnonzero(new)
-            z = np.append(a[1:], len(d)) - 1
-            yield runtime.batch(schema, doc_id=d[a], start=p[a].astype(np.int32), end=(p[z] + HEAD_WORDS).astype(np.int32),
-                                ref_doc=rd[a], ref_start=rp[a].astype(np.int32))
+            order = other[np.lexsort((p[other], (p - rp)[other], rd[other], d[other]))]
+            d, p, e, rd, rp = d[order], p[order], (p + size)[order], rd[order], rp[order]
+            a, e = _joined(p, e, (d, rd, p - rp))
+            d, p, rd, rp = d[a], p[a], rd[a], rp[a]
+            order = np.lexsort((rp, rd, e, p, d))
+            d, p, e, rd, rp = d[order], p[order], e[order], rd[order], rp[order]
+            a, end = _joined(p, e, (d,))
+            island = np.repeat(np.arange(len(a)), np.diff(np.append(a, len(d))))
+            # the longest match of each, of equal ones the earliest
+            best = np.lexsort((-rp, -rd, e - p, island))[np.append(a[1:], len(d)) - 1]
+            yield runtime.batch(_PASSAGE_ARROW, doc_id=d[a], start=p[a].astype(np.int32), end=end.astype(np.int32),
+                                ref_doc=rd[best], ref_start=rp[best].astype(np.int32))
 
     return run
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes left (nearest first) and right of the asked ranges of each text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
-                        ("before", pa.list_(pa.int64())), ("after", pa.list_(pa.int64()))])
-    for b in batches:
-        ids, asked = b.column("doc_id").to_pylist(), b.column("asked").to_pylist()
-        rows: dict[str, list] = {n: [] for n in schema.names}
-        for block in wordhash.blocks(b.column("text")):
-            words = wordhash.as_long(block.hashes())
-            for d in range(block.n_docs):
-                own = words[block.words[d] : block.words[d + 1]]
-                for r in asked[block.first + d]:
-                    s, e = r["start"], r["end"]
-                    for name, value in zip(rows, (ids[block.first + d], s, e, own[max(0, s - WINDOW) : s][::-1],
-                                                  own[e : e + WINDOW])):
-                        rows[name].append(value)
-        if rows["doc_id"]:
-            yield runtime.batch(schema, **rows)
-
-
-def _agreement(a: str, b: str):
-    """Length of the common beginning of two arrays."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    at = F.array_position(same, False)
-    return F.when(at > 0, at - 1).otherwise(F.size(same)).cast("int")
+def _joined(start: np.ndarray, end: np.ndarray, group: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows at which ranges that neither overlap nor touch an earlier one begin, and their ends; rows sorted by group and start."""
+    fresh = np.ones(len(start), dtype=bool)
+    fresh[1:] = np.any([c[1:] != c[:-1] for c in group], axis=0)
+    base = np.cumsum(fresh) << 32
+    reach = np.maximum.accumulate(base + end) - base
+    fresh[1:] |= start[1:] > reach[:-1]
+    a = np.flatnonzero(fresh)
+    return a, reach[np.append(a[1:], len(start)) - 1]
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,10 +227,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Earlier is a smaller (doc_id, place); the first occurrence is not reported.
     Words are compared with A-Z lower-cased.  Every word of every passage of
     ``MIN_WORDS`` or more that repeats is in a reported range; ranges that
-    overlap or touch are joined and shorter ones left out, and ``ref_doc`` and
-    ``ref_start`` tell where the range's longest match stands.  Null, empty and
-    short texts and rows without id have none; repeated rows of one id count as
-    one document; an empty table gives none; other columns are not read.
+    overlap or touch are joined, and ``ref_doc`` and ``ref_start`` tell where
+    the range's longest match stands (of matches with first occurrences).  Null,
+    empty and short texts and rows without id have none; repeated rows of one
+    id count as one document; an empty table gives none; other columns are not
+    read.
     """
     spark = docs.sparkSession
     runtime.prepare(spark)
@@ -187,45 +240,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     suffixes = scratch.cut(sparse_suffixes(texts), "suffixes")
     found, runs = neighbours(suffixes, scratch, n)
-    spans = scratch.cut(
-        found.repartition(n, "doc_id").sortWithinPartitions("doc_id", "pos")
-        .mapInArrow(_spans(runs), "doc_id long, start int, end int, ref_doc long, ref_start int").distinct(), "spans")
     scratch.drop(suffixes)
-    ref_end = (F.col("ref_start") + F.col("end") - F.col("start")).alias("ref_end")
-    asked = spans.select("doc_id", "start", "end").unionByName(
-        spans.select(F.col("ref_doc").alias("doc_id"), F.col("ref_start").alias("start"), ref_end.alias("end"))
-    ).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("asked"))
-    contexts = scratch.cut(
-        texts.join(asked, "doc_id").mapInArrow(
-            _contexts, "doc_id long, start int, end int, before array<long>, after array<long>"
-        ).dropDuplicates(["doc_id", "start", "end"]), "contexts")
-    own = contexts.withColumnsRenamed({"before": "own_before", "after": "own_after"})
-    ref = contexts.select(F.col("doc_id").alias("ref_doc"), F.col("start").alias("ref_start"), F.col("end").alias("ref_end"),
-                          F.col("before").alias("ref_before"), F.col("after").alias("ref_after"))
-    extended = (
-        spans.withColumn("ref_end", ref_end).join(own, ["doc_id", "start", "end"])
-        .join(ref, ["ref_doc", "ref_start", "ref_end"])
-        .withColumn("left", _agreement("own_before", "ref_before"))
-        .withColumn("right", _agreement("own_after", "ref_after"))
-        .select("doc_id", (F.col("start") - F.col("left")).alias("start"), (F.col("end") + F.col("right")).alias("end"),
-                "ref_doc", (F.col("ref_start") - F.col("left")).alias("ref_start"))
-    )
-    return _islands(extended)
-
-
-def _islands(spans: DataFrame) -> DataFrame:
-    """Ranges that overlap or touch, joined by document; those of ``MIN_WORDS`` or more."""
-    in_order = Window.partitionBy("doc_id").orderBy("start", "end", "ref_doc", "ref_start")
-    before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.coalesce((F.col("start") > before).cast("int"), F.lit(1))
-    marked = spans.withColumn("fresh", fresh).withColumn(
-        "island", F.sum("fresh").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-    longest = F.struct((F.col("end") - F.col("start")).alias("n"), -F.col("ref_doc"), -F.col("ref_start"))
-    return marked.groupBy("doc_id", "island").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"),
-        F.max_by(F.struct("ref_doc", "ref_start"), longest).alias("ref"),
-    ).where(F.col("end") - F.col("start") >= MIN_WORDS).select(
-        "doc_id", "start", "end", F.col("ref.ref_doc").alias("ref_doc"), F.col("ref.ref_start").alias("ref_start"))
+    asked = found.where("edge = 3").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "size")).alias("asked"))
+    windows = scratch.cut(texts.join(asked, "doc_id").mapInArrow(_windows, _SUFFIX_DDL), "windows")
+    more, more_runs = neighbours(windows, scratch, n)
+    scratch.drop(windows)
+    matches = found.where("edge < 2").unionByName(more.where("edge < 2"))
+    return matches.repartition(n, "doc_id").sortWithinPartitions("doc_id").mapInArrow(_passages(runs + more_runs), _PASSAGE)
 
 
 def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

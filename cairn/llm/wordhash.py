@@ -129,6 +129,14 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+def ngram_hashes_at(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """``ngram_hashes(words, n)[at]`` without the other windows."""
+    total = words[at] * _ODD[0]
+    for j in range(1, n):
+        total = total + words[at + j] * _ODD[j]
+    return mix(total)
+
+
 def whole_hash(words: np.ndarray) -> np.ndarray:
     """Hash of one sequence shorter than a window, as an array of one value."""
     total = np.uint64(len(words))

@@ -207,6 +207,34 @@ def test_passages_odd_rows(odd_docs, no_docs):
     assert suffix_dedup.repeated_passages(no_docs).count() == 0
 
 
+def test_passages_behind_truncated_occurrences(spark, words):
+    rows, rng = [], np.random.default_rng(5)
+    for k in range(120):  # an earlier document has 39 to 49 words of a passage that two later ones share
+        at, size = 20 * k, 50 + k % 12
+        passage = words[at : at + size]
+        cut, from_left = int(rng.integers(39, 50)), k % 2
+        part = passage[:cut] if from_left else passage[-cut:]
+        rows += [(j * 1000 + k, " ".join([f"a{j}x{k}"] * 3 + p + [f"z{j}x{k}"] * 30)) for j, p in enumerate((part, passage, passage))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.defaultdict(set)
+    for r in suffix_dedup.repeated_passages(docs).collect():
+        got[r.doc_id] |= set(range(r.start, r.end))
+        assert (r.ref_doc, r.ref_start) < (r.doc_id, r.start)
+    want = repeated_windows(sequences(docs))
+    assert len(want) == 120 and got == want
+
+
+def test_passages_of_random_overlaps(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(str(w) for _ in range(6) for a in [rng.integers(0, 300)] for w in range(a, a + rng.integers(20, 75)))) for i in range(250)]
+    rows += [(500 + i, "p q r " * (10 + i)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.defaultdict(set)
+    for r in suffix_dedup.repeated_passages(docs).collect():
+        got[r.doc_id] |= set(range(r.start, r.end))
+    assert got == repeated_windows(sequences(docs))
+
+
 def test_runs_across_partitions(spark, words, tmp_path):
     text = " ".join(words[:80])
     docs = spark.createDataFrame([(i, f"w{i} {text}") for i in range(60)], "doc_id long, text string")
