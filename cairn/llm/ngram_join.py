@@ -274,18 +274,23 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """All members, or pairs of blocks of them whose sizes can match."""
+    """All members, or pairs of blocks of them whose sizes can match; a block that matches no other comes alone."""
     n = len(sizes)
     if n <= LIST_BLOCK:
         yield np.arange(n)
         return
     half = LIST_BLOCK // 2
     cuts = [(a, min(n, a + half)) for a in range(0, n, half)]
+    paired = -1  # the last block that an earlier one came with
     for i, (a, b) in enumerate(cuts):
-        for c, d in cuts[i + 1 :]:
+        alone = i > paired
+        for j, (c, d) in enumerate(cuts[i + 1 :], i + 1):
             if SIMILAR[1] * sizes[b - 1] < SIMILAR[0] * sizes[c]:
                 break
+            paired, alone = max(paired, j), False
             yield np.concatenate([np.arange(a, b), np.arange(c, d)])
+        if alone and b - a > 1:
+            yield np.arange(a, b)
 
 
 def _hub_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

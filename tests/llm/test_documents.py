@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from cairn.llm import bpe_documents, components, ngram_join, packing, quality, suffix_dedup, token_files, toxicity
 from cairn.llm.queries import tokenizer_path
@@ -156,6 +157,32 @@ def test_ngram_boundary_both_sides(spark, words, monkeypatch):
         assert {i: v[0] for i, v in got.items()} == want
 
 
+@pytest.mark.parametrize("block", [2, 4, 6, 10])
+def test_ngram_blocks_bring_all_pairs_together(monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "LIST_BLOCK", block)
+    rng = np.random.default_rng(block)
+    cases = [[100] * (2 * block) + [200] * (block // 2 + 1), [10] * block + [100] * block + [1000] * 3]
+    cases += [np.sort(rng.choice([10, 12, 20, 21, 40, 90, 100], rng.integers(2, 40))) for _ in range(200)]
+    for sizes in map(np.array, cases):
+        together = {(x, y) for part in ngram_join._blocks(sizes) for x in part.tolist() for y in part.tolist() if x < y}
+        assert together >= {(x, y) for y in range(len(sizes)) for x in range(y) if 100 * sizes[x] >= 80 * sizes[y]}
+
+
+def test_ngram_small_blocks_and_chunks(spark, words, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIST_BLOCK", 6)
+    monkeypatch.setattr(ngram_join, "HUB_CHUNK", 2)
+    rows = [(i, " ".join([*words[:i], f"new{i}", *words[i + 1 : 60 if i < 25 else 130]])) for i in range(40)]  # near copies of two sizes
+    rows += [(100 + i, " ".join([*words[900:940], *words[1000 + i * 20 : 1012 + i * 20 + 90 * (i % 3)]])) for i in range(25)]
+    rows += [(200 + i, " ".join(words[300 + i : 340 + i])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cloudpickle.register_pickle_by_value(ngram_join)  # or workers import the module with its own bounds
+    try:
+        got = by_id(ngram_join.similarity_classes(docs), "n_shingles", "component_id")
+    finally:
+        cloudpickle.unregister_pickle_by_value(ngram_join)
+    assert {i: v[0] for i, v in got.items()} == jaccard_classes(sequences(docs))
+
+
 def test_boundary_by_cost():
     assert ngram_join.boundary({100: 10}, 1.0, 1.0) == 0
     assert ngram_join.boundary({10: 1000}, 0.0, 0.0) == 0  # 6 subsets against 3 postings
