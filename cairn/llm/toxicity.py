@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm import runtime, wordhash
+from cairn.llm.scratch import Scratch
 
 #: Width of the feature table.
 BUCKETS = 1 << 18
 #: Bound of the training sample: labelled documents, and words of them.
 TRAIN_DOCUMENTS = 8_000
-TRAIN_WORDS = 3_500_000
+TRAIN_WORDS = 5_000_000
 #: Letters (bytes) of a word's prefix that make a second and a third feature.
 PREFIXES = (4, 5)
 SENTENCE_ENDS = b".!?\n"
@@ -134,61 +135,83 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     near = known.where(F.xxhash64("doc_id") <= int(min(2**63 - 1, -(2**63) + share * 2**64)))
     known = near.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(known), "doc_id").where(F.col("text").isNotNull())
+    return texts.join(F.broadcast(known.withColumn("turn", F.xxhash64("doc_id"))), "doc_id").where(F.col("text").isNotNull())
 
 
 def held_out(doc_id) -> object:
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
 
+_TRAINING = "doc_id long, turn long, label int, words int, features binary, first_word binary"
+_TRAINING_ARROW = pa.schema([("doc_id", pa.int64()), ("turn", pa.int64()), ("label", pa.int32()), ("words", pa.int32()),
+                             ("features", pa.binary()), ("first_word", pa.binary())])
+
+
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows: dict[str, list] = {"doc_id": [], "label": [], "features": [], "first_word": []}
-        ids, labels = b.column("doc_id").to_pylist(), b.column("label").to_pylist()
+        rows: dict[str, list] = {n: [] for n in _TRAINING_ARROW.names}
+        ids, turns, labels = (b.column(c).to_pylist() for c in ("doc_id", "turn", "label"))
         for block in wordhash.blocks(b.column("text")):
             s = sentences(block)
             for d in range(block.n_docs):
                 a, e = block.words[d], block.words[d + 1]
                 own = s.first_word[(s.first_word >= a) & (s.first_word < e)] - a
-                rows["doc_id"].append(ids[block.first + d])
-                rows["label"].append(labels[block.first + d])
-                rows["features"].append(s.features[:, a:e].astype(np.int32).tobytes())
-                rows["first_word"].append(own.astype(np.int32).tobytes())
-        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-            ("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.binary()), ("first_word", pa.binary())]))
+                for name, value in zip(rows, (ids[block.first + d], turns[block.first + d], labels[block.first + d], int(e - a),
+                                              s.features[:, a:e].astype(np.int32).tobytes(), own.astype(np.int32).tobytes())):
+                    rows[name].append(value)
+        yield pa.RecordBatch.from_pydict(rows, schema=_TRAINING_ARROW)
+
+
+def _within(sizes: list[tuple[int, int, int]], max_words: int) -> list[tuple[int, int]]:
+    """Documents and words of the first (turn, document, words) that the bound holds; what alone exceeds it is passed over."""
+    taken, words = [], 0
+    for _, doc, n in sorted(sizes):
+        if n > max_words:
+            continue
+        if words + n > max_words:
+            break
+        taken.append((doc, n))
+        words += n
+    return sorted(taken)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_documents: int = TRAIN_DOCUMENTS,
           max_words: int = TRAIN_WORDS, epochs: int = EPOCHS) -> Model:
-    """Fit on a bounded sample of labelled documents; none give the model that scores near 0."""
+    """Fit on a bounded sample of labelled documents; none give the model that scores near 0.
+
+    Both bounds are spent in order of an id hash, so the sample is a random one.
+    """
     runtime.prepare(docs.sparkSession)
-    sample = training_sample(docs, labels, id_col, text_col, label_col, max_documents).mapInArrow(
-        _training_rows, "doc_id long, label int, features binary, first_word binary")
-    rows = sorted(sample.collect(), key=lambda r: r.doc_id, reverse=True)
-    features, firsts, documents, label, words = [], [], [], [], 0
-    while rows:
-        r = rows.pop()
-        f = np.frombuffer(r.features, np.int32).reshape(1 + len(PREFIXES), -1)
-        if words + f.shape[1] > max_words or not f.shape[1]:
-            continue
-        first = np.frombuffer(r.first_word, np.int32)
-        features.append(f)
-        firsts.append(first.astype(np.int64) + words)
-        documents.append(np.full(len(first), len(label)))
-        label.append(r.label)
-        words += f.shape[1]
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sample = scratch.cut(training_sample(docs, labels, id_col, text_col, label_col, max_documents).mapInArrow(
+        _training_rows, _TRAINING), "sample")
+    taken = _within([tuple(r) for r in sample.where("words > 0").select("turn", "doc_id", "words").collect()], max_words)
+    places: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    total = 0
+    for k, (doc, n) in enumerate(taken):
+        places.setdefault((doc, n), []).append((k, total))
+        total += n
+    # straight into the arrays of the whole sample: the driver holds it once
+    features = np.empty((1 + len(PREFIXES), total), dtype=np.int32)
+    firsts, label = [np.zeros(0, dtype=np.int64)] * len(taken), np.zeros(len(taken))
+    for r in sample.toLocalIterator():
+        free = places.get((r.doc_id, r.words))
+        if free:
+            k, at = free.pop()
+            features[:, at : at + r.words] = np.frombuffer(r.features, np.int32).reshape(len(features), -1)
+            firsts[k] = np.frombuffer(r.first_word, np.int32).astype(np.int64) + at
+            label[k] = r.label
+    scratch.drop(sample)
     if len(set(label)) < 2:
         return Model(np.zeros(BUCKETS), -12.0)
     none = np.zeros(0, dtype=np.int64)
-    s = Sentences(np.concatenate(features, axis=1), np.concatenate(firsts),
-                  np.concatenate(documents), none, none)
-    del features, firsts, documents
-    return _fit(s, np.array(label, dtype=float), epochs)
+    document = np.repeat(np.arange(len(taken)), [len(f) for f in firsts])
+    return _fit(Sentences(features, np.concatenate(firsts), document, none, none), label, epochs)
 
 
 def _fit(s: Sentences, y: np.ndarray, epochs: int = EPOCHS) -> Model:
-    """Fit weights to document labels through the noisy-or.
+    """Fit weights to document labels through the noisy-or; overwrites ``s.features``.
 
     The first pass, under an L1 penalty, selects features: one gets a weight
     only where it explains more of the likelihood's slope than a document or
@@ -200,19 +223,29 @@ def _fit(s: Sentences, y: np.ndarray, epochs: int = EPOCHS) -> Model:
     sentence_of = np.repeat(np.arange(len(s.first_word), dtype=np.int32), np.diff(np.append(s.first_word, n_words)))
     known = np.flatnonzero(_document_counts(s, sentence_of, len(y)) >= LEAST_DOCUMENTS)
     bias = _base_bias(s, y)
-    w, bias = _descend(s, y, known, sentence_of, bias, epochs, SPARSITY)
-    chosen = np.abs(w) > LEAST_WEIGHT
-    known = known[chosen]
-    w, bias = _descend(s, y, known, sentence_of, bias, 2 * epochs, 0.0, w[chosen])
+    # bucket numbers become numbers of known features, or the one after these
+    column = np.full(BUCKETS, len(known), dtype=np.int32)
+    column[known] = np.arange(len(known))
+    parts = []  # (feature, sentence) of limited length: temporaries stay small
+    for row in s.features:
+        for lo in range(0, n_words, _PART):
+            code = row[lo : lo + _PART]
+            code[:] = column[code]
+            parts.append((code, sentence_of[lo : lo + _PART]))
+    w, bias = _descend(s, y, parts, bias, epochs, SPARSITY, np.zeros(len(known)))
+    chosen = np.append(np.abs(w) > LEAST_WEIGHT, False)
+    column = (np.cumsum(chosen) - 1).astype(np.int32)
+    parts = [(column[code[kept]], owner[kept]) for code, owner in parts for kept in [chosen[code]]]
+    w, bias = _descend(s, y, parts, bias, 2 * epochs, 0.0, w[chosen[:-1]])
     weights = np.zeros(BUCKETS)
-    weights[known] = w
+    weights[known[chosen[:-1]]] = w
     return Model(weights, float(bias))
 
 
 def _document_counts(s: Sentences, sentence_of: np.ndarray, n: int) -> np.ndarray:
     """In how many documents each feature occurs, by groups of whole documents."""
     counts = np.zeros(BUCKETS, dtype=np.int64)
-    at = np.searchsorted(s.document[sentence_of], np.arange(0, n + 500, 500))
+    at = np.append(s.first_word, len(sentence_of))[np.searchsorted(s.document, np.arange(0, n + 500, 500))]
     for lo, hi in zip(at[:-1], at[1:]):
         document = s.document[sentence_of[lo:hi]].astype(np.int64)
         for row in s.features:
@@ -229,31 +262,25 @@ def _base_bias(s: Sentences, y: np.ndarray) -> float:
     return float(bias)
 
 
-def _descend(s: Sentences, y: np.ndarray, known: np.ndarray, sentence_of: np.ndarray, bias: float,
-             epochs: int, sparsity: float, w: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """Adagrad over the whole sample on the features ``known``."""
-    column = np.full(BUCKETS, -1, dtype=np.int32)
-    column[known] = np.arange(len(known))
-    parts = []  # (feature, sentence) of limited length: temporaries stay small
-    for row in s.features:
-        for lo in range(0, len(row), _PART):
-            code = column[row[lo : lo + _PART]]
-            parts.append((code[code >= 0], sentence_of[lo : lo + _PART][code >= 0]))
-    w = np.zeros(len(known)) if w is None else w.copy()
-    total, bias_total = np.ones(len(known)), 1.0
+def _descend(s: Sentences, y: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]], bias: float,
+             epochs: int, sparsity: float, w: np.ndarray) -> tuple[np.ndarray, float]:
+    """Adagrad over the whole sample from the weights ``w``; a part's features from len(w) on have none."""
+    known = len(w)
+    total, bias_total = np.ones(known), 1.0
     n = len(s.first_word)
     for _ in range(epochs):
         z = np.full(n, bias)
+        wide = np.append(w, 0.0)
         for code, owner in parts:
-            z += np.bincount(owner, w[code], n)
+            z += np.bincount(owner, wide[code], n)
         p = np.minimum(_sigmoid(z), 1 - 1e-9)
         clean = np.bincount(s.document, np.log1p(-p), len(y))
         doc = np.clip(-np.expm1(clean), 1e-9, 1.0)
         # slope of -log likelihood at a sentence: p in a clean bag, -p(1-P)/P in an offending one
         g = p * np.where(y > 0, -np.exp(clean) / doc, 1.0)[s.document]
-        gw = np.zeros(len(known))
+        gw = np.zeros(known)
         for code, owner in parts:
-            gw += np.bincount(code, g[owner], len(known))
+            gw += np.bincount(code, g[owner], known + 1)[:known]
         total += gw * gw
         step = RATE / np.sqrt(total)
         w -= step * gw

@@ -109,6 +109,19 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, toxicity.train(no_docs, labels)).count() == 0
 
 
+def test_toxicity_sample_is_random_when_words_run_out(spark, words):
+    rows = [(i, " ".join(words[7 * i : 7 * i + 9] + ["vile" if i >= 200 else "mild"]) + ".") for i in range(400)]  # the higher ids are toxic
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i >= 200)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    scored = toxicity.score(docs, toxicity.train(docs, labels, max_words=1000)).collect()
+    assert all((r.score > 0.5) == (r.doc_id >= 200) for r in scored)
+
+
+def test_toxicity_words_are_taken_in_turn():
+    assert toxicity.TRAIN_WORDS == 5_000_000
+    assert toxicity._within([(3, 1, 40), (1, 9, 50), (2, 5, 45), (0, 7, 101), (4, 2, 5)], 100) == [(5, 45), (9, 50)]
+
+
 # --- n-gram join -----------------------------------------------------------
 
 
