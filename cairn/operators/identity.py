@@ -134,6 +134,14 @@ def _sharing(r: DataFrame, a: DataFrame, block: list[str], left: str, right: str
     return s.where(F.col("_s") / (F.col("_n") + F.col("_m") - F.col("_s")) > TRIGRAM_THRESHOLD).select("record_id", "anchor_id")
 
 
+def contained_texts(items: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """``item_id, doc_id, containment``: the share of an item's trigrams that a document has, both whole, where at least ``least``."""
+    g = items.select("item_id", trigrams(F.col("text")).alias("g")).select("item_id", F.size("g").alias("_n"), F.explode("g").alias("_t"))
+    x = docs.select("doc_id", F.explode(trigrams(F.col("text"))).alias("_t"))
+    shared = x.join(g, "_t").groupBy("item_id", "doc_id", "_n").agg(F.count("*").alias("_s"))
+    return shared.select("item_id", "doc_id", (F.col("_s") / F.col("_n")).alias("containment")).where(F.col("containment") >= least)
+
+
 def independent_agreement(values: DataFrame, entity: str, position: str, value: str, source: str, origins: str) -> DataFrame:
     """For each entity the first pair (in input order) of equal values with disjoint origins: value and both sources."""
     a = values.select(entity, F.col(position).alias("_p"), F.col(value).alias("value"), F.col(source).alias("_s"), F.col(origins).alias("_o"))

@@ -45,6 +45,13 @@ def normalize_address(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text").select("doc_id", text.normalize_address(t).alias("address"))
 
 
+@R.query(f"""
+SELECT doc_id, {_ADDRESS.format(c=_CLEAN.format(c="text || ' North Main Street, Suite 5'"))} AS address FROM documents""")
+def normalize_address_whole_text(spark: SparkSession, d: str) -> DataFrame:
+    t = F.concat("text", F.lit(" North Main Street, Suite 5"))
+    return table(spark, d, "documents", "doc_id", "text").select("doc_id", text.normalize_address(t).alias("address"))
+
+
 @R.query("""
 WITH p AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN '(415) 55' || lpad(c_custkey::VARCHAR, 5, '0') WHEN 1 THEN '1-41555' || lpad(c_custkey::VARCHAR, 5, '0')
   WHEN 2 THEN '+44 20 ' || lpad(c_custkey::VARCHAR, 7, '0') ELSE '555' END AS phone FROM customer),
@@ -278,6 +285,15 @@ def duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
     return rows.toDF("a", "lang", "h").join(rows.toDF("b", "lang", "h"), ["lang", "h"]).where("a < b").select("a", "b")
 
 
+@R.query(f"""
+WITH b AS (SELECT item_id, {_GRAMS.format(c="text")} AS g FROM benchmark), x AS (SELECT doc_id, {_GRAMS.format(c="text")} AS g FROM documents),
+s AS (SELECT item_id, doc_id, len(list_intersect(b.g, x.g)) / len(b.g) AS c FROM b JOIN x ON len(b.g) > 0)
+SELECT item_id, doc_id, round(c, 6) AS containment FROM s WHERE c >= 0.6""")
+def near_duplicate_whole_text(spark: SparkSession, d: str) -> DataFrame:
+    return identity.contained_texts(table(spark, d, "benchmark", "item_id", "text"), table(spark, d, "documents", "doc_id", "text"), 0.6).select(
+        "item_id", "doc_id", F.round("containment", 6).alias("containment"))
+
+
 @R.query("""
 SELECT d.doc_id, CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'fail' WHEN l.toxic = 0 AND l.quality = 1 AND d.n_chars > 100 THEN 'pass' ELSE 'inconclusive' END AS outcome
 FROM documents d LEFT JOIN labels l USING (doc_id)""")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.operators import materialize, providers, readiness, resolve, review
+from cairn.operators import identity, materialize, providers, readiness, resolve, review
 from cairn.sources import licences, places
 from cairn.streaming import queue
 
@@ -152,3 +152,13 @@ def test_type_confidence(spark, matching, families, want):
 def test_expiry_filters(spark):
     rows = frame(spark, [(1, "2024-01-01"), (2, "2024-01-03"), (3, None)], "id int, expires string", at=["expires"])
     assert sorted(r.id for r in queue.expired(rows, "expires", ts("2024-01-02")).collect()) == [1, 3]
+
+
+LEAD = "the same opening words of every text " * 8
+
+
+def test_contained_texts_reads_whole_texts(spark):
+    items = spark.createDataFrame([(1, LEAD + "quick zebra jumping"), (2, "violet mushrooms glow")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, LEAD + "violet mushrooms glow"), (2, LEAD), (3, None)], "doc_id long, text string")
+    got = {(r.item_id, r.doc_id): r.containment for r in identity.contained_texts(items, docs, 0.0).collect()}
+    assert got[2, 1] == 1.0 and (2, 2) not in got and 0 < got[1, 2] < 1
