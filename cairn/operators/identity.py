@@ -142,6 +142,19 @@ def contained_texts(items: DataFrame, docs: DataFrame, least: float) -> DataFram
     return shared.select("item_id", "doc_id", (F.col("_s") / F.col("_n")).alias("containment")).where(F.col("containment") >= least)
 
 
+def equal_texts(docs: DataFrame, key: str, text: str, block: list[str]) -> DataFrame:
+    """Each row with its class of equal whole texts in its block: ``class_id`` (the least key) and ``members``; null texts have none.
+
+    The result has a row for each document, whatever the size of a class.
+    """
+    rows = docs.where(F.col(text).isNotNull()).select(key, *block, F.sha2(text, 256).alias("_h"))
+    names = [*block, "_h"]
+    classes = rows.groupBy(names).agg(F.min(key).alias("class_id"), F.count("*").alias("members"))
+    a, b = rows.alias("a"), classes.alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names]
+    return a.join(b, same).select(f"a.{key}", *(f"a.{c}" for c in block), "b.class_id", "b.members")
+
+
 def independent_agreement(values: DataFrame, entity: str, position: str, value: str, source: str, origins: str) -> DataFrame:
     """For each entity the first pair (in input order) of equal values with disjoint origins: value and both sources."""
     a = values.select(entity, F.col(position).alias("_p"), F.col(value).alias("value"), F.col(source).alias("_s"), F.col(origins).alias("_o"))

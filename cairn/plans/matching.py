@@ -294,6 +294,12 @@ def near_duplicate_whole_text(spark: SparkSession, d: str) -> DataFrame:
         "item_id", "doc_id", F.round("containment", 6).alias("containment"))
 
 
+@R.query("""
+SELECT doc_id, min(doc_id) OVER w AS class_id, count(*) OVER w AS members FROM documents WHERE text IS NOT NULL WINDOW w AS (PARTITION BY lang, text)""")
+def duplicate_classes(spark: SparkSession, d: str) -> DataFrame:
+    return identity.equal_texts(table(spark, d, "documents", "doc_id", "lang", "text"), "doc_id", "text", ["lang"]).select("doc_id", "class_id", "members")
+
+
 @R.query("""
 SELECT d.doc_id, CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'fail' WHEN l.toxic = 0 AND l.quality = 1 AND d.n_chars > 100 THEN 'pass' ELSE 'inconclusive' END AS outcome
 FROM documents d LEFT JOIN labels l USING (doc_id)""")

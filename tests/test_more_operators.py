@@ -162,3 +162,12 @@ def test_contained_texts_reads_whole_texts(spark):
     docs = spark.createDataFrame([(1, LEAD + "violet mushrooms glow"), (2, LEAD), (3, None)], "doc_id long, text string")
     got = {(r.item_id, r.doc_id): r.containment for r in identity.contained_texts(items, docs, 0.0).collect()}
     assert got[2, 1] == 1.0 and (2, 2) not in got and 0 < got[1, 2] < 1
+
+
+def test_equal_texts_reads_whole_texts(spark):
+    rows = [(1, "en", LEAD + "a"), (2, "en", LEAD + "b"), (3, "en", LEAD + "a"), (4, "de", LEAD + "a"), (5, "en", "short"), (6, "en", "short"),
+            (7, None, ""), (8, None, ""), (9, "en", None)] + [(i, "fr", LEAD) for i in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {r.doc_id: (r.class_id, r.members) for r in identity.equal_texts(docs, "doc_id", "text", ["lang"]).collect()}
+    assert {k: v for k, v in got.items() if k < 100} == {1: (1, 2), 2: (2, 1), 3: (1, 2), 4: (4, 1), 5: (5, 2), 6: (5, 2), 7: (7, 2), 8: (7, 2)}
+    assert len(got) == 308 and all(got[i] == (100, 300) for i in range(100, 400))
