@@ -165,6 +165,18 @@ def fuzzy_block_join(spark: SparkSession, d: str) -> DataFrame:
     return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("similarity"))
 
 
+@R.query(f"""
+WITH x AS (SELECT doc_id AS id, lang, {_GRAMS.format(c="text")} AS g FROM documents),
+s AS (SELECT a.id AS record_id, b.id AS anchor_id, len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) AS s FROM x a JOIN x b ON a.lang = b.lang AND a.id % 50 = 0)
+SELECT record_id, anchor_id, round(s, 6) AS similarity FROM s WHERE s > 0.3 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY s DESC, anchor_id) <= 50""")
+def fuzzy_block_whole_text(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents", "doc_id", "lang", "text").select(
+        F.col("doc_id").alias("id"), F.col("lang"), F.col("text").alias("name"), F.lit("").alias("address"),
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
+    found = identity.fuzzy_block(rows.where("id % 50 = 0"), rows, ["lang"], 50)
+    return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("similarity"))
+
+
 _POINTS = "SELECT vec_id, 37 + CAST(embedding[1] AS DOUBLE) / 10 AS lat, -122 + CAST(embedding[2] AS DOUBLE) / 10 AS lon FROM embeddings"
 
 

@@ -171,3 +171,10 @@ def test_equal_texts_reads_whole_texts(spark):
     got = {r.doc_id: (r.class_id, r.members) for r in identity.equal_texts(docs, "doc_id", "text", ["lang"]).collect()}
     assert {k: v for k, v in got.items() if k < 100} == {1: (1, 2), 2: (2, 1), 3: (1, 2), 4: (4, 1), 5: (5, 2), 6: (5, 2), 7: (7, 2), 8: (7, 2)}
     assert len(got) == 308 and all(got[i] == (100, 300) for i in range(100, 400))
+
+
+def test_fuzzy_block_searches_all_rows_on_whole_texts(spark):
+    from cairn.plans import matching
+
+    found = matching.fuzzy_block_whole_text(spark, "/root/testdata/sf0.001").select("record_id", "anchor_id", "similarity").collect()
+    assert {r.record_id for r in found} == {r.anchor_id for r in found if r.record_id == r.anchor_id and r.similarity == 1.0} != set()
