@@ -39,6 +39,33 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+#: Settings under which pre-tokens and merges are what this module makes of them; absent ones count as None.
+_SUPPORTED = {
+    "normalizer": (None,),
+    "pre_tokenizer.type": ("ByteLevel",), "pre_tokenizer.add_prefix_space": (False,), "pre_tokenizer.use_regex": (True, None),
+    "decoder.type": ("ByteLevel",), "model.type": ("BPE", None), "model.dropout": (None, 0.0), "model.unk_token": (None,),
+    "model.continuing_subword_prefix": (None, ""), "model.end_of_word_suffix": (None, ""),
+    "model.byte_fallback": (False, None), "model.ignore_merges": (False, None),
+}
+
+
+def read_settings(path: str) -> dict:
+    """A vocabulary file's content; ValueError where it asks for what this module does not do."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    for name, allowed in _SUPPORTED.items():
+        value = spec
+        for part in name.split("."):
+            value = value.get(part) if isinstance(value, dict) else None
+        if value not in allowed:
+            raise ValueError(f"{name} = {value!r} is not supported")
+    for token in spec.get("added_tokens", []):
+        for name in ("single_word", "lstrip", "rstrip"):
+            if token.get(name):
+                raise ValueError(f"added token {token['content']!r}: {name} is not supported")
+    return spec
+
+
 class PreTokenizer:
     """Pre-tokens of a text in order; special tokens as their ids."""
 
@@ -51,8 +78,7 @@ class PreTokenizer:
 
     @classmethod
     def load(cls, path: str) -> PreTokenizer:
-        with open(path, encoding="utf-8") as f:
-            return cls({t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])})
+        return cls({t["content"]: t["id"] for t in read_settings(path).get("added_tokens", [])})
 
     def has_special(self, text: str) -> bool:
         return any(n in text for n in self.names)
@@ -83,8 +109,7 @@ class Vocabulary:
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = read_settings(path)
         vocab = spec["model"]["vocab"]
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         size = max([*vocab.values(), *special.values()]) + 1
@@ -232,16 +257,36 @@ class _Lists:
         return self.flat[_ranges(start, length, ends)], ends[groups]
 
 
+@dataclass
+class _Chunks:
+    """Chunks of a block: 64-bit keys, and the bytes themselves (``eight`` are those from any place on, as numbers).
+
+    The second key holds a chunk's length and first eight bytes.
+    """
+
+    keys: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    data: np.ndarray  # with eight bytes more
+    eight: np.ndarray
+
+
 class _Table:
-    """Numbers of byte strings by two 64-bit keys: open addressing, all strings of a block at once."""
+    """Numbers of byte strings: open addressing by two 64-bit keys, all strings of a block at once.
+
+    A string is found only where all its bytes are equal, whatever the keys.
+    """
 
     def __init__(self) -> None:
         self.slots = np.full(1 << 16, -1, dtype=np.int32)
         self.keys = np.zeros((1 << 12, 2), dtype=np.uint64)
-        self.n = 0
+        self.at = np.zeros(1 << 12, dtype=np.int64)
+        self.bytes = np.zeros(1 << 16, dtype=np.uint8)
+        self.n = self.used = 0
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The number of each row of keys, -1 for unknown ones."""
+    def find(self, chunks: _Chunks, asked: np.ndarray) -> np.ndarray:
+        """The number of each asked chunk, -1 for unknown ones."""
+        keys = chunks.keys[asked]
         out = np.full(len(keys), -1, dtype=np.int64)
         left, mask = np.arange(len(keys)), np.uint64(len(self.slots) - 1)
         slot = keys[:, 0] & mask
@@ -252,13 +297,32 @@ class _Table:
             hit = (self.keys[entry] == keys[left]).all(axis=1)
             out[left[hit]] = entry[hit]
             left, slot = left[~hit], (slot[~hit] + np.uint64(1)) & mask
+        found = np.flatnonzero(out >= 0)
+        a, at = chunks.starts[asked[found]], self.at[out[found]]
+        far = chunks.ends[asked[found]] - a - 8  # where the last eight bytes begin; the first eight are in the second key
+        eight = _eight(self.bytes)
+        long = np.flatnonzero(far > 0)
+        step = 8
+        while len(long):
+            k = np.minimum(far[long], step)
+            same = chunks.eight[a[long] + k] == eight[at[long] + k]
+            out[found[long[~same]]] = -1
+            long = long[same & (far[long] > step)]
+            step += 8
         return out
 
-    def add(self, keys: np.ndarray) -> None:
-        """Number new distinct keys in their order."""
-        self.keys = _room(self.keys, self.n, len(keys))
-        self.keys[self.n : self.n + len(keys)] = keys
-        first, self.n = self.n, self.n + len(keys)
+    def add(self, chunks: _Chunks, new: np.ndarray) -> None:
+        """Number chunks that are not in the table, distinct in their first keys, in their order."""
+        self.keys, self.at = _room(self.keys, self.n, len(new)), _room(self.at, self.n, len(new))
+        self.keys[self.n : self.n + len(new)] = chunks.keys[new]
+        size = chunks.ends[new] - chunks.starts[new]
+        ends = np.zeros(len(new) + 1, dtype=np.int64)
+        np.cumsum(size, out=ends[1:])
+        self.bytes = _room(self.bytes, self.used, int(ends[-1]) + 8)
+        self.bytes[self.used : self.used + int(ends[-1])] = chunks.data[_ranges(chunks.starts[new], size, ends)]
+        self.at[self.n : self.n + len(new)] = self.used + ends[:-1]
+        self.used += int(ends[-1])
+        first, self.n = self.n, self.n + len(new)
         if 2 * self.n > len(self.slots):
             self.slots = np.full(1 << int(4 * self.n - 1).bit_length(), -1, dtype=np.int32)
             first = 0
@@ -278,22 +342,24 @@ _VISIBLE[0x21:0x7F] = True
 _HEADS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
 
 
-def _chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and two 64-bit keys of the chunks of a block, and the first chunk of each text.
+def _eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number (places up to the eighth from the end)."""
+    return np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
 
-    The second key holds a chunk's length and first eight bytes, so chunks of up to eight bytes are told apart for certain.
-    """
+
+def _chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[_Chunks, np.ndarray]:
+    """The chunks of a block, and the first chunk of each text."""
     mark = _STARTS[data]
     mark[offsets[:-1][np.diff(offsets) > 0]] = True
     starts = np.flatnonzero(mark)
     ends = np.append(starts[1:], len(data)) if len(starts) else starts
     keys = np.empty((len(starts), 2), dtype=np.uint64)
-    keys[:, 0] = wordhash.Block(0, data, offsets, starts, ends, offsets).hashes(lower=False)
+    keys[:, 0] = wordhash.Block(0, data, offsets, starts, ends, offsets).table_keys()
     padded = np.append(data, np.zeros(8, dtype=np.uint8))
-    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    eight = _eight(padded)
     size = ends - starts
     keys[:, 1] = (eight[starts] & _HEADS[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return starts, ends, keys, np.searchsorted(starts, offsets)
+    return _Chunks(keys, starts, ends, padded, eight), np.searchsorted(starts, offsets)
 
 
 class TextEncoder:
@@ -351,7 +417,7 @@ class TextEncoder:
             self.words.new.clear()
         return self.word_ids.join(code, groups)
 
-    def _learn(self, chunks: list[str], keys: np.ndarray, plain: np.ndarray) -> None:
+    def _learn(self, found: _Chunks, new: np.ndarray, chunks: list[str], plain: np.ndarray) -> None:
         odd = np.zeros(len(chunks), dtype=bool)
         for i in np.flatnonzero(~plain).tolist():
             odd[i] = _open_ended(chunks[i])
@@ -363,7 +429,7 @@ class TextEncoder:
             sizes[good] = np.diff(at)
         self.open_ended = _room(self.open_ended, self.table.n, len(chunks))
         self.open_ended[self.table.n : self.table.n + len(chunks)] = odd
-        self.table.add(keys)
+        self.table.add(found, new)
         self.chunk_ids.add(*reordered(flat, sizes, good))
 
     def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -372,19 +438,19 @@ class TextEncoder:
             self._forget_chunks()
         if len(self.words) > self.limit:
             self._forget_words()
-        starts, ends, keys, groups = _chunks(data, offsets)
-        code = self.table.find(keys)
+        chunks, groups = _chunks(data, offsets)
+        code = self.table.find(chunks, np.arange(len(chunks.starts)))
         unknown = np.flatnonzero(code < 0)
         if len(unknown):
-            _, first = np.unique(keys[unknown, 0], return_index=True)
+            _, first = np.unique(chunks.keys[unknown, 0], return_index=True)
             chosen = unknown[np.sort(first)]
-            raw, a, e = data.tobytes(), starts[chosen], ends[chosen]
+            raw, a, e = data.tobytes(), chunks.starts[chosen], chunks.ends[chosen]
             # chunks whose first and last characters are visible ASCII need no closer look
             first = a + (_STARTS[data[a]] & (e - a > 1))
             plain = _VISIBLE[data[first]] & _VISIBLE[data[e - 1]]
-            self._learn([raw[x:y].decode() for x, y in zip(a.tolist(), e.tolist())], keys[chosen], plain)
-            code[unknown] = self.table.find(keys[unknown])
-            if (code < 0).any():  # equal first keys of different chunks
+            self._learn(chunks, chosen, [raw[x:y].decode() for x, y in zip(a.tolist(), e.tolist())], plain)
+            code[unknown] = self.table.find(chunks, unknown)
+            if (code < 0).any():  # equal keys of different chunks
                 return self._split([data[a:e].tobytes().decode() for a, e in zip(offsets[:-1], offsets[1:])])
         flat, at = self.chunk_ids.join(code, groups)
         open_chunks = self.open_ended[code]

@@ -11,7 +11,10 @@ Shingles that many documents share come last in the order, so their lists stay
 short.  Sets are compared once however many documents have them.  Lists first
 propose links to one hub each; members that verified links have joined are not
 proposed again, so a group of near copies costs one comparison per member and
-not one per pair.  Every proposed pair is verified on whole texts.
+not one per pair.  A list beyond ``LIST_BLOCK`` members proposes in blocks that
+overlap by one; what its links leave apart from its largest class, and only
+that, is then compared with the whole list, block by block.  Every proposed
+pair is verified on whole texts.
 """
 
 from __future__ import annotations
@@ -39,8 +42,10 @@ BLOCK_SHINGLES = 1 << 21
 ORDERED_SHINGLES = 50_000
 #: Largest size that may count as small; subsets grow with the square of the prefix.
 MOST_SMALL = 60
-#: Members of one list; longer lists are cut into pairs of blocks.
-LIST_BLOCK = 2048
+#: Members of one list that are compared in one task; longer lists are cut into blocks.
+LIST_BLOCK = 512
+#: Sizes are put into bands of this ratio: similar sets are in one band or in neighbouring ones.
+BAND = 1.3
 #: Members that one hub is compared with in one task.
 HUB_CHUNK = 512
 
@@ -143,14 +148,16 @@ def survey(docs: DataFrame, scratch: Scratch) -> Order:
     frequent = found.where("kind = 0")
     # how many shingles have about each count; then the least count whose shingles are few enough
     bins = sorted(frequent.groupBy(F.floor(F.log2("n") * 8).alias("bin")).agg(
-        F.count("*").alias("shingles"), F.min("n").alias("least")).collect(), key=lambda r: -r.bin)
-    least, total = 1 << 62, 0
+        F.count("*").alias("shingles"), F.min("n").alias("least"), F.max("n").alias("most")).collect(), key=lambda r: -r.bin)
+    admitted, left = F.lit(False), ORDERED_SHINGLES
     for r in bins:
-        total += r.shingles
-        if total > ORDERED_SHINGLES:
+        if r.shingles > left:  # of the bin that does not fit, a share by hash
+            share = int(-(2**63) + left / r.shingles * 2**64)
+            admitted |= F.col("n").between(r.least, r.most) & (F.col("key") <= min(share, 2**63 - 1))
             break
-        least = r.least
-    top = frequent.where(F.col("n") >= least).collect()  # at most ORDERED_SHINGLES rows
+        admitted |= F.col("n").between(r.least, r.most)
+        left -= r.shingles
+    top = frequent.where(admitted).collect()  # about ORDERED_SHINGLES rows at most
     top.sort(key=lambda r: (r.n, r.key))
     sizes = {r.key: r.n for r in found.where("kind = 1").collect()}
     shingles = found.where("kind = 2").agg(F.sum("n")).first()[0] or 0
@@ -246,8 +253,12 @@ def signatures(docs: DataFrame, order: Order) -> DataFrame:
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists of two or more sets, from rows sorted by key; equal lists leave a task once."""
-    schema = pa.schema([("list1", pa.int64()), ("list2", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
+    """Lists of two or more sets, from rows sorted by key; equal lists leave a task once.
+
+    A list that has several blocks gives one row for each (``blocks`` tells how many).
+    """
+    schema = pa.schema([("list1", pa.int64()), ("list2", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()),
+                        ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
     seen: set[bytes] = set()
     for t, at in runtime.sorted_runs(batches, ["key"]):
         many = np.flatnonzero(np.diff(at) > 1)
@@ -259,38 +270,24 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             order = np.lexsort((ids[own], sizes[own]))
             own_ids, own_sizes = ids[own][order], sizes[own][order]
-            for part in _blocks(own_sizes):
-                mark = xxhash.xxh3_128_digest(own_ids[part].tobytes())
-                if mark in seen:
-                    continue
-                if len(seen) > 200_000:
-                    seen.clear()
-                seen.add(mark)
-                for name, value in zip(rows, (int.from_bytes(mark[:8], "little", signed=True), int.from_bytes(
-                        mark[8:], "little", signed=True), own_ids[part], own_sizes[part])):
+            mark = xxhash.xxh3_128_digest(own_ids.tobytes())
+            if mark in seen:
+                continue
+            if len(seen) > 200_000:
+                seen.clear()
+            seen.add(mark)
+            one, two = (int.from_bytes(mark[i : i + 8], "little", signed=True) for i in (0, 8))
+            parts = _blocks(len(own_ids))
+            for block, part in enumerate(parts):
+                for name, value in zip(rows, (one, two, len(parts), block, own_ids[part], own_sizes[part])):
                     rows[name].append(value)
         if rows["ids"]:
             yield runtime.batch(schema, **rows)
 
 
-def _blocks(sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """All members, or pairs of blocks of them whose sizes can match; a block that matches no other comes alone."""
-    n = len(sizes)
-    if n <= LIST_BLOCK:
-        yield np.arange(n)
-        return
-    half = LIST_BLOCK // 2
-    cuts = [(a, min(n, a + half)) for a in range(0, n, half)]
-    paired = -1  # the last block that an earlier one came with
-    for i, (a, b) in enumerate(cuts):
-        alone = i > paired
-        for j, (c, d) in enumerate(cuts[i + 1 :], i + 1):
-            if SIMILAR[1] * sizes[b - 1] < SIMILAR[0] * sizes[c]:
-                break
-            paired, alone = max(paired, j), False
-            yield np.concatenate([np.arange(a, b), np.arange(c, d)])
-        if alone and b - a > 1:
-            yield np.arange(a, b)
+def _blocks(n: int) -> list[slice]:
+    """A list's blocks, each with the first member of the next."""
+    return [slice(a, min(n, a + LIST_BLOCK + 1)) for a in range(0, max(1, n - 1), LIST_BLOCK)] if n > LIST_BLOCK else [slice(0, n)]
 
 
 def _hub_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,17 +330,20 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of members that no links have joined and whose sizes and sketches allow similarity."""
+    """Pairs of members that no links have joined and whose sizes and sketches allow similarity.
+
+    Rows come sorted by ``part``.  A part's members of side 1 are compared with those of side 0 only.
+    """
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
-    for t, at in runtime.sorted_runs(batches, ["list1", "list2"]):
-        ids, sizes, component = (t.column(c).to_numpy() for c in ("doc_id", "size", "component"))
+    for t, at in runtime.sorted_runs(batches, ["part1", "part2"]):
+        ids, sizes, component, sides = (t.column(c).to_numpy() for c in ("doc_id", "size", "component", "side"))
         raw = t.column("sketch").to_pylist()
         xs, ys = [], []
         for a, b in zip(at[:-1], at[1:]):
             if (component[a:b] == component[a]).all():
                 continue
             order = a + np.argsort(sizes[a:b], kind="stable")
-            s, c = sizes[order].astype(np.int64), component[order]
+            s, c, side = sizes[order].astype(np.int64), component[order], sides[order]
             for bits in sorted({len(raw[k]) for k in order}):  # sketches of one width at a time
                 width = bits // 8
                 here = np.flatnonzero([len(raw[k]) in (bits, 2 * bits) for k in order])
@@ -351,7 +351,7 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 exact = np.array([len(raw[k]) == bits for k in order[here]])
                 for m in np.flatnonzero(exact):
                     near = (SIMILAR[1] * np.minimum(s[here], s[here[m]]) >= SIMILAR[0] * np.maximum(s[here], s[here[m]]))
-                    near &= c[here] != c[here[m]]
+                    near &= (c[here] != c[here[m]]) & (side[here] + side[here[m]] < 2)
                     near[: m + 1] &= ~exact[: m + 1]
                     cand = np.flatnonzero(near)
                     if len(cand):
@@ -376,10 +376,15 @@ def _folded(words: np.ndarray, width: int) -> np.ndarray:
 # --- verification ----------------------------------------------------------
 
 
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and SIMILAR[1] * both >= SIMILAR[0] * (len(a) + len(b) - both)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Similar pairs of each hub's chunk: rows sorted so that the hub's text precedes its members'."""
+    """Similar pairs of each hub's chunk: rows sorted so that the hub's texts (one but for repeated ids) precede its members'."""
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
-    hub, of_hub = None, None
+    hub, of_hub = None, []
     for b in batches:
         keys = list(zip(b.column("x").to_pylist(), b.column("chunk").to_pylist()))
         roles, members = b.column("role").to_pylist(), b.column("y").to_pylist()
@@ -389,12 +394,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for d in range(block.n_docs):
                 own, i = h[at[d] : at[d + 1]], block.first + d
                 if roles[i] == 0:
-                    hub, of_hub = keys[i], own
-                elif hub == keys[i]:
-                    both = len(np.intersect1d(of_hub, own, assume_unique=True))
-                    if SIMILAR[1] * both >= SIMILAR[0] * (len(of_hub) + len(own) - both) and both:
-                        src.append(keys[i][0])
-                        dst.append(members[i])
+                    of_hub = [*of_hub, own] if hub == keys[i] else [own]
+                    hub = keys[i]
+                elif hub == keys[i] and any(_similar(h, own) for h in of_hub):
+                    src.append(keys[i][0])
+                    dst.append(members[i])
         if src:
             yield runtime.batch(schema, src=src, dst=dst)
 
@@ -424,15 +428,59 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 # --- the join --------------------------------------------------------------
 
 
+def _of_one_id(full: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between an id and the documents that stand for its sets, where it has several."""
+    several = full.groupBy("doc_id").agg(
+        F.min(F.struct("set1", "set2")).alias("a"), F.max(F.struct("set1", "set2")).alias("b")).where("a <> b").select("doc_id")
+    return full.join(several, "doc_id", "left_semi").join(sets, ["set1", "set2"]).where("rep <> doc_id").select(
+        F.col("rep").alias("src"), F.col("doc_id").alias("dst")).distinct()
+
+
+def _parts_of_long_lists(members: DataFrame) -> DataFrame:
+    """Members of long lists that links have not made one class, dealt to parts that are compared.
+
+    A list's largest class needs no comparison with itself.  The other members
+    are cut into blocks by size band and hash, and each such block (side 0)
+    meets itself and every block of its list (side 1) in a band beside its own.
+    """
+    of_list = ["list1", "list2"]
+    largest = members.groupBy(*of_list, "component").count().groupBy(*of_list).agg(
+        F.max_by("component", F.struct("count", "component")).alias("largest"))
+    banded = members.join(largest, of_list).select(
+        *of_list, "doc_id", "size", "component", "sketch", (F.col("component") != F.col("largest")).cast("int").alias("minor"),
+        F.floor(F.log(F.col("size")) / F.log(F.lit(BAND))).cast("int").alias("band"))
+    counts = banded.groupBy(*of_list, "band", "minor").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
+    placed = banded.join(counts, [*of_list, "band", "minor"]).withColumn(
+        "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).drop("blocks")
+    blocks = counts.select(*of_list, "band", "minor", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    left = blocks.where("minor = 1").select(*of_list, F.col("band").alias("band0"), F.col("block").alias("block0"))
+    right = blocks.select(*of_list, *(F.col(c).alias(f"{c}1") for c in ("band", "minor", "block")))
+    # two blocks of minor members meet once, from the lower one
+    met = left.join(right, of_list).where(
+        (F.abs(F.col("band0") - F.col("band1")) <= 1)
+        & ((F.col("minor1") == 0) | (F.struct("band0", "block0") <= F.struct(F.col("band1").alias("band0"), F.col("block1").alias("block0"))))
+    ).withColumn("itself", (F.col("minor1") == 1) & (F.col("band0") == F.col("band1")) & (F.col("block0") == F.col("block1")))
+    name = [F.xxhash64(*of_list, "band0", "block0", "band1", "minor1", "block1", F.lit(k)).alias(f"part{k}") for k in (1, 2)]
+    met = met.select(*of_list, *name, "band0", "block0", "band1", "minor1", "block1", "itself")
+    sides = met.select(*of_list, "part1", "part2", F.lit(0).alias("side"), F.col("band0").alias("band"), F.lit(1).alias("minor"),
+                       F.col("block0").alias("block")).unionByName(
+        met.where("NOT itself").select(*of_list, "part1", "part2", F.lit(1).alias("side"), F.col("band1").alias("band"),
+                                       F.col("minor1").alias("minor"), F.col("block1").alias("block")))
+    return placed.join(sides, [*of_list, "band", "minor", "block"]).select(
+        "part1", "part2", "side", "doc_id", "size", "component", "sketch")
+
+
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
 
     Documents are linked where the Jaccard similarity of their sets of 5-word
     shingles (A-Z lower-cased; fewer words: the whole sequence as one shingle)
     is at least 0.8; component_id is the smallest id that links reach.  Null,
-    empty and wordless texts have no shingle and link with nothing.  Ids are
-    expected to be unique; a row without id is returned with null component.
-    An empty table gives none; other columns are not read.
+    empty and wordless texts have no shingle and link with nothing.  Rows that
+    repeat an id are one document with several texts, which links what any of
+    them links; each is returned with its own set size.  A row without id is
+    returned with null component.  An empty table gives none; other columns are
+    not read.
     """
     spark = docs.sparkSession
     runtime.prepare(spark)
@@ -448,35 +496,38 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "key", "doc_id", "size", (F.col("pos") < F.col("front")).cast("int").alias("front"))
     lists = scratch.cut(
         postings.repartition(n, "key").sortWithinPartitions("key")
-        .mapInArrow(_lists, "list1 long, list2 long, ids array<long>, sizes array<int>")
-        .dropDuplicates(["list1", "list2"]), "lists")
+        .mapInArrow(_lists, "list1 long, list2 long, blocks int, block int, ids array<long>, sizes array<int>")
+        .dropDuplicates(["list1", "list2", "block"]), "lists")
 
     sketches = full.select("doc_id", "size", "sketch")
     other = sketches.toDF("y", "other_size", "other")
     hubs = scratch.cut(
-        lists.mapInArrow(_hub_pairs, "x long, y long").distinct()
+        lists.select("ids", "sizes").mapInArrow(_hub_pairs, "x long, y long").where("x <> y").distinct()
         .join(sketches.withColumnRenamed("doc_id", "x"), "x").join(other, "y")
         .select("x", "y", "size", "other_size", "sketch", "other").mapInArrow(_plausible, "x long, y long"), "hubs")
-    links = scratch.cut(_verified(hubs, _texts_of(hubs, texts.hint("merge"))), "links")
+    links = scratch.cut(_verified(hubs, _texts_of(hubs, texts.hint("merge"))).unionByName(_of_one_id(full, sets)), "links")
     joined = connected_components(links, scratch)
 
-    long_lists = lists.where(F.size("ids") > 2).select("list1", "list2", F.explode("ids").alias("doc_id"))
-    described = long_lists.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "list1", "list2", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    members = lists.where("blocks > 1 OR size(ids) > 2").select("list1", "list2", "blocks", F.explode("ids").alias("doc_id"))
+    described = members.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "list1", "list2", "blocks", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     unsettled = described.groupBy("list1", "list2").agg(
         F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("list1", "list2")
+    apart = described.join(unsettled, ["list1", "list2"], "left_semi").join(sketches, "doc_id")
+    short = apart.where("blocks = 1").select(
+        F.col("list1").alias("part1"), F.col("list2").alias("part2"), F.lit(0).alias("side"), "doc_id", "size", "component", "sketch")
+    long = scratch.cut(apart.where("blocks > 1").drop("blocks").dropDuplicates(["list1", "list2", "doc_id", "size", "sketch"]), "long")
     rest = (
-        described.join(unsettled, ["list1", "list2"], "left_semi").join(sketches, "doc_id")
-        .select("list1", "list2", "doc_id", "size", "component", "sketch")
-        .repartition(n, "list1", "list2").sortWithinPartitions("list1", "list2")
-        .mapInArrow(_open_pairs, "x long, y long").distinct()
+        short.unionByName(_parts_of_long_lists(long))
+        .repartition(n, "part1", "part2").sortWithinPartitions("part1", "part2")
+        .mapInArrow(_open_pairs, "x long, y long").where("x <> y").distinct()
         .join(hubs, ["x", "y"], "left_anti")
     )
     rest = scratch.cut(rest, "rest")
     if not rest.isEmpty():
         more = scratch.cut(_verified(rest, _texts_of(rest, texts)), "more")
         joined = connected_components(links.unionByName(more), scratch)
-    scratch.drop(lists)
+    scratch.drop(lists, long)
 
     of_set = sets.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("component", "rep").alias("component"))

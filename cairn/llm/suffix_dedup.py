@@ -83,7 +83,7 @@ def sparse_suffixes(docs: DataFrame) -> DataFrame:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All ``MIN_WORDS``-word windows of the asked contexts of each text, each once; their head is their key."""
+    """All ``MIN_WORDS``-word windows of the asked contexts of each text, each once; their head is another hash of the same words."""
     for b in batches:
         ids, asked = b.column("doc_id").to_pylist(), b.column("asked").to_pylist()
         for block in wordhash.blocks(b.column("text")):
@@ -95,20 +95,20 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts.append(own[own + MIN_WORDS <= block.words[d + 1]])
                 docs.append(np.full(len(starts[-1]), d))
             at, doc = np.concatenate(starts), np.concatenate(docs)
-            key = wordhash.as_long(wordhash.ngram_hashes_at(words, at, MIN_WORDS))
-            yield runtime.batch(_SUFFIX, head=key, key=key, doc_id=np.array(ids, dtype=np.int64)[block.first + doc],
+            head, key = (wordhash.as_long(wordhash.ngram_hashes_at(words, at, MIN_WORDS, other)) for other in (False, True))
+            yield runtime.batch(_SUFFIX, head=head, key=key, doc_id=np.array(ids, dtype=np.int64)[block.first + doc],
                                 pos=(at - block.words[doc]).astype(np.int32), size=np.full(len(at), MIN_WORDS, dtype=np.int32))
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes whose predecessor in sorted order has the same key, with the first of their run.
+    """Suffixes whose predecessor in sorted order has the same head and key (128 bits), with the first of their run.
 
     The run at which a partition begins may have begun earlier: its rows (edge
     1) are settled once the first suffix of each last run (edge 2) is known.
     The first suffix of each key is given as well (edge 3) where its head has
     other keys, or may have them in another partition.
     """
-    opening, key, doc, pos = None, None, 0, 0  # the first run's key; the current run's key and first suffix
+    opening, head, key, doc, pos = None, None, None, 0, 0  # the first run's key; the current run's head, key and first suffix
     first_run = True
     first_head, held = None, None  # the first run's head; the latest run's first row, and if its head had a key before
     for b in batches:
@@ -116,20 +116,20 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         h, x, d, p, size = (b.column(c).to_numpy() for c in ("head", "key", "doc_id", "pos", "size"))
         new = np.ones(len(x), dtype=bool)
-        new[1:] = x[1:] != x[:-1]
-        new[0] = key is None or x[0] != key
+        new[1:] = (x[1:] != x[:-1]) | (h[1:] != h[:-1])
+        new[0] = key is None or x[0] != key or h[0] != head
         start = np.maximum.accumulate(np.where(new, np.arange(len(x)), -1))
         first_d, first_p = np.where(start >= 0, d[start], doc), np.where(start >= 0, p[start], pos)
         edge = np.zeros(len(x), dtype=np.int32)
+        first_head = h[0] if first_head is None else first_head
         if first_run:
             opening = x[0] if opening is None else opening
-            other = np.flatnonzero(x != opening)
+            other = np.flatnonzero((x != opening) | (h != first_head))
             edge[: other[0] if len(other) else len(x)] = 1
             first_run = not len(other)
         k = np.flatnonzero(~new | (edge > 0))
         yield runtime.batch(_MATCH_ARROW, key=x[k], doc_id=d[k], pos=p[k], size=size[k], ref_doc=first_d[k],
                             ref_pos=first_p[k].astype(np.int32), edge=edge[k])
-        first_head = h[0] if first_head is None else first_head
         r = np.flatnonzero(new)
         if len(r):
             rows = np.stack([c[r].astype(np.int64) for c in (h, x, d, p, size)])
@@ -140,7 +140,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = np.append(later, same)
             yield _firsts(rows[:, :-1][:, same | before[:-1] | (rows[0, :-1] == first_head)])
             held = rows[:, -1], before[-1]
-        key, doc, pos = x[-1], first_d[-1], first_p[-1]
+        head, key, doc, pos = h[-1], x[-1], first_d[-1], first_p[-1]
     if held is not None:
         yield _firsts(held[0][:, None])
     if key is not None and not first_run:

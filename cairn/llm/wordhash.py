@@ -1,9 +1,10 @@
 """Words of whole texts and their 64-bit hashes, on flat numpy arrays.
 
 A word is a longest run of bytes outside 0x20 and 0x09-0x0D, so UTF-8 needs no
-decoding.  Word hashes are differences of a running polynomial sum over random
-byte codes, taken modulo 2**64; every pass is one numpy operation over all
-bytes of a block of documents.
+decoding.  A word's hash is the sum of its bytes' random codes, each times a
+random number of its place in the word, modulo 2**64: no arrangement of letters
+makes such sums equal but by chance, as it does for powers of one base.  Every
+pass is one numpy operation over all bytes of a block of documents.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ _CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint6
 _LOWER_CODES = _CODES.copy()
 _LOWER_CODES[65:91] = _CODES[97:123]
 _ODD = _rng.integers(1, 2**63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD_TOO = _rng.integers(1, 2**63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[str, np.ndarray] = {}
@@ -48,6 +50,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _of_place(place: np.ndarray) -> np.ndarray:
+    """A random odd number for each place in a word."""
+    return mix((place.astype(np.uint64) + np.uint64(1)) * _BASE) | np.uint64(1)
+
+
+#: Places whose numbers are kept; those of farther ones are made when a word is that long.
+_PLACES = 1 << 16
+_OF_PLACE = _of_place(np.arange(_PLACES))
+
+
 @dataclass
 class Block:
     """Texts of consecutive documents and the places of their words."""
@@ -65,12 +77,29 @@ class Block:
 
     def hashes(self, lower: bool = True) -> np.ndarray:
         """One mixed 64-bit hash for each word; A-Z are taken as a-z if lower."""
+        if not len(self.starts):
+            return np.zeros(0, dtype=np.uint64)
+        first, n = int(self.starts[0]), len(self.data)
+        begins = self.starts.astype(np.int32) if n < 1 << 31 else self.starts
+        place = np.arange(first, n, dtype=begins.dtype)
+        place -= np.repeat(begins, np.diff(np.append(begins, begins.dtype.type(n))))
+        terms = _OF_PLACE[place & (_PLACES - 1)]
+        if (self.ends - self.starts).max() > _PLACES:
+            far = np.flatnonzero(place >= _PLACES)
+            terms[far] = _of_place(place[far])
+        terms *= (_LOWER_CODES if lower else _CODES)[self.data[first:]]
+        sums = np.zeros(n - first + 1, dtype=np.uint64)
+        np.cumsum(terms, out=sums[1:])
+        return mix(sums[self.ends - first] - sums[self.starts - first])
+
+    def table_keys(self) -> np.ndarray:
+        """A 64-bit number for each word by powers of one base: quick, for tables that compare the bytes as well."""
         if not len(self.starts):
             return np.zeros(0, dtype=np.uint64)
         up, down = _power_tables(len(self.data))
         sums = np.empty(len(self.data) + 1, dtype=np.uint64)
         sums[0] = 0
-        np.cumsum((_LOWER_CODES if lower else _CODES)[self.data] * up, out=sums[1:])
+        np.cumsum(_CODES[self.data] * up, out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
 
@@ -129,11 +158,12 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
-def ngram_hashes_at(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """``ngram_hashes(words, n)[at]`` without the other windows."""
-    total = words[at] * _ODD[0]
+def ngram_hashes_at(words: np.ndarray, at: np.ndarray, n: int, other: bool = False) -> np.ndarray:
+    """``ngram_hashes(words, n)[at]`` without the other windows; if ``other``, a second hash of the same windows."""
+    odd = _ODD_TOO if other else _ODD
+    total = words[at] * odd[0]
     for j in range(1, n):
-        total = total + words[at + j] * _ODD[j]
+        total = total + words[at + j] * odd[j]
     return mix(total)
 
 

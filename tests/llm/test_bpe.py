@@ -68,3 +68,19 @@ def test_library_behind_memory(library):
 def test_overlapping_pairs():
     chosen = np.array([1, 1, 1, 0, 1, 0, 1, 1], dtype=bool)
     assert bpe._without_overlap(chosen).tolist() == [True, False, True, False, True, False, True, False]
+
+
+@pytest.mark.parametrize("part, value", [
+    ("normalizer", {"type": "NFC"}), ("pre_tokenizer", {"type": "Whitespace"}), ("decoder", None),
+    ("pre_tokenizer", {"type": "ByteLevel", "add_prefix_space": True}), ("model", {"type": "BPE", "ignore_merges": True}),
+    ("added_tokens", [{"id": 1, "content": "x", "lstrip": True}])])
+def test_settings_that_are_not_supported(tmp_path, part, value):
+    import json
+
+    spec = {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}, "decoder": {"type": "ByteLevel"}, "model": {"type": "BPE"}}
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps(spec))
+    assert bpe.read_settings(str(path)) == spec
+    path.write_text(json.dumps({**spec, part: value}))
+    with pytest.raises(ValueError, match="not supported"):
+        bpe.PreTokenizer.load(str(path))

@@ -170,19 +170,38 @@ def test_ngram_boundary_both_sides(spark, words, monkeypatch):
         assert {i: v[0] for i, v in got.items()} == want
 
 
-@pytest.mark.parametrize("block", [2, 4, 6, 10])
-def test_ngram_blocks_bring_all_pairs_together(monkeypatch, block):
+@pytest.mark.parametrize("block", [2, 8, 2048])
+def test_ngram_parts_bring_open_pairs_together(spark, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "LIST_BLOCK", block)
     rng = np.random.default_rng(block)
-    cases = [[100] * (2 * block) + [200] * (block // 2 + 1), [10] * block + [100] * block + [1000] * 3]
-    cases += [np.sort(rng.choice([10, 12, 20, 21, 40, 90, 100], rng.integers(2, 40))) for _ in range(200)]
-    for sizes in map(np.array, cases):
-        together = {(x, y) for part in ngram_join._blocks(sizes) for x in part.tolist() for y in part.tolist() if x < y}
-        assert together >= {(x, y) for y in range(len(sizes)) for x in range(y) if 100 * sizes[x] >= 80 * sizes[y]}
-
-
-def test_ngram_small_blocks_and_chunks(spark, words, monkeypatch):
-    monkeypatch.setattr(ngram_join, "LIST_BLOCK", 6)
+    rows = []
+    for k in range(12):
+        sizes = rng.choice([10, 12, 20, 21, 40, 90, 100] if k else [100], rng.integers(2, 40))
+        rows += [(k, 7, i, int(s), int(c), b"x") for i, (s, c) in enumerate(zip(sizes, rng.integers(0, 1 + k, len(sizes))))]
+    members = spark.createDataFrame(rows, "list1 long, list2 long, doc_id long, size int, component long, sketch binary")
+    parts = collections.defaultdict(list)
+    for r in ngram_join._parts_of_long_lists(members).collect():
+        parts[r.part1, r.part2].append(r)
+    met = collections.Counter()
+    for own in parts.values():
+        met.update({(min(x.doc_id, y.doc_id), max(x.doc_id, y.doc_id), x.size + y.size) for i, x in enumerate(own) for y in own[:i] if x.side + y.side < 2})
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[2] < y[2] and x[4] != y[4] and 100 * min(x[3], y[3]) >= 80 * max(x[3], y[3]):
+                assert met[x[2], y[2], x[3] + y[3]]
+
+
+def test_ngram_blocks_of_a_long_list_share_a_member(monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIST_BLOCK", 4)
+    for n in range(2, 30):
+        parts = [list(range(n))[p] for p in ngram_join._blocks(n)]
+        assert sorted({x for p in parts for x in p}) == list(range(n)) and all(2 <= len(p) <= 5 for p in parts)
+        assert all(a[-1] == b[0] for a, b in zip(parts, parts[1:]))
+
+
+@pytest.mark.parametrize("block", [2, 8, 2048])
+def test_ngram_small_blocks_and_chunks(spark, words, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "LIST_BLOCK", block)
     monkeypatch.setattr(ngram_join, "HUB_CHUNK", 2)
     rows = [(i, " ".join([*words[:i], f"new{i}", *words[i + 1 : 60 if i < 25 else 130]])) for i in range(40)]  # near copies of two sizes
     rows += [(100 + i, " ".join([*words[900:940], *words[1000 + i * 20 : 1012 + i * 20 + 90 * (i % 3)]])) for i in range(25)]
@@ -196,6 +215,47 @@ def test_ngram_small_blocks_and_chunks(spark, words, monkeypatch):
     assert {i: v[0] for i, v in got.items()} == jaccard_classes(sequences(docs))
 
 
+def test_ngram_repeated_ids(spark, words):
+    a, b, c = (" ".join(words[k : k + 60]) for k in (0, 300, 600))
+    rows = [(1, a), (2, b), (5, a + " end"), (5, b), (7, c), (7, c), (8, c), (9, "z " + b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_id(ngram_join.similarity_classes(docs), "n_shingles", "component_id")
+    assert got == {1: [(56, 1)], 2: [(56, 1)], 5: got[5], 7: [(56, 7)] * 2, 8: [(56, 7)], 9: [(57, 1)]}
+    assert sorted(got[5]) == [(56, 1), (57, 1)]
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_arranged_letters_do_not_collide(spark, words):
+    one, two = "zzzzzzzz" + thue_morse(2048, "ab"), "zzzzzzzz" + thue_morse(2048, "ba")
+    docs = spark.createDataFrame(
+        [(1, one), (2, two), (3, " ".join([one] * 60)), (4, " ".join([two] * 60)), (5, " ".join([*words[:15], one, *words[15:30]])),
+         (6, " ".join([*words[:15], two, *words[15:30]]))], "doc_id long, text string")
+    classes = by_id(ngram_join.similarity_classes(docs), "component_id")
+    assert classes == {i: [(i,)] for i in range(1, 7)}
+    assert {r.doc_id for r in suffix_dedup.repeated_passages(docs).collect()} == {3, 4}  # in themselves
+    clusters = by_id(packing.pieces(docs.selectExpr("*", "'s' AS source")), "cluster")
+    assert len({c for c, in (v[0] for v in clusters.values())}) == 6
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    ids = {r.doc_id: library.encode(r.text, add_special_tokens=False).ids for r in docs.collect()}
+    encoded = by_id(bpe_documents.encode(docs.coalesce(1), tokenizer_path()), "ids")
+    assert {i: v[0][0] for i, v in encoded.items()} == ids
+    written = token_files.write_token_files(docs.coalesce(1), tokenizer_path())
+    assert {r.doc_id: list(np.frombuffer(r.ids, "<u4")) for r in written.read().collect()} == {i: [*v, 0] for i, v in ids.items()}
+
+
+def test_long_single_words(spark):
+    word = "x" * 70_000
+    docs = spark.createDataFrame([(1, word + "a"), (2, word + "b"), (3, word + "a"), (4, None)], "doc_id long, text string")
+    assert by_id(ngram_join.similarity_classes(docs), "n_shingles", "component_id") == {1: [(1, 1)], 2: [(1, 2)], 3: [(1, 1)], 4: [(0, 4)]}
+    trip = by_id(bpe_documents.round_trip(docs, tokenizer_path()), "decoded_sha256")
+    assert {i: v[0][0] for i, v in trip.items()} == {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect()}
+
+
 def test_boundary_by_cost():
     assert ngram_join.boundary({100: 10}, 1.0, 1.0) == 0
     assert ngram_join.boundary({10: 1000}, 0.0, 0.0) == 0  # 6 subsets against 3 postings
