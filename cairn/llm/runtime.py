@@ -16,8 +16,14 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes and let Python workers import this library."""
-    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    """Bound Arrow batches by bytes and let Python workers import this library.
+
+    A smaller bound that the session has stays.  Workers on other machines need
+    the library installed there or sent with ``addPyFile``.
+    """
+    known = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < known <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
     if _ROOT not in paths:

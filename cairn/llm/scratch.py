@@ -1,13 +1,16 @@
 """Intermediate tables in the folder that driver and executors share.
 
 The folder is the one named by ``spark.checkpoint.dir``; only where that is
-unset (tests on one machine) a temporary folder is made.  Cutting a plan with a
-written table survives the loss of executors, which ``localCheckpoint`` does
-not, and computes the plan once, which ``checkpoint`` without a cache does not.
+unset and the master is a local one (tests) a temporary folder is made, which
+goes when the process ends.  Cutting a plan with a written table survives the
+loss of executors, which ``localCheckpoint`` does not, and computes the plan
+once, which ``checkpoint`` without a cache does not.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,13 +21,18 @@ _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the shared folder, without a trailing slash."""
+    """URI of the shared folder, without a trailing slash; ValueError on a cluster that names none."""
     global _own_dir
     named = spark.conf.get(_CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"{_CHECKPOINT_DIR} must name a folder that driver and executors share")
     if _own_dir is None:
-        _own_dir = "file://" + tempfile.mkdtemp(prefix="cairn-")
+        folder = tempfile.mkdtemp(prefix="cairn-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own_dir = "file://" + folder
     return _own_dir
 
 
