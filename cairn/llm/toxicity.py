@@ -36,7 +36,7 @@ LEAST_WEIGHT = 0.3
 _PART = 1 << 20
 #: A sentence with at least this probability is reported as offending.
 OFFENDING = 0.5
-#: Words after which a sentence without an end is cut.
+#: Words of the longest sentence: every longer one, of training or scored texts, counts as sentences of this many words.
 LONGEST_SENTENCE = 40
 
 _ENDS = np.zeros(256, dtype=bool)
@@ -180,7 +180,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           max_words: int = TRAIN_WORDS, epochs: int = EPOCHS) -> Model:
     """Fit on a bounded sample of labelled documents; none give the model that scores near 0.
 
-    Both bounds are spent in order of an id hash, so the sample is a random one.
+    Both bounds are spent in order of an id hash, so the sample is a random one;
+    a text that alone exceeds the bound of words is passed over.  Of several
+    labels of one id the largest counts, null labels and labels without id do
+    not; each text of a repeated id is a document of the sample.
     """
     runtime.prepare(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "toxicity")
@@ -195,7 +198,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # straight into the arrays of the whole sample: the driver holds it once
     features = np.empty((1 + len(PREFIXES), total), dtype=np.int32)
     firsts, label = [np.zeros(0, dtype=np.int64)] * len(taken), np.zeros(len(taken))
-    for r in sample.toLocalIterator():
+    # only what is taken reaches the driver, so its words are bounded by max_words
+    wanted = docs.sparkSession.createDataFrame([(k, max_words) for k in sorted({d for d, _ in taken})] or [(None, 0)], "doc_id long, most int")
+    for r in sample.join(F.broadcast(wanted), "doc_id").where("words <= most").drop("most").toLocalIterator():
         free = places.get((r.doc_id, r.words))
         if free:
             k, at = free.pop()
