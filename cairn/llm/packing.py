@@ -1,7 +1,8 @@
 """Conflict-constrained best-fit packing of documents into training sequences.
 
 Pieces of documents are dealt by a hash of the document id to shards of bounded
-size; each shard is packed on its own.  In a shard the open bins are kept in
+size (rows that repeat an id, and rows without one, by a hash of their place as
+well); each shard is packed on its own.  In a shard the open bins are kept in
 order of residual capacity, and each carries a bitmap of the sources and one of
 the duplicate clusters that it holds.  A piece, in falling order of length,
 searches from the tightest bin that it fits to ever looser successors until one
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ SHARD_DOCUMENTS = 4096
 #: Bins of one step of the successor search.
 _STEP = 64
 
-PIECES = "doc_id long, piece int, start int, length int, source string, cluster long"
+PIECES = "doc_id long, piece int, start int, length int, source string, cluster long, deal long"
 PACKED = "doc_id long, piece int, start int, length int, shard long, bin int, at int"
 _PACKED_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int32()), ("length", pa.int32()),
@@ -124,19 +126,57 @@ def _dense(values: np.ndarray, only_repeated: bool = False) -> np.ndarray:
     return out
 
 
+class _Seen:
+    """Ids that a task has met, in sorted arrays of growing length."""
+
+    def __init__(self) -> None:
+        self.parts: list[np.ndarray] = []
+
+    def repeats(self, ids: np.ndarray) -> np.ndarray:
+        """Which of the ids an earlier row has."""
+        own, first = np.unique(ids, return_index=True)
+        again = np.ones(len(ids), dtype=bool)
+        again[first] = False
+        for part in self.parts:
+            at = np.minimum(np.searchsorted(part, ids), len(part) - 1)
+            again |= part[at] == ids
+        self.parts.append(own)
+        while len(self.parts) > 1 and 2 * len(self.parts[-1]) >= len(self.parts[-2]):
+            self.parts[-2:] = [np.union1d(self.parts[-2], self.parts[-1])]
+        return again
+
+
+def _deal(ids: pa.Array, seen: _Seen, place: int) -> np.ndarray:
+    """The number by which each row is dealt; ``place`` is that of the first row among all rows."""
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    values = ids.fill_null(0).to_numpy().astype(np.uint64)
+    salted = null.copy()
+    known = np.flatnonzero(~null)
+    if len(known):
+        salted[known] = seen.repeats(values[known])
+    places = (np.arange(len(ids)) + place + 1).astype(np.uint64)
+    return wordhash.as_long(wordhash.mix(values ^ np.where(salted, wordhash.mix(places), np.uint64(0))))
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source") -> DataFrame:
     """Cut each document into pieces of at most ``capacity`` words.
 
     The cluster is a hash of the lower-cased word sequence.  A document without
-    words is one piece of length 0 and of no cluster.
+    words is one piece of length 0 and of no cluster.  ``deal`` is a hash of the
+    id for the first row of an id in a task, and of the task and the row's
+    number too for the rows that repeat it there.
     """
     runtime.prepare(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int32()),
-                        ("length", pa.int32()), ("source", pa.string()), ("cluster", pa.int64())])
+                        ("length", pa.int32()), ("source", pa.string()), ("cluster", pa.int64()), ("deal", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, place = _Seen(), TaskContext.get().partitionId() << 40
         for b in batches:
+            ids = b.column("doc_id").cast(pa.int64())
+            deal = _deal(ids, seen, place)
+            place += b.num_rows
             counts, cluster = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
             for block in wordhash.blocks(b.column("text")):
                 words = block.hashes()
@@ -152,11 +192,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", te
             piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             start = piece * capacity
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id").cast(pa.int64()).take(pa.array(row)), pa.array(piece.astype(np.int32)),
+                ids.take(pa.array(row)), pa.array(piece.astype(np.int32)),
                 pa.array(start.astype(np.int32)),
                 pa.array(np.minimum(capacity, counts[row] - start).astype(np.int32)),
                 b.column("source").cast(pa.string()).take(pa.array(row)),
-                pa.array(cluster[row], mask=counts[row] == 0)], schema=schema)
+                pa.array(cluster[row], mask=counts[row] == 0), pa.array(deal[row])], schema=schema)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(source_col).alias("source")).mapInArrow(run, PIECES)
@@ -170,14 +210,16 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_documents: i
     at most ``capacity``.  A bin holds no two documents of one source or of one
     duplicate cluster; a null source conflicts with nothing.  A document without
     words has a piece of length 0.  Every row of the input is packed, repeated
-    rows too (as copies, which conflict); an empty table gives none.
+    rows too (as copies, which conflict where they meet in a shard); rows without
+    id and rows that repeat one are spread over all shards.  An empty table gives
+    none; other columns are not read.
     """
     spark = docs.sparkSession
     shards = max(1, -(-docs.count() // shard_documents))
     parts = min(shards, max(runtime.partitions_for(spark), shards // 8))
     cut = pieces(docs, capacity, id_col, text_col, source_col)
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
-    dealt = cut.select(shard, "*").repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "piece")
+    shard = F.pmod("deal", F.lit(shards)).alias("shard")
+    dealt = cut.select(shard, "*").drop("deal").repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "piece")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in runtime.sorted_runs(batches, ["shard"]):
