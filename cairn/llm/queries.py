@@ -64,6 +64,13 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def url_mirror_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Redirect equivalence at work: pages of example.com and example.net redirect to the same page of example.org."""
+    pages = _table(spark, sf_dir, "pages")
+    redirects = pages.select(F.col("url").alias("from_url"), F.regexp_replace("url", r"example\.(com|net)", "example.org").alias("to_url"))
+    return url_filters.filter_urls(pages, redirects=redirects).select("page_id", "component", "rule", "verdict", "basis")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -100,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_warc": op3_warc,
         "op4_url_filters": op4_url_filters,
+        "url_mirror_classes": url_mirror_classes,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_token_files": op6_token_files,
         "op7_embedding_dedup": op7_embedding_dedup,
@@ -115,5 +123,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_ngram_jaccard_join": sql.NGRAM_JOIN,
         "op3_warc": sql.WARC,
         "op4_url_filters": sql.URL_FILTERS,
+        "url_mirror_classes": sql.URL_MIRRORS,
         "op8_quality_rules": sql.QUALITY,
     }

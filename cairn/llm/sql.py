@@ -30,7 +30,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-#: The pages of the given tables hold no canonical link and no refresh, so the method adds no verdict to the rules'.
+#: The pages of the given tables hold no canonical link and no refresh, so the method adds no verdict to the rules'; see URL_MIRRORS.
 URL_FILTERS = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -50,6 +50,39 @@ SELECT s.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM split s LEFT JOIN fits f ON f.page_id = s.page_id AND k = 1
 """
 
+URL_MIRRORS = r"""
+WITH RECURSIVE urls AS (
+  SELECT page_id, url, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+    regexp_replace(url, 'example\.(com|net)', 'example.org', 'g') AS target FROM pages),
+named AS (
+  SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1)
+      || regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS node, target FROM urls),
+ends AS (
+  SELECT page_id, node, substr(target, strpos(target, '://') + 3) AS t FROM named),
+edges AS (
+  SELECT DISTINCT node AS a, lower(regexp_extract(t, '^[^/?#]*')) || regexp_extract(t, '^[^/?#]*([^?#]*)', 1)
+      || regexp_extract(t, '^[^?#]*(\?[^#]*)', 1) AS b FROM ends WHERE node <> ''),
+links AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+classes AS (SELECT a AS node, min(b) AS component FROM reached GROUP BY a),
+rules(action, rhost, rpath) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+nodes AS (SELECT node FROM classes UNION SELECT node FROM ends),
+fits AS (
+  SELECT node, rhost || rpath AS rule, action,
+    row_number() OVER (PARTITION BY node ORDER BY length(rhost || rpath) DESC, action) AS k
+  FROM nodes JOIN rules ON (regexp_extract(node, '^[^/?#]*') = rhost OR ends_with(regexp_extract(node, '^[^/?#]*'), '.' || rhost))
+    AND starts_with(regexp_extract(node, '^[^/?#]*([^?#]*)', 1), rpath)),
+passed AS (
+  SELECT component, CASE WHEN bool_or(action = 'allow') THEN 'allow' WHEN bool_or(action = 'block') THEN 'block' END AS passed
+  FROM classes c LEFT JOIN fits f ON f.node = c.node AND k = 1 GROUP BY component)
+SELECT page_id, c.component, rule, coalesce(action, passed, 'allow') AS verdict,
+  CASE WHEN rule IS NOT NULL THEN 'rule' WHEN passed IS NOT NULL THEN 'alias' ELSE 'default' END AS basis
+FROM ends e LEFT JOIN fits f ON f.node = e.node AND k = 1 LEFT JOIN classes c ON c.node = e.node
+LEFT JOIN passed p ON p.component = c.component
+"""
+
 WARC = r"""
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),

@@ -41,8 +41,12 @@ PRODUCTION_RULES = (
 DEFAULT_VERDICT = "allow"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\bcontent\s*=\s*[\"'][^\"'>]*?url\s*=\s*'?([^\"'\s>]+)"
+_VALUE = r"(\"[^\">]*\"|'[^'>]*'|[^\s\"'>]+)"
+_TOKEN = r"(?:\"(?:[^\">]*\s)?{0}(?=[\s\"])|'(?:[^'>]*\s)?{0}(?=[\s'])|{0}(?=[\s/>]))"
+_CANONICAL = r"(?is)<link\b(?=[^>]*\srel\s*=\s*" + _TOKEN.format("canonical") + r")[^>]*?\shref\s*=\s*" + _VALUE
+_REFRESH = r"(?is)<meta\b(?=[^>]*\shttp-equiv\s*=\s*" + _TOKEN.format("refresh") + r")[^>]*?\scontent\s*=\s*" + _VALUE
+_BASE = r"(?is)<base\b[^>]*?\shref\s*=\s*" + _VALUE
+_REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'>]*)"
 
 
 def url_host(url: Column) -> Column:
@@ -84,23 +88,77 @@ def explicit_rule(host: Column, path: Column, rules: tuple[UrlRule, ...] = PRODU
     return chain.otherwise(F.lit(None)) if ranked else F.lit(None).cast("struct<rule:string,action:string>")
 
 
+def _attribute(raw: Column) -> Column:
+    """An attribute's value without quotes, with the references to ``&`` decoded."""
+    return F.trim(F.regexp_replace(F.regexp_replace(raw, "^[\"']|[\"']$", ""), "&amp;|&#38;|&#[xX]26;", "&"))
+
+
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that begins with ``/`` without its ``.`` and ``..`` segments (RFC 3986, 5.2.4)."""
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", kept).otherwise(F.array_append(kept, part))
+
+    def joined(parts: Column) -> Column:
+        return _bind(F.aggregate(parts, F.array().cast("array<string>"), step), lambda kept: F.concat(
+            F.lit("/"), F.array_join(kept, "/"),
+            F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")))
+
+    return F.when(path.contains("/."), _bind(F.split(F.substr(path, F.lit(2)), "/"), joined)).otherwise(path)
+
+
+def resolve(base: Column, reference: Column) -> Column:
+    """The URL that a reference names on a page (RFC 3986, 5.2); null where it names none with a host.
+
+    Scheme and fragment matter for no node, so ``http`` stands for a scheme that the reference takes from its base.
+    """
+    def whole(of_base: Column, ref: Column) -> Column:
+        scheme = F.regexp_extract(ref, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+
+        def absolute(own: Column) -> Column:
+            path, query = F.regexp_extract(own, r"(?s)^[^?]*", 0), F.regexp_extract(own, r"(?s)\?.*$", 0)
+            folder = F.when(of_base["path"] == "", "/").otherwise(F.regexp_extract(of_base["path"], r"(?s)^.*/", 0))
+            full = F.when(path == "", of_base["path"]).when(path.startswith("/"), path).otherwise(F.concat(folder, path))
+            return F.when(own.startswith("//"), F.concat(F.lit("http:"), own)).when(
+                (scheme == "") & (of_base["host"] != "") & (own != ""), F.concat(F.lit("http://"), of_base["host"], full, query))
+
+        return _bind(F.when(scheme != "", F.substr(ref, F.length(scheme) + 2)).otherwise(ref), absolute)
+
+    def cleaned(target: Column) -> Column:
+        path = _bind(url_path(target), lambda p: F.when(p.startswith("/"), _without_dots(p)).otherwise(p))
+        return F.when(url_host(target) != "", F.concat(F.lit("http://"), url_host(target), path, F.regexp_extract(target, r"(?s)\?.*$", 0)))
+
+    def of(base_url: Column) -> Column:
+        parts = F.struct(url_host(base_url).alias("host"), url_path(base_url).alias("path"))
+        return _bind(parts, lambda p: _bind(F.regexp_extract(reference, r"(?s)^[^#]*", 0), lambda ref: whole(p, ref)))
+
+    return _bind(_bind(base, of), cleaned)
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str | None = "html",
                 redirects: DataFrame | None = None) -> DataFrame:
     """Edges ``src``, ``dst`` between URL nodes: canonical links, refreshes and recorded redirects.
 
-    Relative targets that start with ``/`` are taken at the page's host.
-    redirects: optional table with columns ``from_url`` and ``to_url``.
+    All links of a page count; relative ones are resolved against the page's
+    URL, or its first ``<base href>``.  redirects: optional table with columns
+    ``from_url`` and ``to_url``.  Nulls, targets without a host, links of a page
+    to itself and pages whose URL has no host give no edge; repeated rows give
+    repeated edges; empty tables give none.
     """
     found = None
     if html_col is not None:
         html, url = F.col(html_col), F.col(url_col)
-        linked = pages.where(html.contains("canonical") | html.contains("http-equiv") | F.lower(html).rlike(
-            "canonical|http-equiv"))
-        targets = linked.select(url.alias("u"), F.explode(F.array(
-            F.regexp_extract(html, _CANONICAL, 1), F.regexp_extract(html, _REFRESH, 1))).alias("t")).where("t <> ''")
-        absolute = F.when(F.col("t").startswith("//"), F.concat(F.lit("http:"), "t")).when(
-            F.col("t").startswith("/"), F.concat(F.lit("http://"), url_host(F.col("u")), F.col("t"))).otherwise(F.col("t"))
-        found = targets.select(url_node(F.col("u")).alias("src"), url_node(absolute).alias("dst"))
+        linked = pages.where(html.rlike("(?i)canonical|http-equiv")).select(url.alias("u"), html.alias("h"))
+        refreshed = F.transform(F.regexp_extract_all("h", F.lit(_REFRESH), 1), lambda v: F.regexp_extract(_attribute(v), _REFRESH_URL, 1))
+        canonical = F.transform(F.regexp_extract_all("h", F.lit(_CANONICAL), 1), _attribute)
+        based = F.coalesce(resolve(F.col("u"), _attribute(F.regexp_extract("h", _BASE, 1))), F.col("u"))
+        targets = linked.select("u", based.alias("base"), F.explode(F.concat(canonical, refreshed)).alias("t")).where("t <> ''")
+        found = targets.select(url_node(F.col("u")).alias("src"), _bind(resolve(F.col("base"), F.col("t")), url_node).alias("dst"))
     if redirects is not None:
         recorded = redirects.select(url_node(F.col("from_url")).alias("src"), url_node(F.col("to_url")).alias("dst"))
         found = recorded if found is None else found.unionByName(recorded)

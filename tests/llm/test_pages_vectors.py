@@ -97,6 +97,26 @@ def test_aliases(spark):
     assert judged(url_filters.filter_urls(pages, redirects=redirects))[6][3:] == ("block", "alias")
 
 
+@pytest.mark.parametrize("reference, target", [  # the examples of RFC 3986, 5.4, for the base http://a/b/c/d;p?q, without scheme and fragment
+    ("g:h", None), ("g", "a/b/c/g"), ("./g", "a/b/c/g"), ("g/", "a/b/c/g/"), ("/g", "a/g"), ("//g", "g"), ("?y", "a/b/c/d;p?y"), ("g?y", "a/b/c/g?y"),
+    ("#s", None), ("g#s", "a/b/c/g"), (";x", "a/b/c/;x"), ("g;x?y#s", "a/b/c/g;x?y"), ("", None), (".", "a/b/c/"), ("./", "a/b/c/"), ("..", "a/b/"),
+    ("../", "a/b/"), ("../g", "a/b/g"), ("../..", "a/"), ("../../g", "a/g"), ("../../../g", "a/g"), ("/./g", "a/g"), ("/../g", "a/g"), ("g.", "a/b/c/g."),
+    ("..g", "a/b/c/..g"), ("./g/.", "a/b/c/g/"), ("g/../h", "a/b/c/h"), ("g;x=1/../y", "a/b/c/y"), ("g?y/../x", "a/b/c/g?y/../x"), ("https://H/x/../y?z", "h/y?z"),
+    ("mailto:a@b", None)])
+def test_references(spark, reference, target):
+    df = spark.createDataFrame([("http://a/b/c/d;p?q", reference)], "base string, ref string")
+    assert df.select(url_filters.url_node(url_filters.resolve(F.col("base"), F.col("ref"))).alias("t")).first().t == target
+
+
+def test_links_of_a_page(spark):
+    rows = [("http://a.net/x/1", """<base href="/y/z"><LINK href=2 rel='alternate canonical'><link rel=canonical href="?p=1&amp;q=2">"""),
+            ("http://b.net", "<meta content=0;url=one http-equiv=refresh><meta http-equiv='Refresh' content='5; URL=\"../two\"'>"),
+            ("http://c.net/", "<link rel='not-canonical' href='x'><a rel='canonical' href='y'>http-equiv</a><link data-href='z' rel='canonical'>"), (None, "<link rel=canonical href=/x>")]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], PAGES)
+    assert sorted((r.src, r.dst) for r in url_filters.alias_edges(pages).collect()) == [
+        ("a.net/x/1", "a.net/y/2"), ("a.net/x/1", "a.net/y/z?p=1&q=2"), ("b.net", "b.net/one"), ("b.net", "b.net/two")]
+
+
 def test_vectors_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [1.0, None]), (10, [1.0, 0.0, 0.0]),
