@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,17 +29,25 @@ THRESHOLD = 0.9
 RECALL = 0.97
 #: Vectors of one block of a bucket.
 BLOCK = 1024
+#: Vectors of one bucket, about: larger buckets need fewer tables and more comparisons, which are cheap beside shipped vectors.
+BUCKET = 128
+#: Bits of the longest code; the number of its table stands above them in a bucket's key.
+MOST_BITS = 48
 SEED = 20240607
-_CODED = "vec_id long, dim int, vector binary, codes binary"
+_CODED = "vec_id long, dim int, same1 long, same2 long, vector binary, codes binary"
 
 
 def table_plan(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
     """Bits of a code, and number of tables, for n vectors: buckets stay small, recall at the threshold holds."""
-    bits = min(24, max(8, math.ceil(math.log2(max(2, n))) - 4))
+    bits = min(MOST_BITS, max(4, math.ceil(math.log2(max(2, n) / BUCKET))))
     agree = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
 
 
+def _code_type(bits: int) -> str:
+    return "<u2" if bits <= 16 else "<u4" if bits <= 32 else "<u8"
+
+
 def _usable(lists: pa.Array) -> list[np.ndarray | None]:
     out = []
     for x in lists:
@@ -59,15 +68,20 @@ def _units(x: np.ndarray) -> np.ndarray:
 
 def coded(vectors: DataFrame, bits: int, tables: int, id_col: str = "vec_id", vector_col: str = "embedding",
           seed: int = SEED) -> DataFrame:
-    """``vec_id, dim, vector, codes``: components in their own precision, and a uint32 code for each table.
+    """``vec_id, dim, same1, same2, vector, codes``: a 128-bit hash of the vector, its components, and a code for each table.
 
-    Unusable vectors have null ``vector`` and ``codes``.
+    Components stay floats or doubles; others become doubles.  Unusable vectors
+    have null ``vector`` and ``codes``.
     """
     runtime.prepare(vectors.sparkSession)
+    kind = vectors.schema[vector_col].dataType
+    value = F.col(vector_col)
+    if kind.elementType.typeName() not in ("float", "double"):
+        value = value.cast("array<double>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
-        powers = (1 << np.arange(bits)).astype(np.uint32)
+        powers = np.left_shift(np.uint64(1), np.arange(bits, dtype=np.uint64))
         for b in batches:
             rows = _usable(b.column("v"))
             codes: list[bytes | None] = [None] * len(rows)
@@ -76,27 +90,30 @@ def coded(vectors: DataFrame, bits: int, tables: int, id_col: str = "vec_id", ve
                 if dim not in planes:
                     planes[dim] = np.random.Generator(np.random.PCG64([seed, dim])).standard_normal((dim, bits * tables))
                 signs = (_units(np.stack([rows[i] for i in own])) @ planes[dim] > 0).reshape(len(own), tables, bits)
-                c = (signs * powers).sum(axis=2).astype("<u4")
+                c = (signs * powers).sum(axis=2).astype(_code_type(bits))
                 for k, i in enumerate(own):
                     codes[i] = c[k].tobytes()
+            raw = [None if v is None else v.tobytes() for v in rows]
+            marks = np.frombuffer(b"".join(xxhash.xxh3_128_digest(r or b"") for r in raw), "<i8").reshape(len(raw), 2)
             yield pa.RecordBatch.from_arrays([
                 b.column("vec_id").cast(pa.int64()), pa.array([0 if v is None else len(v) for v in rows], pa.int32()),
-                pa.array([None if v is None else v.tobytes() for v in rows], pa.binary()), pa.array(codes, pa.binary())],
-                names=["vec_id", "dim", "vector", "codes"])
+                pa.array(marks[:, 0]), pa.array(marks[:, 1]), pa.array(raw, pa.binary()), pa.array(codes, pa.binary())],
+                names=["vec_id", "dim", "same1", "same2", "vector", "codes"])
 
-    return vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v")).mapInArrow(run, _CODED)
+    return vectors.select(F.col(id_col).alias("vec_id"), value.alias("v")).mapInArrow(run, _CODED)
 
 
-def _signatures(tables: int):
+def _signatures(bits: int, tables: int):
     """Rows of one (table, code) for each vector and table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            c = np.frombuffer(b"".join(b.column("codes").to_pylist()), "<u4").reshape(b.num_rows, tables)
-            key = c.astype(np.int64) + (np.arange(tables, dtype=np.int64) << 32)
+            c = np.frombuffer(b"".join(b.column("codes").to_pylist()), _code_type(bits)).reshape(b.num_rows, tables)
+            key = c.astype(np.int64) + (np.arange(tables, dtype=np.int64) << MOST_BITS)
             yield pa.RecordBatch.from_arrays(
-                [b.column("vec_id"), b.column("dim"), pa.array(list(key), pa.list_(pa.int64()))], names=["vec_id", "dim", "keys"])
+                [b.column("same1"), b.column("same2"), b.column("dim"), pa.array(list(key), pa.list_(pa.int64()))],
+                names=["same1", "same2", "dim", "keys"])
 
     return run
 
@@ -113,13 +130,27 @@ def _components(close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows, cols = new_rows, new_cols
 
 
-def _compare(tables: int, threshold: float):
-    """Exact comparison of units (buckets, or pairs of their blocks) into counts and forest edges."""
+def _close(x: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Which cosines reach the threshold; those that single precision does not decide are computed in double."""
+    single = x.astype(np.float32)
+    cosine = single[left] @ single[right].T
+    margin = 2e-7 * x.shape[1] + 1e-5
+    close = cosine >= threshold
+    i, j = np.nonzero(np.abs(cosine - np.float32(threshold)) <= margin)
+    for lo in range(0, len(i), 1 << 14):
+        p, q = i[lo : lo + (1 << 14)], j[lo : lo + (1 << 14)]
+        close[p, q] = np.einsum("ij,ij->i", x[left[p]], x[right[q]]) >= threshold
+    return close
+
+
+def _compare(bits: int, tables: int, threshold: float):
+    """Exact comparison of units (buckets, or pairs of their blocks) into counts (a and b name the vector by its hash) and,
+    with n = 0, forest edges (a and b are ids)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def unit(x: np.ndarray, codes: np.ndarray, left: np.ndarray, right: np.ndarray, table: int,
              within: bool) -> np.ndarray:
-        close = x[left] @ x[right].T >= threshold
+        close = _close(x, left, right, threshold)
         if within:
             close &= left[:, None] != right[None, :]
         for k in range(table if close.any() else 0):  # an earlier table has had this pair
@@ -128,8 +159,8 @@ def _compare(tables: int, threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, at in runtime.sorted_runs(batches, ["key", "dim", "low", "high"]):
-            ids, weight, key, dims, block, low, high = (
-                t.column(c).to_numpy() for c in ("vec_id", "weight", "key", "dim", "block", "low", "high"))
+            ids, same1, same2, weight, key, dims, block, low, high = (
+                t.column(c).to_numpy() for c in ("vec_id", "same1", "same2", "weight", "key", "dim", "block", "low", "high"))
             raw, raw_codes = t.column("vector").to_pylist(), t.column("codes").to_pylist()
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for s, e in zip(at[:-1], at[1:]):
@@ -139,8 +170,8 @@ def _compare(tables: int, threshold: float):
                     continue
                 kind = np.float64 if len(raw[s]) == 8 * dims[s] else np.float32
                 x = _units(np.frombuffer(b"".join(raw[s:e]), kind).reshape(e - s, -1))
-                codes = np.frombuffer(b"".join(raw_codes[s:e]), "<u4").reshape(e - s, tables)
-                close = unit(x, codes, left, right, int(key[s]) >> 32, within)
+                codes = np.frombuffer(b"".join(raw_codes[s:e]), _code_type(bits)).reshape(e - s, tables)
+                close = unit(x, codes, left, right, int(key[s]) >> MOST_BITS, within)
                 if not close.any():
                     continue
                 own, count = ids[s:e], np.zeros(e - s, np.int64)
@@ -148,7 +179,7 @@ def _compare(tables: int, threshold: float):
                 if not within:
                     count[right] += weight[s:e][left] @ close
                 hit = np.flatnonzero(count)
-                out.append((own[hit], own[hit], count[hit]))
+                out.append((same1[s:e][hit], same2[s:e][hit], count[hit]))
                 root_l, root_r = _components(close)
                 for members, root in ((left, root_l), (right, root_r)):
                     linked = root < len(left)
@@ -169,41 +200,49 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     double precision, is at least ``threshold``.  Null, empty and zero vectors
     and those with null, NaN or infinite components link with nothing; vectors
     of different lengths neither.  Equal vectors (ties) are linked with each
-    other.  Vector ids are expected to be unique; a row without id is returned
-    with null component.  An empty table gives none; other columns are not read.
+    other.  Rows that repeat an id are vectors of their own, with their own
+    links, and share a component.  A row without id is returned with null
+    component.  An empty table gives none; other columns are not read.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vectors")
     bits, tables = table_plan(vectors.count(), threshold, recall)
     all_rows = scratch.cut(coded(vectors, bits, tables, id_col, vector_col), "coded")
     usable = all_rows.where(F.col("vector").isNotNull() & F.col("vec_id").isNotNull())
-    groups = scratch.cut(usable.groupBy(F.sha2("vector", 256).alias("same")).agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "groups")
-    one = usable.join(groups.select(F.col("rep").alias("vec_id"), "weight"), "vec_id")
-    one = scratch.cut(one, "distinct")
-    keys = one.select("vec_id", "dim", "codes").mapInArrow(
-        _signatures(tables), "vec_id long, dim int, keys array<long>").select("vec_id", "dim", F.explode("keys").alias("key"))
+    one = scratch.cut(usable.groupBy("same1", "same2").agg(
+        F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("dim").alias("dim"),
+        F.first("vector").alias("vector"), F.first("codes").alias("codes")), "distinct")
+    groups = one.select("same1", "same2", "rep", "weight")
+    same = ["same1", "same2"]
+    keys = one.select(*same, "dim", "codes").mapInArrow(
+        _signatures(bits, tables), "same1 long, same2 long, dim int, keys array<long>").select(*same, "dim", F.explode("keys").alias("key"))
     sizes = keys.groupBy("key", "dim").count().where("count > 1").select(
         "key", "dim", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     placed = keys.join(sizes, ["key", "dim"]).withColumn(
-        "block", F.pmod(F.xxhash64("vec_id", "key"), F.col("blocks")).cast("int"))
-    units = placed.select("vec_id", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "vec_id", "key", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        "block", F.pmod(F.xxhash64(*same, "key"), F.col("blocks")).cast("int"))
+    units = placed.select(*same, "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        *same, "key", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     found = scratch.cut(
-        units.join(one, "vec_id")
-        .select("key", "dim", "low", "high", "block", "vec_id", "weight", "vector", "codes")
+        units.join(one, same)
+        .select("key", "dim", "low", "high", "block", F.col("rep").alias("vec_id"), *same, "weight", "vector", "codes")
         .repartition(runtime.partitions_for(spark), "key", "low", "high")
         .sortWithinPartitions("key", "dim", "low", "high")
-        .mapInArrow(_compare(tables, threshold), "a long, b long, n long"),
+        .mapInArrow(_compare(bits, tables, threshold), "a long, b long, n long"),
         "found")
-    links = found.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    classes = connected_components(found.where("n = 0").select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch)
-    of_rep = groups.join(links, "rep", "left").join(
+    links = found.where("n > 0").groupBy(F.col("a").alias("same1"), F.col("b").alias("same2")).agg(F.sum("n").alias("others"))
+    # an id with several vectors is one node
+    several = usable.groupBy("vec_id").agg(F.min(F.struct(*same)).alias("x"), F.max(F.struct(*same)).alias("y")).where("x <> y").select("vec_id")
+    of_one_id = usable.select("vec_id", *same).join(several, "vec_id", "left_semi").join(groups, same).select(
+        F.col("rep").alias("src"), F.col("vec_id").alias("dst"))
+    edges = found.where("n = 0").select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(of_one_id)
+    classes = connected_components(edges, scratch)
+    of_rep = groups.join(links, same, "left").join(
         classes.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "same", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+        *same, (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component"))
-    same = F.when(F.col("vec_id").isNotNull(), F.sha2("vector", 256)).alias("same")
-    return all_rows.select("vec_id", same).join(of_rep, "same", "left").select(
+    # what links with nothing has no mark to be joined by
+    marks = [F.when(F.col("vec_id").isNotNull() & F.col("vector").isNotNull(), F.col(c)).alias(c) for c in same]
+    return all_rows.select("vec_id", *marks).join(of_rep, same, "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
         (F.coalesce("component", "vec_id") == F.col("vec_id")).alias("kept"))
