@@ -326,3 +326,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                  pa.array(found, type=_RESULT_ARROW.field("offending").type)], schema=_RESULT_ARROW)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, RESULT)
+
+
+def without_toxic(docs: DataFrame, model: Model, limit: float, text_col: str = "text") -> DataFrame:
+    """The documents that score below ``limit``, with their columns unchanged; rows are judged where they lie.
+
+    Null, empty and wordless texts score 0.  Rows without id and repeated rows
+    are judged like others; an empty table stays empty.
+    """
+    runtime.prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
+    schema = docs.schema
+    names = [f"c{i}" for i in range(len(schema))]
+    text_at = names[schema.names.index(text_col)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model(*shared.value)
+        for b in batches:
+            scores = np.zeros(b.num_rows)
+            for block in wordhash.blocks(b.column(text_at)):
+                scores[block.first : block.first + block.n_docs] = known.score(block)[0]
+            yield b.filter(pa.array(scores < limit))
+
+    ddl = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema))
+    return docs.toDF(*names).mapInArrow(run, ddl).toDF(*schema.names)

@@ -147,6 +147,22 @@ def test_vectors_recall_and_blocks(spark):
     assert results[0] == results[1]
 
 
+def test_vectors_of_integers_and_repeated_ids(spark):
+    rows = [(1, [3, 4]), (2, [3, 5]), (2, [3, 5]), (3, [-4, 3]), (4, [3, 4]), (4, [-4, 3])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<int>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect())
+    # 4 has two vectors, that of 1 and that of 3, and so joins their components
+    assert got == [(1, 3, 1), (2, 3, 1), (2, 3, 1), (3, 1, 1), (4, 1, 1), (4, 3, 1)]
+
+
+def test_cosines_at_the_threshold_in_double_precision():
+    rng = np.random.default_rng(9)
+    x = embedding_dedup._units(rng.standard_normal((300, 64)))
+    exact = x @ x.T
+    for threshold in np.quantile(exact, [0.2, 0.5, 0.9]):
+        assert (embedding_dedup._close(x, np.arange(300), np.arange(300), threshold) == (exact >= threshold)).mean() > 0.9999
+
+
 def test_table_plan():
     for n in (10, 10_000, 10**9):
         bits, tables = embedding_dedup.table_plan(n)
@@ -175,3 +191,17 @@ def test_pipeline(spark, odd_docs, words, tmp_path):
     assert passages[1] == " ".join(words[:120]) and passages[9] == " ".join(words[200:400]) + ".\n"
     assert {r.doc_id for r in kept[5].collect()} == third
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == kept[5].count()
+
+
+def test_pipeline_stages_on_rows_without_id(spark, words, tmp_path):
+    import corpus_pipeline
+
+    rows = [(None, " ".join(words[:200])), (4, " ".join(words[:200])), (None, " ".join(words[300:500])), (None, " ".join(words[300:499])),
+            (7, " ".join(words[600:700])), (7, " ".join(words[600:700])), (7, " ".join(words[800:900] + words[620:690])), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "d"))
+    kept = corpus_pipeline.near_duplicate_stage(spark, spark.read.parquet(str(tmp_path / "d")), str(tmp_path))
+    left = sorted((r.doc_id or 0, len((r.text or "").split())) for r in kept.collect())
+    assert left in ([(0, 0), (0, n), (4, 200), (7, 100), (7, 170)] for n in (199, 200))
+    cut = corpus_pipeline.passage_stage(spark, kept, str(tmp_path)).collect()
+    assert sum(len((r.text or "").split()) for r in cut if r.doc_id == 7) == 200
