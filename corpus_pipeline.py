@@ -2,7 +2,8 @@
 
 quality rules, toxicity, n-gram Jaccard join, suffix-array dedup, best-fit
 packing.  Each stage works on all rows that its predecessor kept, written as
-Parquet in between; all but the last return the columns of documents.
+Parquet in between; all but the last return the columns of documents.  Rows
+without id, and rows that repeat an id, are documents like others.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import ngram_join, packing, quality, suffix_dedup, toxicity
+from cairn.llm.rows import ROW, with_row_numbers
 from cairn.llm.scratch import Scratch
 
 #: A document is toxic from this score on.
@@ -25,23 +27,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below ``TOXIC`` under a model of the given labels; rows without id stay."""
+    """Documents that score below ``TOXIC`` under a model of the given labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.train(docs, labels))
-    toxic = scored.where(F.col("score") >= TOXIC).select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(*docs.columns)
+    return toxicity.without_toxic(docs, toxicity.train(docs, labels), TOXIC)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each class of similar ones."""
-    classes = ngram_join.similarity_classes(docs)
-    dropped = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    rows = with_row_numbers(docs, Scratch(spark, "classes"))
+    classes = ngram_join.similarity_classes(rows, id_col=ROW)
+    dropped = classes.where("component_id <> doc_id").select(F.col("doc_id").alias(ROW))
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur earlier in the corpus; n_chars follows the text."""
-    cut = suffix_dedup.cut_passages(docs, suffix_dedup.repeated_passages(docs))
+    rows = with_row_numbers(docs, Scratch(spark, "passages"))
+    cut = suffix_dedup.cut_passages(rows, suffix_dedup.repeated_passages(rows, id_col=ROW), id_col=ROW)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
