@@ -69,22 +69,42 @@ def best_of_ranked(pairs: DataFrame, record: str, candidate: str, score: str) ->
         "_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 
 
+def _rare_grams(sets: DataFrame, key: list[str], counts: DataFrame, threshold: float) -> DataFrame:
+    """Each row's rarest trigrams, so many that sets of the similarity share one of them: key, ``_n`` (all of the row), ``_t``.
+
+    Common trigrams come last in the order, so no list of rows grows with them unless their rows have no others.
+    """
+    n = F.size("_g")
+    posted = sets.select(*key, n.alias("_n"), F.explode("_g").alias("_t")).join(counts, "_t")
+    ordered = posted.groupBy(*key, "_n").agg(F.array_sort(F.collect_list(F.struct("_c", "_t"))).alias("_o"))
+    kept = (F.col("_n") - F.ceil(threshold * F.col("_n") - 1e-9) + 1).cast("int")
+    return ordered.select(*key, "_n", F.explode(F.slice("_o", F.lit(1), kept)).alias("_e")).select(*key, "_n", F.col("_e._t").alias("_t"))
+
+
+def _gram_counts(*sets: DataFrame) -> DataFrame:
+    """In how many rows each trigram occurs."""
+    every = reduce(DataFrame.unionByName, (s.select(F.explode("_g").alias("_t")) for s in sets))
+    return every.groupBy("_t").agg(F.count("*").alias("_c"))
+
+
 def trigram_pairs(rows: DataFrame, key: str, text: str, block: list[str], threshold: float = TRIGRAM_THRESHOLD,
                   inclusive: bool = False) -> DataFrame:
     """Pairs (a < b) inside a block whose trigram similarity exceeds the threshold, with ``similarity``.
 
-    An inverted index joins rows that share a trigram, then counts: similarity is
-    shared / (sizes - shared), so no row meets another without a common trigram,
-    and texts do not travel.
+    Rows meet only over their rarest trigrams and where their sizes allow the similarity; whole sets verify what meets.
     """
-    sets = rows.select(key, *block, trigrams(F.col(text)).alias("_g")).select(key, *block, "_g", F.size("_g").alias("_n"))
-    posted = sets.select(key, *block, "_n", F.explode("_g").alias("_t"))
-    a = posted.select(F.col(key).alias("a"), *block, F.col("_n").alias("_na"), "_t")
-    b = posted.select(F.col(key).alias("b"), *block, F.col("_n").alias("_nb"), "_t")
-    shared = a.join(b, [*block, "_t"]).where("a < b").groupBy("a", "b", "_na", "_nb").agg(F.count("*").alias("_s"))
-    sim = F.col("_s") / (F.col("_na") + F.col("_nb") - F.col("_s"))
-    keep = sim >= threshold if inclusive else sim > threshold
-    return shared.where(keep).select("a", "b", sim.alias("similarity"))
+    sets = rows.select(key, *block, trigrams(F.col(text)).alias("_g"))
+    posted = _rare_grams(sets, [key, *block], _gram_counts(sets), threshold)
+    a, b = posted.withColumnsRenamed({key: "a", "_n": "_na"}), posted.withColumnsRenamed({key: "b", "_n": "_nb"})
+    met = a.join(b, [*block, "_t"]).where("a < b").where(_sizes_allow("_na", "_nb", threshold)).select("a", "b").distinct()
+    of = sets.select(key, "_g")
+    sim = trigram_similarity(F.col("_ga"), F.col("_gb"))
+    full = met.join(of.toDF("a", "_ga"), "a").join(of.toDF("b", "_gb"), "b").select("a", "b", sim.alias("similarity"))
+    return full.where(F.col("similarity") >= threshold if inclusive else F.col("similarity") > threshold)
+
+
+def _sizes_allow(a: str, b: str, threshold: float) -> Column:
+    return F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9
 
 
 def distance_pairs(points: DataFrame, key: str, lat: str, lon: str, meters: float, cell: float) -> DataFrame:
@@ -127,19 +147,12 @@ def fuzzy_block(records: DataFrame, anchors: DataFrame, block: list[str], top: i
 
 
 def _sharing(r: DataFrame, a: DataFrame, block: list[str], left: str, right: str) -> DataFrame:
-    """Pairs whose trigram similarity exceeds the threshold, counted over an inverted index."""
-    x = r.select("record_id", *block, F.size(left).alias("_n"), F.explode(left).alias("_t"))
-    y = a.select("anchor_id", *block, F.size(right).alias("_m"), F.explode(right).alias("_t"))
-    s = x.join(y, [*block, "_t"]).groupBy("record_id", "anchor_id", "_n", "_m").agg(F.count("*").alias("_s"))
-    return s.where(F.col("_s") / (F.col("_n") + F.col("_m") - F.col("_s")) > TRIGRAM_THRESHOLD).select("record_id", "anchor_id")
-
-
-def contained_texts(items: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """``item_id, doc_id, containment``: the share of an item's trigrams that a document has, both whole, where at least ``least``."""
-    g = items.select("item_id", trigrams(F.col("text")).alias("g")).select("item_id", F.size("g").alias("_n"), F.explode("g").alias("_t"))
-    x = docs.select("doc_id", F.explode(trigrams(F.col("text"))).alias("_t"))
-    shared = x.join(g, "_t").groupBy("item_id", "doc_id", "_n").agg(F.count("*").alias("_s"))
-    return shared.select("item_id", "doc_id", (F.col("_s") / F.col("_n")).alias("containment")).where(F.col("containment") >= least)
+    """Pairs that can have a trigram similarity beyond the threshold: they share one of their rarest trigrams."""
+    x, y = r.select("record_id", *block, F.col(left).alias("_g")), a.select("anchor_id", *block, F.col(right).alias("_g"))
+    counts = _gram_counts(x, y)
+    x = _rare_grams(x, ["record_id", *block], counts, TRIGRAM_THRESHOLD).withColumnRenamed("_n", "_na")
+    y = _rare_grams(y, ["anchor_id", *block], counts, TRIGRAM_THRESHOLD).withColumnRenamed("_n", "_nb")
+    return x.join(y, [*block, "_t"]).where(_sizes_allow("_na", "_nb", TRIGRAM_THRESHOLD)).select("record_id", "anchor_id").distinct()
 
 
 def equal_texts(docs: DataFrame, key: str, text: str, block: list[str]) -> DataFrame:
@@ -156,10 +169,14 @@ def equal_texts(docs: DataFrame, key: str, text: str, block: list[str]) -> DataF
 
 
 def independent_agreement(values: DataFrame, entity: str, position: str, value: str, source: str, origins: str) -> DataFrame:
-    """For each entity the first pair (in input order) of equal values with disjoint origins: value and both sources."""
-    a = values.select(entity, F.col(position).alias("_p"), F.col(value).alias("value"), F.col(source).alias("_s"), F.col(origins).alias("_o"))
-    b = values.select(entity, F.col(position).alias("_p2"), F.col(value).alias("value"), F.col(source).alias("_s2"), F.col(origins).alias("_o2"))
-    pairs = a.join(b, [entity, "value"]).where("_p < _p2 AND size(_o) > 0 AND size(_o2) > 0").where(~F.arrays_overlap("_o", "_o2"))
-    best = pairs.groupBy(entity).agg(F.min(F.struct("_p", "_p2", "value", "_s", "_s2")).alias("_b"))
+    """For each entity the first pair (in input order) of equal values with disjoint origins: value and both sources.
+
+    Of the rows with one value and one set of origins only the first can be in that pair, so sets of origins meet and not rows.
+    """
+    firsts = values.where(F.size(origins) > 0).groupBy(entity, F.col(value).alias("value"), F.array_sort(F.array_distinct(origins)).alias("_o")).agg(
+        F.min(F.struct(F.col(position).alias("p"), F.col(source).alias("s"))).alias("_f"))
+    a, b = firsts.withColumnsRenamed({"_o": "_o1", "_f": "_f1"}), firsts.withColumnsRenamed({"_o": "_o2", "_f": "_f2"})
+    pairs = a.join(b, [entity, "value"]).where("_f1.p < _f2.p").where(~F.arrays_overlap("_o1", "_o2"))
+    best = pairs.groupBy(entity).agg(F.min(F.struct(F.col("_f1.p"), F.col("_f2.p").alias("p2"), "value", F.col("_f1.s"), F.col("_f2.s").alias("s2"))).alias("_b"))
     return best.select(entity, F.col("_b.value").alias("value"),
-                       F.concat_ws("+", F.array_sort(F.array_distinct(F.array("_b._s", "_b._s2")))).alias("sources"))
+                       F.concat_ws("+", F.array_sort(F.array_distinct(F.array("_b.s", "_b.s2")))).alias("sources"))

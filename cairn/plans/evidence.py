@@ -105,19 +105,18 @@ c AS (SELECT event_id, 's' || CAST(event_id % 5 AS VARCHAR) AS source, CASE WHEN
   user_id % 7 <> 0 AS origin, 0.4 + (event_id % 6) / 10.0 AS authority FROM events),
 j AS (SELECT c.*, CASE WHEN most IS NULL THEN 'no_policy' WHEN NOT rights THEN 'rights_missing' WHEN NOT list_has_all(licenses, lic) THEN 'license_not_allowed'
   WHEN NOT origin THEN 'no_origin' WHEN authority > most THEN 'authority_exceeds_policy' END AS rejection FROM c LEFT JOIN p USING (source))
-SELECT source, coalesce(rejection, 'admitted') AS outcome, count(*) AS n FROM j GROUP BY 1, 2""")
+SELECT event_id, source, rejection FROM j""")
 def rights_gate(spark: SparkSession, d: str) -> DataFrame:
     every = [True, True, True, True]
     policies = spark.createDataFrame(
         [("s0", *every, 0.9, ["open", "odbl"]), ("s1", True, True, False, True, 0.9, ["open"]), ("s2", *every, 0.5, ["open"]), ("s3", *every, 0.95, ["odbl"])],
         "source string, " + ", ".join(f"{r} boolean" for r in ledger.RIGHTS) + ", authority double, allowed_license_ids array<string>")
     claims = table(spark, d, "events", "event_id", "user_id").select(
-        F.concat(F.lit("s"), (F.col("event_id") % 5).cast("string")).alias("source"),
+        "event_id", F.concat(F.lit("s"), (F.col("event_id") % 5).cast("string")).alias("source"),
         F.array(F.when(F.col("user_id") % 3 == 0, "odbl").otherwise("open")).alias("license_ids"),
         F.when(F.col("user_id") % 7 != 0, F.array(F.lit("o"))).otherwise(F.array().cast("array<string>")).alias("origin_keys"),
         (0.4 + (F.col("event_id") % 6) / 10.0).alias("authority"))
-    judged = ledger.admit(claims, policies)
-    return judged.groupBy("source", F.coalesce("rejection", F.lit("admitted")).alias("outcome")).agg(F.count("*").alias("n"))
+    return ledger.admit(claims, policies).select("event_id", "source", "rejection")
 
 
 @R.query("""
@@ -145,11 +144,11 @@ def _states(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 @R.query(_OLD_NEW + """
-SELECT CASE WHEN old.o_orderkey IS NULL THEN 'created' WHEN new.o_orderkey IS NULL THEN 'retired' WHEN old.h IS NOT DISTINCT FROM new.h THEN 'unchanged' ELSE 'updated' END AS change,
-  count(*) AS n FROM old FULL JOIN new ON old.o_orderkey = new.o_orderkey GROUP BY 1""")
+SELECT coalesce(old.o_orderkey, new.o_orderkey) AS o_orderkey, CASE WHEN old.o_orderkey IS NULL THEN 'created' WHEN new.o_orderkey IS NULL THEN 'retired'
+  WHEN old.h IS NOT DISTINCT FROM new.h THEN 'unchanged' ELSE 'updated' END AS change FROM old FULL JOIN new ON old.o_orderkey = new.o_orderkey""")
 def snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
     old, new = _states(spark, d)
-    return snapshot.snapshot_diff(old, new, ["o_orderkey"], "h").groupBy("change").agg(F.count("*").alias("n"))
+    return snapshot.snapshot_diff(old, new, ["o_orderkey"], "h").select("o_orderkey", "change")
 
 
 @R.query(_OLD_NEW + """
@@ -206,15 +205,18 @@ def _pick(column: str, *options: str):
     return F.element_at(F.array(*(F.lit(o) for o in options)), (F.col(column) % len(options) + 1).cast("int"))
 
 
-@R.query(_FACTS + f"""
-SELECT CASE WHEN links = 0 THEN 'no_linked_sources' WHEN o_custkey % 13 = 0 THEN 'consumer_hard_negative' WHEN licensed > 0 AND active = 0 THEN 'license_not_active'
+@R.query(_FACTS + f""",
+g AS (SELECT o_orderkey, CASE WHEN links = 0 THEN 'no_linked_sources' WHEN o_custkey % 13 = 0 THEN 'consumer_hard_negative' WHEN licensed > 0 AND active = 0 THEN 'license_not_active'
   WHEN active = 0 THEN 'missing_active_license' WHEN o_orderstatus = 'P' THEN 'missing_current_anchor' WHEN kind = 'cafe' THEN 'consumer_type_not_supported'
   WHEN NOT {_SUPPORTS} THEN 'license_incompatible_with_venue_type' WHEN most < 10 THEN 'identity_below_publication_threshold' WHEN o_custkey % 17 = 0 THEN 'current_verifier_failure'
   WHEN o_orderdate < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 365 DAY AND o_custkey % 3 <> 0 THEN 'missing_current_anchor'
   WHEN o_custkey % 3 <> 0 AND NOT ((kind = 'bar' AND code IN ('40', '42', '48', '61')) OR (kind = 'brewpub' AND code = '75')) THEN 'missing_high_quality_verification'
   WHEN kind = 'brewery' AND o_custkey % 2 = 0 THEN 'generic_manufacturer_requires_manual_public_access'
   WHEN kind = 'taproom' AND most < 40 AND o_custkey % 2 = 0 THEN 'manufacturer_access_requires_hours_or_manual_attestation'
-  WHEN most > 49 THEN 'missing_required_materialization_fields' ELSE 'all_hard_gates_passed' END AS reason, count(*) AS n FROM f GROUP BY 1""")
+  WHEN most > 49 THEN 'missing_required_materialization_fields' ELSE 'all_hard_gates_passed' END AS reason FROM f)
+SELECT o_orderkey, reason, CASE WHEN reason IN ('no_linked_sources', 'consumer_type_not_supported', 'license_incompatible_with_venue_type') THEN 'rejected'
+  WHEN reason IN ('consumer_hard_negative', 'license_not_active', 'current_verifier_failure') THEN 'withdrawn' WHEN reason = 'all_hard_gates_passed' THEN 'verified'
+  WHEN reason IN ('missing_active_license', 'missing_current_anchor', 'missing_high_quality_verification') THEN 'needs_verification' ELSE 'needs_review' END AS state FROM g""")
 def candidate_gate(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("o_custkey")
     state = gate.candidate_state(
@@ -223,17 +225,21 @@ def candidate_gate(spark: SparkSession, d: str) -> DataFrame:
         license_code=_pick("o_custkey", "40", "23", "75", "2"), identity=F.when(F.col("most") < 10, 0.9).otherwise(0.97), failure=key % 17 == 0,
         anchor_updated=F.col("o_orderdate").cast("timestamp"), passed=key % 3 == 0, tier=F.when(key % 2 == 0, "provider").otherwise("manual"),
         has_hours=F.col("most") >= 40, missing=(F.col("most") > 49).cast("int"), as_of=as_of(ORDERS_AS_OF))
-    return _facts(spark, d).select(state["reason"].alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return _facts(spark, d).select("o_orderkey", state.alias("x")).select("o_orderkey", "x.reason", "x.state")
 
 
-@R.query(_FACTS + f"""
-SELECT CASE WHEN o_custkey % 19 = 0 THEN 'canonical_closed' WHEN o_custkey % 13 = 0 THEN 'consumer_hard_negative' WHEN o_custkey % 11 = 0 THEN 'consumer_duplicate_requires_merge'
+@R.query(_FACTS + f""",
+g AS (SELECT o_orderkey, CASE WHEN o_custkey % 19 = 0 THEN 'canonical_closed' WHEN o_custkey % 13 = 0 THEN 'consumer_hard_negative' WHEN o_custkey % 11 = 0 THEN 'consumer_duplicate_requires_merge'
   WHEN active > 0 AND licensed > active THEN 'consumer_status_conflict' WHEN active = 0 AND licensed > 0 THEN 'consumer_reported_closed'
   WHEN active = 0 AND kind = 'brewery' THEN 'manufacturer_without_access_evidence' WHEN active = 0 THEN 'missing_consumer_access_evidence'
   WHEN o_orderdate < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 550 DAY THEN 'stale_consumer_evidence' WHEN most < 10 THEN 'identity_not_resolved' WHEN most < 15 THEN 'consumer_name_not_resolved'
   WHEN o_custkey % 7 = 0 THEN 'missing_active_license' WHEN kind = 'bar' AND code IN ('40', '42', '48', '61') THEN 'public_bar_license_and_current_consumer_poi'
   WHEN kind = 'taproom' AND code = '23' THEN 'brewery_license_and_explicit_taproom' WHEN kind = 'brewpub' AND code IN ('23', '75') THEN 'brewery_license_and_explicit_brewpub'
-  ELSE 'license_does_not_support_consumer_venue_type' END AS reason, count(*) AS n FROM f GROUP BY 1""")
+  ELSE 'license_does_not_support_consumer_venue_type' END AS reason FROM f)
+SELECT o_orderkey, reason, CASE WHEN reason IN ('canonical_closed', 'consumer_hard_negative', 'consumer_reported_closed') THEN 'suppressed'
+  WHEN reason IN ('consumer_duplicate_requires_merge', 'consumer_status_conflict') THEN 'review'
+  WHEN reason IN ('public_bar_license_and_current_consumer_poi', 'brewery_license_and_explicit_taproom', 'brewery_license_and_explicit_brewpub') THEN 'published' ELSE 'candidate' END AS state
+FROM g""")
 def publication_gate(spark: SparkSession, d: str) -> DataFrame:
     key, none = F.col("o_custkey"), F.array().cast("array<string>")
     state = gate.publication_state(
@@ -243,7 +249,7 @@ def publication_gate(spark: SparkSession, d: str) -> DataFrame:
         identity=F.when(F.col("most") < 10, 0.5).otherwise(0.95), match=F.lit(0.95), name_reliable=F.col("most") >= 15,
         licenses=F.when(key % 7 == 0, none).otherwise(F.array(_pick("o_custkey", "40", "23", "75", "2"))),
         kind=_pick("o_custkey", "bar", "taproom", "brewery", "cafe", "brewpub"))
-    return _facts(spark, d).select(state["reason"].alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return _facts(spark, d).select("o_orderkey", state.alias("x")).select("o_orderkey", "x.reason", "x.state")
 
 
 @R.query("""

@@ -38,16 +38,9 @@ def normalize_names(spark: SparkSession, d: str) -> DataFrame:
                        text.display_name(F.concat("p_name", F.lit(", Inc."))).alias("display"))
 
 
-@R.query(f"""
-SELECT doc_id, {_ADDRESS.format(c=_CLEAN.format(c="substr(text, 1, 60) || ' North Main Street, Suite 5'"))} AS address FROM documents""")
-def normalize_address(spark: SparkSession, d: str) -> DataFrame:
-    t = F.concat(F.substring("text", 1, 60), F.lit(" North Main Street, Suite 5"))
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", text.normalize_address(t).alias("address"))
-
-
 @R.query(f"""
 SELECT doc_id, {_ADDRESS.format(c=_CLEAN.format(c="text || ' North Main Street, Suite 5'"))} AS address FROM documents""")
-def normalize_address_whole_text(spark: SparkSession, d: str) -> DataFrame:
+def normalize_address(spark: SparkSession, d: str) -> DataFrame:
     t = F.concat("text", F.lit(" North Main Street, Suite 5"))
     return table(spark, d, "documents", "doc_id", "text").select("doc_id", text.normalize_address(t).alias("address"))
 
@@ -86,60 +79,70 @@ def trigram_similarity(spark: SparkSession, d: str) -> DataFrame:
     return identity.trigram_pairs(names, "k", "p_name", ["p_brand"]).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
-def _name_pairs(spark: SparkSession, d: str) -> DataFrame:
-    names = table(spark, d, "part", "p_name").groupBy("p_name").count().select("p_name", F.substring("p_name", 1, 1).alias("letter"))
-    return names.toDF("a", "letter").join(names.toDF("b", "letter"), "letter").where("a < b").select("a", "b")
+_SIMILAR = "len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b})))"
 
 
 @R.query(f"""
-WITH n AS (SELECT DISTINCT p_name FROM part), p AS (SELECT x.p_name AS a, y.p_name AS b FROM n x JOIN n y ON x.p_name < y.p_name AND x.p_name[1] = y.p_name[1])
-SELECT a, b, round(2.0 * {_LCS.format(a='a', b='b')} / (length(a) + length(b)), 6) AS ratio FROM p""")
+WITH n AS (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY 1), g AS (SELECT *, {_GRAMS.format(c='p_name')} AS g FROM n),
+p AS (SELECT x.k AS a, y.k AS b, x.p_name AS x, y.p_name AS y FROM g x JOIN g y ON x.k < y.k AND x.p_name[1] = y.p_name[1] WHERE {_SIMILAR.format(a='x.g', b='y.g')} > 0.3)
+SELECT a, b, round(2.0 * {_LCS.format(a='x', b='y')} / (length(x) + length(y)), 6) AS ratio FROM p""")
 def lcs_ratio_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return _name_pairs(spark, d).select("a", "b", F.round(sim.lcs_ratio("a", "b"), 6).alias("ratio"))
+    names = table(spark, d, "part", "p_partkey", "p_name").groupBy("p_name").agg(F.min("p_partkey").alias("k")).select(
+        "k", "p_name", F.substring("p_name", 1, 1).alias("letter"))
+    pairs = identity.trigram_pairs(names, "k", "p_name", ["letter"])
+    of = names.select("k", "p_name")
+    return pairs.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select("a", "b", F.round(sim.lcs_ratio("x", "y"), 6).alias("ratio"))
 
 
 _PAIR_FEATURES = f"""
-WITH p AS (SELECT p_partkey AS k, p_brand, p_type, p_size, p_name FROM part),
-pairs AS (SELECT a.k AS a, b.k AS b, a.p_name AS x, b.p_name AS y, a.p_type = b.p_type AS same_type, a.p_size = b.p_size AS same_size,
-  abs(a.p_size - b.p_size) * 10.0 AS meters FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.k < b.k),
+WITH p AS (SELECT p_partkey AS k, p_brand, p_type, p_size, p_name, {_GRAMS.format(c='p_name')} AS g FROM part),
+pairs AS (SELECT a.k AS a, b.k AS b, a.p_name AS x, b.p_name AS y, a.p_size = b.p_size AS same_size,
+  abs(a.p_size - b.p_size) * 10.0 AS meters FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.k < b.k AND {_SIMILAR.format(a='a.g', b='b.g')} > 0.3),
 f AS (SELECT *, CASE WHEN x = y THEN 1.0 ELSE 2.0 * {_LCS.format(a='x', b='y')} / (length(x) + length(y)) END AS name,
   CASE WHEN same_size THEN 1.0 WHEN meters <= 20 THEN 0.95 ELSE 0.4 END AS address FROM pairs)"""
 
 
 def _pair_features(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part", "p_partkey", "p_brand", "p_type", "p_size", "p_name")
-    a = p.toDF("a", "p_brand", "p_type", "sa", "x")
-    b = p.toDF("b", "p_brand", "p_type", "sb", "y")
-    pairs = a.join(b, ["p_brand", "p_type"]).where("a < b").withColumn("meters", F.abs(F.col("sa") - F.col("sb")) * 10.0)
+    pairs = identity.trigram_pairs(p, "p_partkey", "p_name", ["p_brand", "p_type"]).select("a", "b")
+    of = p.select("p_partkey", "p_size", "p_name")
+    pairs = pairs.join(of.toDF("a", "sa", "x"), "a").join(of.toDF("b", "sb", "y"), "b").withColumn("meters", F.abs(F.col("sa") - F.col("sb")) * 10.0)
     return pairs.withColumn("name", sim.lcs_ratio("x", "y")).withColumn(
         "address", F.when(F.col("sa") == F.col("sb"), 1.0).when(F.col("meters") <= 20, 0.95).otherwise(0.4))
 
 
-@R.query(_PAIR_FEATURES + """
-SELECT CASE WHEN (b - a) % 7 = 0 AND (address >= 0.985 OR meters <= 25) AND name >= 0.55 THEN 'exact_phone_same_location'
+@R.query(_PAIR_FEATURES + """,
+r AS (SELECT *, CASE WHEN a % 31 = b % 31 THEN 'exact_source_id' WHEN (a + b) % 11 = 0 THEN 'country_conflict' WHEN (a + b) % 13 = 0 THEN 'city_conflict'
+  WHEN (b - a) % 7 = 0 AND (address >= 0.985 OR meters <= 25) AND name >= 0.55 THEN 'exact_phone_same_location'
   WHEN (b - a) % 5 = 0 AND (address >= 0.94 OR meters <= 25) AND name >= 0.65 THEN 'exact_website_same_location'
   WHEN address >= 0.985 AND name >= 0.90 THEN 'exact_address_strong_name' WHEN meters <= 25 AND name >= 0.94 THEN 'same_door_strong_name'
   WHEN meters <= 50 AND address >= 0.96 AND name >= 0.92 THEN 'nearby_address_and_name'
   WHEN a % 3 = 0 AND address >= 0.985 AND name >= 0.84 THEN 'licensed_exact_premise_name'
   WHEN address >= 0.985 AND name < 0.84 THEN 'same_location_name_conflict' WHEN meters <= 15 AND name < 0.75 THEN 'same_location_name_conflict'
-  WHEN address >= 0.95 AND name >= 0.78 THEN 'probable_identity_needs_review' ELSE 'insufficient_identity_evidence' END AS reason, count(*) AS n
-FROM f GROUP BY 1""")
+  WHEN address >= 0.95 AND name >= 0.78 THEN 'probable_identity_needs_review' ELSE 'insufficient_identity_evidence' END AS reason FROM f)
+SELECT a, b, reason, CASE WHEN reason LIKE '%name_conflict' OR reason LIKE '%needs_review' THEN 'review' WHEN reason LIKE '%conflict' OR reason LIKE 'insufficient%' THEN 'distinct'
+  ELSE 'match' END AS action, CAST(CASE reason WHEN 'exact_source_id' THEN 1.0 WHEN 'exact_phone_same_location' THEN 0.995 WHEN 'exact_website_same_location' THEN 0.99
+  WHEN 'exact_address_strong_name' THEN 0.985 WHEN 'same_door_strong_name' THEN 0.975 WHEN 'nearby_address_and_name' THEN 0.97 WHEN 'licensed_exact_premise_name' THEN 0.965
+  WHEN 'same_location_name_conflict' THEN 0.85 WHEN 'probable_identity_needs_review' THEN 0.84 ELSE 0.0 END AS DOUBLE) AS score FROM r""")
 def identity_decision(spark: SparkSession, d: str) -> DataFrame:
-    f, gap = _pair_features(spark, d), F.col("b") - F.col("a")
+    f, a, b = _pair_features(spark, d), F.col("a"), F.col("b")
     decision = identity.decide_identity(
-        F.lit(False), F.lit(True), F.lit(True), F.col("name"), F.col("address"), gap % 7 == 0, gap % 5 == 0, F.col("meters"), F.col("a") % 3 == 0)
-    return f.select(decision["reason"].alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+        a % 31 == b % 31, (a + b) % 11 != 0, (a + b) % 13 != 0, F.col("name"), F.col("address"), (b - a) % 7 == 0, (b - a) % 5 == 0, F.col("meters"), a % 3 == 0)
+    return f.select("a", "b", decision.alias("x")).select("a", "b", "x.reason", "x.action", "x.score")
 
 
 @R.query(_PAIR_FEATURES + """,
 g AS (SELECT *, CASE WHEN meters >= 100 THEN 0.0 WHEN meters <= 20 THEN 1.0 ELSE 1.0 - (meters - 20.0) / 80.0 END AS geo,
   CASE WHEN (b - a) % 7 = 0 THEN 1.0 ELSE 0.0 END AS phone, CASE WHEN (b - a) % 5 = 0 THEN 1.0 ELSE 0.0 END AS web FROM f),
 s AS (SELECT *, 0.40 * name + 0.30 * address + 0.10 * phone + 0.10 * web + 0.10 * geo AS score FROM g),
-r AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS second FROM s WINDOW w AS (PARTITION BY a ORDER BY score DESC, b))
-SELECT CASE WHEN address = 1.0 AND name >= 0.96 THEN 'exact_address_strong_name' WHEN phone = 1.0 AND (address >= 0.90 OR geo >= 0.85) THEN 'exact_phone_location'
+r AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS second FROM s WINDOW w AS (PARTITION BY a ORDER BY score DESC, b)),
+d AS (SELECT *, CASE WHEN address = 1.0 AND name >= 0.96 THEN 'exact_address_strong_name' WHEN phone = 1.0 AND (address >= 0.90 OR geo >= 0.85) THEN 'exact_phone_location'
   WHEN web = 1.0 AND address >= 0.95 THEN 'exact_website_location' WHEN address >= 0.98 AND (geo >= 0.80 OR name >= 0.55) AND name < 0.75 THEN 'same_location_name_conflict'
-  WHEN score >= 0.92 AND score - coalesce(second, 0) >= 0.05 THEN 'weighted_score' WHEN score >= 0.80 THEN 'ambiguous_match' ELSE 'below_match_threshold' END AS reason,
-  count(*) AS n FROM r WHERE k = 1 GROUP BY 1""")
+  WHEN score >= 0.92 AND score - coalesce(second, 0) >= 0.05 THEN 'weighted_score' WHEN score >= 0.80 THEN 'ambiguous_match' ELSE 'below_match_threshold' END AS reason
+  FROM r WHERE k = 1)
+SELECT a, b, reason, CASE WHEN reason IN ('same_location_name_conflict', 'ambiguous_match') THEN 'review' WHEN reason = 'below_match_threshold' THEN 'distinct' ELSE 'auto_match' END AS action,
+  round(CASE reason WHEN 'exact_address_strong_name' THEN greatest(score, 0.97) WHEN 'exact_phone_location' THEN greatest(score, 0.98) WHEN 'exact_website_location' THEN greatest(score, 0.96)
+    WHEN 'same_location_name_conflict' THEN greatest(score, 0.84) ELSE score END, 6) AS score FROM d""")
 def match_decision_v1(spark: SparkSession, d: str) -> DataFrame:
     gap = F.col("b") - F.col("a")
     f = _pair_features(spark, d).withColumn("geo", sim.geo_score(F.col("meters"))).withColumn(
@@ -147,34 +150,21 @@ def match_decision_v1(spark: SparkSession, d: str) -> DataFrame:
     features = [F.col(c) for c in ("name", "address", "phone", "web", "geo")]
     best = identity.best_of_ranked(f.withColumn("score", identity.match_score(*features)), "a", "b", "score")
     decision = identity.decide_best_match(F.col("score"), F.col("second_score"), *features)
-    return best.select(decision["reason"].alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return best.select("a", "b", decision.alias("x")).select("a", "b", "x.reason", "x.action", F.round("x.score", 6).alias("score"))
 
 
 @R.query(f"""
-WITH x AS (SELECT doc_id AS id, lang, {_GRAMS.format(c="substr(text, 1, 40)")} AS g FROM documents)
-SELECT a.id AS record_id, b.id AS anchor_id, round(len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))), 6) AS similarity
-FROM x a JOIN x b ON a.lang = b.lang AND a.id % 20 = 0 AND b.id % 20 <> 0
-WHERE len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) > 0.3
-QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY similarity_key DESC, b.id) <= 50""".replace(
-    "similarity_key", "len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g)))"))
+WITH x AS (SELECT p_partkey AS id, p_brand, p_size, {_GRAMS.format(c="p_name")} AS n, {_GRAMS.format(c="p_type")} AS t FROM part),
+s AS (SELECT a.id AS record_id, b.id AS anchor_id, {_SIMILAR.format(a="a.n", b="b.n")} AS n, {_SIMILAR.format(a="a.t", b="b.t")} AS t
+  FROM x a JOIN x b ON a.p_brand = b.p_brand AND a.p_size = b.p_size)
+SELECT record_id, anchor_id, round(n, 6) AS by_name, round(t, 6) AS by_address FROM s WHERE n > 0.3 OR t > 0.3
+QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY greatest(n, t) DESC, anchor_id) <= 50""")
 def fuzzy_block_join(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents", "doc_id", "lang", "text").select(
-        F.col("doc_id").alias("id"), F.col("lang"), F.substring("text", 1, 40).alias("name"), F.lit("").alias("address"),
+    rows = table(spark, d, "part", "p_partkey", "p_brand", "p_size", "p_name", "p_type").select(
+        F.col("p_partkey").alias("id"), "p_brand", "p_size", F.col("p_name").alias("name"), F.col("p_type").alias("address"),
         F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
-    found = identity.fuzzy_block(rows.where("id % 20 = 0"), rows.where("id % 20 <> 0"), ["lang"], 50)
-    return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("similarity"))
-
-
-@R.query(f"""
-WITH x AS (SELECT doc_id AS id, lang, {_GRAMS.format(c="text")} AS g FROM documents),
-s AS (SELECT a.id AS record_id, b.id AS anchor_id, len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) AS s FROM x a JOIN x b ON a.lang = b.lang AND a.id % 50 = 0)
-SELECT record_id, anchor_id, round(s, 6) AS similarity FROM s WHERE s > 0.3 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY s DESC, anchor_id) <= 50""")
-def fuzzy_block_whole_text(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents", "doc_id", "lang", "text").select(
-        F.col("doc_id").alias("id"), F.col("lang"), F.col("text").alias("name"), F.lit("").alias("address"),
-        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
-    found = identity.fuzzy_block(rows.where("id % 50 = 0"), rows, ["lang"], 50)
-    return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("similarity"))
+    found = identity.fuzzy_block(rows, rows, ["p_brand", "p_size"], 50)
+    return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("by_name"), F.round("address_similarity", 6).alias("by_address"))
 
 
 _POINTS = "SELECT vec_id, 37 + CAST(embedding[1] AS DOUBLE) / 10 AS lat, -122 + CAST(embedding[2] AS DOUBLE) / 10 AS lon FROM embeddings"
@@ -248,18 +238,21 @@ def classify_tokens(spark: SparkSession, d: str) -> DataFrame:
 WITH l AS (SELECT l_orderkey, l_linenumber, CASE l_partkey % 8 WHEN 0 THEN '0040' WHEN 1 THEN '23' WHEN 2 THEN '02' WHEN 3 THEN '74' WHEN 4 THEN '75' WHEN 5 THEN '47' WHEN 6 THEN '99' ELSE '0' END AS code,
   CASE l_suppkey % 6 WHEN 0 THEN 'bar' WHEN 1 THEN 'taproom' WHEN 2 THEN 'winery' WHEN 3 THEN 'tasting_room' WHEN 4 THEN 'brewpub' ELSE 'cafe' END AS kind FROM lineitem),
 c AS (SELECT *, coalesce(nullif(regexp_replace(code, '^0+', ''), ''), '0') AS short FROM l)
-SELECT kind, CASE WHEN short IN ('2') THEN 'winery' WHEN short = '23' THEN 'brewery' WHEN short = '74' THEN 'distillery' WHEN short IN ('40', '47') THEN 'bar'
-  WHEN short = '75' THEN 'brewpub' END AS licensed, count(*) AS n, count(*) FILTER (WHERE CASE kind WHEN 'bar' THEN short IN ('40', '41', '42', '47', '48', '61', '87')
-  WHEN 'taproom' THEN short IN ('1', '23') WHEN 'winery' THEN short = '2' WHEN 'tasting_room' THEN short IN ('2', '74') WHEN 'brewpub' THEN short IN ('1', '23', '75') ELSE false END) AS supported
-FROM c GROUP BY 1, 2""")
+SELECT l_orderkey, l_linenumber, CASE WHEN short IN ('2') THEN 'winery' WHEN short = '23' THEN 'brewery' WHEN short = '74' THEN 'distillery' WHEN short IN ('40', '47') THEN 'bar'
+  WHEN short = '75' THEN 'brewpub' END AS licensed, CASE WHEN short IN ('2', '23', '74') THEN 'license_type:' || code WHEN short IN ('40', '47') THEN 'license_public_premises:' || code
+  WHEN short = '75' THEN 'license_brewpub:' || code ELSE 'license_not_in_scope:' || code END AS reason,
+  CAST(CASE WHEN short IN ('2', '23', '74') THEN 0.99 WHEN short IN ('40', '47') THEN 0.9 WHEN short = '75' THEN 0.93 ELSE 0 END AS DOUBLE) AS confidence,
+  CASE kind WHEN 'bar' THEN short IN ('40', '41', '42', '47', '48', '61', '87')
+  WHEN 'taproom' THEN short IN ('1', '23') WHEN 'winery' THEN short = '2' WHEN 'tasting_room' THEN short IN ('2', '74') WHEN 'brewpub' THEN short IN ('1', '23', '75') ELSE false END AS supported
+FROM c""")
 def license_compat_gate(spark: SparkSession, d: str) -> DataFrame:
     pick = lambda c, n, *v: F.element_at(F.array(*(F.lit(x) for x in v)), (F.col(c) % n + 1).cast("int"))
-    rows = table(spark, d, "lineitem", "l_partkey", "l_suppkey").select(
-        pick("l_partkey", 8, "0040", "23", "02", "74", "75", "47", "99", "0").alias("code"),
+    rows = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").select(
+        "l_orderkey", "l_linenumber", pick("l_partkey", 8, "0040", "23", "02", "74", "75", "47", "99", "0").alias("code"),
         pick("l_suppkey", 6, "bar", "taproom", "winery", "tasting_room", "brewpub", "cafe").alias("kind"))
     supported = classify.license_supports(values.license_code(F.col("code")), F.col("kind"))
-    return rows.groupBy("kind", classify.classify_license(F.col("code"))["type"].alias("licensed")).agg(
-        F.count("*").alias("n"), F.count_if(supported).alias("supported"))
+    return rows.select("l_orderkey", "l_linenumber", classify.classify_license(F.col("code")).alias("x"), supported.alias("supported")).select(
+        "l_orderkey", "l_linenumber", F.col("x.type").alias("licensed"), "x.reason", "x.confidence", "supported")
 
 
 @R.query(r"""
@@ -276,34 +269,11 @@ def page_name_claims(spark: SparkSession, d: str) -> DataFrame:
     return web.name_claims(table(spark, d, "pages", "page_id", "html"), "page_id")
 
 
-@R.query(f"""
-WITH b AS (SELECT item_id, {_GRAMS.format(c="substr(text, 1, 200)")} AS g FROM benchmark), x AS (SELECT doc_id, {_GRAMS.format(c="substr(text, 1, 200)")} AS g FROM documents),
-s AS (SELECT item_id, doc_id, len(list_intersect(b.g, x.g)) / len(b.g) AS c FROM b JOIN x ON len(b.g) > 0)
-SELECT item_id, doc_id, round(c, 6) AS containment FROM s WHERE c >= 0.6""")
-def near_duplicate_text(spark: SparkSession, d: str) -> DataFrame:
-    grams = sim.trigrams(F.substring("text", 1, 200))
-    b = table(spark, d, "benchmark", "item_id", "text").select("item_id", grams.alias("g")).select("item_id", F.size("g").alias("n"), F.explode("g").alias("t"))
-    x = table(spark, d, "documents", "doc_id", "text").select("doc_id", F.explode(grams).alias("t"))
-    shared = x.join(b, "t").groupBy("item_id", "doc_id", "n").agg(F.count("*").alias("s")).where(F.col("s") / F.col("n") >= 0.6)
-    return shared.select("item_id", "doc_id", F.round(F.col("s") / F.col("n"), 6).alias("containment"))
-
-
 @R.query("""
-SELECT a.doc_id AS a, b.doc_id AS b FROM documents a JOIN documents b ON a.lang = b.lang AND md5(substr(a.text, 1, 120)) = md5(substr(b.text, 1, 120)) AND a.doc_id < b.doc_id
-WHERE length(a.text) >= 120 AND length(b.text) >= 120""")
+WITH c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY lang, text) AS a FROM documents WHERE text IS NOT NULL) SELECT a, doc_id AS b FROM c WHERE a < doc_id""")
 def duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents", "doc_id", "lang", "text").where(F.length("text") >= 120).select(
-        "doc_id", "lang", F.md5(F.substring("text", 1, 120)).alias("h"))
-    return rows.toDF("a", "lang", "h").join(rows.toDF("b", "lang", "h"), ["lang", "h"]).where("a < b").select("a", "b")
-
-
-@R.query(f"""
-WITH b AS (SELECT item_id, {_GRAMS.format(c="text")} AS g FROM benchmark), x AS (SELECT doc_id, {_GRAMS.format(c="text")} AS g FROM documents),
-s AS (SELECT item_id, doc_id, len(list_intersect(b.g, x.g)) / len(b.g) AS c FROM b JOIN x ON len(b.g) > 0)
-SELECT item_id, doc_id, round(c, 6) AS containment FROM s WHERE c >= 0.6""")
-def near_duplicate_whole_text(spark: SparkSession, d: str) -> DataFrame:
-    return identity.contained_texts(table(spark, d, "benchmark", "item_id", "text"), table(spark, d, "documents", "doc_id", "text"), 0.6).select(
-        "item_id", "doc_id", F.round("containment", 6).alias("containment"))
+    classes = identity.equal_texts(table(spark, d, "documents", "doc_id", "lang", "text"), "doc_id", "text", ["lang"])
+    return classes.where("class_id < doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
 
 
 @R.query("""

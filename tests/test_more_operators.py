@@ -157,13 +157,6 @@ def test_expiry_filters(spark):
 LEAD = "the same opening words of every text " * 8
 
 
-def test_contained_texts_reads_whole_texts(spark):
-    items = spark.createDataFrame([(1, LEAD + "quick zebra jumping"), (2, "violet mushrooms glow")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, LEAD + "violet mushrooms glow"), (2, LEAD), (3, None)], "doc_id long, text string")
-    got = {(r.item_id, r.doc_id): r.containment for r in identity.contained_texts(items, docs, 0.0).collect()}
-    assert got[2, 1] == 1.0 and (2, 2) not in got and 0 < got[1, 2] < 1
-
-
 def test_equal_texts_reads_whole_texts(spark):
     rows = [(1, "en", LEAD + "a"), (2, "en", LEAD + "b"), (3, "en", LEAD + "a"), (4, "de", LEAD + "a"), (5, "en", "short"), (6, "en", "short"),
             (7, None, ""), (8, None, ""), (9, "en", None)] + [(i, "fr", LEAD) for i in range(100, 400)]
@@ -173,8 +166,16 @@ def test_equal_texts_reads_whole_texts(spark):
     assert len(got) == 308 and all(got[i] == (100, 300) for i in range(100, 400))
 
 
-def test_fuzzy_block_searches_all_rows_on_whole_texts(spark):
-    from cairn.plans import matching
+def test_rare_trigrams_lose_no_pair(spark):
+    import random
 
-    found = matching.fuzzy_block_whole_text(spark, "/root/testdata/sf0.001").select("record_id", "anchor_id", "similarity").collect()
-    assert {r.record_id for r in found} == {r.anchor_id for r in found if r.record_id == r.anchor_id and r.similarity == 1.0} != set()
+    rng = random.Random(4)
+    names = ["".join(rng.choices("abcd ", k=rng.randrange(1, 25))) for _ in range(150)]
+    rows = spark.createDataFrame([(i, i % 3, n, "", None, None) for i, n in enumerate(names)], "id int, block int, name string, address string, lat double, lon double")
+    grams = [{p[i : i + 3] for w in n.split() for p in [f"  {w} "] for i in range(len(p) - 2)} for n in names]
+    sim = lambda i, j: len(grams[i] & grams[j]) / len(grams[i] | grams[j]) if grams[i] | grams[j] else 0.0
+    for least in (0.3, 0.7):
+        got = {(r.a, r.b): r.similarity for r in identity.trigram_pairs(rows, "id", "name", ["block"], least, inclusive=True).collect()}
+        assert got == {(i, j): sim(i, j) for j in range(150) for i in range(j) if i % 3 == j % 3 and sim(i, j) >= least}
+    found = {(r.record_id, r.anchor_id) for r in identity.fuzzy_block(rows, rows, ["block"], 1000).collect()}
+    assert found == {(i, j) for i in range(150) for j in range(150) if i % 3 == j % 3 and sim(i, j) > 0.3}
