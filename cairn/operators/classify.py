@@ -44,6 +44,16 @@ LICENSES_OF_TYPE = {
 }
 COMPATIBLE_TYPES = (("brewery", "taproom"), ("brewery", "brewpub"), ("winery", "tasting_room"), ("distillery", "tasting_room"))
 COMBINED_TYPE_CAP = 0.94
+# Categories that contradict any drinking place, or a bar; types that a restaurant category does not contradict.
+HARD_CONFLICTS = (
+    "apartment_or_condo", "cafe", "caf", "cafe_coffee_and_tea_house", "coffee_shop", "comedy_club", "country_club", "fitness_center",
+    "food_court", "gym", "gym_and_studio", "harbor_or_marina", "hostel", "lodging", "motel", "office", "performing_arts_venue",
+    "residential_building", "residential_building_or_home", "social_club", "tech_startup", "theater",
+)
+BAR_RETAIL_CONFLICTS = (
+    "convenience_store", "food_and_beverage_retail", "grocery_store", "liquor_store", "retail", "shopping", "supermarket", "wine_store",
+)
+PRODUCER_ACCESS_TYPES = ("brewpub", "taproom", "tasting_room")
 
 
 def _result(slug: Column | str | None, confidence: Column | float, eligible: bool, reason: Column | str) -> Column:
@@ -108,6 +118,15 @@ def classify_tokens(name: Column, tokens: Column, existence: Column) -> Column:
     return _first(cases, _result(None, 0.0, False, "taxonomy_not_in_scope"))
 
 
+def supports_consumer_identity(name: Column, tokens: Column, kind: Column, reason: Column) -> Column:
+    """Whether a place of a consumer type is one: no contradicting category, and a name that says so where the category is only ``bar``."""
+    none_of = lambda families: ~F.coalesce(conflicts_with(tokens, families), F.lit(False))
+    by_name = F.coalesce(classify_name(name)["type"].isin(*CONSUMER_TYPES), F.lit(False))
+    return F.coalesce(
+        kind.isin(*CONSUMER_TYPES) & none_of(HARD_CONFLICTS) & (kind.isin(*PRODUCER_ACCESS_TYPES) | none_of(("restaurant",)))
+        & (~kind.isin(*BAR_TYPES) | none_of(BAR_RETAIL_CONFLICTS)) & ((reason != "taxonomy:generic_bar") | by_name), F.lit(False))
+
+
 def license_supports(code: Column, kind: Column) -> Column:
     """Whether a licence code allows a place of the type."""
     pairs = [x for t, codes in LICENSES_OF_TYPE.items() for x in (F.lit(t), F.array(*(F.lit(c) for c in codes)))]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.values import bounded
+from cairn.functions.values import bounded, payload_hash, source_family
 
 # Freshness by age in days (up to, factor), the factor beyond, and the one of unknown age.
 FRESHNESS = {
@@ -14,6 +14,9 @@ FRESHNESS = {
     "": (((365, 1.0), (1095, 0.96)), 0.88, 0.92),
 }
 MINIMUM_SCORES = {"phone_e164": 0.68, "website_url": 0.68, "neighborhood": 0.68, "hours": 0.58, "price_level": 0.75}
+OTHER_MINIMUM = 0.68
+#: The origin that a source states itself, where it is not of the source's name (fixed values).
+DIRECT_ORIGINS = {"fsq": "foursquare"}
 MARGIN = 0.06
 SCORE_CAP = 0.995
 AGREEMENT_STEP, AGREEMENT_CAP = 0.04, 0.08
@@ -72,6 +75,70 @@ def select_value(values: DataFrame, keys: list[str], value: str, minimum: Column
         F.when(chosen, "selected").when(F.col("_n") > 1, "conflicted").otherwise("insufficient").alias("status"))
 
 
+def score_evidence(evidence: DataFrame, as_of: Column) -> DataFrame:
+    """Evidence with its ``score`` and its ``origins`` (the source's family where it names none)."""
+    factor = freshness_factor(F.col("source_updated_at"), as_of, F.col("field"))
+    named = F.coalesce(F.size("origin_keys") > 0, F.lit(False))
+    return evidence.withColumn("score", evidence_score(F.col("authority"), F.col("evidence_confidence"), F.col("identity_confidence"), factor)).withColumn(
+        "origins", F.when(named, F.col("origin_keys")).otherwise(F.array(source_family(F.col("source")))))
+
+
+def rank_values(scored: DataFrame) -> DataFrame:
+    """One row per entity, field and normalized value: its score with the bonus for further origins, and its best evidence.
+
+    A website's best evidence is one by https before one of a higher score; of equal evidence the smallest id is the best.
+    """
+    value = F.coalesce(F.nullif("normalized_value", F.lit("")), F.nullif("value_text", F.lit("")))
+    secure = (F.col("field") == "website_url") & ~F.coalesce(F.col("value_text").startswith("https://"), F.lit(False))
+    facts = F.struct("value_text", "source", "evidence_id")
+    grouped = scored.withColumn("value", value).where(F.col("value").isNotNull()).groupBy("entity", "field", "value").agg(
+        F.max("score").alias("base"), F.min_by(facts, F.struct(secure.cast("int").alias("a"), (-F.col("score")).alias("s"), "evidence_id")).alias("best"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("origins")))).alias("origins"), F.array_sort(F.collect_set("evidence_id")).alias("evidence_ids"))
+    bonus = F.least(F.lit(AGREEMENT_CAP), AGREEMENT_STEP * (F.greatest(F.size("origins"), F.lit(1)) - 1))
+    return grouped.select("entity", "field", "value", "best.*", "origins", "evidence_ids", F.least(F.lit(SCORE_CAP), F.col("base") + bonus).alias("score"))
+
+
+def decide_fields(evidence: DataFrame, as_of: Column, version: str, retained: DataFrame | None = None) -> DataFrame:
+    """One decision per entity and field with evidence or a retained value: selected, retained or unknown, with its fingerprint.
+
+    The best value must reach the field's least score and beat the next by the
+    margin, unless both share an origin that the best one's source states
+    itself.  retained: entity, field, value_text, confidence of present values
+    that stay where nothing is selected.  ``value_count`` tells how many values competed.
+    """
+    w = Window.partitionBy("entity", "field").orderBy(F.desc("score"), "value")
+    ranked = rank_values(score_evidence(evidence, as_of)).select(
+        "*", F.row_number().over(w).alias("_k"), F.lead("score").over(w).alias("_second"), F.lead("origins").over(w).alias("_other"),
+        F.count("*").over(Window.partitionBy("entity", "field")).alias("value_count"))
+    direct = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in DIRECT_ORIGINS.items() for x in kv)), F.col("source")), F.col("source"))
+    own_copy = F.arrays_overlap("origins", "_other") & F.coalesce(F.array_contains("origins", direct), F.lit(False))
+    least = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in MINIMUM_SCORES.items() for x in kv)), F.col("field")), F.lit(OTHER_MINIMUM))
+    clear = F.col("_second").isNull() | (F.col("score") - F.col("_second") >= MARGIN) | F.coalesce(own_copy, F.lit(False))
+    best = ranked.where("_k = 1").withColumn("_chosen", (F.col("score") >= least) & clear).drop("_k", "_second", "_other")
+    if retained is None:
+        best = best.withColumn("_kept", F.lit(None).cast("string")).withColumn("_sure", F.lit(None).cast("double"))
+    else:
+        best = best.join(retained.select("entity", "field", F.col("value_text").alias("_kept"), F.col("confidence").alias("_sure")), ["entity", "field"], "full_outer")
+    chosen = F.coalesce("_chosen", F.lit(False))
+    none = F.array().cast(evidence.schema["evidence_id"].dataType.simpleString().join(("array<", ">")))
+    decided = best.select(
+        "entity", "field", F.when(chosen | F.col("_kept").isNotNull(), "selected").otherwise("unknown").alias("status"),
+        F.when(chosen, F.col("value_text")).otherwise(F.col("_kept")).alias("value_text"), F.when(chosen, F.round("score", 3)).when(F.col("_kept").isNotNull(), F.round(F.coalesce("_sure", F.lit(0.0)), 3)).alias("confidence"),
+        F.when(chosen, F.col("source")).alias("source"), F.when(chosen, F.col("evidence_ids")).otherwise(none).alias("evidence_ids"),
+        F.when(chosen, F.col("origins")).otherwise(F.array().cast("array<string>")).alias("origins"),
+        F.when(chosen, "highest_scoring_admissible_evidence").when(F.col("_kept").isNotNull(), "retained_existing_canonical_value").otherwise(
+            "no_admissible_unconflicted_evidence").alias("reason"), F.coalesce("value_count", F.lit(0)).alias("value_count"))
+    return decided.withColumn("fingerprint", payload_hash(
+        entity=F.col("entity"), field=F.col("field"), status=F.col("status"), value=F.col("value_text"), confidence=F.col("confidence"),
+        evidence=F.col("evidence_ids"), version=F.lit(version)))
+
+
+def changed_decisions(decisions: DataFrame, current: DataFrame) -> DataFrame:
+    """Decisions whose fingerprint is not the current one of their entity and field; a return to an older decision is a change."""
+    now = current.select("entity", "field", F.col("fingerprint").alias("_now"))
+    return decisions.join(now, ["entity", "field"], "left").where(~F.col("fingerprint").eqNullSafe(F.col("_now"))).drop("_now")
+
+
 def review_reason(status: Column, value_count: Column, origin_count: Column, high_risk: Column) -> Column:
     """Why a field needs review, or null."""
     return F.when((status != "selected") & (value_count > 1), "conflicting_admissible_evidence").when(

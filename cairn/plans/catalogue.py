@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cairn.plans import evidence, matching, relational
+from cairn.plans import evidence, fields, matching, relational
 from cairn.plans.registry import Run
 
-_PARTS = (relational.R, matching.R, evidence.R)
+_PARTS = (relational.R, matching.R, evidence.R, fields.R)
 
 
 def runs() -> dict[str, Run]:

@@ -40,11 +40,69 @@ def _decisions(spark: SparkSession, d: str) -> DataFrame:
     return resolve.select_value(grouped, ["user_id", "field"], "choice", 0.3)
 
 
-@R.query(_VALUES + """
-SELECT user_id, field, CASE WHEN chosen THEN value END AS selected_value, CASE WHEN chosen THEN round(score, 6) END AS score,
-  CASE WHEN chosen THEN 'selected' WHEN n > 1 THEN 'conflicted' ELSE 'insufficient' END AS status FROM d""")
+_FIELDS = ("phone_e164", "website_url", "hours", "price_level")
+_SOURCES = ("overture", "fsq", "osm", "official_web", "datasf")
+_AUTHORITY = (0.9, 0.92, 0.8, 0.97, 0.75)
+_VERSION = "fields-v1"
+
+
+def _decided(name: str, before: str, retained: bool) -> str:
+    """DuckDB tables that end in ``name``: the decisions on events before a time; ages are stretched twentyfold so that they cross the steps."""
+    return f"""{name}_e AS (SELECT user_id AS entity, {list(_FIELDS)}[event_id % 4 + 1] AS field, CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 AS k, {list(_SOURCES)}[event_id % 5 + 1] AS source,
+  CAST({list(_AUTHORITY)}[event_id % 5 + 1] AS DOUBLE) AS authority, least(1.0::DOUBLE, 0.8::DOUBLE + value / 2000) AS confidence, 0.9::DOUBLE + (user_id % 10) / 100.0::DOUBLE AS identity,
+  CAST(floor((epoch(TIMESTAMP '{EVENTS_AS_OF}') - floor(epoch(ts))) / 86400) AS BIGINT) * 20 AS age, event_id FROM events WHERE ts < TIMESTAMP '{before}'
+  QUALIFY row_number() OVER (PARTITION BY entity, field, source ORDER BY ts DESC, event_id DESC) = 1),
+{name}_s AS (SELECT *, CASE WHEN source = 'overture' THEN ['foursquare', 'meta'][k % 2 + 1] WHEN source = 'fsq' THEN 'foursquare' WHEN source = 'osm' THEN 'community' WHEN source = 'official_web' THEN 'first_party'
+  ELSE 'government_registry' END AS origin, CASE WHEN field = 'website_url' THEN CASE WHEN event_id % 2 = 0 THEN 'https://v' ELSE 'http://v' END ELSE 'v' END || k AS text,
+  authority * confidence * (0.7::DOUBLE + 0.3::DOUBLE * identity) * CAST(CASE field WHEN 'hours' THEN CASE WHEN age <= 180 THEN 1.0 WHEN age <= 365 THEN 0.9 WHEN age <= 730 THEN 0.7 ELSE 0.5 END
+    WHEN 'price_level' THEN CASE WHEN age <= 365 THEN 1.0 WHEN age <= 730 THEN 0.8 ELSE 0.6 END ELSE CASE WHEN age <= 365 THEN 1.0 WHEN age <= 1095 THEN 0.96 ELSE 0.88 END END AS DOUBLE) AS score
+  FROM {name}_e WHERE k IS NOT NULL),
+{name}_v AS (SELECT entity, field, k, max(score) AS base, list_sort(list(DISTINCT origin)) AS origins, list_sort(list(event_id)) AS ids,
+  min_by({{'text': text, 'source': source}}, {{'a': CASE WHEN field = 'website_url' AND text NOT LIKE 'https://%' THEN 1 ELSE 0 END, 's': -score, 'i': event_id}}) AS best FROM {name}_s GROUP BY 1, 2, 3),
+{name}_b AS (SELECT *, least(0.995::DOUBLE, base + least(0.08::DOUBLE, 0.04::DOUBLE * (len(origins) - 1))) AS score FROM {name}_v),
+{name}_r AS (SELECT *, row_number() OVER w AS n, lead(score) OVER w AS second, lead(origins) OVER w AS other FROM {name}_b WINDOW w AS (PARTITION BY entity, field ORDER BY score DESC, k)),
+{name}_d AS (SELECT *, score >= CASE field WHEN 'hours' THEN 0.58::DOUBLE WHEN 'price_level' THEN 0.75::DOUBLE ELSE 0.68::DOUBLE END AND (second IS NULL OR score - second >= 0.06::DOUBLE
+  OR (list_has_any(origins, other) AND list_contains(origins, CASE best.source WHEN 'fsq' THEN 'foursquare' ELSE best.source END))) AS chosen,
+  CASE WHEN {str(retained).lower()} AND field = 'phone_e164' AND entity % 2 = 0 THEN 'kept' END AS kept FROM {name}_r WHERE n = 1),
+{name} AS (SELECT entity, field, CASE WHEN chosen OR kept IS NOT NULL THEN 'selected' ELSE 'unknown' END AS status, CASE WHEN chosen THEN best.text ELSE kept END AS value_text,
+  CASE WHEN chosen THEN round(score, 3) WHEN kept IS NOT NULL THEN 0.5::DOUBLE END AS confidence, CASE WHEN chosen THEN best.source END AS source,
+  CASE WHEN chosen THEN array_to_string(origins, ',') ELSE '' END AS origins, CASE WHEN chosen THEN array_to_string(ids, ',') ELSE '' END AS evidence,
+  CASE WHEN chosen THEN 'highest_scoring_admissible_evidence' WHEN kept IS NOT NULL THEN 'retained_existing_canonical_value' ELSE 'no_admissible_unconflicted_evidence' END AS reason FROM {name}_d)"""
+
+
+def _field_evidence(spark: SparkSession, d: str, before: str) -> DataFrame:
+    key, user = F.col("event_id"), F.col("user_id")
+    rows = table(spark, d, "events", "user_id", "props", "event_id", "value", "ts").where(F.col("ts").cast("timestamp") < as_of(before)).select(
+        user.alias("entity"), _pick("event_id", *_FIELDS).alias("field"), (F.get_json_object("props", "$.k").cast("long") % 3).alias("k"), _pick("event_id", *_SOURCES).alias("source"),
+        _pick("event_id", *_AUTHORITY).alias("authority"), (F.lit(0.8) + F.col("value") / 2000).alias("evidence_confidence"), (0.9 + (user % 10) / 100).alias("identity_confidence"),
+        F.col("ts").cast("timestamp").alias("ts"), key.alias("evidence_id"))
+    now = F.unix_timestamp(as_of(EVENTS_AS_OF))
+    age = F.floor((now - F.unix_timestamp("ts")) / 86400) * 20
+    number = F.concat(F.lit("v"), F.col("k").cast("string"))
+    address = F.when(F.col("field") != "website_url", number).when(F.col("evidence_id") % 2 == 0, F.concat(F.lit("https://"), number)).otherwise(F.concat(F.lit("http://"), number))
+    upstream = F.when(F.col("source") == "fsq", F.array(F.lit("foursquare"))).when(F.col("source") == "overture", F.array(_pick("k", "foursquare", "meta")))
+    return latest.latest_per_key(rows, ["entity", "field", "source"], ["ts", "evidence_id"]).select(
+        "*", address.alias("value_text"), number.alias("normalized_value"), F.timestamp_seconds(now - age * 86400).alias("source_updated_at"), upstream.alias("origin_keys"))
+
+
+def _shown_decisions(decisions: DataFrame) -> DataFrame:
+    return decisions.select("entity", "field", "status", "value_text", "confidence", "source", F.array_join("origins", ",").alias("origins"),
+                            F.array_join(F.transform("evidence_ids", lambda i: i.cast("string")), ",").alias("evidence"), "reason")
+
+
+@R.query("WITH " + _decided("now", "2030-01-01", True) + " SELECT * FROM now")
 def evidence_resolution_flagship(spark: SparkSession, d: str) -> DataFrame:
-    return _decisions(spark, d).select("user_id", "field", "selected_value", F.round("score", 6).alias("score"), "status")
+    evidence = _field_evidence(spark, d, "2030-01-01")
+    kept = evidence.where("field = 'phone_e164' AND entity % 2 = 0 AND normalized_value IS NOT NULL").select(
+        "entity", "field", F.lit("kept").alias("value_text"), F.lit(0.5).alias("confidence")).distinct()
+    return _shown_decisions(resolve.decide_fields(evidence, as_of(EVENTS_AS_OF), _VERSION, kept))
+
+
+@R.query("WITH " + _decided("was", "2024-01-16", False) + ", " + _decided("now", "2030-01-01", False) + """
+SELECT now.* FROM now LEFT JOIN was USING (entity, field) WHERE (now.status, now.value_text, now.confidence, now.evidence) IS DISTINCT FROM (was.status, was.value_text, was.confidence, was.evidence)""")
+def changed_field_decisions(spark: SparkSession, d: str) -> DataFrame:
+    was, now = (resolve.decide_fields(_field_evidence(spark, d, t), as_of(EVENTS_AS_OF), _VERSION) for t in ("2024-01-16 00:00:00", "2030-01-01"))
+    return _shown_decisions(resolve.changed_decisions(now, was))
 
 
 @R.query(_VALUES + """

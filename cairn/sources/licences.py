@@ -97,6 +97,6 @@ def export_links(html: Column) -> Column:
 
 
 def token_slugs(breadcrumbs: Column) -> Column:
-    """Category tokens of breadcrumbs with ``>`` or ``›`` between labels."""
-    parts = F.flatten(F.transform(breadcrumbs, lambda b: F.split(b, "[>›]")))
+    """Category tokens of breadcrumbs with ``>``, ``/`` or ``›`` between labels."""
+    parts = F.flatten(F.transform(breadcrumbs, lambda b: F.split(b, "[>/›]")))
     return F.array_distinct(F.filter(F.transform(parts, slug), lambda t: t != ""))

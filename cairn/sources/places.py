@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.text import first_filled, join_filled, slug
-from cairn.functions.values import finite, latest_timestamp, parse_date, parse_timestamp, wkt_point
-from cairn.operators.classify import classify_naics, classify_tokens, conflicts_with
+from cairn.functions.payload import field_provenance, origin_keys, quality_flags, settings_of_labels, settings_of_tokens, strings
+from cairn.functions.text import blank_to_null, first_filled, join_filled
+from cairn.functions.values import finite, latest_timestamp, parse_timestamp, wkt_point
+from cairn.operators.classify import ACCESS_TYPES, CONSUMER_TYPES, classify_naics, classify_tokens, supports_consumer_identity
 from cairn.sources.licences import token_slugs
 
 PLACE_FEATURE = (
     "struct<geometry:struct<type:string,coordinates:array<double>>,properties:struct<id:string,version:int,"
-    "names:struct<primary:string>,basic_category:string,taxonomy:struct<primary:string,hierarchy:array<string>,alternates:array<string>>,"
+    "names:struct<primary:string>,basic_category:string,"
+    "taxonomy:struct<primary:string,hierarchy:array<string>,alternates:array<string>,alternate:array<string>>,"
+    "categories:struct<primary:string,alternate:array<string>,alternates:array<string>>,"
     "confidence:double,websites:array<string>,phones:array<string>,"
     "addresses:array<struct<freeform:string,locality:string,postcode:string,region:string,country:string>>,operating_status:string,"
     "sources:array<struct<dataset:string,record_id:string,property:string,license:string,update_time:string>>>>")
-#: Families of categories that contradict a drinking place (fixed values).
-CONFLICT_FAMILIES = ("school", "church", "hospital", "office", "residence", "warehouse")
-#: Years without refresh after which an open place is flagged.
-STALE_DAYS = 1095
+#: Days without refresh after which an open place is stale, and the confidence that its categories carry (fixed values).
+STALE_DAYS = 365
+OPEN_PLACE_CONFIDENCE = 0.94
+#: Flags that close a place (fixed values).
+CLOSED_FLAGS = ("closed", "delete", "doesnt_exist", "does_not_exist")
+
+
+_SOURCES = "array<struct<dataset:string,record_id:string,property:string,license:string,update_time:string>>"
 
 
 def read_geojson_sequence(spark: SparkSession, path: str, schema: str = PLACE_FEATURE) -> DataFrame:
@@ -49,11 +56,10 @@ def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
         "name IS NOT NULL AND rings IS NOT NULL")
 
 
-def category_tokens(primary: Column, hierarchy: Column, alternates: Column) -> Column:
-    """Distinct tokens of a nested taxonomy."""
-    empty = F.array().cast("array<string>")
-    every = F.concat(F.array(primary), F.coalesce(hierarchy, empty), F.coalesce(alternates, empty))
-    return F.array_distinct(F.filter(F.transform(every, slug), lambda t: t.isNotNull() & (t != "")))
+def category_tokens(*categories: Column) -> Column:
+    """Distinct filled tokens of single categories and lists of them, in order."""
+    return F.array_distinct(F.filter(F.concat(*(F.coalesce(c, F.array().cast("array<string>")) for c in categories)),
+                                     lambda t: F.coalesce(t, F.lit("")) != ""))
 
 
 def best_address(addresses: Column) -> Column:
@@ -64,55 +70,75 @@ def best_address(addresses: Column) -> Column:
 
 
 def operating_status(text: Column) -> Column:
+    """temporarily_closed, closed or open; null where the text says none."""
     t = F.lower(text)
-    return F.when(t.contains("temporarily"), "temporarily_closed").when(t.contains("closed"), "closed").when(
-        t.contains("open"), "open").otherwise("unknown")
+    return F.when(t.contains("tempor") & t.contains("closed"), "temporarily_closed").when(t.contains("closed"), "closed").when(
+        t.contains("open"), "open")
 
 
-def origin_keys(sources: Column) -> Column:
-    """Upstream origins of source items; an unknown data set keeps its name under ``overture:``."""
-    name = lambda s: F.lower(s["dataset"])
-    key = lambda s: F.when(name(s).contains("foursquare"), "fsq").when(name(s).contains("osm") | name(s).contains(
-        "openstreetmap"), "osm").when(name(s).contains("meta"), "meta").otherwise(F.concat(F.lit("overture:"), name(s)))
-    return F.array_sort(F.array_distinct(F.transform(F.filter(sources, lambda s: s["dataset"].isNotNull()), key)))
+def public_access(consumer: Column, private: Column | None = None) -> Column:
+    chain = F if private is None else F.when(private, "members_or_private")
+    return chain.when(consumer, "walk_in").otherwise("unknown")
 
 
 def map_features(features: DataFrame) -> DataFrame:
-    """Source records of place features; a record needs an id, a name and an address."""
+    """Source records of place features with their provenance by field.
+
+    A record needs an id, a name, a complete address, a point and categories in scope.
+    """
     p, g = F.col("feature.properties"), F.col("feature.geometry")
     addr = best_address(p["addresses"])
-    tokens = category_tokens(F.coalesce(p["taxonomy"]["primary"], p["basic_category"]), p["taxonomy"]["hierarchy"], p["taxonomy"]["alternates"])
-    kind = classify_tokens(p["names"]["primary"], tokens, p["confidence"])
-    return features.select(
-        F.lit("overture").alias("source"), p["id"].alias("source_record_id"), p["names"]["primary"].alias("name"),
-        addr["freeform"].alias("address"), addr["locality"].alias("city"), addr["region"].alias("region"),
-        addr["postcode"].alias("postal_code"), F.coalesce(addr["country"], F.lit("US")).alias("country_code"),
+    tax, old = p["taxonomy"], p["categories"]
+    tokens = category_tokens(F.array(p["basic_category"]), F.array(tax["primary"]), tax["hierarchy"], tax["alternates"], tax["alternate"],
+                             F.array(old["primary"]), old["alternate"], old["alternates"])
+    rows = features.select("feature", tokens.alias("_t"), addr.alias("_a")).withColumn("_k", classify_tokens(p["names"]["primary"], F.col("_t"), p["confidence"]))
+    kind, addr = F.col("_k"), F.col("_a")
+    consumer = F.coalesce(kind["type"].isin(*ACCESS_TYPES), F.lit(False))
+    filled = lambda v: F.get(F.filter(v, lambda x: F.coalesce(x, F.lit("")) != ""), F.lit(0))
+    return rows.where(kind["eligible"]).select(
+        F.lit("overture").alias("source"), F.nullif(p["id"], F.lit("")).alias("source_record_id"), F.trim(F.nullif(p["names"]["primary"], F.lit(""))).alias("name"),
+        addr["freeform"].alias("address"), addr["locality"].alias("city"), F.nullif(addr["region"], F.lit("")).alias("region"),
+        F.nullif(addr["postcode"], F.lit("")).alias("postal_code"), F.coalesce(F.nullif(addr["country"], F.lit("")), F.lit("US")).alias("country_code"),
         F.get(g["coordinates"], F.lit(1)).alias("latitude"), F.get(g["coordinates"], F.lit(0)).alias("longitude"),
-        F.get(p["phones"], F.lit(0)).alias("phone"), F.get(p["websites"], F.lit(0)).alias("website_url"),
+        filled(p["phones"]).alias("phone"), filled(p["websites"]).alias("website_url"), settings_of_tokens(F.col("_t")).alias("setting_slugs"),
         operating_status(p["operating_status"]).alias("source_status"), kind["type"].alias("primary_type"),
-        kind["confidence"].alias("classification_confidence"), origin_keys(p["sources"]).alias("origin_keys"),
+        kind["confidence"].alias("classification_confidence"), kind["reason"].alias("classification_reason"), F.lit("consumer_poi").alias("source_family"),
+        consumer.alias("consumer_facing"), public_access(consumer).alias("public_access"),
+        origin_keys(F.transform(p["sources"], lambda s: s["dataset"])).alias("origin_keys"), F.lit("Overture-source-licenses").alias("data_license"),
         latest_timestamp(F.transform(p["sources"], lambda s: s["update_time"])).alias("source_updated_at"),
-    ).where("source_record_id IS NOT NULL AND name IS NOT NULL AND address IS NOT NULL")
+        field_provenance(F.coalesce(p["sources"], F.array().cast(_SOURCES))).alias("field_provenance"),
+    ).where("source_record_id IS NOT NULL AND name IS NOT NULL AND address IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL")
 
 
 def map_open_places(rows: DataFrame, as_of: Column) -> DataFrame:
-    """Source records of an open-places table with quality flags for staleness, privacy and conflicting categories."""
-    tokens = token_slugs(F.col("fsq_category_labels"))
-    refreshed = parse_date(F.col("date_refreshed").cast("string"))
-    flags = F.array_union(
-        F.coalesce(F.transform("unresolved_flags", slug), F.array().cast("array<string>")),
-        F.array_compact(F.array(
-            F.when(F.datediff(as_of, refreshed) > STALE_DAYS, F.lit("stale")),
-            F.when(F.col("date_closed").isNotNull(), F.lit("closed")),
-            F.when(conflicts_with(tokens, CONFLICT_FAMILIES), F.lit("consumer_identity_conflict")))))
-    kind = classify_tokens(F.col("name"), tokens, F.lit(0.9))
-    return rows.select(
-        F.lit("fsq").alias("source"), F.col("fsq_place_id").alias("source_record_id"), "name", "address",
-        F.col("locality").alias("city"), "region", F.col("postcode").alias("postal_code"), F.col("country").alias("country_code"),
-        "latitude", "longitude", F.col("tel").alias("phone"), F.col("website").alias("website_url"),
-        F.when(F.col("date_closed").isNotNull(), "closed").otherwise("open").alias("source_status"),
-        kind["type"].alias("primary_type"), kind["confidence"].alias("classification_confidence"),
-        flags.alias("quality_flags"), refreshed.alias("source_updated_on"))
+    """Source records of an open-places table; a record needs an id, name, address, city, point and categories in scope.
+
+    A place is closed by its date or a flag, of unknown status if it is stale.
+    Only published fields are read: no hours, prices or outdoor seats.
+    """
+    labels = F.coalesce(strings(F.col("fsq_category_labels")), F.array().cast("array<string>"))
+    refreshed = parse_timestamp(F.col("date_refreshed").cast("string"))
+    given = lambda c: blank_to_null(F.col(c).cast("string"))
+    r = rows.withColumn("_l", labels).withColumn("_t", token_slugs(F.col("_l"))).withColumn(
+        "_k", classify_tokens(F.trim("name"), F.col("_t"), F.lit(OPEN_PLACE_CONFIDENCE))).withColumn("_f", quality_flags(F.col("unresolved_flags"))).withColumn(
+        "_r", refreshed).withColumn("_s", F.col("_r").isNull() | (F.col("_r") < as_of - F.make_dt_interval(F.lit(STALE_DAYS))))
+    kind = F.col("_k")
+    consumer = supports_consumer_identity(F.trim("name"), F.col("_t"), kind["type"], kind["reason"])
+    conflict = F.coalesce(kind["type"].isin(*CONSUMER_TYPES), F.lit(False)) & ~consumer
+    more = F.array_compact(F.array(F.when(F.col("_s"), F.lit("stale")), F.when(conflict, F.lit("consumer_identity_conflict"))))
+    closed = F.col("date_closed").isNotNull() | F.arrays_overlap("_f", F.array(*(F.lit(f) for f in CLOSED_FLAGS)))
+    private = F.arrays_overlap("_f", F.array(F.lit("privatevenue"), F.lit("private_venue")))
+    return r.where(kind["eligible"]).select(
+        F.lit("fsq").alias("source"), given("fsq_place_id").alias("source_record_id"), given("name").alias("name"), given("address").alias("address"),
+        given("locality").alias("city"), given("region").alias("region"), given("postcode").alias("postal_code"),
+        F.upper(F.coalesce(given("country"), F.lit("US"))).alias("country_code"), F.col("latitude").try_cast("double").alias("latitude"),
+        F.col("longitude").try_cast("double").alias("longitude"), given("tel").alias("phone"), given("website").alias("website_url"),
+        settings_of_labels(F.col("_l"), F.lit(False)).alias("setting_slugs"),
+        F.when(closed, "closed").when(F.col("_s"), "unknown").otherwise("open").alias("source_status"), F.col("_r").alias("source_updated_at"),
+        kind["type"].alias("primary_type"), kind["confidence"].alias("classification_confidence"), kind["reason"].alias("classification_reason"),
+        F.lit("consumer_poi").alias("source_family"), consumer.alias("consumer_facing"), public_access(consumer, private).alias("public_access"),
+        F.array_sort(F.array_union("_f", more)).alias("quality_flags"), F.array(F.lit("foursquare")).alias("origin_keys"), F.lit("Apache-2.0").alias("data_license"),
+    ).where("source_record_id IS NOT NULL AND name IS NOT NULL AND address IS NOT NULL AND city IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL")
 
 
 def map_registry(rows: DataFrame) -> DataFrame:

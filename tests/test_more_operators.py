@@ -1,8 +1,11 @@
 """Mappers, state transitions and reports on small literal tables."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
+from cairn.functions import payload
 from cairn.operators import identity, materialize, providers, readiness, resolve, review
 from cairn.sources import licences, places
 from cairn.streaming import queue
@@ -24,7 +27,52 @@ def test_open_places(spark):
     stale = [*row[:9], "2015-01-01", "2020-01-01", *row[11:13], ["Community > School", "Bar"], ["Private Venue"]]
     got = places.map_open_places(spark.createDataFrame([row, stale], ddl), ts("2024-06-01")).collect()
     assert (got[0].primary_type, got[0].source_status, got[0].quality_flags) == ("cocktail_bar", "open", [])
-    assert got[1].source_status == "closed" and set(got[1].quality_flags) == {"private_venue", "stale", "closed", "consumer_identity_conflict"}
+    assert got[1].source_status == "closed" and got[1].quality_flags == ["consumer_identity_conflict", "privatevenue", "stale"]
+    assert (got[0].consumer_facing, got[0].public_access, got[1].consumer_facing, got[1].public_access) == (True, "walk_in", False, "members_or_private")
+    cases = [  # name, labels, flags, refreshed: status, access, settings, flags
+        ("Roof Garden", ["Dining and Drinking > Bar > Rooftop Bar"], [], "2024-05-01", ("open", "unknown", ["rooftop"], ["consumer_identity_conflict"])),
+        ("Old Bar", ["Dining and Drinking > Bar"], [], "2020-01-01", ("unknown", "walk_in", [], ["stale"])),
+        ("Kokkari Estiatorio", ["Dining and Drinking > Restaurant > Greek Restaurant", "Dining and Drinking > Bar > Cocktail Bar"], [], "2024-05-01",
+         ("open", "unknown", [], ["consumer_identity_conflict"])),
+        ("Good Wine Bar", ["Retail > Wine Store", "Dining and Drinking > Bar > Wine Bar"], [], "2024-05-01", ("open", "unknown", [], ["consumer_identity_conflict"])),
+        ("Corner Taproom", ["Dining and Drinking > Brewery", "Dining and Drinking > Bar", "Dining and Drinking > Restaurant"], ["Doesn't Exist"], "2024-05-01",
+         ("closed", "walk_in", [], ["doesnt_exist"])),
+        ("Gone Pub", ["Dining and Drinking > Bar > Pub"], ["doesnt exist"], "2024-05-01", ("closed", "walk_in", [], ["doesnt_exist"])),
+        ("Library", ["Community > Library"], [], "2024-05-01", None)]
+    for name, labels, flags, refreshed, want in cases:
+        one = places.map_open_places(spark.createDataFrame([["1", name, *row[2:9], refreshed, None, None, None, labels, flags]], ddl), ts("2024-06-01")).collect()
+        assert [(r.source_status, r.public_access, r.setting_slugs, r.quality_flags) for r in one] == ([want] if want else []), name
+
+
+def test_features_with_provenance(spark):
+    source = lambda d, p, l=None: {"dataset": d, "record_id": "abc", "property": p, "license": l, "update_time": "2026-06-01T00:00:00Z"}
+    feature = {"geometry": {"type": "Point", "coordinates": [-122.4194, 37.7749]}, "properties": {
+        "id": "9", "version": 4, "names": {"primary": "Example Cocktail Bar"}, "basic_category": "bar",
+        "taxonomy": {"primary": "cocktail_bar", "hierarchy": ["food_and_drink", "bar", "cocktail_bar"], "alternates": []}, "confidence": 0.98,
+        "websites": ["https://example.com"], "phones": ["", "+14155551212"], "operating_status": "open",
+        "addresses": [{"freeform": "123 Valencia St", "locality": "San Francisco", "postcode": "94103", "region": "CA", "country": "US"}],
+        "sources": [source("meta", "/websites/0"), source("OSM", "/names/primary", "ODbL"), source("", "/phones")]}}
+    rows = spark.createDataFrame([(json.dumps(feature),)], "value string").select(F.from_json("value", places.PLACE_FEATURE).alias("feature"))
+    got = places.map_features(rows).first()
+    assert (got.primary_type, got.classification_confidence, got.source_status, got.phone, got.consumer_facing, got.public_access) == (
+        "cocktail_bar", 0.94, "open", "+14155551212", True, "walk_in")
+    assert got.origin_keys == ["meta", "openstreetmap"] and set(got.field_provenance) == {"website_url", "display_name"}
+    web = got.field_provenance["website_url"]
+    assert (web.origin_keys, web.license_ids, len(web.source_items)) == (["meta"], ["CDLA-Permissive-2.0"], 1)
+    assert tuple(web.source_items[0]) == ("meta", "abc", "/websites/0", "CDLA-Permissive-2.0", "2026-06-01T00:00:00Z")
+    assert got.field_provenance["display_name"].license_ids == ["ODbL"]
+
+
+@pytest.mark.parametrize("dataset, origin, license_id", [
+    ("meta", "meta", "CDLA-Permissive-2.0"), ("Facebook", "meta", "unknown"), ("Foursquare", "foursquare", "Apache-2.0"), ("fsq_os", "foursquare", "Apache-2.0"),
+    ("Microsoft", "microsoft", "CDLA-Permissive-2.0"), ("bing maps", "microsoft", "unknown"), ("OpenStreetMap", "openstreetmap", "unknown"),
+    ("osm", "openstreetmap", "unknown"), ("cosmos", "overture:cosmos", "unknown"), ("AllThePlaces", "overture:alltheplaces", "CC0-1.0"),
+    ("overturemaps", "overture:overturemaps", "CC0-1.0"), ("Krick", "overture:krick", "CDLA-Permissive-2.0"), ("RenderSEO", "overture:renderseo", "CDLA-Permissive-2.0")])
+def test_origins_and_licences(spark, dataset, origin, license_id):
+    d = F.lit(dataset)
+    got = spark.range(1).select(payload.origin_keys(F.array(d, F.lit(None))).alias("o"), payload.item_license(d, F.lit("")).alias("l"),
+                                payload.origin_keys(F.array().cast("array<string>")).alias("n")).first()
+    assert (got.o, got.l, got.n) == ([origin], license_id, ["overture:unknown"])
 
 
 def test_registry_elements_bindings(spark):

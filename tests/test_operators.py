@@ -423,7 +423,7 @@ def test_other_sources(spark, tmp_path):
     (tmp_path / "p.txt").write_text('\x1e{"geometry":{"type":"Point","coordinates":[-122.0,37.0]},"properties":{"id":"1","names":{"primary":"Fox"},"taxonomy":{"primary":"pub"},"confidence":0.9,'
                                     '"addresses":[{"freeform":"1 Rue","locality":"Paris","country":"FR"},{"freeform":"1 Main","locality":"SF","country":"US"}],"sources":[{"dataset":"Foursquare","update_time":"2024-01-01T00:00:00Z"}]}}\nnot json\n')
     f = places.map_features(places.read_geojson_sequence(spark, str(tmp_path / "p.txt"))).first()
-    assert (f.name, f.address, f.city, f.primary_type, f.latitude, f.origin_keys) == ("Fox", "1 Main", "SF", "pub", 37.0, ["fsq"])
+    assert (f.name, f.address, f.city, f.primary_type, f.latitude, f.origin_keys) == ("Fox", "1 Main", "SF", "pub", 37.0, ["foursquare"])
     (tmp_path / "b.json").write_text('{"type":"FeatureCollection","features":[{"properties":{"name":"A"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1]]]}},{"properties":{},"geometry":{"type":"Point","coordinates":[0,0]}}]}')
     b = places.read_feature_collection(spark, str(tmp_path / "b.json")).collect()
     assert [(r.id, len(r.rings[0])) for r in b] == [("A", 3)]
