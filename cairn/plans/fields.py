@@ -31,7 +31,10 @@ def _parts(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return table(spark, d, "part", "p_partkey", *columns)
 
 
-K = F.col("p_partkey")
+def K() -> Column:
+    return F.col("p_partkey")
+
+
 _DATASETS = ("meta", "Facebook", "Foursquare", "fsq_os", "Microsoft", "bing maps", "OpenStreetMap", "osm", "cosmos", "AllThePlaces", "overturemaps", "Krick", None)
 _PROPERTIES = ("/phones/0", None, "/websites/0", "/geometry", "/taxonomy/primary", "/names/primary", "/other")
 _ORIGIN = """CASE WHEN lower({d}) LIKE '%foursquare%' OR lower({d}) LIKE 'fsq%' THEN 'foursquare' WHEN lower({d}) LIKE '%facebook%' OR lower({d}) LIKE '%meta%' THEN 'meta'
@@ -47,7 +50,7 @@ items AS (SELECT p_partkey, {sql_pick('(p_partkey + 5 * i)', *_DATASETS)} AS dat
 
 def _items() -> Column:
     return F.array(*(F.struct(
-        pick(K + 5 * i, *_DATASETS).alias("dataset"), F.lit(None).cast("string").alias("record_id"), pick(K + i, *_PROPERTIES).alias("property"),
+        pick(K() + 5 * i, *_DATASETS).alias("dataset"), F.lit(None).cast("string").alias("record_id"), pick(K() + i, *_PROPERTIES).alias("property"),
         F.when((F.col("p_size") + i) % 4 == 0, "ODbL-1.0").alias("license"), F.lit("").alias("update_time")) for i in range(3)))
 
 
@@ -83,7 +86,7 @@ SELECT p_partkey, array_to_string(list_sort(list_filter([CASE WHEN list_has_any(
   array_to_string(list_filter([CASE WHEN p_size % 3 = 0 THEN 'hotel' END, CASE WHEN p_size % 2 = 0 THEN 'outdoor_patio' END, CASE WHEN p_size % 3 <> 0 THEN 'rooftop' END], lambda x: x IS NOT NULL), ',') AS by_labels FROM t""")
 def setting_tags(spark: SparkSession, d: str) -> DataFrame:
     size = F.col("p_size")
-    tokens = F.array(pick(K, *_TOKENS), pick(F.floor(K / 6), *_TOKENS))
+    tokens = F.array(pick(K(), *_TOKENS), pick(F.floor(K() / 6), *_TOKENS))
     labels = F.array(F.concat(F.lit("The "), "p_name"), F.when(size % 3 == 0, "Hotel Bar").otherwise("Rooftop Deck"))
     return _parts(spark, d, "p_name", "p_size").select(
         "p_partkey", F.array_join(payload.settings_of_tokens(tokens), ",").alias("by_tokens"),
@@ -99,7 +102,7 @@ s AS (SELECT p_partkey, f, [trim(regexp_replace(lower(x), '[^a-z0-9]+', '_', 'g'
 SELECT p_partkey, array_to_string(list_sort(list_distinct([CASE replace(x, '_', '') WHEN 'doesntexist' THEN 'doesnt_exist' WHEN 'doesnotexist' THEN 'does_not_exist' WHEN 'privatevenue' THEN 'privatevenue' ELSE x END
   for x in s])), ',') AS flags, trim(f[1]) AS first FROM s""")
 def quality_flag_names(spark: SparkSession, d: str) -> DataFrame:
-    raw = F.array(pick(K, *_FLAGS), pick(K + F.col("p_size"), *_FLAGS))
+    raw = F.array(pick(K(), *_FLAGS), pick(K() + F.col("p_size"), *_FLAGS))
     return _parts(spark, d, "p_size").select("p_partkey", F.array_join(payload.quality_flags(raw), ",").alias("flags"), payload.first_string(raw).alias("first"))
 
 
@@ -113,8 +116,8 @@ c AS (SELECT *, len(list_filter(t, lambda x: regexp_matches(x, '^(.*_)?({'|'.joi
   len(list_filter(t, lambda x: regexp_matches(x, '^(.*_)?restaurant$'))) > 0 AS food, len(list_filter(t, lambda x: regexp_matches(x, '^(.*_)?({'|'.join(classify.BAR_RETAIL_CONFLICTS)})$'))) > 0 AS shop FROM t)
 SELECT p_partkey, kind <> 'cafe' AND NOT hard AND (kind = 'taproom' OR NOT food) AND (kind NOT IN ('bar', 'pub') OR NOT shop) AND (kind <> 'bar' OR name LIKE '% Lounge') AS supported FROM c""")
 def consumer_identity(spark: SparkSession, d: str) -> DataFrame:
-    kind = pick(K, *_KINDS)
-    name = F.when(K % 2 == 0, F.concat("p_name", F.lit(" Lounge"))).otherwise(F.col("p_name"))
+    kind = pick(K(), *_KINDS)
+    name = F.when(K() % 2 == 0, F.concat("p_name", F.lit(" Lounge"))).otherwise(F.col("p_name"))
     reason = F.when(kind == "bar", "taxonomy:generic_bar").otherwise("taxonomy:exact")
     supported = classify.supports_consumer_identity(name, F.array(pick(F.col("p_size"), *_CATEGORIES)), kind, reason)
     return _parts(spark, d, "p_name", "p_size").select("p_partkey", supported.alias("supported"))
@@ -131,7 +134,7 @@ SELECT p_partkey, nullif(trim(t), '') IS NULL AS blank, coalesce(trim(t) IN ('nu
   trim(regexp_replace(lower(trim(t)), '[^a-z0-9]+', '_', 'g'), '_') AS slug, t IS NOT NULL AND lower(trim(t)) IN ('1', 'true', 'yes', 'y', 't') AS truthy FROM t""")
 def text_rules(spark: SparkSession, d: str) -> DataFrame:
     t, u = F.col("t"), F.col("u")
-    rows = _parts(spark, d, "p_name").withColumns({"t": pick(K, *_ODD_TEXTS), "u": pick(F.floor(K / 10), *_ODD_TEXTS)})
+    rows = _parts(spark, d, "p_name").withColumns({"t": pick(K(), *_ODD_TEXTS), "u": pick(F.floor(K() / 10), *_ODD_TEXTS)})
     return rows.select(
         "p_partkey", text.blank_to_null(t).isNull().alias("blank"), values.json_is_empty(t).alias("json_empty"), text.first_filled(t, u, F.col("p_name")).alias("filled"),
         text.join_filled(t, u).alias("joined"), text.price_symbols(t).cast("long").alias("price"), text.is_e164(t).alias("e164"), text.safe_url(t).alias("safe"),
@@ -195,8 +198,8 @@ WITH s AS (SELECT p_partkey, {sql_pick('p_partkey', *_STATUS)} AS s, {sql_pick('
 SELECT p_partkey, CASE WHEN k = 'APP' THEN 'unknown' WHEN upper(trim(s)) = 'ACTIVE' THEN 'open' WHEN upper(trim(s)) = 'REVOKED' THEN 'closed' ELSE 'unknown' END AS licence,
   CASE WHEN s LIKE 'Temp%' THEN 'temporarily_closed' WHEN s LIKE '%closed' THEN 'closed' WHEN s = 'open' THEN 'open' END AS operating FROM s""")
 def status_rules(spark: SparkSession, d: str) -> DataFrame:
-    status = pick(K, *_STATUS)
-    return _parts(spark, d).select("p_partkey", licences.license_status(status, pick(F.floor(K / 7), "LIC", "APP")).alias("licence"),
+    status = pick(K(), *_STATUS)
+    return _parts(spark, d).select("p_partkey", licences.license_status(status, pick(F.floor(K() / 7), "LIC", "APP")).alias("licence"),
                                    places.operating_status(status).alias("operating"))
 
 
@@ -225,7 +228,7 @@ SELECT p_partkey, CASE WHEN x BETWEEN 1 AND 5 AND x = floor(x) THEN CAST(x AS BI
   'outdoorseating=' || coalesce(b, '') AS attribute FROM v""")
 def payload_fields(spark: SparkSession, d: str) -> DataFrame:
     a, b = F.col("a"), F.col("b")
-    rows = _parts(spark, d, "p_size").withColumns({"a": pick(K, *_NUMBERS), "b": pick(F.floor(K / 8), *_NUMBERS)})
+    rows = _parts(spark, d, "p_size").withColumns({"a": pick(K(), *_NUMBERS), "b": pick(F.floor(K() / 8), *_NUMBERS)})
     entries = F.array(F.struct(F.lit("Outdoor Seating").alias("name"), a.alias("value")), F.struct(F.lit("outdoor_seating").alias("name"), b.alias("value")))
     setting = F.when(F.col("p_size") % 2 == 0, "Rooftop").otherwise("moon")
     return rows.select(
@@ -249,8 +252,8 @@ SELECT p_partkey, a IS NULL OR b IS NULL OR a = b OR bars OR p IN (['brewery', '
   CASE naics WHEN '312120' THEN 'brewery' ELSE CASE WHEN p_partkey % 4 = 0 THEN 'bar' END END AS by_naics,
   CAST(CASE WHEN naics = '312120' THEN 0.94 WHEN naics = '722410' THEN CASE WHEN p_partkey % 4 = 0 THEN 0.92 ELSE 0.78 END WHEN p_partkey % 4 = 0 THEN 0.9 ELSE 0 END AS DOUBLE) AS confidence FROM f""")
 def type_rules(spark: SparkSession, d: str) -> DataFrame:
-    a, b = pick(K, *_TYPES), pick(F.floor(K / 7), *_TYPES)
-    name = F.when(K % 4 == 0, F.concat("p_name", F.lit(" Saloon"))).otherwise(F.col("p_name"))
+    a, b = pick(K(), *_TYPES), pick(F.floor(K() / 7), *_TYPES)
+    name = F.when(K() % 4 == 0, F.concat("p_name", F.lit(" Saloon"))).otherwise(F.col("p_name"))
     by_code = classify.classify_naics(name, pick(F.col("p_size"), "312120", "722410", "999999"))
     return _parts(spark, d, "p_name", "p_size").select(
         "p_partkey", classify.types_compatible(a, b).alias("compatible"), classify.merged_type(a, F.lit(True), b, F.lit(False)).alias("merged"),
@@ -262,9 +265,9 @@ WITH q AS (SELECT p_partkey, p_size, p_retailprice / 2500 AS quality, p_partkey
 SELECT p_partkey, open AND placed AND consumer AND NOT flagged AND quality >= 0.5 + 0.35 AS safe,
   round(least(0.99, 0.65 * greatest(quality, 0) + 0.35 * (p_size / 50.0) + CASE WHEN open THEN 0.03 ELSE 0 END), 9) AS combined FROM q""")
 def creation_rules(spark: SparkSession, d: str) -> DataFrame:
-    quality, is_open = F.col("p_retailprice") / 2500, K % 2 == 0
+    quality, is_open = F.col("p_retailprice") / 2500, K() % 2 == 0
     safe = gate.safe_to_create(
-        F.lit("consumer_poi"), F.when(is_open, "open").otherwise("closed"), F.when(K % 3 != 0, 1.0), F.lit(2.0), F.lit("pub"), K % 5 != 0, F.lit("walk_in"),
-        F.when(K % 7 == 0, F.array(F.lit("duplicate"))).otherwise(F.array(F.lit("inappropriate"))), quality, classify.ACCESS_TYPES)
+        F.lit("consumer_poi"), F.when(is_open, "open").otherwise("closed"), F.when(K() % 3 != 0, 1.0), F.lit(2.0), F.lit("pub"), K() % 5 != 0, F.lit("walk_in"),
+        F.when(K() % 7 == 0, F.array(F.lit("duplicate"))).otherwise(F.array(F.lit("inappropriate"))), quality, classify.ACCESS_TYPES)
     combined = gate.combined_quality(quality, F.lit(None).cast("double"), is_open, F.col("p_size") / 50.0)
     return _parts(spark, d, "p_size", "p_retailprice").select("p_partkey", safe.alias("safe"), F.round(combined, 9).alias("combined"))
