@@ -12,7 +12,7 @@ short.  Sets are compared once however many documents have them.  Lists first
 propose links to one hub each; members that verified links have joined are not
 proposed again, so a group of near copies costs one comparison per member and
 not one per pair.  A list beyond ``LIST_BLOCK`` members proposes in blocks that
-overlap by one; what its links leave apart from its largest class, and only
+share their hub where sizes allow; what its links leave apart from its largest class, and only
 that, is then compared with the whole list, block by block.  Every proposed
 pair is verified on whole texts.
 """
@@ -277,7 +277,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.clear()
             seen.add(mark)
             one, two = (int.from_bytes(mark[i : i + 8], "little", signed=True) for i in (0, 8))
-            parts = _blocks(len(own_ids))
+            parts = _blocks(own_ids, own_sizes)
             for block, part in enumerate(parts):
                 for name, value in zip(rows, (one, two, len(parts), block, own_ids[part], own_sizes[part])):
                     rows[name].append(value)
@@ -285,9 +285,22 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield runtime.batch(schema, **rows)
 
 
-def _blocks(n: int) -> list[slice]:
-    """A list's blocks, each with the first member of the next."""
-    return [slice(a, min(n, a + LIST_BLOCK + 1)) for a in range(0, max(1, n - 1), LIST_BLOCK)] if n > LIST_BLOCK else [slice(0, n)]
+def _blocks(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The members of a list's blocks, sorted by size.
+
+    A block holds the first member of the next one, and the member of least id of all whose sizes can match the
+    block's, so that what the whole list has in common finds one hub.
+    """
+    n = len(ids)
+    if n <= LIST_BLOCK:
+        return [np.arange(n)]
+    out = []
+    for a in range(0, n - 1, LIST_BLOCK):
+        own = np.arange(a, min(n, a + LIST_BLOCK + 1))
+        lo = np.searchsorted(SIMILAR[1] * sizes, SIMILAR[0] * sizes[own[0]])
+        hi = np.searchsorted(SIMILAR[0] * sizes, SIMILAR[1] * sizes[own[-1]], side="right")
+        out.append(np.union1d(own, lo + np.argmin(ids[lo:hi])))
+    return out
 
 
 def _hub_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -193,10 +193,12 @@ def test_ngram_parts_bring_open_pairs_together(spark, monkeypatch, block):
 
 def test_ngram_blocks_of_a_long_list_share_a_member(monkeypatch):
     monkeypatch.setattr(ngram_join, "LIST_BLOCK", 4)
+    rng = np.random.default_rng(1)
     for n in range(2, 30):
-        parts = [list(range(n))[p] for p in ngram_join._blocks(n)]
-        assert sorted({x for p in parts for x in p}) == list(range(n)) and all(2 <= len(p) <= 5 for p in parts)
-        assert all(a[-1] == b[0] for a, b in zip(parts, parts[1:]))
+        ids, sizes = rng.permutation(n), np.sort(rng.integers(8, 12, n))
+        parts = [set(p.tolist()) for p in ngram_join._blocks(ids, sizes)]
+        assert set().union(*parts) == set(range(n)) and all(2 <= len(p) <= 6 for p in parts)
+        assert all(a & b for a, b in zip(parts, parts[1:])) and (n <= 4 or all(sizes[-1] * 4 > sizes[0] * 5 or int(ids.argmin()) in p for p in parts))
 
 
 @pytest.mark.parametrize("block", [2, 8, 2048])
