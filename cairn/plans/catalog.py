@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.operators import materialize, providers, readiness, resolve, review, snapshot
+from cairn.operators import discovery, materialize, providers, readiness, resolve, review, snapshot
 from cairn.plans.fields import pick, sql_list, sql_pick
 from cairn.plans.registry import Registry
 from cairn.plans.relational import ORDERS_AS_OF, as_of
@@ -490,3 +490,39 @@ def changed_columns(spark: SparkSession, d: str) -> DataFrame:
     new = rows.select("o_orderkey", F.when(C() % 2 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), F.when(C() % 5 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
     found = snapshot.changed_columns(rows.where(K() % 3 != 0), new, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"])
     return found.select("o_orderkey", F.array_join("changed", ",").alias("changed"))
+
+
+# --- discovery ---------------------------------------------------------------
+
+_PAIRS = """
+WITH RECURSIVE a AS (SELECT p_partkey AS id, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS i FROM part WHERE p_partkey % 2 = 0),
+raw AS (SELECT id AS anchor_id, i, unnest([0, 1, 2, 3]) AS j FROM a),
+pairs AS (SELECT anchor_id, i, j, (anchor_id * 7 + j * j * 31) % 120 + 1 AS record_id, CASE WHEN j < 2 THEN 'osm' WHEN j = 2 THEN 'ca_abc' ELSE 'overture' END AS source,
+  CASE WHEN (anchor_id + j) % 9 = 0 THEN 'review' WHEN (anchor_id + j) % 7 = 0 THEN 'distinct' ELSE 'match' END AS action, (anchor_id + j) % 11 <> 0 AS compatible,
+  ((anchor_id * 13 + j * 5) % 8 + 40) / 50.0 AS score FROM raw),
+m AS (SELECT *, action = 'match' AND compatible AS m FROM pairs),
+k AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS next FROM m WINDOW w AS (PARTITION BY anchor_id, source, m ORDER BY score DESC, record_id)),
+c AS (SELECT *, m AND (source = 'ca_abc' OR (k = 1 AND (next IS NULL OR score - next >= 0.03::DOUBLE))) AS chosen FROM k),
+s AS (SELECT a.id, a.i, list(record_id) FILTER (WHERE chosen AND record_id <> a.id) AS sel FROM a LEFT JOIN c ON c.anchor_id = a.id GROUP BY 1, 2),
+step AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS id, false AS active, []::BIGINT[] AS claimed UNION ALL
+  SELECT s.i, s.id, NOT list_contains(claimed, s.id), CASE WHEN list_contains(claimed, s.id) THEN claimed ELSE list_distinct(list_concat(claimed, [s.id], coalesce(s.sel, []))) END FROM step JOIN s ON s.i = step.i + 1),
+offered AS (SELECT st.id AS candidate_id, st.i, c.record_id, c.score FROM step st JOIN c ON c.anchor_id = st.id WHERE active AND chosen UNION ALL SELECT id, i, id, 1.0 FROM step WHERE active)"""
+
+
+@R.query(_PAIRS + """,
+firsts AS (SELECT record_id, min_by(candidate_id, i) AS owner FROM offered GROUP BY 1)
+SELECT candidate_id, record_id, CASE WHEN owner = candidate_id THEN 'linked' ELSE 'taken' END AS outcome, score FROM offered JOIN firsts USING (record_id) UNION ALL
+SELECT anchor_id, record_id, 'review', score FROM c JOIN step st ON st.id = anchor_id AND active WHERE NOT chosen AND (action = 'review' OR (action = 'match' AND compatible))""")
+def discovery_links(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("p_partkey")
+    parts = table(spark, d, "part", "p_partkey", "p_size").where(key % 2 == 0)
+    anchors = parts.select(key.alias("id"), F.struct(-F.col("p_size"), "p_partkey").alias("rank"))
+    a, j = F.col("anchor_id"), F.col("j")
+    raw = parts.select(key.alias("anchor_id"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j"))
+    pairs = raw.select(
+        "anchor_id", ((a * 7 + j * j * 31) % 120 + 1).alias("record_id"), F.when(j < 2, "osm").when(j == 2, "ca_abc").otherwise("overture").alias("source"),
+        F.when((a + j) % 9 == 0, "review").when((a + j) % 7 == 0, "distinct").otherwise("match").alias("action"), ((a + j) % 11 != 0).alias("compatible"),
+        (((a * 13 + j * 5) % 8 + 40) / 50).alias("score"), F.lit("rule").alias("reason"))
+    _, links, reviews = discovery.discover(anchors, pairs)
+    taken = F.when(F.col("reason") == discovery.TAKEN, "taken").otherwise("review").alias("outcome")
+    return links.select("candidate_id", "record_id", F.lit("linked").alias("outcome"), "score").unionByName(reviews.select("candidate_id", "record_id", taken, "score"))

@@ -86,6 +86,12 @@ def parse_page(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_parse(h) or empty for h in html], columns=PAGE.names)
 
 
+@F.pandas_udf(PAGE["names"].dataType)
+def page_names(html: pd.Series) -> pd.Series:
+    """The name claims of a page alone; null html gives none."""
+    return html.map(lambda h: (_parse(h) or {"names": []})["names"])
+
+
 def page_title(html: Column) -> Column:
     """The text of the title element as it stands, by pattern; null if there is none."""
     return F.nullif(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(""))
@@ -101,7 +107,7 @@ def link_count(html: Column) -> Column:
 
 def name_claims(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """``key, normalized_name, name, confidence, origin``: the best claim of each normalized name of each page."""
-    claims = pages.select(key, F.explode(parse_page(F.col(html))["names"]).alias("c")).select(
+    claims = pages.select(key, F.explode(page_names(F.col(html))).alias("c")).select(
         key, normalize_name(F.col("c.name")).alias("normalized_name"), "c.confidence", "c.name", "c.origin").where("normalized_name <> ''")
     best = F.max(F.struct("confidence", "name", "origin")).alias("b")
     return claims.groupBy(key, "normalized_name").agg(best).select(key, "normalized_name", "b.name", "b.confidence", "b.origin")
