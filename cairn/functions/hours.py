@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zoneinfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,6 +74,11 @@ def special_interval(date: Column, closed: Column, opens: Column, closes: Column
         F.when(~shut, closing_offset(opens, closes)).alias("closes_day_offset")))
 
 
+def valid_timezone(name: Column) -> Column:
+    """Whether a text names a time zone of the zone database; null is none."""
+    return F.coalesce(name.isin(*sorted(zoneinfo.available_timezones())), F.lit(False))
+
+
 def has_hours(weekly: Column, special: Column | None = None) -> Column:
     filled = F.coalesce(F.size(weekly) > 0, F.lit(False))
     return filled if special is None else filled | F.coalesce(F.size(special) > 0, F.lit(False))

@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], values: list[str] | None = None) -> DataFrame:
-    """For each key the row that is largest by ``order``; nulls are smallest."""
+    """For each key the row that is largest by ``order``; nulls are smallest.
+
+    Of rows that are equal in ``order`` the one with the largest other values counts, maps aside.
+    """
     values = values if values is not None else [c for c in df.columns if c not in {*keys, *order}]
-    best = F.max(F.struct(*order, *values)).alias("_best")
+    plain = [c for c in values if "map<" not in df.schema[c].dataType.simpleString()]
+    row = F.struct(*order, *plain)
+    best = (F.max(row) if plain == values else F.max_by(F.struct(*order, *values), row)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *(F.col(f"_best.{c}").alias(c) for c in [*order, *values]))
 
 

@@ -133,6 +133,14 @@ def decide_fields(evidence: DataFrame, as_of: Column, version: str, retained: Da
         evidence=F.col("evidence_ids"), version=F.lit(version)))
 
 
+def preferred_evidence(evidence: DataFrame, sources: tuple[str, ...] = ("datasf_neighborhoods", "overture_divisions"), field: str = "neighborhood") -> DataFrame:
+    """Evidence of which, for one field of an entity, only that of its most preferred source stays, where it has one."""
+    place = F.coalesce(F.nullif(F.array_position(F.array(*(F.lit(s) for s in sources)), F.col("source")), F.lit(0)), F.lit(len(sources) + 1))
+    best = evidence.where(F.col("field") == field).groupBy("entity").agg(F.min(place).alias("_best"))
+    joined = evidence.join(best, "entity", "left")
+    return joined.where((F.col("field") != field) | (F.col("_best") > len(sources)) | (place == F.col("_best"))).drop("_best")
+
+
 def changed_decisions(decisions: DataFrame, current: DataFrame) -> DataFrame:
     """Decisions whose fingerprint is not the current one of their entity and field; a return to an older decision is a change."""
     now = current.select("entity", "field", F.col("fingerprint").alias("_now"))

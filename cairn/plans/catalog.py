@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.functions import hours
 from cairn.operators import discovery, materialize, providers, readiness, resolve, review, snapshot
 from cairn.plans.fields import pick, sql_list, sql_pick
 from cairn.plans.registry import Registry
 from cairn.plans.relational import ORDERS_AS_OF, as_of
-from cairn.sources import licences, places
+from cairn.sources import licences, pages, places
 from cairn.sources.tables import table
 from cairn.streaming import queue
 
@@ -526,3 +527,62 @@ def discovery_links(spark: SparkSession, d: str) -> DataFrame:
     _, links, reviews = discovery.discover(anchors, pairs)
     taken = F.when(F.col("reason") == discovery.TAKEN, "taken").otherwise("review").alias("outcome")
     return links.select("candidate_id", "record_id", F.lit("linked").alias("outcome"), "score").unionByName(reviews.select("candidate_id", "record_id", taken, "score"))
+
+
+# --- leases, preferences, pages ----------------------------------------------
+
+_LOG = """
+WITH RECURSIVE e AS (SELECT user_id AS job, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, CASE WHEN event_id % 2 = 0 THEN 'claim' ELSE ['renew', 'complete', 'fail'][event_id % 3 + 1] END AS kind,
+  CAST(floor(epoch(ts)) AS BIGINT) AS at, 'w' || event_id % 2 AS worker, event_id % 5 <> 0 AS retryable, 3600 AS delay FROM events),
+s AS (SELECT job, 0::BIGINT AS i, 'queued' AS state, NULL::VARCHAR AS worker, NULL::BIGINT AS until, 0 AS attempts, 0::BIGINT AS next_at FROM (SELECT DISTINCT job FROM e) UNION ALL
+  SELECT s.job, e.i, CASE WHEN claim AND stale AND s.attempts >= 3 THEN 'dead' WHEN claim AND (free OR stale) THEN 'leased' WHEN held AND e.kind = 'complete' THEN 'succeeded'
+      WHEN held AND e.kind = 'fail' AND (s.attempts >= 3 OR NOT e.retryable) THEN 'dead' WHEN held AND e.kind = 'fail' THEN 'queued' ELSE s.state END,
+    CASE WHEN claim AND stale AND s.attempts >= 3 THEN NULL WHEN claim AND (free OR stale) THEN e.worker WHEN held AND e.kind IN ('complete', 'fail') THEN NULL ELSE s.worker END,
+    CASE WHEN claim AND stale AND s.attempts >= 3 THEN NULL WHEN (claim AND (free OR stale)) OR (held AND e.kind = 'renew') THEN e.at + 86400 WHEN held AND e.kind IN ('complete', 'fail') THEN NULL ELSE s.until END,
+    CASE WHEN claim AND (free OR stale) AND NOT (stale AND s.attempts >= 3) THEN s.attempts + 1 ELSE s.attempts END,
+    CASE WHEN claim AND (free OR stale) THEN NULL WHEN held AND e.kind = 'fail' AND s.attempts < 3 AND e.retryable THEN e.at + e.delay ELSE s.next_at END
+  FROM s JOIN e ON e.job = s.job AND e.i = s.i + 1, LATERAL (SELECT e.kind = 'claim' AS claim, s.state = 'queued' AND s.next_at <= e.at AS free, s.state = 'leased' AND s.until <= e.at AS stale,
+    s.state = 'leased' AND s.until > e.at AND s.worker = e.worker AS held) AS f),
+l AS (SELECT *, state = 'leased' AND until <= epoch(TIMESTAMP '2024-01-30 00:00:00') AS lost FROM s QUALIFY row_number() OVER (PARTITION BY job ORDER BY i DESC) = 1)"""
+
+
+@R.query(_LOG + """
+SELECT job, CASE WHEN lost AND attempts >= 3 THEN 'dead' WHEN lost THEN 'queued' ELSE state END AS state, CASE WHEN NOT lost THEN worker END AS worker, attempts, next_at FROM l""")
+def lease_replay(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("event_id")
+    kind = F.when(key % 2 == 0, "claim").otherwise(pick(key, "renew", "complete", "fail"))
+    log = table(spark, d, "events", "user_id", "ts", "event_id").select(
+        F.col("user_id").alias("job"), F.col("ts").cast("timestamp").alias("t"), "event_id", kind.alias("kind"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"),
+        F.concat(F.lit("w"), (key % 2).cast("string")).alias("worker"), (key % 5 != 0).alias("retryable"), F.lit(3600).cast("long").alias("delay"))
+    first = log.select("job").distinct().select(
+        "job", as_of("1970-01-01 00:00:00").alias("t"), F.lit(-1).cast("long").alias("event_id"), F.lit("enqueue").alias("kind"), F.lit(0).cast("long").alias("at"), F.lit("").alias("worker"),
+        F.lit(False).alias("retryable"), F.lit(0).cast("long").alias("delay"))
+    return queue.replay_leases(log.unionByName(first), "job", ["t", "event_id"], as_of("2024-01-30 00:00:00"), visibility=86400)
+
+
+@R.query(f"""
+WITH e AS (SELECT event_id, user_id AS entity, {sql_pick('event_id', 'neighborhood', 'hours')} AS field, CASE WHEN user_id % 3 = 0 THEN {sql_pick('(event_id // 2)', 'overture_divisions', 'fsq')}
+  WHEN user_id % 3 = 1 THEN {sql_pick('(event_id // 2)', 'datasf_neighborhoods', 'overture_divisions', 'fsq')} ELSE 'fsq' END AS source FROM events),
+r AS (SELECT *, CASE source WHEN 'datasf_neighborhoods' THEN 1 WHEN 'overture_divisions' THEN 2 ELSE 3 END AS k FROM e),
+b AS (SELECT entity, min(k) AS b FROM r WHERE field = 'neighborhood' GROUP BY 1)
+SELECT event_id FROM r LEFT JOIN b USING (entity) WHERE field <> 'neighborhood' OR k = b""")
+def neighborhood_preference(spark: SparkSession, d: str) -> DataFrame:
+    key, user, half = F.col("event_id"), F.col("user_id"), F.floor(F.col("event_id") / 2)
+    source = F.when(user % 3 == 0, pick(half, "overture_divisions", "fsq")).when(user % 3 == 1, pick(half, "datasf_neighborhoods", "overture_divisions", "fsq")).otherwise("fsq")
+    rows = table(spark, d, "events", "event_id", "user_id").select("event_id", user.alias("entity"), pick(key, "neighborhood", "hours").alias("field"), source.alias("source"))
+    return resolve.preferred_evidence(rows).select("event_id")
+
+
+_PAGE_TEXTS = ("Call (415) 555-0100 now", "12 MAIN ST, San Francisco 94110", "San Francisco 94110", "nothing", None)
+
+
+@R.query(f"""
+WITH t AS (SELECT p_partkey, {sql_pick('p_partkey', *_PAGE_TEXTS)} AS t, {sql_pick('(p_partkey // 5)', '+14155550100', '4155550100', '')} AS phone FROM part)
+SELECT p_partkey, CAST(round(CASE WHEN t IS NULL THEN 0 ELSE least(1.0, CASE WHEN phone <> '' AND contains(regexp_replace(t, '[^0-9]', '', 'g'), regexp_replace(phone, '[^0-9]', '', 'g')) THEN 0.68 ELSE 0 END
+  + CASE WHEN contains(lower(t), '12 main st') THEN 0.62 ELSE 0 END + CASE WHEN contains(t, '94110') THEN 0.18 ELSE 0 END + CASE WHEN contains(lower(t), 'san francisco') THEN 0.10 ELSE 0 END) END, 6) AS DOUBLE) AS score,
+  p_partkey % 4 < 2 AS timezone FROM t""")
+def page_identity(spark: SparkSession, d: str) -> DataFrame:
+    p = F.col("p_partkey")
+    score = pages.identity_score(pick(p, *_PAGE_TEXTS), pick(F.floor(p / 5), "+14155550100", "4155550100", ""), F.lit("12 Main St"), F.lit("94110"), F.lit("San Francisco"))
+    zone = hours.valid_timezone(pick(p, "America/Los_Angeles", "UTC", "Mars/Base", None))
+    return table(spark, d, "part", "p_partkey").select("p_partkey", F.round(score, 6).alias("score"), zone.alias("timezone"))
