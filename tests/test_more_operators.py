@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairn.functions import payload
-from cairn.operators import identity, materialize, providers, readiness, resolve, review
+from cairn.operators import discovery, identity, materialize, providers, readiness, resolve, review
 from cairn.sources import licences, places
 from cairn.streaming import queue
 
@@ -227,3 +227,93 @@ def test_rare_trigrams_lose_no_pair(spark):
         assert got == {(i, j): sim(i, j) for j in range(150) for i in range(j) if i % 3 == j % 3 and sim(i, j) >= least}
     found = {(r.record_id, r.anchor_id) for r in identity.fuzzy_block(rows, rows, ["block"], 1000).collect()}
     assert found == {(i, j) for i in range(150) for j in range(150) if i % 3 == j % 3 and sim(i, j) > 0.3}
+
+
+EVIDENCE = ("entity int, field string, value_text string, normalized_value string, source string, evidence_id int, authority double, evidence_confidence double, identity_confidence double, "
+            "source_updated_at timestamp, origin_keys array<string>")
+
+
+def evidence(spark, *rows):
+    """Evidence rows (field, value, source, id, confidence, origins) of entity 1 of full authority and identity, fresh."""
+    import datetime as dt
+
+    at = dt.datetime(2024, 5, 1)
+    return spark.createDataFrame([(1, f, v, v.removeprefix("https://").removeprefix("http://"), s, i, 1.0, c, 1.0, at, o) for f, v, s, i, c, o in rows], EVIDENCE)
+
+
+def decided(spark, *rows, **more):
+    return {r.field: r for r in resolve.decide_fields(evidence(spark, *rows), ts("2024-06-01"), "v1", **more).collect()}
+
+
+def test_field_decisions(spark):
+    rows = [
+        ("phone_e164", "+1", "fsq", 1, 0.9, ["foursquare"]), ("phone_e164", "+2", "overture", 2, 0.88, ["foursquare"]),  # the upstream beats its copy
+        ("address", "a", "datasf", 3, 0.9, None), ("address", "b", "overture", 4, 0.88, ["meta"]),  # too close
+        ("hours", "h", "osm", 5, 0.5, ["openstreetmap"]), ("hours", "h", "overture", 6, 0.58, ["meta"]),  # agreement lifts .58 to .62
+        ("price_level", "2", "fsq", 7, 0.74, ["foursquare"]),  # below its least score
+        ("website_url", "http://x", "fsq", 8, 0.95, ["foursquare"]), ("website_url", "https://x", "osm", 9, 0.7, ["openstreetmap"])]
+    got = decided(spark, *rows)
+    assert {f: (r.status, r.value_text) for f, r in got.items()} == {
+        "phone_e164": ("selected", "+1"), "address": ("unknown", None), "hours": ("selected", "h"), "price_level": ("unknown", None), "website_url": ("selected", "https://x")}
+    assert got["hours"].confidence == 0.62 and got["hours"].evidence_ids == [5, 6] and got["address"].value_count == 2
+    kept = spark.createDataFrame([(1, "address", "old", 0.4567), (2, "hours", "old", None)], "entity int, field string, value_text string, confidence double")
+    rows = resolve.decide_fields(evidence(spark, *rows), ts("2024-06-01"), "v1", kept).collect()
+    held = {(r.entity, r.field): (r.value_text, r.confidence) for r in rows if r.reason == "retained_existing_canonical_value"}
+    assert held == {(1, "address"): ("old", 0.457), (2, "hours"): ("old", 0.0)}
+
+
+def test_only_changed_decisions_are_appended(spark):
+    first, second = (resolve.decide_fields(evidence(spark, ("address", v, "datasf", 1, 0.9, None)), ts("2024-06-01"), "v1") for v in ("a", "b"))
+    assert resolve.changed_decisions(first, first).count() == 0 and resolve.changed_decisions(second, first).count() == 1
+    assert resolve.changed_decisions(first, second).count() == 1  # a return is a change
+
+
+def test_discovery_follows_the_anchors_order(spark):
+    import random
+
+    rng = random.Random(8)
+    ids = list(range(40))
+    choices = {a: sorted(set(rng.sample(range(60), 3))) for a in ids}
+    choices |= {a: [a + 1] for a in range(20, 39)}  # a chain: every second one is claimed
+    anchors = spark.createDataFrame([(a, a) for a in ids], "id int, rank int")
+    pairs = spark.createDataFrame([(a, r, "ca_abc", "match", True, 0.97, "rule") for a in ids for r in choices[a] if r != a],
+                                  "anchor_id int, record_id int, source string, action string, compatible boolean, score double, reason string")
+    active, links, reviews = discovery.discover(anchors, pairs)
+    owner, skipped, late = {}, set(), set()
+    for a in ids:
+        if a in owner:
+            skipped.add(a)
+            continue
+        for r in (a, *(r for r in choices[a] if r != a)):
+            if r in owner:
+                late.add((a, r))
+            owner.setdefault(r, a)
+    assert {r.id for r in active.collect()} == set(ids) - skipped and skipped
+    assert {r.record_id: r.candidate_id for r in links.collect()} == owner
+    assert {(r.candidate_id, r.record_id) for r in reviews.collect()} == late
+
+
+def test_records_are_chosen_by_margin(spark):
+    rows = [(1, 1, "osm", "match", True, 0.99), (1, 2, "osm", "match", True, 0.97), (1, 3, "fsq", "match", True, 0.99), (1, 4, "fsq", "match", True, 0.95),
+            (1, 5, "fsq", "match", False, 0.985), (1, 6, "ca_abc", "match", True, 0.97), (1, 7, "ca_abc", "match", True, 0.97), (1, 8, "osm", "review", True, 0.995)]
+    pairs = spark.createDataFrame([(*r, "rule") for r in rows], "anchor_id int, record_id int, source string, action string, compatible boolean, score double, reason string")
+    assert {r.record_id for r in discovery.choose_records(pairs).where("chosen").collect()} == {3, 6, 7}
+
+
+def test_leases(spark):
+    rows = [  # job 1: a stale holder cannot complete; job 2: fails, is retried after its delay; job 3: dead after three claims
+        (1, 0, "enqueue", 0, None), (1, 1, "claim", 10, "a"), (1, 2, "claim", 50, "b"), (1, 3, "claim", 120, "b"), (1, 4, "complete", 130, "a"),
+        (2, 0, "enqueue", 0, None), (2, 1, "claim", 10, "a"), (2, 2, "fail", 20, "a"), (2, 3, "claim", 40, "b"), (2, 4, "claim", 90, "b"), (2, 5, "complete", 95, "b"),
+        (3, 0, "enqueue", 0, None), (3, 1, "claim", 10, "a"), (3, 2, "claim", 120, "a"), (3, 3, "claim", 230, "a")]
+    log = spark.createDataFrame([(j, o, k, at, w, True, 60) for j, o, k, at, w in rows], "job int, o int, kind string, at long, worker string, retryable boolean, delay long")
+    at = lambda n: F.timestamp_seconds(F.lit(n))
+    state = lambda n: {r.job: (r.state, r.worker, r.attempts) for r in queue.replay_leases(log, "job", ["o"], at(n), visibility=100).collect()}
+    assert state(200) == {1: ("leased", "b", 2), 2: ("succeeded", None, 2), 3: ("leased", "a", 3)}
+    assert state(1000) == {1: ("queued", None, 2), 2: ("succeeded", None, 2), 3: ("dead", None, 3)}
+
+
+def test_latest_row_with_a_map(spark):
+    from cairn.operators import latest
+
+    rows = spark.createDataFrame([(1, 1, {"a": 1}, 5), (1, 2, {"b": 2}, 6)], "k int, t int, m map<string,int>, v int")
+    assert latest.latest_per_key(rows, ["k"], ["t"]).first().asDict() == {"k": 1, "t": 2, "m": {"b": 2}, "v": 6}
