@@ -80,12 +80,29 @@ def join_effective(rows: DataFrame, policies: DataFrame, keys: list[str], at: st
     return rows.join(p, cond, "left").drop(*(f"_{k}" for k in keys))
 
 
-def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, since: str, values: list[str]) -> DataFrame:
-    """The latest right row at or before each left row, by one union and one window (no range join)."""
+def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, since: str, values: list[str], width: float | None = None) -> DataFrame:
+    """The latest right row at or before each left row, by one union and one window (no range join).
+
+    With a ``width`` (of numbers, or seconds of times) a key's rows are dealt by
+    stretches of that length, so a key with very many rows is many tasks: the
+    last known row of each stretch is carried to the later ones.
+    """
     cols = left.columns
     asked = left.withColumn("_t", F.col(at)).withColumn("_side", F.lit(1))
     known = right.select(*keys, F.col(since).alias("_t"), F.lit(0).alias("_side"), F.struct(*values).alias("_r"))
     both = asked.unionByName(known, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    seen = both.withColumn("_seen", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
+    if width is None:
+        w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+        seen = both.withColumn("_seen", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
+    else:
+        both = both.withColumn("_b", F.floor(F.col("_t").cast("double") / width))
+        tails = both.groupBy(*keys, "_b").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.col("_t"))).alias("_tail"))
+        before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row for each stretch
+        carried = tails.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_b").alias("_stretch"), F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+        within = Window.partitionBy(*keys, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+        own = both.withColumn("_own", F.last("_r", ignorenulls=True).over(within)).where("_side = 1")
+        same = F.col("_b").eqNullSafe(F.col("_stretch"))
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        seen = own.join(carried, same, "left").withColumn("_seen", F.coalesce("_own", "_carry"))
     return seen.select(*cols, *(F.col(f"_seen.{v}").alias(v) for v in values))

@@ -38,7 +38,7 @@ def available_slots(approved: Column, maximum: Column, used: Column) -> Column:
 def release_state(counts: DataFrame, weeks: DataFrame, event: DataFrame, stale_sources: DataFrame, least_weeks: int, hours: int, as_of: Column) -> DataFrame:
     """One row: ready, blockers and slots.  event has at most one row (the latest authorization); all inputs are one-row reports."""
     stale = stale_sources.agg(F.array_sort(F.collect_list("source")).alias("sources"))
-    joined = counts.crossJoin(F.broadcast(weeks)).crossJoin(F.broadcast(stale)).join(F.broadcast(event), F.lit(True), "left")
+    joined = counts.crossJoin(F.broadcast(weeks)).crossJoin(F.broadcast(stale)).join(F.broadcast(event.limit(1)), F.lit(True), "left")
     slots = available_slots(F.coalesce(F.col("event_type") == "approved", F.lit(False)), F.coalesce("maximum_new_publications", F.lit(0)), F.col("released"))
     found = blockers({
         "authorization_missing": F.col("event_type").isNull(), "authorization_revoked": F.col("event_type") != "approved",

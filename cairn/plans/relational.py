@@ -71,7 +71,7 @@ def as_of_latest_event(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events", "user_id", "ts", "event_id", "event_type").select(
         (F.col("user_id") % 100 + 1).alias("l_suppkey"), F.floor((seconds(F.col("ts")) - 1704067200) / 3600).alias("hour"), "event_id", "event_type")
     hourly = latest.latest_per_key(events, ["l_suppkey", "hour"], ["event_id"], ["event_type"])
-    found = latest.as_of_join(lines, hourly, ["l_suppkey"], "hour", "hour", ["event_id", "event_type"])
+    found = latest.as_of_join(lines, hourly, ["l_suppkey"], "hour", "hour", ["event_id", "event_type"], width=72)
     return found.select("l_orderkey", "l_linenumber", "event_id", "event_type")
 
 

@@ -169,7 +169,8 @@ def test_as_of(spark):
     left = spark.createDataFrame([("a", 5), ("a", 10), ("a", 1), ("b", 5)], "k string, at int")
     right = spark.createDataFrame([("a", 2, "x"), ("a", 10, "y")], "k string, since int, v string")
     want = {("a", 5, "x"), ("a", 10, "y"), ("a", 1, None), ("b", 5, None)}
-    assert {tuple(r) for r in latest.as_of_join(left, right, ["k"], "at", "since", ["v"]).collect()} == want
+    for width in (None, 1, 3, 100):
+        assert {tuple(r) for r in latest.as_of_join(left, right, ["k"], "at", "since", ["v"], width).collect()} == want
     assert {(r.k, r["at"], r.v) for r in latest.join_effective(left, right, ["k"], "at", "since").collect()} == want
 
 
