@@ -267,6 +267,14 @@ def _base_bias(s: Sentences, y: np.ndarray) -> float:
     return float(bias)
 
 
+def _slopes(z: np.ndarray, document: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope of -log likelihood of the document labels at each sentence's logit: p in a clean bag, -p(1-P)/P in an offending one."""
+    p = np.minimum(_sigmoid(z), 1 - 1e-9)
+    clean = np.bincount(document, np.log1p(-p), len(y))
+    doc = np.clip(-np.expm1(clean), 1e-9, 1.0)
+    return p * np.where(y > 0, -np.exp(clean) / doc, 1.0)[document]
+
+
 def _descend(s: Sentences, y: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]], bias: float,
              epochs: int, sparsity: float, w: np.ndarray) -> tuple[np.ndarray, float]:
     """Adagrad over the whole sample from the weights ``w``; a part's features from len(w) on have none."""
@@ -278,11 +286,7 @@ def _descend(s: Sentences, y: np.ndarray, parts: list[tuple[np.ndarray, np.ndarr
         wide = np.append(w, 0.0)
         for code, owner in parts:
             z += np.bincount(owner, wide[code], n)
-        p = np.minimum(_sigmoid(z), 1 - 1e-9)
-        clean = np.bincount(s.document, np.log1p(-p), len(y))
-        doc = np.clip(-np.expm1(clean), 1e-9, 1.0)
-        # slope of -log likelihood at a sentence: p in a clean bag, -p(1-P)/P in an offending one
-        g = p * np.where(y > 0, -np.exp(clean) / doc, 1.0)[s.document]
+        g = _slopes(z, s.document, y)
         gw = np.zeros(known)
         for code, owner in parts:
             gw += np.bincount(code, g[owner], known + 1)[:known]

@@ -122,6 +122,49 @@ def test_toxicity_words_are_taken_in_turn():
     assert toxicity._within([(3, 1, 40), (1, 9, 50), (2, 5, 45), (0, 7, 101), (4, 2, 5)], 100) == [(5, 45), (9, 50)]
 
 
+def test_toxicity_slopes_are_those_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    document, y = np.sort(rng.integers(0, 12, 60)), rng.integers(0, 2, 12).astype(float)
+
+    def loss(z):
+        p = 1 / (1 + np.exp(-z))
+        of_doc = np.array([1 - np.prod(1 - p[document == d]) for d in range(12)])
+        seen = np.unique(document)
+        return -np.sum(np.where(y > 0, np.log(of_doc), np.log1p(-of_doc))[seen])
+
+    z = rng.normal(-1, 1, 60)
+    slopes = toxicity._slopes(z, document, y)
+    for i in range(60):
+        step = np.zeros(60)
+        step[i] = 1e-5
+        assert abs((loss(z + step) - loss(z - step)) / 2e-5 - slopes[i]) < 1e-5
+
+
+def test_toxicity_scores_are_noisy_or_of_sentences(words):
+    import pyarrow as pa
+
+    from cairn.llm import wordhash
+
+    rng = np.random.default_rng(6)
+    texts = ["", " ".join(words[:130]), "One two. Three!\nfour\n\nfive? (six) " + " ".join(words[5:9]), "\n.\n", "a. " * 50]
+    model = toxicity.Model(rng.normal(0, 0.3, toxicity.BUCKETS), -1.5)
+    feature = lambda w: toxicity._features(next(wordhash.blocks(pa.array([w]))))[:, 0]
+    got = np.zeros(len(texts))
+    for block in wordhash.blocks(pa.array(texts), 64):
+        got[block.first : block.first + block.n_docs] = model.score(block)[0]
+    for t, score in zip(texts, got):
+        clean, sentence = 1.0, []
+        found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(t)]
+        for i, (w, start, end) in enumerate(found):
+            sentence.append(w)
+            last = i + 1 == len(found)
+            if last or w[-1] in ".!?" or "\n" in t[end : found[i + 1][1]] or len(sentence) == toxicity.LONGEST_SENTENCE:
+                logit = model.bias + sum(model.weights[feature(x)].sum() for x in sentence)
+                clean *= 1 - 1 / (1 + np.exp(-logit))
+                sentence = []
+        assert abs(score - (1 - clean)) < 1e-9
+
+
 # --- n-gram join -----------------------------------------------------------
 
 
