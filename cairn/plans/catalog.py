@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import hours
-from cairn.operators import discovery, materialize, providers, readiness, resolve, review, snapshot
+from cairn.operators import discovery, materialize, providers, readiness, resolution, resolve, review, snapshot
 from cairn.plans.fields import pick, sql_list, sql_pick
 from cairn.plans.registry import Registry
 from cairn.plans.relational import ORDERS_AS_OF, as_of
@@ -586,3 +586,49 @@ def page_identity(spark: SparkSession, d: str) -> DataFrame:
     score = pages.identity_score(pick(p, *_PAGE_TEXTS), pick(F.floor(p / 5), "+14155550100", "4155550100", ""), F.lit("12 Main St"), F.lit("94110"), F.lit("San Francisco"))
     zone = hours.valid_timezone(pick(p, "America/Los_Angeles", "UTC", "Mars/Base", None))
     return table(spark, d, "part", "p_partkey").select("p_partkey", F.round(score, 6).alias("score"), zone.alias("timezone"))
+
+
+# --- record resolution -------------------------------------------------------
+
+_KINDS = ("bar", "pub", "brewery", "taproom", None)
+
+
+def _record_sql(k: str) -> str:
+    return f"""{{'status': {sql_pick(k, 'open', 'open', 'closed', 'unknown')}, 'kind': {sql_pick(f'({k} // 4)', *_KINDS)}, 'consumer': {k} % 3 <> 0,
+    'lat': CASE WHEN {k} % 7 <> 0 THEN {k} * 1.0::DOUBLE END, 'phone': {sql_pick(k, '', '+1', None)}, 'conf': ({k} % 11) / 10.0, 'dup': {k} % 13 = 0}}"""
+
+
+def _record(k: Column) -> Column:
+    flags = F.when(k % 13 == 0, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>"))
+    return F.struct(
+        F.lit("fsq").alias("source"), pick(k, "open", "open", "closed", "unknown").alias("source_status"), pick(F.floor(k / 4), *_KINDS).alias("primary_type"),
+        (k % 3 != 0).alias("consumer_facing"), F.when(k % 7 != 0, k * 1.0).alias("latitude"), F.lit(1.0).alias("longitude"), pick(k, "", "+1", None).alias("phone"),
+        F.lit(None).cast("string").alias("website_url"), ((k % 11) / 10).alias("classification_confidence"), F.lit("consumer_poi").alias("source_family"),
+        F.lit("walk_in").alias("public_access"), flags.alias("quality_flags"))
+
+
+@R.query(f"""
+WITH r AS (SELECT p_partkey, {_record_sql('p_partkey')} AS a, CASE WHEN p_partkey % 2 = 0 THEN {_record_sql('(p_partkey + 5)')} END AS b, {sql_pick('(p_partkey // 3)', 'auto_match', 'review', 'distinct', 'distinct', 'distinct')} AS action FROM part),
+k AS (SELECT *, list_contains({sql_list('bar', 'pub')}, coalesce(a.kind, '')) AND list_contains({sql_list('bar', 'pub')}, coalesce(b.kind, '')) AS bars FROM r),
+t AS (SELECT *, CASE WHEN b IS NULL THEN NULL WHEN a.kind IS NOT DISTINCT FROM b.kind THEN a.kind WHEN a.kind IS NULL THEN b.kind WHEN b.kind IS NULL THEN a.kind WHEN bars AND a.consumer AND a.kind <> 'bar' THEN a.kind
+  WHEN bars AND b.consumer AND b.kind <> 'bar' THEN b.kind WHEN bars THEN 'bar' WHEN list_sort([a.kind, b.kind]) = ['brewery', 'taproom'] THEN 'taproom' END AS kind,
+  CASE WHEN a.consumer THEN a WHEN b.consumer THEN b END AS "lead" FROM k),
+l AS (SELECT *, CASE WHEN "lead".lat IS NOT NULL THEN "lead" WHEN a.lat IS NOT NULL THEN a ELSE b END AS placed FROM t),
+f AS (SELECT *, b IS NOT NULL AND NOT ((a.status = 'closed' OR b.status = 'closed') AND (a.status = 'open' OR b.status = 'open')) AND kind IS NOT NULL AND "lead" IS NOT NULL AND placed.lat IS NOT NULL AS fits,
+  least(0.99::DOUBLE, 0.65::DOUBLE * greatest(a.conf, coalesce(b.conf, 0)) + 0.35::DOUBLE * 0.95::DOUBLE + CASE WHEN a.kind = b.kind THEN 0.03::DOUBLE ELSE 0 END) AS quality FROM l),
+s AS (SELECT *, fits AND (a.status = 'open' OR b.status = 'open') AND kind IN ('bar', 'pub', 'taproom') AND NOT "lead".dup AND quality >= 0.85::DOUBLE AS pair,
+  a.status = 'open' AND a.lat IS NOT NULL AND a.kind IN ('bar', 'pub', 'taproom') AND a.consumer AND NOT a.dup AND a.conf >= 0.85::DOUBLE AS alone FROM f)
+SELECT p_partkey, CASE WHEN action = 'auto_match' THEN 'link' WHEN action = 'review' THEN 'review' WHEN b IS NOT NULL AND NOT fits THEN 'review' WHEN pair AND p_partkey % 5 = 0 THEN 'link' WHEN pair OR alone THEN 'create'
+    WHEN a.conf >= 0.78 THEN 'review' ELSE 'staged' END AS state,
+  CASE WHEN action <> 'distinct' THEN 'rule' WHEN b IS NOT NULL AND NOT fits THEN 'source_conflict' WHEN pair AND p_partkey % 5 = 0 THEN 'linked_source_corroboration' WHEN pair THEN 'cross_source_corroboration'
+    WHEN alone THEN 'high_confidence_new' WHEN a.conf >= 0.78 THEN 'needs_type_or_location_corroboration' END AS reason,
+  CASE WHEN fits THEN kind END AS combined_type, CASE WHEN fits THEN CASE WHEN a.status = 'open' OR b.status = 'open' THEN 'open' ELSE "lead".status END END AS combined_status,
+  CASE WHEN fits THEN coalesce(nullif("lead".phone, ''), nullif(placed.phone, '')) END AS combined_phone FROM s""")
+def record_resolution(spark: SparkSession, d: str) -> DataFrame:
+    p = F.col("p_partkey")
+    action = pick(F.floor(p / 3), "auto_match", "review", "distinct", "distinct", "distinct")
+    rows = table(spark, d, "part", "p_partkey").select("p_partkey", action.alias("action"), _record(p).alias("a"), F.when(p % 2 == 0, _record(p + 5)).alias("b")).withColumn(
+        "both", F.when(F.col("b").isNotNull(), resolution.combine(F.col("a"), F.col("b"))))
+    routed = resolution.route_record(F.col("a"), F.col("action"), F.lit("rule"), F.lit(1), F.col("b"), F.col("both"), F.lit(0.95), p % 5 == 0)
+    return rows.select("p_partkey", routed.alias("r"), "both").select(
+        "p_partkey", "r.state", "r.reason", F.col("both.primary_type").alias("combined_type"), F.col("both.source_status").alias("combined_status"), F.col("both.phone").alias("combined_phone"))
