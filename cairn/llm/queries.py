@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from cairn.llm import (
     bpe_documents,
+    decontamination,
     embedding_dedup,
+    importance,
     ngram_join,
     packing,
+    prefix_trie,
     quality,
     sql,
     suffix_dedup,
@@ -95,6 +98,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.family_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,6 +129,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_bpe": op9_bpe,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_conversation_trie": op12_conversation_trie,
+        "op13_decontamination": op13_decontamination,
         "pipeline": pipeline,
     }
 
@@ -125,4 +143,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_filters": sql.URL_FILTERS,
         "url_mirror_classes": sql.URL_MIRRORS,
         "op8_quality_rules": sql.QUALITY,
+        "op11_importance_resampling": sql.RESAMPLING,
+        "op12_conversation_trie": sql.TRIE,
+        "op13_decontamination": sql.DECONTAMINATION,
     }

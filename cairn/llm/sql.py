@@ -111,3 +111,99 @@ reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN lin
 SELECT d.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(min(b), d.doc_id)) AS component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reached r ON r.a = d.doc_id GROUP BY d.doc_id
 """
+
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _alnum_words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), {_AZ}), '{_ALNUM}')"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, byte by byte with the table of the polynomial 0xEDB88320."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    x = f"hex(encode({text}))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, [CAST('0x' || {x}[2 * b + 1:2 * b + 2] AS BIGINT) FOR b IN range(len({x}) // 2)]), "
+            f"lambda c, v: xor(c >> 8, ({table}::BIGINT[])[(xor(c, v) & 255) + 1])), 4294967295)")
+
+
+RESAMPLING = rf"""
+WITH d AS (SELECT doc_id, {_alnum_words('text')} AS w FROM documents),
+b AS (SELECT {_alnum_words('text')} AS w FROM benchmark),
+df AS (SELECT doc_id, unnest(list_concat(w, [array_to_string(w[i:i + 1], ' ') for i in range(1, len(w))],
+  [array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)])) AS f FROM d),
+bf AS (SELECT unnest(list_concat(w, [array_to_string(w[i:i + 1], ' ') for i in range(1, len(w))],
+  [array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)])) AS f FROM b),
+dn AS (SELECT doc_id, f, count(*) AS n FROM df GROUP BY ALL),
+named AS (SELECT f FROM dn UNION SELECT f FROM bf),
+placed AS (SELECT f, {_crc32('f')} % 10000 AS bucket FROM named),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM dn JOIN placed USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN placed USING (f) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM range(10000) r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+weights AS (SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM dn JOIN placed USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, len(w) >= 20 AS fit, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || d.doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights ON weights.doc_id = d.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS r, 5 * (count(*) FILTER (fit) OVER ()) // 100 AS k FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND r <= k THEN r END AS rank FROM ranked
+"""
+
+TRIE = rf"""
+WITH o AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+named AS (SELECT DISTINCT c, c - c % 20 AS b, CAST(c AS VARCHAR) AS decimals FROM o),
+ids AS (SELECT c, b, {_crc32('decimals')} % 4 AS h FROM named),
+g AS (SELECT ids.c, ids.h, least(h, coalesce(n, 0)) AS k FROM ids LEFT JOIN (SELECT c, count(*) AS n FROM o GROUP BY c) s ON s.c = ids.b),
+r AS (
+  SELECT ids.c, p, role, text FROM ids JOIN o ON o.c = ids.b AND p <= h
+  UNION ALL SELECT g.c, p - h + k, role, text FROM g JOIN o ON o.c = g.c AND p > h),
+seqs AS (
+  SELECT ids.c, coalesce(list({{'role': role, 'text': text}} ORDER BY p) FILTER (p IS NOT NULL), []) AS s
+  FROM ids LEFT JOIN r ON r.c = ids.c GROUP BY ids.c),
+m AS (SELECT c, len(s) AS l, s, unnest(range(0, len(s) + 1)) AS d FROM seqs),
+keyed AS (SELECT c, l, d, s[1:d] AS k FROM m),
+nodes AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n, coalesce(len(regexp_extract_all(k[d].text, '{_WORD}')), 0) AS words,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (l = d) AS ends
+  FROM keyed GROUP BY d, k),
+on_path AS (SELECT keyed.c, keyed.d, nodes.conv_id AS node FROM keyed JOIN nodes ON nodes.d = keyed.d AND nodes.k = keyed.k),
+linked AS (SELECT nodes.*, a.node AS parent FROM nodes LEFT JOIN on_path a ON a.c = nodes.conv_id AND a.d = nodes.d - 1),
+kids AS (SELECT d - 1 AS d, parent AS conv_id, count(*) AS kids FROM linked WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT l.*, coalesce(kids, 0) AS kids FROM linked l LEFT JOIN kids ON kids.d = l.d AND kids.conv_id = l.conv_id),
+sums AS (
+  SELECT a.d, a.node AS conv_id, sum((kids = 0)::BIGINT) AS leaves, sum((n - 1) * words) AS saved
+  FROM full_nodes x JOIN on_path a ON a.c = x.conv_id AND a.d <= x.d GROUP BY 1, 2)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, parent AS parent_conv_id, CAST(n AS BIGINT) AS n_convs, CAST(kids AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM full_nodes f JOIN sums ON sums.d = f.d AND sums.conv_id = f.conv_id
+"""
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT doc_id, {_alnum_words('text')} AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_alnum_words('text')} AS w FROM benchmark),
+held AS (
+  SELECT DISTINCT item, unnest([array_to_string(w[k:k + 9], ' ') for k in range(1, greatest(len(w) - 9, 1) + 1)]) AS phrase
+  FROM i WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(string_split(phrase, ' ')) AS n FROM held),
+starts AS (SELECT doc_id, n, unnest([{{'s': k, 'p': array_to_string(w[k:k + n - 1], ' ')}} for k in range(1, len(w) - n + 2)]) AS x FROM d, sizes),
+found AS (SELECT DISTINCT doc_id, n, x.s AS s, x.p AS phrase FROM starts WHERE x.p IN (SELECT phrase FROM held)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM found) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM found JOIN held USING (phrase)) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id
+"""

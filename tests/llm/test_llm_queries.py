@@ -17,7 +17,7 @@ def test_query(spark, name):
     assert rows
     if name in queries.oracle_sql():
         c = duckdb.connect()
-        for t in ("documents", "pages"):
+        for t in ("documents", "pages", "benchmark", "conversations"):
             c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
         result = c.execute(queries.oracle_sql()[name])
         names = [d[0] for d in result.description]
