@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cairn.plans import catalog, evidence, fields, matching, relational
+from cairn.plans import catalog, evidence, fields, geo, matching, relational
 from cairn.plans.registry import Run
 
-_PARTS = (relational.R, matching.R, evidence.R, fields.R, catalog.R)
+_PARTS = (relational.R, matching.R, evidence.R, fields.R, catalog.R, geo.R)
 
 
 def runs() -> dict[str, Run]:
