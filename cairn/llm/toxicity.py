@@ -36,8 +36,6 @@ LEAST_WEIGHT = 0.3
 _PART = 1 << 20
 #: A sentence with at least this probability is reported as offending.
 OFFENDING = 0.5
-#: Words of the longest sentence: every longer one, of training or scored texts, counts as sentences of this many words.
-LONGEST_SENTENCE = 40
 
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(SENTENCE_ENDS)] = True
@@ -79,8 +77,6 @@ def sentences(block: wordhash.Block) -> Sentences:
         | (document[1:] != document[:-1])
     )
     first = np.flatnonzero(new)
-    new[(np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))) % LONGEST_SENTENCE == 0] = True
-    first = np.flatnonzero(new)
     last = np.append(first[1:], n) - 1
     return Sentences(_features(block), first, document[first], starts[first], ends[last])
 
