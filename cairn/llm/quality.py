@@ -117,7 +117,7 @@ def production_rules() -> list[Rule]:
         Rule("few_words", lambda f: f.n_words < MIN_WORDS, base=True),
         Rule("repeated_words", lambda f: 100 * f.n_repeat_words > 50 * f.n_words, base=True),
         Rule("symbols", lambda f: 10 * f.n_symbols > f.n_words),
-        Rule("repeated_lines", lambda f: bind(f.lines, lambda x: 2 * x["n_dup_lines"] > x["n_lines"])),
+        Rule("repeated_lines", lambda f: bind(f.lines, lambda x: 10 * x["n_dup_lines"] > 3 * x["n_lines"])),
         Rule("word_length", lambda f: bind(f.word_chars, lambda n: (n < 2 * f.n_words) | (n > 15 * f.n_words))),
     ]
 
