@@ -97,6 +97,25 @@ def normalize_url(url: Column) -> Column:
         F.regexp_replace(path, "/+$", ""), F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))))
 
 
+def resolve_url(base: Column, href: Column) -> Column:
+    """The absolute URL of a reference on a page: RFC 3986 with dot segments removed; a null side gives null."""
+    href = F.trim(href)
+    start = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path, query = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    own, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    merged = F.when(own.startswith("/"), own).otherwise(F.concat(F.regexp_replace(F.when(path == "", "/").otherwise(path), "[^/]*$", ""), own))
+    kept = F.aggregate(F.slice(F.split(merged, "/"), 2, F.size(F.split(merged, "/"))), F.array().cast("array<string>"), lambda seen, x: F.when(
+        x == "..", F.slice(seen, 1, F.greatest(F.size(seen) - 1, F.lit(0)))).when(x == ".", seen).otherwise(F.concat(seen, F.array(x))))
+    ended = F.when(merged.rlike(r"(^|/)\.\.?$"), F.lit("/")).otherwise("")
+    flat = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
+        .when(own == "", F.concat(start, path, F.when(rest.startswith("?"), rest).otherwise(F.concat(query, rest))))
+        .otherwise(F.concat(start, F.regexp_replace(F.concat(flat, ended), "^/{2,}$", "/"), rest))
+    )
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 

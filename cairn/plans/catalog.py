@@ -573,21 +573,6 @@ def neighborhood_preference(spark: SparkSession, d: str) -> DataFrame:
     return resolve.preferred_evidence(rows).select("event_id")
 
 
-_PAGE_TEXTS = ("Call (415) 555-0100 now", "12 MAIN ST, San Francisco 94110", "San Francisco 94110", "nothing", None)
-
-
-@R.query(f"""
-WITH t AS (SELECT p_partkey, {sql_pick('p_partkey', *_PAGE_TEXTS)} AS t, {sql_pick('(p_partkey // 5)', '+14155550100', '4155550100', '')} AS phone FROM part)
-SELECT p_partkey, CAST(round(CASE WHEN t IS NULL THEN 0 ELSE least(1.0, CASE WHEN phone <> '' AND contains(regexp_replace(t, '[^0-9]', '', 'g'), regexp_replace(phone, '[^0-9]', '', 'g')) THEN 0.68 ELSE 0 END
-  + CASE WHEN contains(lower(t), '12 main st') THEN 0.62 ELSE 0 END + CASE WHEN contains(t, '94110') THEN 0.18 ELSE 0 END + CASE WHEN contains(lower(t), 'san francisco') THEN 0.10 ELSE 0 END) END, 6) AS DOUBLE) AS score,
-  p_partkey % 4 < 2 AS timezone FROM t""")
-def page_identity(spark: SparkSession, d: str) -> DataFrame:
-    p = F.col("p_partkey")
-    score = pages.identity_score(pick(p, *_PAGE_TEXTS), pick(F.floor(p / 5), "+14155550100", "4155550100", ""), F.lit("12 Main St"), F.lit("94110"), F.lit("San Francisco"))
-    zone = hours.valid_timezone(pick(p, "America/Los_Angeles", "UTC", "Mars/Base", None))
-    return table(spark, d, "part", "p_partkey").select("p_partkey", F.round(score, 6).alias("score"), zone.alias("timezone"))
-
-
 # --- record resolution -------------------------------------------------------
 
 _KINDS = ("bar", "pub", "brewery", "taproom", None)

@@ -265,18 +265,18 @@ def page_title_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Structured data and a meta entry that the query adds to every page, so that all origins of names are met.
-_LD = ('<script type="application/ld+json">{"@graph": [{"@type": ["Thing", "BarOrPub"], "name": "Fox & Sons "}, {"name": "Owl"}, {"name": 7}]}</script>'
-       '<script type="application/ld+json">{not json}</script><meta property="og:title" content="Page ')
+_LD = ('<script type="application/ld+json">{"@graph": [{"@type": ["Thing", "BarOrPub"], "name": "Fox & Sons "}, {"@type": "Organization", "address": "1", "name": "Owl"}, {"name": "Elk"}, {"name": 7}]}</script>'
+       '<script type="application/ld+json">{not json}</script><meta property="og:site_name" content="Page ')
 _SUFFIXES = "|".join(text.LEGAL_SUFFIXES)
 _ENTITIES = "replace(replace(replace(replace(replace({c}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&')"
 _TITLE = _ENTITIES.format(c="regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
 
 
 @R.query(rf"""
-WITH c AS (SELECT page_id, trim(regexp_replace({_TITLE}, '\s+', ' ', 'g')) AS name, {web.TITLE_NAME} AS confidence, 'title' AS origin FROM pages
+WITH c AS (SELECT page_id, trim(regexp_replace(trim(regexp_replace({_TITLE}, '\s+', ' ', 'g')), '\s+[|–—-]\s+.*$', '')) AS name, {web.TITLE_NAME} AS confidence, 'title' AS origin FROM pages
   UNION ALL SELECT page_id, 'Fox & Sons', {web.JSON_LD_PLACE}, 'json_ld' FROM pages UNION ALL SELECT page_id, 'Owl', {web.JSON_LD_OTHER}, 'json_ld' FROM pages
   UNION ALL SELECT page_id, 'Page ' || page_id, {web.META_NAME}, 'meta' FROM pages),
-n AS (SELECT *, trim(regexp_replace({_CLEAN.format(c="name")}, '\b(?:{_SUFFIXES})\.?$', '')) AS normalized_name FROM c WHERE name <> '')
+n AS (SELECT *, trim(regexp_replace({_CLEAN.format(c="name")}, '\b(?:{_SUFFIXES})\.?$', '')) AS normalized_name FROM c WHERE name <> '' AND (origin <> 'title' OR length(name) BETWEEN 2 AND 100))
 SELECT page_id, normalized_name, max((confidence, name, origin))[2] AS name, CAST(max((confidence, name, origin))[1] AS DOUBLE) AS confidence, max((confidence, name, origin))[3] AS origin
 FROM n WHERE normalized_name <> '' GROUP BY 1, 2""")
 def page_name_claims(spark: SparkSession, d: str) -> DataFrame:

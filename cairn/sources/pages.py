@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -12,20 +13,26 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, St
 
 from cairn.functions.text import normalize_name
 
-#: Reliability of a name by where a page states it (fixed values).
+# Reliability of a name by where a page states it, types of structured data that are places, meta entries that name the site,
+# weights of what a page's text supports, and what parts a site's name from the rest of a title.
 JSON_LD_PLACE, JSON_LD_OTHER, META_NAME, TITLE_NAME = 0.99, 0.92, 0.90, 0.76
-PLACE_TYPES = ("BarOrPub", "Brewery", "Winery", "Distillery", "NightClub", "Restaurant", "LocalBusiness", "FoodEstablishment")
+PLACE_TYPES = ("localbusiness", "restaurant", "barorpub", "foodestablishment", "brewery", "winery", "nightclub")
+META_KEYS = ("og:site_name", "application-name")
+PHONE_WEIGHT, ADDRESS_WEIGHT, POSTAL_WEIGHT, CITY_WEIGHT = 0.68, 0.62, 0.18, 0.10
+TITLE_PARTS = r"\s+[|\u2013\u2014-]\s+"
 
 PAGE = StructType([
     StructField("title", StringType()), StructField("meta", ArrayType(StructType([StructField("name", StringType()), StructField("content", StringType())]))),
     StructField("links", ArrayType(StringType())), StructField("text", StringType()),
-    StructField("names", ArrayType(StructType([StructField("name", StringType()), StructField("confidence", DoubleType()), StructField("origin", StringType())])))])
+    StructField("names", ArrayType(StructType([StructField("name", StringType()), StructField("confidence", DoubleType()), StructField("origin", StringType())]))),
+    StructField("everything", StringType())])
 
 
 class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.title, self.text, self.links, self.meta, self.data = [], [], [], [], []
+        self.all: list[str] = []
         self._in: str | None = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -42,6 +49,8 @@ class _Page(HTMLParser):
             self._in = None
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self.all.append(data.strip())
         if self._in in (None, "title", "json"):
             {None: self.text, "title": self.title, "json": self.data}[self._in].append(data)
 
@@ -68,20 +77,26 @@ def _parse(html: str | None) -> dict | None:
         except ValueError:
             continue
         for o in found:
-            if isinstance(o.get("name"), str) and o["name"].strip():
-                kinds = o.get("@type")
-                place = any(k in PLACE_TYPES for k in (kinds if isinstance(kinds, list) else [kinds]))
-                names.append({"name": o["name"].strip(), "confidence": JSON_LD_PLACE if place else JSON_LD_OTHER, "origin": "json_ld"})
-    names += [{"name": c.strip(), "confidence": META_NAME, "origin": "meta"} for n, c in page.meta if n in ("og:site_name", "og:title") and c.strip()]
-    if title:
-        names.append({"name": title, "confidence": TITLE_NAME, "origin": "title"})
+            if not o.get("name") or isinstance(o["name"], (dict, list)):
+                continue
+            kinds = o.get("@type") or []
+            kinds = {str(k).casefold() for k in (kinds if isinstance(kinds, list) else [kinds])}
+            if kinds & set(PLACE_TYPES):
+                names.append({"name": str(o["name"]).strip(), "confidence": JSON_LD_PLACE, "origin": "json_ld"})
+            elif o.get("address") and "organization" in kinds:
+                names.append({"name": str(o["name"]).strip(), "confidence": JSON_LD_OTHER, "origin": "json_ld"})
+    said = {(n or "").casefold(): c.strip() for n, c in page.meta if c.strip()}
+    names += [{"name": said[k], "confidence": META_NAME, "origin": "meta"} for k in META_KEYS if k in said]
+    first = re.split(TITLE_PARTS, title, maxsplit=1)[0].strip()
+    if 2 <= len(first) <= 100:
+        names.append({"name": first, "confidence": TITLE_NAME, "origin": "title"})
     return {"title": title or None, "meta": [{"name": n, "content": c} for n, c in page.meta], "links": page.links,
-            "text": " ".join(" ".join(page.text).split()), "names": names}
+            "text": " ".join(" ".join(page.text).split()), "names": names, "everything": " ".join(" ".join(page.all).split())}
 
 
 @F.pandas_udf(PAGE)
 def parse_page(html: pd.Series) -> pd.DataFrame:
-    """Title, meta entries, links, text and name claims of a page; null html gives nulls."""
+    """Title, meta entries, links, text, name claims and all text with scripts and styles of a page; null html gives nulls."""
     empty = dict.fromkeys(PAGE.names)
     return pd.DataFrame([_parse(h) or empty for h in html], columns=PAGE.names)
 
@@ -113,12 +128,20 @@ def name_claims(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     return claims.groupBy(key, "normalized_name").agg(best).select(key, "normalized_name", "b.name", "b.confidence", "b.origin")
 
 
-def identity_score(text: Column, phone: Column, address: Column, postal_code: Column, city: Column) -> Column:
-    """How well a page's text supports a place: phone .68, address .62, postal code .18, city .10, at most 1."""
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    low = F.lower(text)
+def identity_score(text: Column, phones: Column, address: Column, postal_code: Column, city: Column) -> Column:
+    """How well a page's text supports a place, at most 1: one of its phones, its address, its postal code, its city.
+
+    A phone counts by its last ten digits; an address, normalized, by its first number together
+    with one of its first three words of four letters or more.
+    """
+    low = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " ")
+    digits = F.regexp_replace(low, "[^0-9]", "")
+    held = lambda c: F.coalesce(F.length(c) > 0, F.lit(False)) & low.contains(F.lower(c))
+    by_phone = F.exists(F.filter(F.coalesce(phones, F.array().cast("array<string>")), lambda p: F.coalesce(p, F.lit("")) != ""),
+                        lambda p: digits.contains(F.right(F.regexp_replace(p, "[^0-9]", ""), F.lit(10))))
+    words = F.slice(F.filter(F.split(address, " "), lambda w: (F.length(w) >= 4) & ~w.rlike("^[0-9]+$")), 1, 3)
+    number = F.regexp_extract(address, r"\b[0-9]+\b", 0)
+    by_address = held(number) & F.exists(words, lambda w: low.contains(w))
     part = lambda c, w: F.when(F.coalesce(c, F.lit(False)), w).otherwise(0.0)
-    return F.least(F.lit(1.0), part(digits.contains(F.regexp_replace(phone, "[^0-9]", "")) & (F.length(phone) > 0), 0.68)
-                   + part(low.contains(F.lower(address)) & (F.length(address) > 0), 0.62)
-                   + part(low.contains(postal_code) & (F.length(postal_code) > 0), 0.18)
-                   + part(low.contains(F.lower(city)) & (F.length(city) > 0), 0.10))
+    return F.least(F.lit(1.0), part(by_phone, PHONE_WEIGHT) + part(by_address, ADDRESS_WEIGHT) + part(held(postal_code), POSTAL_WEIGHT)
+                   + part(held(city), CITY_WEIGHT))

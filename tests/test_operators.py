@@ -443,6 +443,6 @@ def test_pages(spark):
     df = spark.createDataFrame([(1, html), (2, None), (3, "")], "k int, html string")
     claims = {(r.k, r.normalized_name): r.confidence for r in pages.name_claims(df, "k").collect()}
     assert claims == {(1, "red fox"): 0.99, (1, "red fox bar"): 0.76}
-    text_of = pages.parse_page(F.col("html"))["text"]
-    score = df.where("k = 1").select(pages.identity_score(text_of, F.lit("+14155550100"[2:]), F.lit("1 main st"), F.lit("94110"), F.lit("SF")).alias("s")).first().s
+    read = df.where("k = 1").select(pages.parse_page(F.col("html"))["text"].alias("text"))
+    score = read.select(pages.identity_score(F.col("text"), F.array(F.lit("+14155550100")), F.lit("1 main st"), F.lit("94110"), F.lit("SF")).alias("s")).first().s
     assert score == 1.0
