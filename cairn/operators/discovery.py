@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, Window
+import logging
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.functions.similarity import bounded_ratio
+from cairn.functions.text import normalize_address, normalize_name, normalize_phone, website_host
+from cairn.operators.classify import types_compatible
+from cairn.operators.gate import HARD_NEGATIVE_FLAGS, has_flag
+from cairn.operators.graph import components
+from cairn.operators.identity import decide_identity, fuzzy_block
+from cairn.operators.review import review_reason
+from cairn.sources.shared import written
+
+_log = logging.getLogger(__name__)
+#: Claims of a component that one task settles in order; larger components are settled in rounds until they fall apart.
+SETTLED_AT_ONCE = 200_000
+#: Rounds after which what is open is split into components again.
+ROUNDS = 8
+
 #: The best record of a source must lead the next by this much (a fixed value).
 MARGIN = 0.03
 #: Sources of which an anchor takes all matches: a place may hold several licences (a fixed value).
 ALL_MATCHES = ("ca_abc",)
+#: Source of licences; the least name and address similarity that any identity rule asks for (fixed values).
+LICENCES = "ca_abc"
+LEAST_NAME, LEAST_ADDRESS = 0.55, 0.94
+#: Flags, besides those that close a place, of records that no anchor may meet (fixed values).
+UNSURE_FLAGS = ("consumer_identity_conflict", "stale")
 TAKEN = "source_already_linked_to_another_candidate"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed where ``spark.checkpoint.dir`` says; tests on a local master may leave it unset."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cairn-checkpoint-"))
-    return df.checkpoint()
-
-
 def choose_records(pairs: DataFrame) -> DataFrame:
     """Judged pairs (anchor_id, record_id, source, action, compatible, score, reason) with ``chosen``.
 
@@ -41,23 +51,63 @@ def active_anchors(anchors: DataFrame, claims: DataFrame) -> DataFrame:
     """Anchors (id, rank) that become candidates when anchors claim records one after the other.
 
     claims: anchor_id, record_id.  An anchor is passed over if an earlier active
-    one has claimed its record (record_id equal to its id).  Instead of one after
-    the other, each round settles every anchor whose earlier claimants are
-    settled, so rounds follow the longest chain of claims among anchors.
+    one has claimed its record (record_id equal to its id).  Claims among anchors
+    fall into components that do not touch each other: each of at most
+    ``SETTLED_AT_ONCE`` claims is settled in order by one task, so a long chain costs
+    no round.  In larger ones, rounds settle every anchor whose earlier claimants
+    are settled, until what is open falls apart into smaller ones.
     """
     claimants = claims.where("anchor_id <> record_id").select(F.col("anchor_id").alias("by"), F.col("record_id").alias("id")).distinct()
     ranked = claimants.join(anchors, "id").join(anchors.select(F.col("id").alias("by"), F.col("rank").alias("_r")), "by").where("_r < rank")
-    edges = cut(ranked.select("by", "id"))
-    state = cut(anchors.select("id", "rank", F.when(F.lit(True), F.lit(None)).cast("boolean").alias("active")))
-    while True:
-        of = state.select(F.col("id").alias("by"), F.col("active").alias("_a"))
-        seen = edges.join(of, "by").groupBy("id").agg(F.max(F.coalesce("_a", F.lit(False))).alias("_taken"), F.max(F.col("_a").isNull()).alias("_open"))
-        # a hub of claims is aggregated before it meets the anchors
-        settled = F.when(F.col("active").isNotNull(), F.col("active")).when(F.coalesce("_taken", F.lit(False)), False).when(
-            ~F.coalesce("_open", F.lit(False)), True)
-        state = cut(state.join(seen, "id", "left").select("id", "rank", settled.alias("active")))
-        if state.where("active IS NULL").isEmpty():
-            return state.where("active").select("id", "rank")
+    edges = written(ranked.select("by", "id", F.col("_r").alias("by_rank"), "rank"), "claims")
+    passed: list[DataFrame] = []  # anchors that are not active
+    parts = rounds = 0
+    while not edges.isEmpty():
+        label = components(edges, "by", "id").select(F.col("node").alias("id"), "component")
+        labelled = written(edges.join(label, "id"), "labelled")
+        sizes = labelled.groupBy("component").agg(F.count("*").alias("n"))
+        small = labelled.join(sizes.where(F.col("n") <= SETTLED_AT_ONCE), "component", "left_semi")
+        passed.append(written(_settle_in_order(small), "passed"))
+        edges = written(labelled.join(sizes.where(F.col("n") > SETTLED_AT_ONCE), "component", "left_semi").drop("component"), "open")
+        parts += 1
+        for _ in range(ROUNDS):
+            if edges.isEmpty():
+                break
+            edges, out = _settle_round(edges)
+            passed.append(out)
+            rounds += 1
+    _log.info("claims settled by components %d times, in %d rounds besides", parts, rounds)
+    for out in passed:
+        anchors = anchors.join(out, "id", "left_anti")
+    return anchors.select("id", "rank")
+
+
+def _settle_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Anchors without an open earlier claimant are active, those they claim are passed over: the claims left, and who is passed over."""
+    active = edges.select(F.col("by").alias("id")).distinct().join(edges.select("id").distinct(), "id", "left_anti")
+    out = written(edges.join(active.select(F.col("id").alias("by")), "by", "left_semi").select("id").distinct(), "passed")
+    # a claim of one that is passed over is void, and one that is passed over needs no more claims
+    left = edges.join(active.select(F.col("id").alias("by")), "by", "left_anti").join(out, "id", "left_anti").join(out.select(F.col("id").alias("by")), "by", "left_anti")
+    return written(left, "open"), out
+
+
+def _settle_in_order(claims: DataFrame) -> DataFrame:
+    """``id`` of the anchors passed over in each component; its anchors go one after the other, in one task."""
+    ends = claims.select("component", "id", "rank").unionByName(claims.select("component", F.col("by").alias("id"), F.col("by_rank").alias("rank"))).distinct()
+    place = ends.select("id", F.row_number().over(Window.partitionBy("component").orderBy("rank", "id")).alias("place"))
+    rows = claims.join(place, "id").join(place.select(F.col("id").alias("by"), F.col("place").alias("by_place")), "by").select("component", "id", "place", "by_place")
+    kind = claims.schema["id"].dataType.simpleString()
+
+    def settle(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("place", kind="stable")
+        passed, out = set(), []
+        for place, part in group.groupby("place", sort=True):
+            if any(by not in passed for by in part["by_place"]):
+                passed.add(place)
+                out.append(part["id"].iloc[0])
+        return pd.DataFrame({"id": pd.Series(out, dtype=group["id"].dtype)})
+
+    return rows.groupBy("component").applyInPandas(settle, f"id {kind}")
 
 
 def discover(anchors: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -79,3 +129,43 @@ def discover(anchors: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame
     unchosen = mine.where("NOT chosen AND (action = 'review' OR (action = 'match' AND coalesce(compatible, false)))").select(
         F.col("anchor_id").alias("candidate_id"), "record_id", "score", "reason")
     return active, links, late.unionByName(unchosen)
+
+
+def judge_pairs(anchors: DataFrame, records: DataFrame, top: int = 50) -> DataFrame:
+    """Judged pairs of anchors and the records of their block: what ``discover`` takes.
+
+    Both sides are raw records: ``id`` (one number for a record on both sides), ``source``, ``name``, ``address``, ``city``,
+    ``country``, ``phone``, ``website``, ``lat``, ``lon``, ``primary_type``.  Pairs meet by the fuzzy block join, which carries
+    what the identity rules need, so no pair is joined to its names again; a similarity is computed only
+    where the lengths of both texts let it count.
+    """
+    def ready(rows: DataFrame) -> DataFrame:
+        country = F.upper(F.trim("country"))
+        return rows.select("id", "source", "primary_type", "lat", "lon", normalize_name(F.col("name")).alias("name"), normalize_address(F.col("address")).alias("address"),
+                           F.lower("city").alias("city"), country.alias("country"), normalize_phone(F.col("phone"), country).alias("phone"), website_host(F.col("website")).alias("host"))
+
+    met = fuzzy_block(ready(anchors), ready(records), ["city", "country"], top, ["name", "address", "source", "primary_type", "phone", "host"], skip_self=True)
+    a, r = (lambda c: F.col(f"record.{c}")), (lambda c: F.col(f"anchor.{c}"))  # the anchor asks, so it is the join's record
+    scored = met.withColumn("_name", bounded_ratio(a("name"), r("name"), LEAST_NAME)).withColumn("_address", bounded_ratio(a("address"), r("address"), LEAST_ADDRESS))
+    decision = decide_identity(F.lit(False), F.lit(True), F.lit(True), F.col("_name"), F.col("_address"), F.coalesce(a("phone") == r("phone"), F.lit(False)),
+                               F.coalesce(a("host") == r("host"), F.lit(False)), F.col("meters"), (a("source") == LICENCES) | (r("source") == LICENCES))
+    compatible = types_compatible(a("primary_type"), r("primary_type"))
+    judged = scored.select(F.col("record_id").alias("anchor_id"), F.col("anchor_id").alias("record_id"), r("source").alias("source"), decision.alias("d"), compatible.alias("compatible"))
+    # a plausible pair of types that exclude each other goes to review
+    clash = ~F.col("compatible") & F.col("d.action").isin("match", "review")
+    return judged.select("anchor_id", "record_id", "source", F.when(clash, "review").otherwise(F.col("d.action")).alias("action"), "compatible", "d.score",
+                         review_reason(F.col("compatible"), F.col("d.reason")).alias("reason"))
+
+
+def correlate(records: DataFrame, anchor_sources: list[str], rank: Column, top: int = 50) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Discovery from raw records in one plan: blocking, identity, type gate, choice by source, sequential claims.
+
+    records: as in ``judge_pairs``, with ``status``, ``retired_at`` and ``flags``; anchors are those of ``anchor_sources``,
+    in the order of ``rank`` and then their ids.  Closed, retired and flagged records take no part.
+    Returns active anchors, links and reviews as ``discover`` does.
+    """
+    live = records.where(F.col("retired_at").isNull() & (F.col("status") == "open") & ~has_flag(F.col("flags"), (*HARD_NEGATIVE_FLAGS, *UNSURE_FLAGS)))
+    anchors = live.where(F.col("source").isin(*anchor_sources))
+    pairs = written(judge_pairs(anchors, live, top), "pairs")
+    ranked = anchors.select("id", F.struct(rank.alias("rank"), "id").alias("rank"))
+    return discover(ranked, pairs)

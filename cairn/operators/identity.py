@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.similarity import grid_cell, haversine_meters, neighbour_cells, trigram_similarity, trigrams
+from cairn.functions.similarity import haversine_meters, metric_cell, metric_neighbours, trigram_similarity, trigrams
 
 #: Trigram similarity above which a name or an address is a candidate.
 TRIGRAM_THRESHOLD = 0.3
@@ -107,39 +107,38 @@ def _sizes_allow(a: str, b: str, threshold: float) -> Column:
     return F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9
 
 
-def distance_pairs(points: DataFrame, key: str, lat: str, lon: str, meters: float, cell: float) -> DataFrame:
-    """Pairs (a < b) within a distance, by an equi-join of grid cells and an exact test; ``cell`` must span the distance."""
+def distance_pairs(points: DataFrame, key: str, lat: str, lon: str, meters: float) -> DataFrame:
+    """Pairs (a < b) within a distance, by an equi-join of grid cells of that size and an exact test."""
     p = points.select(F.col(key).alias("k"), F.col(lat).alias("la"), F.col(lon).alias("lo")).where("la IS NOT NULL AND lo IS NOT NULL")
-    here = p.select(F.col("k").alias("a"), F.col("la").alias("la1"), F.col("lo").alias("lo1"),
-                    grid_cell(F.col("la"), cell).alias("y"), grid_cell(F.col("lo"), cell).alias("x"))
+    here = p.select(F.col("k").alias("a"), F.col("la").alias("la1"), F.col("lo").alias("lo1"), metric_cell(F.col("la"), F.col("lo"), meters).alias("c"))
     around = p.select(F.col("k").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"),
-                      F.explode(neighbour_cells(F.col("la"), F.col("lo"), cell)).alias("c")).select(
-        "b", "la2", "lo2", F.col("c.y").alias("y"), F.col("c.x").alias("x"))
+                      F.explode(metric_neighbours(F.col("la"), F.col("lo"), meters)).alias("c"))
     d = haversine_meters(F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
-    return here.join(around, ["y", "x"]).where("a < b").withColumn("meters", d).where(F.col("meters") <= meters).select("a", "b", "meters")
+    return here.join(around, "c").where("a < b").withColumn("meters", d).where(F.col("meters") <= meters).select("a", "b", "meters")
 
 
-def fuzzy_block(records: DataFrame, anchors: DataFrame, block: list[str], top: int = 50) -> DataFrame:
+def fuzzy_block(records: DataFrame, anchors: DataFrame, block: list[str], top: int = 50, carry: list[str] | None = None, skip_self: bool = False) -> DataFrame:
     """Candidates of each record in its block: name or address trigram-similar, or within 100 m; the best ``top``.
 
-    Both sides have ``id, name, address, lat, lon`` and the block columns.
+    Both sides have ``id, name, address, lat, lon`` and the block columns; ``carry`` names columns of both that the
+    result has in ``record`` and ``anchor``.  Ties go to the smaller anchor; with ``skip_self`` a record is no candidate of its own.
     """
-    r = records.select(F.col("id").alias("record_id"), *block, trigrams(F.col("name")).alias("rn"),
+    extra = lambda side: [F.struct(*carry).alias(side)] if carry else []
+    r = records.select(F.col("id").alias("record_id"), *block, trigrams(F.col("name")).alias("rn"), *extra("record"),
                        trigrams(F.col("address")).alias("ra"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
-    a = anchors.select(F.col("id").alias("anchor_id"), *block, trigrams(F.col("name")).alias("an"),
+    a = anchors.select(F.col("id").alias("anchor_id"), *block, trigrams(F.col("name")).alias("an"), *extra("anchor"),
                        trigrams(F.col("address")).alias("aa"), F.col("lat").alias("alat"), F.col("lon").alias("alon"))
     by_name = _sharing(r, a, block, "rn", "an")
     by_address = _sharing(r, a, block, "ra", "aa")
-    cell = 0.002
-    r_cell = r.where("rlat IS NOT NULL").select("record_id", *block, F.explode(neighbour_cells(F.col("rlat"), F.col("rlon"), cell)).alias("_k"))
-    a_cell = a.where("alat IS NOT NULL").select("anchor_id", *block, F.struct(
-        grid_cell(F.col("alat"), cell).alias("y"), grid_cell(F.col("alon"), cell).alias("x")).alias("_k"))
+    r_cell = r.where("rlat IS NOT NULL AND rlon IS NOT NULL").select("record_id", *block, F.explode(metric_neighbours(F.col("rlat"), F.col("rlon"), NEAR_METERS)).alias("_k"))
+    a_cell = a.where("alat IS NOT NULL AND alon IS NOT NULL").select("anchor_id", *block, metric_cell(F.col("alat"), F.col("alon"), NEAR_METERS).alias("_k"))
     near = r_cell.join(a_cell, [*block, "_k"]).select("record_id", "anchor_id")
     pairs = by_name.unionByName(by_address).unionByName(near).distinct()
+    pairs = pairs.where("record_id <> anchor_id") if skip_self else pairs
     full = pairs.join(r.drop(*block), "record_id").join(a.drop(*block), "anchor_id").select(
         "record_id", "anchor_id", trigram_similarity(F.col("rn"), F.col("an")).alias("name_similarity"),
         trigram_similarity(F.col("ra"), F.col("aa")).alias("address_similarity"),
-        haversine_meters(F.col("rlat"), F.col("rlon"), F.col("alat"), F.col("alon")).alias("meters"))
+        haversine_meters(F.col("rlat"), F.col("rlon"), F.col("alat"), F.col("alon")).alias("meters"), *(["record", "anchor"] if carry else []))
     kept = full.where((F.col("name_similarity") > TRIGRAM_THRESHOLD) | (F.col("address_similarity") > TRIGRAM_THRESHOLD)
                       | (F.col("meters") <= NEAR_METERS))
     w = Window.partitionBy("record_id").orderBy(F.desc(F.greatest("name_similarity", "address_similarity")), "anchor_id")

@@ -496,9 +496,9 @@ def changed_columns(spark: SparkSession, d: str) -> DataFrame:
 # --- discovery ---------------------------------------------------------------
 
 _PAIRS = """
-WITH RECURSIVE a AS (SELECT p_partkey AS id, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS i FROM part WHERE p_partkey % 2 = 0),
+WITH RECURSIVE a AS (SELECT p_partkey AS id, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS i FROM part),
 raw AS (SELECT id AS anchor_id, i, unnest([0, 1, 2, 3]) AS j FROM a),
-pairs AS (SELECT anchor_id, i, j, (anchor_id * 7 + j * j * 31) % 120 + 1 AS record_id, CASE WHEN j < 2 THEN 'osm' WHEN j = 2 THEN 'ca_abc' ELSE 'overture' END AS source,
+pairs AS (SELECT anchor_id, i, j, (anchor_id * 7 + j * j * 31) % (SELECT count(*) FROM part) AS record_id, CASE WHEN j < 2 THEN 'osm' WHEN j = 2 THEN 'ca_abc' ELSE 'overture' END AS source,
   CASE WHEN (anchor_id + j) % 9 = 0 THEN 'review' WHEN (anchor_id + j) % 7 = 0 THEN 'distinct' ELSE 'match' END AS action, (anchor_id + j) % 11 <> 0 AS compatible,
   ((anchor_id * 13 + j * 5) % 8 + 40) / 50.0 AS score FROM raw),
 m AS (SELECT *, action = 'match' AND compatible AS m FROM pairs),
@@ -516,12 +516,13 @@ SELECT candidate_id, record_id, CASE WHEN owner = candidate_id THEN 'linked' ELS
 SELECT anchor_id, record_id, 'review', score FROM c JOIN step st ON st.id = anchor_id AND active WHERE NOT chosen AND (action = 'review' OR (action = 'match' AND compatible))""")
 def discovery_links(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("p_partkey")
-    parts = table(spark, d, "part", "p_partkey", "p_size").where(key % 2 == 0)
+    parts = table(spark, d, "part", "p_partkey", "p_size")
+    everything = parts.count()
     anchors = parts.select(key.alias("id"), F.struct(-F.col("p_size"), "p_partkey").alias("rank"))
     a, j = F.col("anchor_id"), F.col("j")
     raw = parts.select(key.alias("anchor_id"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j"))
     pairs = raw.select(
-        "anchor_id", ((a * 7 + j * j * 31) % 120 + 1).alias("record_id"), F.when(j < 2, "osm").when(j == 2, "ca_abc").otherwise("overture").alias("source"),
+        "anchor_id", ((a * 7 + j * j * 31) % everything).alias("record_id"), F.when(j < 2, "osm").when(j == 2, "ca_abc").otherwise("overture").alias("source"),
         F.when((a + j) % 9 == 0, "review").when((a + j) % 7 == 0, "distinct").otherwise("match").alias("action"), ((a + j) % 11 != 0).alias("compatible"),
         (((a * 13 + j * 5) % 8 + 40) / 50).alias("score"), F.lit("rule").alias("reason"))
     _, links, reviews = discovery.discover(anchors, pairs)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cairn.plans import catalog, evidence, fields, geo, matching, relational, web
+from cairn.plans import catalog, discoveries, evidence, fields, geo, matching, relational, web
 from cairn.plans.registry import Run
 
-_PARTS = (relational.R, matching.R, evidence.R, fields.R, catalog.R, geo.R, web.R)
+_PARTS = (relational.R, matching.R, evidence.R, fields.R, catalog.R, geo.R, web.R, discoveries.R)
 
 
 def runs() -> dict[str, Run]:

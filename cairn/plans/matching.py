@@ -180,7 +180,7 @@ WITH p AS ({_POINTS}), j AS (SELECT a.vec_id AS a, b.vec_id AS b, pow(sin(radian
   + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2) AS h FROM p a JOIN p b ON a.vec_id < b.vec_id)
 SELECT a, b, round(2 * 6371000.0 * atan2(sqrt(h), sqrt(1 - h)), 3) AS meters FROM j WHERE 2 * 6371000.0 * atan2(sqrt(h), sqrt(1 - h)) <= 150""")
 def haversine_join(spark: SparkSession, d: str) -> DataFrame:
-    return identity.distance_pairs(_points(spark, d), "vec_id", "lat", "lon", 150.0, 0.002).select("a", "b", F.round("meters", 3).alias("meters"))
+    return identity.distance_pairs(_points(spark, d), "vec_id", "lat", "lon", 150.0).select("a", "b", F.round("meters", 3).alias("meters"))
 
 
 @R.query(f"""

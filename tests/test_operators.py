@@ -238,7 +238,7 @@ def test_blocking(spark):
     anchors = spark.createDataFrame([(10, "SF", "The Red Fox", "77 Pine", None, None), (11, "SF", "Zzz", "Qqq", 37.0005, -122.0), (12, "LA", "Red Fox Bar", "1 Main St", 37.0, -122.0), (13, "SF", "Www", "9 Oak Avenue", None, None)], rows.schema)
     got = {(r.record_id, r.anchor_id) for r in identity.fuzzy_block(rows, anchors, ["city"]).collect()}
     assert got == {(1, 10), (1, 11), (2, 13)}
-    near = identity.distance_pairs(rows.unionByName(anchors), "id", "lat", "lon", 100.0, 0.002)
+    near = identity.distance_pairs(rows.unionByName(anchors), "id", "lat", "lon", 100.0)
     assert {(r.a, r.b) for r in near.collect()} == {(1, 11), (1, 12), (11, 12)}
 
 
