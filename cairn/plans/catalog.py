@@ -246,13 +246,12 @@ def provider_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @R.query(_CANDIDATES + f""",
-g AS (SELECT p_partkey % 50 AS entity, count(*) FILTER (WHERE rejection IS NULL) AS valid, list(DISTINCT rejection) FILTER (WHERE rejection IS NOT NULL) AS reasons,
-  max(id) FILTER (WHERE rejection IS NULL) AS one FROM r WHERE p_partkey % 50 < 10 OR p_partkey < 100 GROUP BY 1)
+g AS (SELECT p_partkey // 4 AS entity, count(*) FILTER (WHERE rejection IS NULL) AS valid, list(DISTINCT rejection) FILTER (WHERE rejection IS NOT NULL) AS reasons,
+  max(id) FILTER (WHERE rejection IS NULL) AS one FROM r GROUP BY 1)
 SELECT entity, CASE WHEN valid = 1 THEN 'matched' WHEN valid > 1 THEN 'ambiguous' ELSE coalesce(list_filter({sql_list(*providers.REJECTION_PRIORITY)}, lambda x: list_contains(reasons, x))[1], 'not_found') END AS outcome,
   CASE WHEN valid = 1 THEN one END AS id FROM g""")
 def provider_selection(spark: SparkSession, d: str) -> DataFrame:
-    p = F.col("p_partkey")
-    rows = _candidates(spark, d).where((p % 50 < 10) | (p < 100)).withColumn("entity", p % 50)
+    rows = _candidates(spark, d).withColumn("entity", F.floor(F.col("p_partkey") / 4))
     return providers.select_matches(rows, "entity", "rejection", "id", "confidence").select("entity", "outcome", "id")
 
 
