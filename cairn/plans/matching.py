@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions import similarity as sim
 from cairn.functions import text, values
-from cairn.operators import classify, gate, identity, latest
+from cairn.operators import classify, gate, identity, latest, search
 from cairn.operators.reports import match_outcome, overlay
 from cairn.plans.registry import Registry
 from cairn.sources import pages as web
@@ -159,7 +159,7 @@ s AS (SELECT a.id AS record_id, b.id AS anchor_id, {_SIMILAR.format(a="a.n", b="
   FROM x a JOIN x b ON a.p_brand = b.p_brand AND a.p_size = b.p_size)
 SELECT record_id, anchor_id, round(n, 6) AS by_name, round(t, 6) AS by_address FROM s WHERE n > 0.3 OR t > 0.3
 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY greatest(n, t) DESC, anchor_id) <= 50""")
-def fuzzy_block_join(spark: SparkSession, d: str) -> DataFrame:
+def fuzzy_block_names(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "part", "p_partkey", "p_brand", "p_size", "p_name", "p_type").select(
         F.col("p_partkey").alias("id"), "p_brand", "p_size", F.col("p_name").alias("name"), F.col("p_type").alias("address"),
         F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
@@ -167,6 +167,25 @@ def fuzzy_block_join(spark: SparkSession, d: str) -> DataFrame:
     return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("by_name"), F.round("address_similarity", 6).alias("by_address"))
 
 
+@R.query(f"""
+WITH x AS (SELECT d.doc_id AS id, lang, {_GRAMS.format(c="text")} AS n, {_GRAMS.format(c="(source || ' ' || n_chars)")} AS t,
+  37 + CAST(embedding[1] AS DOUBLE) / 10 AS lat, -122 + CAST(embedding[2] AS DOUBLE) / 10 AS lon FROM documents d LEFT JOIN embeddings ON vec_id = d.doc_id),
+s AS (SELECT a.id AS record_id, b.id AS anchor_id, {_SIMILAR.format(a="a.n", b="b.n")} AS n, {_SIMILAR.format(a="a.t", b="b.t")} AS t,
+  pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2) AS h
+  FROM x a JOIN x b ON a.lang = b.lang WHERE a.id % 50 = 0),
+m AS (SELECT *, 2 * 6371000.0 * atan2(sqrt(h), sqrt(1 - h)) AS meters FROM s)
+SELECT record_id, anchor_id, round(n, 6) AS by_name, round(t, 6) AS by_address, round(meters, 3) AS meters FROM m WHERE n > 0.3 OR t > 0.3 OR meters <= 100
+QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY greatest(n, t) DESC, anchor_id) <= 50""")
+def fuzzy_block_join(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts as names: ids divisible by 50 against all rows of their language, with the places of the vectors of the same number."""
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double") / 10
+    places = table(spark, d, "embeddings", "vec_id", "embedding").select(F.col("vec_id").alias("id"), (37 + at(0)).alias("lat"), (-122 + at(1)).alias("lon"))
+    rows = table(spark, d, "documents", "doc_id", "lang", "source", "n_chars", "text").select(
+        F.col("doc_id").alias("id"), "lang", F.col("text").alias("name"), F.concat("source", F.lit(" "), F.col("n_chars").cast("string")).alias("address")).join(places, "id", "left")
+    found = search.fuzzy_search(rows.where("id % 50 = 0"), rows, ["lang"], 50)
+    return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("by_name"), F.round("address_similarity", 6).alias("by_address"), F.round("meters", 3).alias("meters"))
+
+
 _POINTS = "SELECT vec_id, 37 + CAST(embedding[1] AS DOUBLE) / 10 AS lat, -122 + CAST(embedding[2] AS DOUBLE) / 10 AS lon FROM embeddings"
 
 
