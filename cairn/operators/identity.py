@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.similarity import haversine_meters, metric_cell, metric_neighbours, trigram_similarity, trigrams
+from cairn.sources.shared import written
 
 #: Trigram similarity above which a name or an address is a candidate.
 TRIGRAM_THRESHOLD = 0.3
 NEAR_METERS = 100.0
+# Corroboration: weights of both similarities, and the pairs of least address and name similarity (fixed values).
+ADDRESS_WEIGHT, NAME_WEIGHT = 0.55, 0.45
+CORROBORATED = ((0.92, 0.70), (0.85, 0.92))
 
 
 def _decide(rules: list[tuple[Column, str, Column | float, str]], otherwise: tuple[str, Column | float, str]) -> Column:
@@ -154,6 +158,42 @@ def _sharing(r: DataFrame, a: DataFrame, block: list[str], left: str, right: str
     return x.join(y, [*block, "_t"]).where(_sizes_allow("_na", "_nb", TRIGRAM_THRESHOLD)).select("record_id", "anchor_id").distinct()
 
 
+def corroborate(records: DataFrame, block: list[str], family: str) -> DataFrame:
+    """The record of another family that strongly supports each record, where there is one: both ids, similarities, ``score``.
+
+    records: ``id``, ``name``, ``address``, the block and the family.  Of the records of its block that resemble it in
+    name and in address the one of the highest weighted score is taken (ties: the smaller id), and
+    then must reach a pair of ``CORROBORATED``.  What it takes to reach one bounds both similarities from below, and
+    so those of any rival that could win: both texts must share a rare trigram at that bound.  A record asks over
+    the text whose rare trigrams fewer rows hold.
+    """
+    least = min(ADDRESS_WEIGHT * a + NAME_WEIGHT * n for a, n in CORROBORATED)
+    bounds = {"name": (least - ADDRESS_WEIGHT) / NAME_WEIGHT, "address": (least - NAME_WEIGHT) / ADDRESS_WEIGHT}
+    key = ["id", *block]
+    sets = written(records.select(*key, F.col(family).alias("_family"), trigrams(F.col("name")).alias("name"), trigrams(F.col("address")).alias("address")), "sets")
+    posted = None
+    for field, bound in bounds.items():
+        of = sets.select(*key, F.col(field).alias("_g"))
+        counts = _gram_counts(of)
+        rare = _rare_grams(of, key, counts, bound).join(counts, "_t").withColumn("_field", F.lit(field))
+        posted = rare if posted is None else posted.unionByName(rare)
+    posted = written(posted, "postings")
+    cost = posted.groupBy("id", "_field").agg(F.sum("_c").alias("cost"))
+    lead = cost.groupBy("id").agg(F.count("*").alias("fields"), F.min_by("_field", F.struct("cost", "_field")).alias("_field")).where("fields = 2").drop("fields")
+    asking = posted.join(lead, ["id", "_field"]).select(F.col("id").alias("record_id"), *block, "_field", "_t", F.col("_n").alias("_na"))
+    offered = posted.select(F.col("id").alias("other_id"), *block, "_field", "_t", F.col("_n").alias("_nb"))
+    met = asking.join(offered, [*block, "_field", "_t"]).where("record_id <> other_id").where(_sizes_allow("_na", "_nb", min(bounds.values()))).select(
+        "record_id", "other_id").distinct()
+    a = sets.select(F.col("id").alias("record_id"), F.col("_family").alias("fa"), F.col("name").alias("na"), F.col("address").alias("aa"))
+    b = sets.select(F.col("id").alias("other_id"), F.col("_family").alias("fb"), F.col("name").alias("nb"), F.col("address").alias("ab"))
+    full = met.join(a, "record_id").join(b, "other_id").where("fa <> fb").select(
+        "record_id", "other_id", trigram_similarity(F.col("na"), F.col("nb")).alias("name_similarity"), trigram_similarity(F.col("aa"), F.col("ab")).alias("address_similarity"))
+    scored = full.withColumn("score", ADDRESS_WEIGHT * F.col("address_similarity") + NAME_WEIGHT * F.col("name_similarity"))
+    best = scored.groupBy("record_id").agg(F.min_by(F.struct("other_id", "name_similarity", "address_similarity", "score"), F.struct(-F.col("score"), "other_id")).alias("b"))
+    enough = reduce(lambda x, y: x | y, ((F.col("b.address_similarity") >= at) & (F.col("b.name_similarity") >= n) for at, n in CORROBORATED))
+    return best.where(enough).select("record_id", "b.*")
+
+
 def equal_texts(docs: DataFrame, key: str, text: str, block: list[str]) -> DataFrame:
     """Each row with its class of equal whole texts in its block: ``class_id`` (the least key) and ``members``; null texts have none.
 

@@ -186,6 +186,19 @@ def fuzzy_block_join(spark: SparkSession, d: str) -> DataFrame:
     return found.select("record_id", "anchor_id", F.round("name_similarity", 6).alias("by_name"), F.round("address_similarity", 6).alias("by_address"), F.round("meters", 3).alias("meters"))
 
 
+@R.query(f"""
+WITH x AS (SELECT p_partkey AS id, p_brand, p_type, {_GRAMS.format(c="(p_name || ' house')")} AS n, {_GRAMS.format(c="(p_size || ' north ' || p_name || ' avenue')")} AS t FROM part),
+s AS (SELECT a.id AS record_id, b.id AS other_id, {_SIMILAR.format(a="a.n", b="b.n")} AS n, {_SIMILAR.format(a="a.t", b="b.t")} AS t FROM x a JOIN x b ON a.p_brand = b.p_brand AND a.p_type <> b.p_type),
+k AS (SELECT *, 0.55::DOUBLE * t + 0.45::DOUBLE * n AS score FROM s WHERE n > 0.3 AND t > 0.3 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY 0.55::DOUBLE * t + 0.45::DOUBLE * n DESC, other_id) = 1)
+SELECT record_id, other_id, round(n, 6) AS name_similarity, round(t, 6) AS address_similarity, round(score, 6) AS score FROM k WHERE (t >= 0.92 AND n >= 0.70) OR (t >= 0.85 AND n >= 0.92)""")
+def source_corroboration(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part", "p_partkey", "p_brand", "p_type", "p_name", "p_size").select(
+        F.col("p_partkey").alias("id"), "p_brand", "p_type", F.concat("p_name", F.lit(" house")).alias("name"),
+        F.concat_ws(" ", F.col("p_size").cast("string"), F.lit("north"), "p_name", F.lit("avenue")).alias("address"))
+    found = identity.corroborate(rows, ["p_brand"], "p_type")
+    return found.select("record_id", "other_id", *(F.round(c, 6).alias(c) for c in ("name_similarity", "address_similarity", "score")))
+
+
 _POINTS = "SELECT vec_id, 37 + CAST(embedding[1] AS DOUBLE) / 10 AS lat, -122 + CAST(embedding[2] AS DOUBLE) / 10 AS lon FROM embeddings"
 
 
