@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cairn.plans import audits, catalog, discoveries, evidence, fields, geo, matching, relational, stages, web
+from cairn.plans import audits, catalog, discoveries, evidence, fields, geo, matching, relational, sources, stages, web
 from cairn.plans.registry import Run
 
-_PARTS = (relational.R, matching.R, evidence.R, fields.R, catalog.R, geo.R, web.R, discoveries.R, stages.R, audits.R)
+_PARTS = (relational.R, matching.R, evidence.R, fields.R, catalog.R, geo.R, web.R, discoveries.R, stages.R, audits.R, sources.R)
 
 
 def runs() -> dict[str, Run]:

@@ -199,3 +199,8 @@ def latest_release(index: DataFrame, xml: str = "value") -> DataFrame:
     found = index.select(F.explode(F.regexp_extract_all(F.col(xml), F.lit(r"release/(\d{4}-\d{2}-\d{2}\.\d+)/"), F.lit(1))).alias("r"))
     return found.agg(F.max(F.struct(F.substring_index("r", ".", 1).alias("date"), F.substring_index("r", ".", -1).cast("int").alias("minor"))).alias("m")).select(
         F.concat_ws(".", "m.date", F.col("m.minor").cast("string")).alias("release"))
+
+
+def write_geojson_sequence(features: DataFrame, path: str) -> None:
+    """Write a column ``feature`` as a GeoJSON text sequence: one feature a line after a record separator, in as many files as there are tasks."""
+    features.select(F.concat(F.lit("\u001e"), F.to_json("feature")).alias("value")).write.text(path)
