@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.operators import audit_export as export
 from cairn.operators import duplicates
 from cairn.plans.matching import _GRAMS, _SIMILAR
 from cairn.plans.registry import Registry
+from cairn.plans.relational import as_of
 from cairn.sources.tables import table
 
 R = Registry()
@@ -53,3 +55,42 @@ def anchor_drift(spark: SparkSession, d: str) -> DataFrame:
         "id", "address", F.when(price % 11 != 0, F.col("primary_type")).alias("primary_type"), F.when(price % 13 == 0, F.col("lat") + 0.0001).otherwise(F.col("lat")).alias("lat"), "lon",
         F.when(price % 17 == 0, F.concat("name", F.lit(" new"))).otherwise(F.col("name")).alias("name"))
     return duplicates.anchor_drift(p, anchors)
+
+
+_SOURCE = "CASE o_orderpriority WHEN '1-URGENT' THEN 'ca_abc' WHEN '2-HIGH' THEN 'osm' WHEN '3-MEDIUM' THEN 'overture' ELSE 'fsq' END"
+
+
+@R.query(f"""
+WITH rec AS (SELECT o_orderkey AS record_id, {_SOURCE} AS source, o_custkey, o_orderpriority AS name, o_orderstatus, o_totalprice FROM orders),
+cand AS (SELECT c_custkey, c_acctbal, c_mktsegment, min(o_orderkey) AS anchor FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_acctbal > 1000 GROUP BY ALL),
+lic AS (SELECT o_custkey AS k, to_json(list({{'record_id': record_id, 'name': name, 'license_type': o_orderstatus, 'type_status': NULL::VARCHAR, 'identity_confidence': 0.97::DOUBLE}} ORDER BY record_id)) AS j
+  FROM rec WHERE source = 'ca_abc' AND o_orderstatus <> 'P' GROUP BY 1),
+src AS (SELECT o_custkey AS k, to_json(list(DISTINCT source ORDER BY source)) AS j FROM rec WHERE o_orderstatus <> 'P' GROUP BY 1),
+rev AS (SELECT o_custkey AS k, count(*) AS n, to_json(list({{'review_id': record_id, 'source': source, 'name': name, 'reason': 'type_conflict:same_location_name_conflict', 'score': o_totalprice}} ORDER BY o_totalprice DESC, source, record_id)) AS j,
+  count(*) FILTER (o_totalprice < 100000 AND name LIKE '%O%') AS b FROM rec WHERE o_orderstatus = 'P' GROUP BY 1)
+SELECT c_custkey AS candidate_id, o.o_orderpriority AS anchor_name, 0.9::DOUBLE AS classification_confidence,
+  to_json({{'phone': c_acctbal > 5000, 'website': false, 'hours': c_acctbal > 8000, 'price': c_acctbal > 2000, 'settings': c_mktsegment = 'BUILDING'}})::VARCHAR AS optional_field_coverage,
+  coalesce(lic.j::VARCHAR, '[]') AS licences, coalesce(src.j::VARCHAR, '[]') AS linked_sources, coalesce(n, 0) AS pending_review_items, coalesce(rev.j::VARCHAR, '[]') AS reviews, coalesce(b, 0) AS blocking_exact_address_conflicts
+FROM cand JOIN orders o ON o.o_orderkey = anchor LEFT JOIN lic ON lic.k = c_custkey LEFT JOIN src ON src.k = c_custkey LEFT JOIN rev ON rev.k = c_custkey""")
+def audit_export(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as candidates with their first order as anchor; orders in hand are pending reviews, the others links."""
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    priority = F.col("o_orderpriority")
+    source = F.when(priority == "1-URGENT", "ca_abc").when(priority == "2-HIGH", "osm").when(priority == "3-MEDIUM", "overture").otherwise("fsq")
+    rows = o.withColumn("source", source).withColumn("record_id", F.col("o_orderkey"))
+    records = rows.select(
+        "source", "record_id", priority.alias("name"), F.when(priority.contains("O"), "same").otherwise("other").alias("normalized_address"), F.col("o_orderstatus").alias("license_type"),
+        F.lit(None).cast("string").alias("type_status"), F.lit("open").alias("status"), F.when(F.col("o_totalprice") >= 100000, "2024").alias("retired_at"),
+        F.lit(None).cast("array<string>").alias("flags"), F.lit(0.9).alias("classification_confidence"))
+    links = rows.where("o_orderstatus <> 'P'").select(F.col("o_custkey").alias("candidate_id"), "source", "record_id", F.lit(0.97).alias("identity_confidence"))
+    reviews = rows.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("candidate_id"), F.col("o_orderkey").alias("review_id"), "source", "record_id", F.lit("pending").alias("state"),
+                                                      F.lit("type_conflict:same_location_name_conflict").alias("reason"), F.col("o_totalprice").alias("score"))
+    first = rows.groupBy("o_custkey").agg(F.min_by(F.struct("source", "record_id"), "record_id").alias("a"))
+    balance = F.col("c_acctbal")
+    candidates = table(spark, d, "customer", "c_custkey", "c_acctbal", "c_mktsegment").join(first, F.col("c_custkey") == F.col("o_custkey")).select(
+        F.col("c_custkey").alias("candidate_id"), F.when(balance > 5000, "published").otherwise("verified").alias("candidate_state"), F.lit("v7").alias("decision_version"),
+        F.when(balance > 1000, as_of("2030-01-01 00:00:00")).otherwise(as_of("2020-01-01 00:00:00")).alias("verification_expires_at"), F.col("a.source").alias("anchor_source"),
+        F.col("a.record_id").alias("anchor_record_id"), F.lit("same").alias("normalized_address"), F.when(balance > 5000, "+1415").alias("phone_e164"), F.lit(" ").alias("website_url"),
+        F.when(balance > 8000, '{"mon": []}').otherwise("{}").alias("hours"), F.when(balance > 2000, 2).alias("price_level"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit("rooftop"))).otherwise(F.array().cast("array<string>")).alias("setting_slugs"))
+    return export.audit_export(candidates, records, links, reviews, "v7", as_of("2024-06-01 00:00:00"))
