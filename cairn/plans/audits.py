@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.operators import audit_export as export
-from cairn.operators import duplicates
+from cairn.operators import duplicates, manual
 from cairn.plans.matching import _GRAMS, _SIMILAR
 from cairn.plans.registry import Registry
 from cairn.plans.relational import as_of
@@ -94,3 +94,39 @@ def audit_export(spark: SparkSession, d: str) -> DataFrame:
         F.when(balance > 8000, '{"mon": []}').otherwise("{}").alias("hours"), F.when(balance > 2000, 2).alias("price_level"),
         F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit("rooftop"))).otherwise(F.array().cast("array<string>")).alias("setting_slugs"))
     return export.audit_export(candidates, records, links, reviews, "v7", as_of("2024-06-01 00:00:00"))
+
+
+_FIELDS = ("phone_e164", "website_url", "neighborhood", "hours", "price_level")
+_FIELD = "CASE o_orderpriority WHEN '1-URGENT' THEN 'phone_e164' WHEN '2-HIGH' THEN 'website_url' WHEN '3-MEDIUM' THEN 'neighborhood' WHEN '5-LOW' THEN 'hours' ELSE 'price_level' END"
+
+
+@R.query(f"""
+WITH lines AS (SELECT l_orderkey AS o, l_linenumber AS n, max(l_partkey)::VARCHAR AS v, min(l_linestatus) AS st, min(l_returnflag) AS f FROM lineitem GROUP BY 1, 2),
+ev AS (SELECT o || '-' || n AS id, o, v, st, f, o_custkey AS e, {_FIELD} AS field, o_orderdate AS day, o_orderstatus FROM lines JOIN orders ON o = o_orderkey),
+per AS (SELECT o, e, field, day, o_orderstatus, list(id ORDER BY id) AS ids, min(id) FILTER (f = 'A') AS pick, list(id ORDER BY id) FILTER (st = 'O') AS live FROM ev GROUP BY ALL),
+dec AS (SELECT p.o, p.e, p.field, p.day, ids, CASE WHEN pick IS NULL THEN 'unknown' ELSE 'selected' END AS status, x.v FROM per p LEFT JOIN ev x ON x.id = pick WHERE p.o_orderstatus <> 'F' AND (pick IS NULL OR x.st = 'O')),
+man AS (SELECT * FROM dec QUALIFY row_number() OVER (PARTITION BY e, field ORDER BY day DESC, o DESC) = 1),
+now AS (SELECT e, field, coalesce(live, []) AS live FROM per QUALIFY row_number() OVER (PARTITION BY e, field ORDER BY day DESC, o DESC) = 1)
+SELECT n.e AS entity, n.field, CASE WHEN stands THEN m.status ELSE 'selected' END AS status, CASE WHEN stands THEN m.v ELSE 'auto' END AS value, CASE WHEN stands THEN 'manual' ELSE 'resolver' END AS source
+FROM now n LEFT JOIN man m ON m.e = n.e AND m.field = n.field, LATERAL (SELECT m.o IS NOT NULL AND len(live) > 0 AND len(list_filter(live, lambda i: NOT list_contains(m.ids, i))) = 0 AS stands) s""")
+def manual_precedence(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as conflicts, their lines as evidence; a review picks the first returned line, or none."""
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+    priority = F.col("o_orderpriority")
+    field = F.when(priority == "1-URGENT", _FIELDS[0]).when(priority == "2-HIGH", _FIELDS[1]).when(priority == "3-MEDIUM", _FIELDS[2]).when(priority == "5-LOW", _FIELDS[3]).otherwise(_FIELDS[4])
+    lines = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "l_returnflag").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_partkey").cast("string").alias("value"), F.min("l_linestatus").alias("st"), F.min("l_returnflag").alias("flag"))
+    ev = lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("evidence_id"), F.col("o_orderkey").alias("conflict_id"), F.col("o_custkey").alias("entity"),
+        field.alias("field"), "value", "st", "flag", "o_orderstatus", F.col("o_orderdate").cast("timestamp").alias("at"))
+    per = ev.groupBy("conflict_id", "entity", "field", "at", "o_orderstatus").agg(
+        F.sort_array(F.collect_list("evidence_id")).alias("evidence_ids"), F.min(F.when(F.col("flag") == "A", F.col("evidence_id"))).alias("pick"),
+        F.collect_list(F.when(F.col("st") == "O", F.col("evidence_id"))).alias("live"))
+    conflicts = per.withColumn("state", F.when(F.col("o_orderstatus") == "F", "resolved").otherwise("pending"))
+    reviews = per.select("conflict_id", F.col("at").alias("reviewed_at"), F.lit("ann").alias("reviewer"), F.lit("seen").alias("notes"), F.col("pick").alias("evidence_id"))
+    observations = ev.select("evidence_id", "entity", "field", "value", F.when(F.col("st") == "O", "asserted").otherwise("retracted").alias("status"), F.lit(None).cast("timestamp").alias("expires_at"),
+                             F.lit(0.9).alias("evidence_confidence"), F.lit(1.0).alias("identity_confidence"), F.lit(1.0).alias("authority"))
+    decisions, _ = manual.settle_conflicts(conflicts, reviews, observations, as_of("2024-01-01 00:00:00"))
+    last = per.groupBy("entity", "field").agg(F.max_by("live", F.struct("at", "conflict_id")).alias("evidence_ids"))
+    automatic = last.select("entity", "field", F.lit("selected").alias("status"), F.lit("auto").alias("value"), F.lit(0.5).alias("confidence"))
+    return manual.standing_decisions(automatic, decisions, last).select("entity", "field", "status", "value", "source")
