@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.similarity import EARTH_METERS
 from cairn.operators.identity import NEAR_METERS, TRIGRAM_THRESHOLD
+from cairn.sources.shared import written
 
 #: Rows and queries that meet in one task, queries whose trigrams are one matrix, and trigrams of rows handled at once.
 ROWS_AT_ONCE, QUERIES_AT_ONCE, MATRIX_QUERIES, GRAMS_AT_ONCE = 512, 4096, 512, 100_000
@@ -26,10 +27,19 @@ ROWS_AT_ONCE, QUERIES_AT_ONCE, MATRIX_QUERIES, GRAMS_AT_ONCE = 512, 4096, 512, 1
 _WORD = re.compile(r"[^\W_]+")
 
 
+#: Blocks whose numbers of chunks are sent to all tasks, so that texts do not move for them; more are joined by shuffling.
+BROADCAST_BLOCKS = 100_000
+
+
+def _sent(blocks: DataFrame) -> DataFrame:
+    blocks = written(blocks, "blocks")
+    return F.broadcast(blocks) if blocks.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS else blocks
+
+
 def _chunked(side: DataFrame, block: list[str], size: int, name: str) -> DataFrame:
     """``side`` with a chunk number, so many in each block that a chunk has about ``size`` rows."""
     counts = side.groupBy(*block).agg(F.ceil(F.count("*") / size).cast("int").alias(f"{name}_chunks"))
-    return side.join(counts, block).withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_chunks")))
+    return side.join(_sent(counts), block).withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_chunks")))
 
 
 def _ready(side: DataFrame, block: list[str]) -> DataFrame:
@@ -45,7 +55,7 @@ def fuzzy_search(queries: DataFrame, rows: DataFrame, block: list[str], top: int
     """
     q, r = _chunked(_ready(queries, block), block, QUERIES_AT_ONCE, "qc"), _chunked(_ready(rows, block), block, ROWS_AT_ONCE, "rc")
     blocks = lambda side, name: side.select(*block, f"{name}_chunks").distinct()
-    every = lambda side, other, name: side.join(blocks(other, name), block).withColumn(
+    every = lambda side, other, name: side.join(_sent(blocks(other, name)), block).withColumn(
         name, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{name}_chunks").cast("long") - 1)))
     keys = [*block, "qc", "rc"]
     columns = [*keys, "id", "name", "address", "lat", "lon"]
