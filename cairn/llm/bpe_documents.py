@@ -33,7 +33,11 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``doc_id, text`` of token ids, special tokens kept; bytes that are no UTF-8 become U+FFFD."""
+    """``doc_id, text`` of token ids, special tokens kept; bytes that are no UTF-8 become U+FFFD.
+
+    A null list decodes to an empty text; repeated rows are decoded one by one, and an
+    empty table gives none.
+    """
     runtime.prepare(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,6 +60,8 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     """Encode, decode, and return digests: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
     Both directions run in one pass, so ids and decoded texts never leave the worker.
+    Null texts count as empty and have no tokens; rows with a null or repeated id are
+    documents of their own; an empty table gives none; no other column is read.
     """
     runtime.prepare(docs.sparkSession)
 

@@ -254,6 +254,8 @@ def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", t
 
     The white space after a passage goes with it.  Texts without a passage are
     unchanged; a text that is all passage becomes empty; null texts stay null.
+    Rows of one id all lose the passages given for it, rows without id none; an
+    empty table stays empty.
     """
     runtime.prepare(docs.sparkSession)
     holes = passages.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("holes"))

@@ -100,7 +100,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
 
     The library encodes the distinct pre-tokens of the texts; see
     ``bpe.TextEncoder``.  The last row of each partition has no ids but
-    ``counts``: how often each id occurs in the partition.
+    ``counts``: how often each id occurs in the partition.  Null texts count as empty: they
+    have the end id alone.  Rows with a null or repeated id are documents of their own.
     """
     runtime.prepare(docs.sparkSession)
     kind = id_type(tokenizer_path)
