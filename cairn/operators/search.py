@@ -20,8 +20,8 @@ from cairn.functions.similarity import EARTH_METERS
 from cairn.operators.identity import NEAR_METERS, TRIGRAM_THRESHOLD
 from cairn.sources.shared import written
 
-#: Rows and queries that meet in one task, queries whose trigrams are one matrix, and trigrams of rows handled at once.
-ROWS_AT_ONCE, QUERIES_AT_ONCE, MATRIX_QUERIES, GRAMS_AT_ONCE = 512, 4096, 512, 100_000
+#: Rows and queries that meet in one task, and numbers of a matrix of queries or of rows by trigrams.
+ROWS_AT_ONCE, QUERIES_AT_ONCE, MATRIX_CELLS = 2048, 4096, 8_000_000
 
 #: Runs of letters and digits: the words of ``trigrams``.
 _WORD = re.compile(r"[^\W_]+")
@@ -63,9 +63,9 @@ def fuzzy_search(queries: DataFrame, rows: DataFrame, block: list[str], top: int
     schema = pa.schema([("record_id", pa.int64()), ("anchor_id", pa.int64()), ("name_similarity", pa.float64()), ("address_similarity", pa.float64()), ("meters", pa.float64())])
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.rename_columns(columns)
-        found = [_compare(left.slice(i, MATRIX_QUERIES), right, top) for i in range(0, left.num_rows, MATRIX_QUERIES)] if right.num_rows else []
-        return pa.concat_tables([pa.Table.from_arrays([pa.array(c) for c in part], schema=schema) for part in found]) if found else schema.empty_table()
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        return pa.Table.from_arrays([pa.array(c) for c in _compare(left, right.rename_columns(columns), top)], schema=schema)
 
     met = asked.groupBy(*keys).cogroup(offered.groupBy(*(f"r_{k}" for k in keys))).applyInArrow(
         compare, "record_id long, anchor_id long, name_similarity double, address_similarity double, meters double")
@@ -104,20 +104,31 @@ def gram_sets(*sides: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def shared_counts(q_values: np.ndarray, q_sizes: np.ndarray, r_values: np.ndarray, r_sizes: np.ndarray) -> np.ndarray:
-    """How many values each pair of sets shares: one row a query, one column a row; sets hold distinct values."""
+    """How many values each pair of sets shares: one row a query, one column a row; sets hold distinct values.
+
+    Products of 0/1 matrices of a part of the queries and a part of the rows, over the values that queries have.
+    """
     counts = np.zeros((len(q_sizes), len(r_sizes)), dtype=np.int32)
     known = np.unique(q_values)
     if not len(known):
         return counts
-    held = np.zeros((len(q_sizes), len(known)), dtype=np.uint8)
-    held[np.repeat(np.arange(len(q_sizes)), q_sizes), np.searchsorted(known, q_values)] = 1
-    at = np.minimum(np.searchsorted(known, r_values), len(known) - 1)
-    hit = known[at] == r_values
-    place, owner = at[hit], np.repeat(np.arange(len(r_sizes)), r_sizes)[hit]
-    for lo in range(0, len(place), GRAMS_AT_ONCE):
-        part, of = place[lo : lo + GRAMS_AT_ONCE], owner[lo : lo + GRAMS_AT_ONCE]
-        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-        counts[:, of[first]] += np.add.reduceat(held[:, part], first, axis=1, dtype=np.int32)
+    q_at, r_at = np.searchsorted(known, q_values), np.minimum(np.searchsorted(known, r_values), len(known) - 1)
+    hit = known[r_at] == r_values
+    r_of = np.repeat(np.arange(len(r_sizes)), r_sizes)[hit]
+    q_of, r_at = np.repeat(np.arange(len(q_sizes)), q_sizes), r_at[hit]
+    step = max(1, MATRIX_CELLS // len(known))
+
+    def matrix(of: np.ndarray, at: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        a, b = np.searchsorted(of, [lo, hi])
+        held = np.zeros((hi - lo, len(known)), dtype=np.float32)
+        held[of[a:b] - lo, at[a:b]] = 1
+        return held
+
+    for i in range(0, len(r_sizes), step):
+        rows = matrix(r_of, r_at, i, min(i + step, len(r_sizes))).T
+        for j in range(0, len(q_sizes), step):
+            part = matrix(q_of, q_at, j, min(j + step, len(q_sizes)))
+            counts[j : j + len(part), i : i + rows.shape[1]] = part @ rows
     return counts
 
 
