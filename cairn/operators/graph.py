@@ -37,7 +37,7 @@ def _larger_first(e: DataFrame) -> DataFrame:
 def _star(e: DataFrame, larger: bool) -> DataFrame:
     """Neighbours of u (larger ones, or the smaller ones and u itself) linked to the smallest of u and its neighbours."""
     least = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-    met = e.join(least, F.col("u") == F.col("c"))
+    met = e.join(least.hint("merge"), F.col("u") == F.col("c"))  # grows with the rows: never sent whole
     if larger:
         return _larger_first(met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
     smaller = met.select(F.col("v").alias("u"), F.col("m").alias("v"))

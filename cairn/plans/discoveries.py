@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cairn.operators import classify, discovery
 from cairn.plans.matching import _GRAMS, _LCS, _SIMILAR
 from cairn.plans.registry import Registry
-from cairn.sources.tables import table
+from cairn.sources.tables import spread, table
 
 R = Registry()
 
@@ -64,7 +64,7 @@ SELECT candidate_id, record_id, CASE WHEN owner = candidate_id THEN 'linked' ELS
   CASE WHEN owner = candidate_id THEN reason ELSE 'source_already_linked_to_another_candidate' END AS reason FROM offered JOIN firsts USING (record_id) UNION ALL
 SELECT anchor_id, record_id, 'review', score, reason FROM c JOIN step st ON st.id = anchor_id AND active WHERE NOT chosen AND (action = 'review' OR (action = 'match' AND compatible))""")
 def discovery_from_records(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part", "p_partkey", "p_type", "p_name", "p_size", "p_brand", "p_retailprice")
+    p = spread(table(spark, d, "part", "p_partkey", "p_type", "p_name", "p_size", "p_brand", "p_retailprice"), "p_partkey")
     price = F.round(F.col("p_retailprice") * 10).cast("long")
     chain = F
     for kind, source in _SOURCES.items():
