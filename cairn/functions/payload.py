@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -137,7 +139,7 @@ def origin_of(dataset: Column) -> Column:
 def origin_keys(datasets: Column) -> Column:
     """Origins of data sets, each once and sorted; without any the origin is unknown."""
     found = F.array_sort(F.array_distinct(F.transform(F.filter(datasets, lambda d: F.coalesce(d, F.lit("")) != ""), origin_of)))
-    return F.when(F.coalesce(F.size(found), F.lit(0)) > 0, found).otherwise(F.array(F.lit("overture:unknown")))
+    return _held(found, lambda known: F.when(F.coalesce(F.size(known), F.lit(0)) > 0, known).otherwise(F.array(F.lit("overture:unknown"))))
 
 
 def dataset_license(dataset: Column) -> Column:
@@ -161,23 +163,32 @@ def source_items(items: Column) -> Column:
         item_license(i["dataset"], i["license"]).alias("license"), given(i["update_time"]).alias("update_time")))
 
 
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def provenance_of(items: Column, paths: tuple[str, ...]) -> Column:
     """struct(origin_keys, license_ids, source_items) of a field: of the items at its paths and of those without a property."""
+    return _held(source_items(items), lambda known: _provenance(known, paths))
+
+
+def _provenance(known: Column, paths: tuple[str, ...]) -> Column:
     def relevant(i: Column) -> Column:
         at = F.lit(False)
         for path in paths:
             at = at | i["property"].startswith(path)
         return i["property"].isNull() | at
 
-    own = F.filter(source_items(items), relevant)
-    return F.struct(origin_keys(F.transform(own, lambda i: i["dataset"])).alias("origin_keys"),
-                    F.array_sort(F.array_distinct(F.transform(own, lambda i: i["license"]))).alias("license_ids"), own.alias("source_items"))
+    return _held(F.filter(known, relevant), lambda own: F.struct(
+        origin_keys(F.transform(own, lambda i: i["dataset"])).alias("origin_keys"),
+        F.array_sort(F.array_distinct(F.transform(own, lambda i: i["license"]))).alias("license_ids"), own.alias("source_items")))
 
 
 def field_provenance(items: Column) -> Column:
     """Provenance by field name; fields without a source item are left out."""
-    entries = F.array(*(F.struct(F.lit(f).alias("key"), provenance_of(items, paths).alias("value")) for f, paths in FIELD_PATHS.items()))
-    return F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]["source_items"]) > 0))
+    entries = lambda known: F.array(*(F.struct(F.lit(f).alias("key"), _provenance(known, paths).alias("value")) for f, paths in FIELD_PATHS.items()))
+    return F.map_from_entries(F.filter(_held(source_items(items), entries), lambda e: F.size(e["value"]["source_items"]) > 0))
 
 
 def manual_value(field: Column, value: Column, known_settings: list[str]) -> Column:

@@ -9,7 +9,7 @@ from cairn.functions import hours, payload, text, values
 from cairn.operators import classify, gate
 from cairn.plans.registry import Registry
 from cairn.sources import licences, places
-from cairn.sources.tables import table
+from cairn.sources.tables import spread, table
 
 R = Registry()
 
@@ -71,7 +71,7 @@ hits AS (SELECT DISTINCT p_partkey, field, dataset, property, coalesce(license,
 SELECT p_partkey, field, array_to_string(list_sort(list(DISTINCT {_ORIGIN.format(d='dataset')})), ',') AS origins, array_to_string(list_sort(list(DISTINCT license)), ',') AS licences,
   count(*) AS items FROM hits GROUP BY 1, 2""")
 def field_provenance(spark: SparkSession, d: str) -> DataFrame:
-    rows = _parts(spark, d, "p_size").select("p_partkey", F.explode(payload.field_provenance(_items())).alias("field", "v"))
+    rows = spread(_parts(spark, d, "p_size"), "p_partkey").select("p_partkey", F.explode(payload.field_provenance(_items())).alias("field", "v"))
     return rows.select("p_partkey", "field", F.array_join("v.origin_keys", ",").alias("origins"), F.array_join("v.license_ids", ",").alias("licences"),
                        F.size("v.source_items").cast("long").alias("items"))
 
