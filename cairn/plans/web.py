@@ -43,9 +43,9 @@ support AS (SELECT page_id, p.host, round(least(1.0,
 def _pages(spark: SparkSession, d: str) -> DataFrame:
     """Parsed pages with the words of their titles, written once."""
     p = table(spark, d, "pages", "page_id", "url", "html").where("html IS NOT NULL AND url IS NOT NULL")
-    parsed = p.select("page_id", "url", text.website_host(F.col("url")).alias("host"), web.parse_page(F.col("html")).alias("x"))
-    tokens = F.filter(F.split(F.coalesce("x.title", F.lit("")), " "), lambda w: w.rlike(r"^\p{L}+$"))
-    return written(parsed.select("page_id", "url", "host", F.col("x.everything").alias("text"), "x.links", "x.names", tokens.alias("tokens")), "pages")
+    parsed = web.parsed_pages(p.select("page_id", "url", text.website_host(F.col("url")).alias("host"), "html"), "title", "links", "names", "everything")
+    tokens = F.filter(F.split(F.coalesce("title", F.lit("")), " "), lambda w: w.rlike(r"^\p{L}+$"))
+    return written(parsed.select("page_id", "url", "host", F.col("everything").alias("text"), "links", "names", tokens.alias("tokens")), "pages")
 
 
 def _places(pages: DataFrame) -> DataFrame:

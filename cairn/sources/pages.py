@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
@@ -26,6 +29,12 @@ PAGE = StructType([
     StructField("links", ArrayType(StringType())), StructField("text", StringType()),
     StructField("names", ArrayType(StructType([StructField("name", StringType()), StructField("confidence", DoubleType()), StructField("origin", StringType())]))),
     StructField("everything", StringType())])
+_TEXT = pa.string()
+_PAGE_ARROW = pa.struct([
+    ("title", _TEXT), ("meta", pa.list_(pa.struct([("name", _TEXT), ("content", _TEXT)]))), ("links", pa.list_(_TEXT)), ("text", _TEXT),
+    ("names", pa.list_(pa.struct([("name", _TEXT), ("confidence", pa.float64()), ("origin", _TEXT)]))), ("everything", _TEXT)])
+#: Bytes and number of pages that are parsed before their parts are handed on.
+PIECE_BYTES, PIECE_PAGES = 4_000_000, 512
 
 
 class _Page(HTMLParser):
@@ -94,17 +103,44 @@ def _parse(html: str | None) -> dict | None:
             "text": " ".join(" ".join(page.text).split()), "names": names, "everything": " ".join(" ".join(page.all).split())}
 
 
-@F.pandas_udf(PAGE)
-def parse_page(html: pd.Series) -> pd.DataFrame:
+def _pieces(html: pa.Array) -> Iterator[pa.Array]:
+    """What ``_parse`` gives of pages, piece by piece: a page's parts are held as objects only while its piece is parsed."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(html), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(html):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE_BYTES, "right"))
+        hi = max(lo + 1, min(hi, lo + PIECE_PAGES))
+        yield pa.array([_parse(h) or dict.fromkeys(PAGE.names) for h in html.slice(lo, hi - lo).to_pylist()], type=_PAGE_ARROW)
+        lo = hi
+
+
+def parsed_pages(pages: DataFrame, *fields: str, html: str = "html") -> DataFrame:
+    """The rows with these fields of ``PAGE`` in place of ``html``; they are handed on by pieces, so a task holds no more at any number of pages."""
+    kept = [c for c in pages.columns if c != html]
+    schema = StructType([*(pages.schema[c] for c in kept), *(PAGE[f] for f in fields)])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for piece in _pieces(batch.column(html)):
+                rows = batch.slice(at, len(piece))
+                at += len(piece)
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), *(piece.field(f) for f in fields)], names=schema.names)
+
+    return pages.mapInArrow(parse, schema)
+
+
+@F.arrow_udf(PAGE)
+def parse_page(html: pa.Array) -> pa.Array:
     """Title, meta entries, links, text, name claims and all text with scripts and styles of a page; null html gives nulls."""
-    empty = dict.fromkeys(PAGE.names)
-    return pd.DataFrame([_parse(h) or empty for h in html], columns=PAGE.names)
+    return pa.concat_arrays([pa.array([], type=_PAGE_ARROW), *_pieces(html)])
 
 
-@F.pandas_udf(PAGE["names"].dataType)
-def page_names(html: pd.Series) -> pd.Series:
+@F.arrow_udf(PAGE["names"].dataType)
+def page_names(html: pa.Array) -> pa.Array:
     """The name claims of a page alone; null html gives none."""
-    return html.map(lambda h: (_parse(h) or {"names": []})["names"])
+    names = [pc.fill_null(piece.field("names"), pa.scalar([], type=_PAGE_ARROW.field("names").type)) for piece in _pieces(html)]
+    return pa.concat_arrays([pa.array([], type=_PAGE_ARROW.field("names").type), *names])
 
 
 def page_title(html: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from urllib.parse import urljoin
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +84,20 @@ def test_name_rules(spark):
             '[{"@type":"organization","name":"Holding"},{"@type":["Organization"],"address":{"a":1},"name":"Red Fox Inc"},{"@graph":{"@type":"brewery","name":"Red Fox Brewing"}}]</script>')
     rows = spark.createDataFrame([(1, html), (2, "<title>x</title>")], "k int, html string").select("k", F.explode(pages.page_names("html")).alias("n")).collect()
     assert [(r.k, r.n.name, r.n.confidence) for r in rows] == [(1, "Red Fox Inc", .92), (1, "Red Fox Brewing", .99), (1, "Red Fox App", .9), (1, "Red Fox", .76)]
+
+
+def test_pages_are_handed_on_by_pieces(spark, monkeypatch):
+    """No more pages than a piece has are held as objects, whatever the length of a batch; rows, nulls and empty pages stay in their places."""
+    monkeypatch.setattr(pages, "PIECE_PAGES", 3)
+    monkeypatch.setattr(pages, "PIECE_BYTES", 40)
+    html = pa.array(["<title>aa</title>", None, "", "<a href=x>y</a>" * 9, "<title>bb</title>", "<title>cc</title>", None, None, None])
+    pieces = list(pages._pieces(html))
+    assert [len(p) for p in pieces] == [3, 1, 3, 2]
+    assert [t for p in pieces for t in p.field("title").to_pylist()] == ["aa", None, None, None, "bb", "cc", None, None, None]
+    monkeypatch.undo()
+    texts = [(i, h) for i, h in enumerate(html.to_pylist())]
+    df = spark.createDataFrame(texts * 150, "k int, html string").coalesce(1)
+    got = pages.parsed_pages(df, "title", "links", "names").groupBy("k", "title", "links", "names").count().collect()
+    want = df.select("k", pages.parse_page("html").alias("x"), pages.page_names("html").alias("n")).groupBy("k", "x.title", "x.links", "n", "x.names").count().collect()
+    assert len(got) == len(html) and sorted(map(repr, ((r.k, r.title, r.links, r.names or []) for r in got))) == sorted(map(repr, ((r.k, r.title, r.links, r.n) for r in want)))
+    assert {r["count"] for r in got} == {150}
