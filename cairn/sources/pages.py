@@ -156,10 +156,10 @@ def link_count(html: Column) -> Column:
     return F.regexp_count(html, F.lit("(?i)<a [^>]*href="))
 
 
-def name_claims(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """``key, normalized_name, name, confidence, origin``: the best claim of each normalized name of each page."""
+def name_claims(pages: DataFrame, key: str, html: str = "html", ascii_words: bool = False) -> DataFrame:
+    """``key, normalized_name, name, confidence, origin``: the best claim of each normalized name of each page; ``ascii_words`` as in ``normalize_name``."""
     claims = pages.select(key, F.explode(page_names(F.col(html))).alias("c")).select(
-        key, normalize_name(F.col("c.name")).alias("normalized_name"), "c.confidence", "c.name", "c.origin").where("normalized_name <> ''")
+        key, normalize_name(F.col("c.name"), ascii_words=ascii_words).alias("normalized_name"), "c.confidence", "c.name", "c.origin").where("normalized_name <> ''")
     best = F.max(F.struct("confidence", "name", "origin")).alias("b")
     return claims.groupBy(key, "normalized_name").agg(best).select(key, "normalized_name", "b.name", "b.confidence", "b.origin")
 
